@@ -68,10 +68,8 @@ def filter_seen(items: DataFrame, seen: DataFrame, window_hours: int = 48) -> Da
     first seen inside the window. The store is partitioned by first-seen
     date, so the time predicate prunes it to the last few partitions."""
     window = F.expr(f"INTERVAL {int(window_hours)} HOURS")
-    sweep_ts = items.select(F.min("sweep_ts").alias("_t"))
-    recent = (seen.select("item_id", "first_seen")
-              .join(F.broadcast(sweep_ts), F.col("first_seen") > F.col("_t") - window)
-              .select("item_id"))
+    sweep_ts = items.agg(F.min("sweep_ts")).scalar()
+    recent = seen.where(F.col("first_seen") > sweep_ts - window).select("item_id")
     return items.join(recent, "item_id", "left_anti")
 
 

@@ -13,6 +13,9 @@ from ..config import FIXTURE_CONFIG as CFG
 from ..functions.dates import ts_text
 from ..functions.text import strip_html, truncate
 from ..operators import curate as cur
+from ..operators import folds as fl
+from ..operators import reports as rp
+from ..operators import scoring as sc
 from ..operators import validate as val
 from . import fixtures as fx
 
@@ -97,3 +100,171 @@ def _curated(spark, sf_dir) -> DataFrame:
 def q_curated_items(spark, sf_dir):
     return _curated(spark, sf_dir).select("sweep_id", "seq", "item_id", "domain", "source",
                                           "title", "url")
+
+
+# ------------------------------------------------------------------- state folds
+
+@query("feed_health")
+def q_feed_health(spark, sf_dir):
+    state = fl.feed_health_delta(fx.fetch_log(spark, sf_dir))
+    return fl.feed_health_view(state)
+
+
+@query("sick_feeds")
+def q_sick_feeds(spark, sf_dir):
+    state = fl.feed_health_delta(fx.fetch_log(spark, sf_dir))
+    return fl.sick_feeds(state).select("feed_id", "consecutive_failures", "last_error", "last_status_code")
+
+
+def _scored(spark, sf_dir) -> DataFrame:
+    """Curated items with the fixture's score and tier as scorer output;
+    the reason is the summary."""
+    return _curated(spark, sf_dir).withColumn("reason", F.col("summary"))
+
+
+@query("source_quality")
+def q_source_quality(spark, sf_dir):
+    return fl.source_quality_view(fl.source_quality_counts(_scored(spark, sf_dir)))
+
+
+@query("source_quality_incremental")
+def q_source_quality_incremental(spark, sf_dir):
+    scored = _scored(spark, sf_dir)
+    prior = fl.source_quality_counts(scored.where(F.col("sweep_id") <= 15))
+    delta = fl.source_quality_counts(scored.where(F.col("sweep_id") > 15))
+    return fl.source_quality_view(fl.merge_source_quality(prior, delta))
+
+
+def _seen(spark, sf_dir) -> DataFrame:
+    return fl.items_seen(_curated(spark, sf_dir))
+
+
+@query("items_seen_fold")
+def q_items_seen_fold(spark, sf_dir):
+    return _seen(spark, sf_dir).withColumn("first_seen", ts_text("first_seen"))
+
+
+def _current(spark, sf_dir) -> DataFrame:
+    return fl.current_scores(_scored(spark, sf_dir), _seen(spark, sf_dir))
+
+
+@query("items_current")
+def q_items_current(spark, sf_dir):
+    return _current(spark, sf_dir).select("item_id", "title", ts_text("first_seen").alias("first_seen"),
+                                          F.col("llm_score").cast("bigint").alias("llm_score"),
+                                          "tier", "llm_reason")
+
+
+@query("lifetime_stats")
+def q_lifetime_stats(spark, sf_dir):
+    feed = fx.feed_items(spark, sf_dir)
+    as_of = feed.agg(F.max("ts")).scalar()
+    return fl.lifetime_stats(_seen(spark, sf_dir), _current(spark, sf_dir), _sweeps(spark, sf_dir), as_of)
+
+
+# ---------------------------------------------------------------------- scoring
+
+def _doc_batched(spark, sf_dir) -> DataFrame:
+    docs = fx.doc_items(spark, sf_dir).withColumn("sweep_id", F.lit(0).cast("bigint"))
+    return sc.number_batches(docs, CFG.batch_size)
+
+
+@query("score_batches")
+def q_score_batches(spark, sf_dir):
+    return _doc_batched(spark, sf_dir).select("seq", "sweep_id", "batch", "idx")
+
+
+@query("score_prompts")
+def q_score_prompts(spark, sf_dir):
+    return sc.batch_prompts(_doc_batched(spark, sf_dir))
+
+
+def label_responses(batched: DataFrame) -> DataFrame:
+    """Responses a model could give, built from the labels: a JSON array of
+    the labelled items after a line of prose; no JSON at all for every
+    seventh batch (a failed batch). Unlabelled items are left out."""
+    ls = F.col("label_score")
+    elem = F.when(ls.isNotNull(), F.struct(
+        F.col("idx").cast("int").alias("idx"), ls.cast("int").alias("score"),
+        F.when(ls >= 4, F.lit("ORANGE")).when(ls == 3, F.lit("YELLOW")).alias("tier"),
+        F.when(F.col("quality") == 1, F.lit("quality")).alias("why")))
+    arr = F.to_json(F.array_sort(F.collect_list(elem)))
+    return batched.groupBy("sweep_id", "batch").agg(
+        F.when(F.col("batch") % 7 == 6, F.lit("No scores today."))
+        .otherwise(F.concat(F.lit("Scores follow:\n"), arr, F.lit("\n-- end"))).alias("response"))
+
+
+@query("parse_scores")
+def q_parse_scores(spark, sf_dir):
+    status, elems = sc.parse_responses(label_responses(_doc_batched(spark, sf_dir)))
+    ok = status.where("ok").select("sweep_id", "batch")
+    return elems.join(ok, ["sweep_id", "batch"], "left_semi")
+
+
+@query("apply_scores")
+def q_apply_scores(spark, sf_dir):
+    batched = _doc_batched(spark, sf_dir)
+    out = sc.apply_scores(batched.select("seq", "sweep_id", "batch", "idx"), label_responses(batched))
+    return out.select("seq", "sweep_id", "batch", "idx", "score", "tier", "reason")
+
+
+def region_domains(spark, sf_dir) -> DataFrame:
+    """Regions as domains (weight falls with the key), nation names as
+    keywords in key order."""
+    r = fx.table(spark, sf_dir, "region")
+    n = fx.table(spark, sf_dir, "nation")
+    kw = (n.groupBy("n_regionkey")
+          .agg(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))),
+                           lambda x: x["n_name"]).alias("keywords")))
+    return r.join(kw, r.r_regionkey == kw.n_regionkey, "left").select(
+        F.col("r_regionkey").alias("ord"), F.lower("r_name").alias("domain"),
+        ((F.lit(10) - F.col("r_regionkey")) / F.lit(10.0)).alias("weight"),
+        F.coalesce("keywords", F.array().cast("array<string>")).alias("keywords"))
+
+
+@query("profile_prompt")
+def q_profile_prompt(spark, sf_dir):
+    return sc.profile_prompt(region_domains(spark, sf_dir), CFG.description, CFG.projects,
+                             CFG.noise_notes)
+
+
+# ----------------------------------------------------------------------- budgets
+
+def _surfaced(spark, sf_dir) -> DataFrame:
+    return rp.surfaced(_scored(spark, sf_dir), CFG.min_score)
+
+
+def _shown(spark, sf_dir) -> DataFrame:
+    return rp.apply_budgets(_surfaced(spark, sf_dir), CFG.budgets)
+
+
+@query("tier_budget")
+def q_tier_budget(spark, sf_dir):
+    return _shown(spark, sf_dir).select("sweep_id", "tier", "seq", "item_id", "title", "rank")
+
+
+@query("tier_counts")
+def q_tier_counts(spark, sf_dir):
+    return rp.tier_counts(_surfaced(spark, sf_dir), _shown(spark, sf_dir))
+
+
+def _funnel(spark, sf_dir) -> DataFrame:
+    sweeps = fx.feed_items(spark, sf_dir).groupBy("sweep_id").agg(F.min("sweep_ts").alias("sweep_ts"))
+    cur_ = _curated(spark, sf_dir)
+    return rp.sweep_funnel(sweeps, _valid(spark, sf_dir), cur_, cur_,
+                           _surfaced(spark, sf_dir), _shown(spark, sf_dir))
+
+
+@query("sweep_funnel")
+def q_sweep_funnel(spark, sf_dir):
+    return _funnel(spark, sf_dir).drop("sweep_ts")
+
+
+@query("digest_log")
+def q_digest_log(spark, sf_dir):
+    return rp.digest_log(_funnel(spark, sf_dir))
+
+
+@query("digest_history")
+def q_digest_history(spark, sf_dir):
+    return rp.digest_history(rp.digest_log(_funnel(spark, sf_dir)))

@@ -147,3 +147,210 @@ FROM w""")
 
 ORACLE["curated_items"] = _with(CURATED, """
 SELECT sweep_id, seq, item_id, domain, source, title, url FROM cur""")
+
+# --- state folds -------------------------------------------------------------
+
+FETCH_LOG = """
+fl AS (
+  SELECT event_id AS seq, ts, 'rss:' || CAST(user_id AS varchar) AS feed_id,
+         'https://feeds.example/' || CAST(user_id AS varchar) || '/' || event_type AS feed_url,
+         event_type NOT IN ('error', 'view') AS ok,
+         CAST(500 + CAST(regexp_extract(props, '([0-9]+)', 1) AS int) % 5 AS int) AS status_code,
+         'failed: ' || event_type AS error,
+         CAST(regexp_extract(props, '([0-9]+)', 1) AS int) AS item_count
+  FROM events
+),
+flw AS (SELECT *, max(CASE WHEN ok THEN ts END) OVER (PARTITION BY feed_id) AS last_ok FROM fl),
+fh AS (
+  SELECT feed_id, arg_min(feed_url, ts) AS feed_url,
+         CAST(count(*) AS bigint) AS total_fetches,
+         CAST(sum(CASE WHEN ok THEN item_count ELSE 0 END) AS bigint) AS total_items,
+         max(ts) FILTER (WHERE ok) AS last_success,
+         max(ts) FILTER (WHERE NOT ok) AS last_failure,
+         CAST(arg_max(status_code, ts) FILTER (WHERE NOT ok) AS bigint) AS last_status_code,
+         arg_max(error, ts) FILTER (WHERE NOT ok) AS last_error,
+         CAST(count(*) FILTER (WHERE NOT ok AND (last_ok IS NULL OR ts > last_ok)) AS bigint) AS consecutive_failures
+  FROM flw GROUP BY feed_id
+)"""
+
+ORACLE["feed_health"] = _with(FETCH_LOG, """
+SELECT feed_id, feed_url, total_fetches, total_items,
+       strftime(last_success, '%Y-%m-%d %H:%M:%S.%f') AS last_success,
+       strftime(last_failure, '%Y-%m-%d %H:%M:%S.%f') AS last_failure,
+       last_status_code, last_error, consecutive_failures,
+       CAST(CASE WHEN total_fetches > 0 THEN round_even(CAST(total_items AS double) / total_fetches, 0) ELSE 0 END AS bigint) AS avg_items,
+       CASE WHEN consecutive_failures >= 3 THEN 'DEAD' WHEN consecutive_failures > 0 THEN 'WARN' ELSE 'LIVE' END AS status,
+       CASE WHEN consecutive_failures = 0 THEN 'OK' ELSE 'FAILING (' || CAST(consecutive_failures AS varchar) || 'x)' END AS health
+FROM fh""")
+
+ORACLE["sick_feeds"] = _with(FETCH_LOG, """
+SELECT feed_id, consecutive_failures, last_error, last_status_code FROM fh WHERE consecutive_failures >= 3""")
+
+SQ_BODY = """
+SELECT source, total_scored, scored_3plus, scored_4plus,
+       CASE WHEN total_scored > 0 THEN (200 * scored_3plus + total_scored) // (2 * total_scored) ELSE 0 END AS signal_pct,
+       CASE WHEN total_scored > 0 THEN (200 * scored_4plus + total_scored) // (2 * total_scored) ELSE 0 END AS premium_pct,
+       CASE WHEN sp >= 30 THEN 'GREEN' WHEN sp >= 15 THEN 'YELLOW' WHEN sp > 0 THEN 'ORANGE' ELSE 'RED' END AS band,
+       CAST(sp * 20 // 100 AS bigint) AS bar_fill
+FROM (SELECT *, CASE WHEN total_scored > 0 THEN (200 * scored_3plus + total_scored) // (2 * total_scored) ELSE 0 END AS sp
+      FROM sq)"""
+
+SCORED = CURATED + """,
+sq AS (
+  SELECT source, CAST(count(*) AS bigint) AS total_scored,
+         CAST(count(*) FILTER (WHERE score >= 3) AS bigint) AS scored_3plus,
+         CAST(count(*) FILTER (WHERE score >= 4) AS bigint) AS scored_4plus
+  FROM cur GROUP BY source
+),
+seen AS (
+  SELECT item_id, url, title, substring(summary, 1, 500) AS summary, source, domain, '' AS published,
+         sweep_ts AS first_seen
+  FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY sweep_ts, seq) AS rn_s FROM cur)
+  WHERE rn_s = 1
+),
+latest AS (
+  SELECT item_id, score, tier, summary AS reason
+  FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY sweep_ts DESC, seq DESC) AS rn_l FROM cur)
+  WHERE rn_l = 1
+),
+curr AS (
+  SELECT s.item_id, s.title, s.first_seen, CAST(l.score AS bigint) AS llm_score, l.tier, l.reason AS llm_reason
+  FROM seen s JOIN latest l USING (item_id)
+)"""
+
+ORACLE["source_quality"] = _with(SCORED, SQ_BODY)
+ORACLE["source_quality_incremental"] = _with(SCORED, SQ_BODY)
+
+ORACLE["items_seen_fold"] = _with(SCORED, """
+SELECT item_id, url, title, summary, source, domain, published,
+       strftime(first_seen, '%Y-%m-%d %H:%M:%S.%f') AS first_seen FROM seen""")
+
+ORACLE["items_current"] = _with(SCORED, """
+SELECT item_id, title, strftime(first_seen, '%Y-%m-%d %H:%M:%S.%f') AS first_seen, llm_score, tier, llm_reason
+FROM curr""")
+
+ORACLE["lifetime_stats"] = _with(SCORED, """
+SELECT CAST((SELECT count(*) FROM seen) AS bigint) AS items_seen,
+       CAST((SELECT count(*) FROM seen WHERE first_seen > (SELECT max(ts) FROM fi) - INTERVAL 24 HOURS) AS bigint) AS last_24h,
+       CAST((SELECT count(DISTINCT sweep_id) FROM fi) AS bigint) AS digests,
+       CAST((SELECT count(*) FROM curr WHERE tier = 'RED') AS bigint) AS red_caught,
+       CAST((SELECT count(*) FROM curr WHERE tier = 'ORANGE') AS bigint) AS orange_caught""")
+
+# --- scoring ------------------------------------------------------------------
+
+DOC_BATCHED = """
+di AS (
+  SELECT d.doc_id AS seq, 'https://docs.example/' || CAST(d.doc_id AS varchar) AS url,
+         substring(d.text, 1, 80) AS title, substring(d.text, 1, 500) AS summary,
+         d.source AS source, d.lang AS domain,
+         CASE WHEN l.quality = 1 AND l.toxic = 0 THEN 4 WHEN l.quality = 1 THEN 3
+              WHEN l.toxic = 0 THEN 2 WHEN l.toxic = 1 THEN 1 END AS label_score,
+         l.quality
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+),
+db AS (
+  SELECT *, CAST(0 AS bigint) AS sweep_id, CAST(rn // 40 AS bigint) AS batch, CAST(rn % 40 AS bigint) AS idx
+  FROM (SELECT *, row_number() OVER (ORDER BY seq) - 1 AS rn FROM di)
+),
+lab AS (
+  SELECT sweep_id, batch, idx, CAST(label_score AS bigint) AS score,
+         CASE WHEN label_score >= 4 THEN 'ORANGE' WHEN label_score = 3 THEN 'YELLOW' END AS tier,
+         CASE WHEN quality = 1 THEN 'quality' END AS why
+  FROM db WHERE label_score IS NOT NULL
+)"""
+
+ORACLE["score_batches"] = _with(DOC_BATCHED, "SELECT seq, sweep_id, batch, idx FROM db")
+
+ORACLE["score_prompts"] = _with(DOC_BATCHED, """
+SELECT sweep_id, batch, CAST(count(*) AS bigint) AS n_items,
+       string_agg(CAST(idx AS varchar) || '. [' || domain || '] ' || title || ' | ' || substring(summary, 1, 200),
+                  chr(10) ORDER BY idx) AS prompt
+FROM db GROUP BY sweep_id, batch""")
+
+ORACLE["parse_scores"] = _with(DOC_BATCHED, "SELECT * FROM lab WHERE batch % 7 <> 6")
+
+ORACLE["apply_scores"] = _with(DOC_BATCHED, """
+SELECT db.seq, db.sweep_id, db.batch, db.idx,
+       CAST(CASE WHEN db.batch % 7 = 6 THEN 2 WHEN lab.score IS NOT NULL THEN lab.score ELSE 2 END AS bigint) AS score,
+       CASE WHEN db.batch % 7 = 6 THEN 'YELLOW' WHEN lab.score IS NOT NULL THEN COALESCE(lab.tier, 'YELLOW') ELSE 'YELLOW' END AS tier,
+       CASE WHEN db.batch % 7 = 6 THEN 'scoring failed' WHEN lab.score IS NOT NULL THEN COALESCE(lab.why, '') ELSE 'unscored' END AS reason
+FROM db LEFT JOIN lab USING (sweep_id, batch, idx)""")
+
+
+def _profile_sql() -> str:
+    from ..config import FIXTURE_CONFIG as C
+    from ..operators.scoring import profile_prompt  # noqa: F401  (same wording below)
+    head = [f"You score feed items for a personal digest. The reader is {C.description}.",
+            "Current projects:"] + [f"{i}. {p}" for i, p in enumerate(C.projects, 1)] + [
+        "",
+        "Scale: 5 RED = act now (deadline, competitor, breaking change); 4 ORANGE = changes the",
+        "reader's model, read in full; 3 YELLOW = useful context; 2 = mostly noise; 1 = noise.",
+        "",
+        "Domains and calibration keywords:"]
+    tail = []
+    if C.noise_notes:
+        tail += ["", "Always score 1:"] + [f"- {n}" for n in C.noise_notes]
+    tail += ["", 'Reply with a JSON array only: [{"idx": 0, "score": 4, "tier": "ORANGE", "why": "one line"}].',
+             "Be strict: most items score 1 or 2."]
+    q = lambda s: "'" + s.replace("'", "''") + "'"
+    nl = " || chr(10) || "
+    return f"""
+WITH kw AS (SELECT n_regionkey, list(n_name ORDER BY n_nationkey) AS keywords FROM nation GROUP BY n_regionkey),
+dom AS (
+  SELECT r_regionkey AS ord,
+         '  ' || lower(r_name) || ' (weight ' || CAST((10 - r_regionkey) / 10.0 AS double)::varchar || '): '
+           || array_to_string(list_slice(COALESCE(keywords, []), 1, 5), ', ') AS line
+  FROM region LEFT JOIN kw ON r_regionkey = n_regionkey
+)
+SELECT {nl.join(q(h) for h in head)} || chr(10) || string_agg(line, chr(10) ORDER BY ord)
+       || chr(10) || {nl.join(q(t) for t in tail)} AS prompt
+FROM dom"""
+
+
+ORACLE["profile_prompt"] = _profile_sql()
+
+# --- budgets and logs ---------------------------------------------------------
+
+BUDGETS = SCORED + """,
+surf AS (SELECT * FROM cur WHERE score >= 3 AND tier IN ('RED', 'ORANGE', 'YELLOW')),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY sweep_id, tier ORDER BY seq) AS bigint) AS rank FROM surf),
+shown AS (
+  SELECT * FROM ranked
+  WHERE rank <= CASE tier WHEN 'RED' THEN 3 WHEN 'ORANGE' THEN 8 WHEN 'YELLOW' THEN 15 END
+),
+funnel AS (
+  SELECT s.sweep_id, s.sweep_ts,
+         CAST(COALESCE((SELECT count(*) FROM valid v WHERE v.sweep_id = s.sweep_id), 0) AS bigint) AS items_fetched,
+         CAST(COALESCE((SELECT count(*) FROM cur c WHERE c.sweep_id = s.sweep_id), 0) AS bigint) AS items_after_dedup,
+         CAST(COALESCE((SELECT count(*) FROM cur c WHERE c.sweep_id = s.sweep_id), 0) AS bigint) AS items_scored,
+         CAST(COALESCE((SELECT count(*) FROM surf x WHERE x.sweep_id = s.sweep_id), 0) AS bigint) AS items_surfaced,
+         CAST(COALESCE((SELECT count(*) FROM surf x WHERE x.sweep_id = s.sweep_id AND tier = 'RED'), 0) AS bigint) AS red_count,
+         CAST(COALESCE((SELECT count(*) FROM surf x WHERE x.sweep_id = s.sweep_id AND tier = 'ORANGE'), 0) AS bigint) AS orange_count,
+         CAST(COALESCE((SELECT count(*) FROM surf x WHERE x.sweep_id = s.sweep_id AND tier = 'YELLOW'), 0) AS bigint) AS yellow_count,
+         CAST(COALESCE((SELECT count(*) FROM shown x WHERE x.sweep_id = s.sweep_id), 0) AS bigint) AS items_shown
+  FROM (SELECT sweep_id, min(sweep_ts) AS sweep_ts FROM fi GROUP BY sweep_id) s
+),
+dlog AS (
+  SELECT sweep_id, strftime(sweep_ts, '%Y-%m-%d %H:%M:%S.%f') AS sweep_ts,
+         CASE WHEN hour(sweep_ts) < 10 THEN 'full' ELSE 'light' END AS sweep_type,
+         items_fetched, items_after_dedup, items_scored, items_surfaced, red_count, orange_count, yellow_count,
+         'digests/' || strftime(sweep_ts, '%Y-%m-%d_%H%M') || '.md' AS filepath
+  FROM funnel
+)"""
+
+ORACLE["tier_budget"] = _with(BUDGETS, "SELECT sweep_id, tier, seq, item_id, title, rank FROM shown")
+
+ORACLE["tier_counts"] = _with(BUDGETS, """
+SELECT sweep_id, red_count, orange_count, yellow_count, items_surfaced, items_shown FROM funnel
+WHERE items_surfaced > 0""")
+
+ORACLE["sweep_funnel"] = _with(BUDGETS, """
+SELECT sweep_id, items_fetched, items_after_dedup, items_scored, items_surfaced, red_count, orange_count,
+       yellow_count, items_shown FROM funnel""")
+
+ORACLE["digest_log"] = _with(BUDGETS, "SELECT * FROM dlog")
+
+ORACLE["digest_history"] = _with(BUDGETS, """
+SELECT sweep_id, sweep_type, items_fetched, items_surfaced, red_count, orange_count, yellow_count,
+       CAST(CASE WHEN items_fetched > 0 THEN round_even((1.0 - CAST(items_surfaced AS double) / items_fetched) * 100.0, 0) ELSE 0 END AS bigint) AS noise_pct
+FROM dlog ORDER BY sweep_id DESC LIMIT 10""")
