@@ -15,7 +15,7 @@ _RFC_DAY = r"(\d{1,2} [A-Za-z]{3} \d{4})"
 def rfc822_date(c) -> Column:
     """Calendar date written in an RFC-822 date, in its own offset (no
     time-zone conversion), or null."""
-    return F.try_to_date(F.regexp_extract(col_(c), _RFC_DAY, 1), F.lit("d MMM yyyy"))
+    return F.try_to_date(F.regexp_extract(col_(c), _RFC_DAY, 1), "d MMM yyyy")
 
 
 def parse_date(c, compat: bool = False) -> Column:

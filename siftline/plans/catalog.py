@@ -10,13 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FIXTURE_CONFIG as CFG
-from ..functions.dates import ts_text
+from ..config import SourceConfig
+from ..functions.dates import parse_date, sweep_label, sweep_type_of, ts_text
+from ..functions.ids import item_id as item_id_expr
+from ..functions.keywords import matched_keywords
 from ..functions.text import strip_html, truncate
 from ..operators import curate as cur
 from ..operators import folds as fl
 from ..operators import reports as rp
 from ..operators import scoring as sc
 from ..operators import validate as val
+from ..sources import corpus, gating
+from ..sources import json_feeds as jf
+from ..sources import xml_feeds as xf
+from . import bodies as bd
 from . import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -268,3 +275,142 @@ def q_digest_log(spark, sf_dir):
 @query("digest_history")
 def q_digest_history(spark, sf_dir):
     return rp.digest_history(rp.digest_log(_funnel(spark, sf_dir)))
+
+
+# ------------------------------------------------------------ scalar functions
+
+@query("item_id")
+def q_item_id(spark, sf_dir):
+    p = fx.table(spark, sf_dir, "pages")
+    variants = F.array(
+        F.struct(F.lit(0).cast("bigint").alias("variant"), F.col("url").alias("u")),
+        F.struct(F.lit(1).cast("bigint").alias("variant"), F.concat(F.upper("url"), F.lit("/")).alias("u")),
+        F.struct(F.lit(2).cast("bigint").alias("variant"), F.concat(F.lit("  "), F.col("url"), F.lit("//")).alias("u")))
+    v = p.select("page_id", F.explode(variants).alias("v")).select("page_id", "v.variant", F.col("v.u").alias("url"))
+    return v.withColumn("item_id", item_id_expr(F.col("url")))
+
+
+@query("strip_html")
+def q_strip_html(spark, sf_dir):
+    p = fx.table(spark, sf_dir, "pages")
+    text = strip_html("html")
+    return p.select("page_id", truncate(text, 400).alias("summary"),
+                    F.length(text).cast("bigint").alias("text_len"))
+
+
+@query("parse_date")
+def q_parse_date(spark, sf_dir):
+    o = fx.table(spark, sf_dir, "orders")
+    d, k = F.col("o_orderdate"), F.col("o_orderkey") % 5
+    raw = (F.when(k == 0, F.concat(F.date_format(d, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000")))
+           .when(k == 1, F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+           .when(k == 2, F.lit(""))
+           .when(k == 3, F.date_format(d, "yyyy-MM-dd"))
+           .otherwise(F.concat(F.date_format(d, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT"))))
+    return o.select("o_orderkey", raw.alias("raw")).select(
+        "o_orderkey", "raw", parse_date(F.col("raw")).alias("published"),
+        parse_date(F.col("raw"), compat=True).alias("published_compat"))
+
+
+@query("keyword_match")
+def q_keyword_match(spark, sf_dir):
+    d = fx.doc_items(spark, sf_dir)
+    m = matched_keywords(F.col("text"), CFG.keywords)
+    return d.select("seq", m.alias("matched")).where(F.col("matched") != "")
+
+
+@query("corpus_search")
+def q_corpus_search(spark, sf_dir):
+    docs = fx.table(spark, sf_dir, "documents")
+    res = corpus.corpus_search(docs, CFG.keywords, ("en", "de"), ["text"], "lang", "doc_id")
+    return res.select("doc_id", "lang", "matched")
+
+
+@query("sweep_type_of")
+def q_sweep_type_of(spark, sf_dir):
+    e = fx.table(spark, sf_dir, "events")
+    st = sweep_type_of(F.col("ts"))
+    return e.select("event_id", st.alias("sweep_type"), sweep_label(st).alias("sweep_label"))
+
+
+# event types stand for fetch attempts of the source types
+EVENT_SOURCE = {"click": "arxiv", "view": "hackernews", "signup": "rss", "purchase": "serp",
+                "error": "podcast"}
+GATING_SOURCES = (SourceConfig("arxiv", domain="core_tech"), SourceConfig("hackernews"),
+                  SourceConfig("rss", domain="ai_tools"), SourceConfig("serp", sweep="full"),
+                  SourceConfig("podcast", enabled=False))
+
+
+@query("sweep_gating")
+def q_sweep_gating(spark, sf_dir):
+    e = fx.table(spark, sf_dir, "events")
+    src = F.lit(None).cast("string")
+    for k, v in EVENT_SOURCE.items():
+        src = F.when(F.col("event_type") == k, F.lit(v)).otherwise(src)
+    fetches = e.select("event_id", src.alias("source_type"), sweep_type_of(F.col("ts")).alias("sweep_type"))
+    out = gating.gate(fetches, gating.source_config_table(spark, GATING_SOURCES))
+    return out.select("event_id", "source_type", "sweep_type", "action", "domain")
+
+
+# ------------------------------------------------------------------- parsers
+
+@query("rss_items")
+def q_rss_items(spark, sf_dir):
+    return xf.rss_items(bd.rss_bodies(spark, sf_dir)).select(
+        "fetch_seq", "pos", "title", "url", "summary", "source", "published")
+
+
+@query("atom_items")
+def q_atom_items(spark, sf_dir):
+    return xf.atom_items(bd.atom_bodies(spark, sf_dir)).select(
+        "fetch_seq", "pos", "title", "url", "summary", "source", "published")
+
+
+@query("arxiv_items")
+def q_arxiv_items(spark, sf_dir):
+    return xf.arxiv_items(bd.arxiv_bodies(spark, sf_dir)).select(
+        "fetch_seq", "pos", "title", "url", "summary", "source", "published")
+
+
+HN_TERMS = {"click": "ui", "purchase": "commerce", "error": "ops", "signup": None, "view": None}
+HN_KEYWORDS = ("purchase", "user 1")
+
+
+def _hn_hits(spark, sf_dir) -> DataFrame:
+    return jf.hn_search_hits(bd.hn_search_bodies(spark, sf_dir), HN_TERMS)
+
+
+@query("hn_search_items")
+def q_hn_search_items(spark, sf_dir):
+    return jf.hn_search_items(_hn_hits(spark, sf_dir)).select(
+        "sweep_id", "object_id", "url", "title", "summary", "domain", "published")
+
+
+def _hn_cands(spark, sf_dir) -> DataFrame:
+    top, stories = bd.hn_top_lists(spark, sf_dir)
+    return jf.hn_top_stories(top, stories, CFG.top_n)
+
+
+@query("hn_top_items")
+def q_hn_top_items(spark, sf_dir):
+    return jf.hn_top_items(_hn_cands(spark, sf_dir), HN_KEYWORDS).select(
+        "sweep_id", "rank", "id", "title", "url", "summary", "domain", "published", "matched_keywords")
+
+
+@query("hn_combined")
+def q_hn_combined(spark, sf_dir):
+    hits = _hn_hits(spark, sf_dir)
+    search = jf.hn_search_items(hits).select(
+        "sweep_id", F.lit("search").alias("kind"), F.col("object_id").alias("item_key"), "url", "title",
+        "summary", "domain")
+    top = jf.hn_top_items(_hn_cands(spark, sf_dir), HN_KEYWORDS, seen_urls=hits).select(
+        "sweep_id", F.lit("top").alias("kind"), F.col("id").cast("string").alias("item_key"), "url", "title",
+        "summary", "domain")
+    return search.unionByName(top)
+
+
+@query("serp_items")
+def q_serp_items(spark, sf_dir):
+    res = jf.serp_results(bd.serp_bodies(spark, sf_dir))
+    return jf.serp_items(res, CFG.skip_domains).select(
+        "query_seq", "pos", "url", "title", "summary", "published")

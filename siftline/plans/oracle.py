@@ -354,3 +354,192 @@ ORACLE["digest_history"] = _with(BUDGETS, """
 SELECT sweep_id, sweep_type, items_fetched, items_surfaced, red_count, orange_count, yellow_count,
        CAST(CASE WHEN items_fetched > 0 THEN round_even((1.0 - CAST(items_surfaced AS double) / items_fetched) * 100.0, 0) ELSE 0 END AS bigint) AS noise_pct
 FROM dlog ORDER BY sweep_id DESC LIMIT 10""")
+
+# --- scalar functions -----------------------------------------------------------
+
+ORACLE["item_id"] = """
+WITH v AS (
+  SELECT page_id, CAST(0 AS bigint) AS variant, url FROM pages
+  UNION ALL SELECT page_id, CAST(1 AS bigint), upper(url) || '/' FROM pages
+  UNION ALL SELECT page_id, CAST(2 AS bigint), '  ' || url || '//' FROM pages
+)
+SELECT page_id, variant, url, substr(sha256(rtrim(lower(trim(url)), '/')), 1, 16) AS item_id FROM v"""
+
+STRIP = "trim(regexp_replace(regexp_replace({x}, '<[^>]+>', '', 'g'), '[[:space:]]+', ' ', 'g'))"
+COLLAPSE = "trim(regexp_replace({x}, '[[:space:]]+', ' ', 'g'))"
+PYSTRIP = "regexp_replace({x}, '^[[:space:]]+|[[:space:]]+$', '', 'g')"
+
+ORACLE["strip_html"] = f"""
+SELECT page_id, substring({STRIP.format(x='html')}, 1, 400) AS summary,
+       CAST(length({STRIP.format(x='html')}) AS bigint) AS text_len
+FROM pages"""
+
+ORACLE["parse_date"] = """
+WITH r AS (
+  SELECT o_orderkey, o_orderdate,
+         CASE o_orderkey % 5
+           WHEN 0 THEN strftime(o_orderdate, '%a, %d %b %Y %H:%M:%S') || ' +0000'
+           WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ')
+           WHEN 2 THEN ''
+           WHEN 3 THEN strftime(o_orderdate, '%Y-%m-%d')
+           ELSE strftime(o_orderdate, '%a, %d %b %Y %H:%M:%S') || ' GMT' END AS raw
+  FROM orders
+)
+SELECT o_orderkey, raw,
+       CASE WHEN raw = '' THEN ''
+            WHEN o_orderkey % 5 = 1 THEN substring(raw, 1, 10)
+            WHEN o_orderkey % 5 IN (0, 4) THEN strftime(o_orderdate, '%Y-%m-%d')
+            ELSE substring(raw, 1, 10) END AS published,
+       CASE WHEN raw = '' THEN ''
+            WHEN contains(raw, 'T') THEN substring(raw, 1, 10)
+            WHEN o_orderkey % 5 IN (0, 4) THEN strftime(o_orderdate, '%Y-%m-%d')
+            ELSE substring(raw, 1, 10) END AS published_compat
+FROM r"""
+
+ORACLE["keyword_match"] = """
+SELECT seq, matched FROM (
+  SELECT doc_id AS seq,
+         concat_ws('|', CASE WHEN contains(lower(text), 'that it') THEN 'that it' END,
+                        CASE WHEN contains(lower(text), 'license') THEN 'license' END,
+                        CASE WHEN contains(lower(text), 'nicht') THEN 'nicht' END) AS matched
+  FROM documents)
+WHERE matched <> ''"""
+
+ORACLE["corpus_search"] = """
+SELECT doc_id, lang,
+       concat_ws('|', CASE WHEN contains(lower(text), 'that it') THEN 'that it' END,
+                      CASE WHEN contains(lower(text), 'license') THEN 'license' END,
+                      CASE WHEN contains(lower(text), 'nicht') THEN 'nicht' END) AS matched
+FROM documents
+WHERE (contains(lower(text), 'that it') OR contains(lower(text), 'license') OR contains(lower(text), 'nicht'))
+  AND lang IN ('en', 'de')
+ORDER BY doc_id DESC LIMIT 50"""
+
+ORACLE["sweep_type_of"] = """
+SELECT event_id, CASE WHEN hour(ts) < 10 THEN 'full' ELSE 'light' END AS sweep_type,
+       CASE WHEN hour(ts) < 10 THEN 'Morning' ELSE 'Midday/Evening' END AS sweep_label
+FROM events"""
+
+ORACLE["sweep_gating"] = """
+WITH f AS (
+  SELECT event_id,
+         CASE event_type WHEN 'click' THEN 'arxiv' WHEN 'view' THEN 'hackernews' WHEN 'signup' THEN 'rss'
+                         WHEN 'purchase' THEN 'serp' WHEN 'error' THEN 'podcast' END AS source_type,
+         CASE WHEN hour(ts) < 10 THEN 'full' ELSE 'light' END AS sweep_type
+  FROM events
+)
+SELECT event_id, source_type, sweep_type,
+       CASE WHEN source_type = 'podcast' THEN 'disabled'
+            WHEN sweep_type = 'light' AND source_type = 'serp' THEN 'skipped'
+            ELSE 'fetch' END AS action,
+       CASE source_type WHEN 'arxiv' THEN 'core_tech' WHEN 'rss' THEN 'ai_tools' ELSE 'ai_research' END AS domain
+FROM f"""
+
+# --- parsers (bodies built from the tables; parse = projection) ----------------
+
+ORACLE["rss_items"] = _with(PAGE_ITEMS, f"""
+SELECT fetch_seq, pos, title, url, summary, source, published FROM (
+  SELECT CAST(seq // 10 AS bigint) AS fetch_seq,
+         CAST(row_number() OVER (PARTITION BY seq // 10 ORDER BY seq) - 1 AS bigint) AS pos,
+         {PYSTRIP.format(x='title')} AS title, url,
+         substring({STRIP.format(x='html')}, 1, 400) AS summary,
+         'rss:pages-' || CAST(seq // 10 AS varchar) AS source,
+         strftime(DATE '2024-01-01' + CAST(seq % 365 AS integer), '%Y-%m-%d') AS published
+  FROM pi)
+WHERE title <> ''""")
+
+DOCS = """
+dj AS (
+  SELECT doc_id AS seq, 'https://docs.example/' || CAST(doc_id AS varchar) AS url,
+         substring(text, 1, 80) AS title, text
+  FROM documents
+)"""
+
+ORACLE["atom_items"] = _with(DOCS, f"""
+SELECT fetch_seq, pos, title, url, summary, source, published FROM (
+  SELECT CAST(seq // 10 AS bigint) AS fetch_seq,
+         CAST(row_number() OVER (PARTITION BY seq // 10 ORDER BY seq) - 1 AS bigint) AS pos,
+         {PYSTRIP.format(x='title')} AS title, url,
+         substring({STRIP.format(x='text')}, 1, 400) AS summary,
+         'rss:docs-' || CAST(seq // 10 AS varchar) AS source,
+         strftime(DATE '2024-01-01' + CAST(seq % 365 AS integer), '%Y-%m-%d') AS published
+  FROM dj)
+WHERE title <> ''""")
+
+ORACLE["arxiv_items"] = _with(DOCS, f"""
+SELECT CAST(seq // 10 AS bigint) AS fetch_seq,
+       CAST(row_number() OVER (PARTITION BY seq // 10 ORDER BY seq) - 1 AS bigint) AS pos,
+       {COLLAPSE.format(x='title')} AS title, url,
+       substring({COLLAPSE.format(x='text')}, 1, 500) AS summary,
+       'arxiv' AS source,
+       strftime(DATE '2024-01-01' + CAST(seq % 365 AS integer), '%Y-%m-%d') AS published
+FROM dj""")
+
+HN = FEED_ITEMS + """,
+hits AS (
+  SELECT sweep_id, seq, seq // 10 AS query_seq,
+         COALESCE(NULLIF(CASE WHEN seq % 13 = 0 THEN NULL ELSE url END, ''),
+                  'https://news.ycombinator.com/item?id=' || CAST(seq AS varchar)) AS url_f,
+         CAST(COALESCE(CASE WHEN seq % 11 = 0 THEN NULL ELSE score * 20 END, 0) AS bigint) AS points,
+         title, seq % 50 AS nc, strftime(ts, '%Y-%m-%d') AS published,
+         min(source) OVER (PARTITION BY sweep_id, seq // 10) AS query
+  FROM fi
+),
+srch AS (
+  SELECT sweep_id, CAST(seq AS varchar) AS object_id, url_f AS url, title,
+         CAST(points AS varchar) || ' points, ' || CAST(nc AS varchar) || ' comments on HN' AS summary,
+         CASE query WHEN 'click' THEN 'ui' WHEN 'purchase' THEN 'commerce' WHEN 'error' THEN 'ops'
+                    ELSE 'ai_research' END AS domain,
+         published
+  FROM (SELECT *, row_number() OVER (PARTITION BY sweep_id, url_f ORDER BY query_seq, seq) AS rn_u FROM hits)
+  WHERE rn_u = 1 AND points >= 50
+),
+cands AS (
+  SELECT sweep_id, CAST(rank AS bigint) AS rank, CAST(seq AS bigint) AS id, title,
+         COALESCE(NULLIF(CASE WHEN seq % 13 = 0 THEN NULL ELSE url END, ''),
+                  'https://news.ycombinator.com/item?id=' || CAST(seq AS varchar)) AS url,
+         CAST(score * 20 AS bigint) AS points, seq % 5 = 0 AS is_job
+  FROM (SELECT *, row_number() OVER (PARTITION BY sweep_id ORDER BY seq) AS rank FROM fi)
+  WHERE rank <= 50
+),
+topf AS (
+  SELECT * FROM cands
+  WHERE NOT is_job AND points >= 50 AND (contains(lower(title), 'purchase') OR contains(lower(title), 'user 1'))
+)"""
+
+TOP_OUT = """
+SELECT sweep_id, rank, id, title, url, CAST(points AS varchar) || ' points on HN' AS summary,
+       'ai_research' AS domain, '' AS published,
+       concat_ws('|', CASE WHEN contains(lower(title), 'purchase') THEN 'purchase' END,
+                      CASE WHEN contains(lower(title), 'user 1') THEN 'user 1' END) AS matched_keywords
+FROM (SELECT *, row_number() OVER (PARTITION BY sweep_id, url ORDER BY rank) AS rn_t FROM {src})
+WHERE rn_t = 1"""
+
+ORACLE["hn_search_items"] = _with(HN, "SELECT * FROM srch")
+
+ORACLE["hn_top_items"] = _with(HN, TOP_OUT.format(src="topf"))
+
+ORACLE["hn_combined"] = _with(HN + """,
+topu AS (SELECT * FROM topf t WHERE NOT EXISTS (SELECT 1 FROM hits h WHERE h.sweep_id = t.sweep_id AND h.url_f = t.url)),
+topk AS (""" + TOP_OUT.format(src="topu") + ")", """
+SELECT sweep_id, 'search' AS kind, object_id AS item_key, url, title, summary, domain FROM srch
+UNION ALL
+SELECT sweep_id, 'top', CAST(id AS varchar), url, title, summary, domain FROM topk""")
+
+ORACLE["serp_items"] = _with(PAGE_ITEMS + """,
+placed AS (
+  SELECT seq // 10 AS query_seq, CASE WHEN seq % 10 < 5 THEN 0 ELSE 1 END AS sec, seq, url, title, html,
+         CASE WHEN seq % 3 = 0 THEN NULL ELSE strftime(DATE '2024-01-01' + CAST(seq % 365 AS integer), '%b %d, %Y') END AS d
+  FROM pi
+  UNION ALL
+  SELECT seq // 10 - 1, 1, seq, url, title, html,
+         CASE WHEN seq % 3 = 0 THEN NULL ELSE strftime(DATE '2024-01-01' + CAST(seq % 365 AS integer), '%b %d, %Y') END
+  FROM pi WHERE seq % 10 < 5 AND seq // 10 >= 1
+),
+ordered AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_seq ORDER BY sec, seq) - 1 AS bigint) AS pos FROM placed
+)""", """
+SELECT CAST(query_seq AS bigint) AS query_seq, pos, url, title, substring(html, 1, 400) AS summary,
+       COALESCE(d, '') AS published
+FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY query_seq, pos) AS rn_u FROM ordered)
+WHERE rn_u = 1 AND NOT contains(url, 'SPAM-farm') AND NOT contains(url, 'cheap-pills')""")
