@@ -16,6 +16,7 @@ from ..functions.ids import item_id as item_id_expr
 from ..functions.keywords import matched_keywords
 from ..functions.text import strip_html, truncate
 from ..operators import curate as cur
+from ..operators import digest as dg
 from ..operators import folds as fl
 from ..operators import reports as rp
 from ..operators import scoring as sc
@@ -414,3 +415,23 @@ def q_serp_items(spark, sf_dir):
     res = jf.serp_results(bd.serp_bodies(spark, sf_dir))
     return jf.serp_items(res, CFG.skip_domains).select(
         "query_seq", "pos", "url", "title", "summary", "published")
+
+
+# ----------------------------------------------------------------------- digest
+
+def _sweep_table(spark, sf_dir) -> DataFrame:
+    return (fx.feed_items(spark, sf_dir).groupBy("sweep_id").agg(F.min("sweep_ts").alias("sweep_ts"))
+            .withColumn("sweep_type", sweep_type_of(F.col("sweep_ts"))))
+
+
+@query("digest_lines")
+def q_digest_lines(spark, sf_dir):
+    sweeps = _sweep_table(spark, sf_dir)
+    log = fx.fetch_log(spark, sf_dir).withColumn("sweep_id", F.dayofmonth("ts").cast("bigint"))
+    sick = dg.feed_health_asof(log, sweeps)
+    report = val.validation_report(_checked(spark, sf_dir))
+    warnings = val.quality_warnings(report, sweeps, [s.name for s in CFG.enabled_sources()])
+    shown = _shown(spark, sf_dir).select("sweep_id", "tier", "rank", "title", "url", "source", "domain", "reason")
+    quality = dg.source_quality_asof(_scored(spark, sf_dir), sweeps)
+    lines = dg.digest_lines(sweeps, sick, warnings, shown, quality, CFG.orient_prompt)
+    return dg.digest_text(lines)

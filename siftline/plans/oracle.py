@@ -543,3 +543,84 @@ SELECT CAST(query_seq AS bigint) AS query_seq, pos, url, title, substring(html,
        COALESCE(d, '') AS published
 FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY query_seq, pos) AS rn_u FROM ordered)
 WHERE rn_u = 1 AND NOT contains(url, 'SPAM-farm') AND NOT contains(url, 'cheap-pills')""")
+
+# --- digest text ----------------------------------------------------------------
+
+_REP_ONLY = REPORT[len(CHECKED):]
+_CUR_ONLY = CURATED[len(CHECKED):]
+_SCORED_ONLY = SCORED[len(CURATED):]
+_BUDGET_ONLY = BUDGETS[len(SCORED):]
+_WARN = ORACLE["quality_warnings"]
+_WARN_ONLY = _WARN[_WARN.index(",\nsrcs AS ("):_WARN.index("\nSELECT * FROM w WHERE warning IS NOT NULL")]
+
+DIGEST = CHECKED + _REP_ONLY + _WARN_ONLY + _CUR_ONLY + _SCORED_ONLY + _BUDGET_ONLY + "," + FETCH_LOG + """,
+sw AS (SELECT sweep_id, min(sweep_ts) AS sweep_ts,
+              CASE WHEN hour(min(sweep_ts)) < 10 THEN 'full' ELSE 'light' END AS sweep_type
+       FROM fi GROUP BY sweep_id),
+asf AS (
+  SELECT sw.sweep_id, f.*, max(CASE WHEN f.ok THEN f.ts END) OVER (PARTITION BY sw.sweep_id, f.feed_id) AS lok
+  FROM sw JOIN fl f ON CAST(day(CAST(f.ts AS date)) AS bigint) <= sw.sweep_id
+),
+sick AS (
+  SELECT sweep_id, feed_id,
+         count(*) FILTER (WHERE NOT ok AND (lok IS NULL OR ts > lok)) AS cf,
+         arg_max(error, ts) FILTER (WHERE NOT ok) AS le,
+         arg_max(status_code, ts) FILTER (WHERE NOT ok) AS lc
+  FROM asf GROUP BY sweep_id, feed_id
+  HAVING count(*) FILTER (WHERE NOT ok AND (lok IS NULL OR ts > lok)) >= 3
+),
+sqa AS (
+  SELECT sw.sweep_id, c.source, count(*) AS total_scored, count(*) FILTER (WHERE c.score >= 3) AS s3
+  FROM sw JOIN cur c ON c.sweep_id <= sw.sweep_id GROUP BY sw.sweep_id, c.source
+),
+tot AS (
+  SELECT sw.sweep_id, sw.sweep_type, count(x.seq) AS n,
+         count(x.seq) FILTER (WHERE x.tier = 'RED') AS r, count(x.seq) FILTER (WHERE x.tier = 'ORANGE') AS o,
+         count(x.seq) FILTER (WHERE x.tier = 'YELLOW') AS y
+  FROM sw LEFT JOIN shown x USING (sweep_id) GROUP BY sw.sweep_id, sw.sweep_type
+),
+ws AS (SELECT * FROM w WHERE warning IS NOT NULL),
+tl AS (SELECT *, CASE tier WHEN 'RED' THEN 0 WHEN 'ORANGE' THEN 1 ELSE 2 END AS t,
+              CASE tier WHEN 'RED' THEN 'RED (act on this)' WHEN 'ORANGE' THEN 'ORANGE (shapes your model)'
+                        ELSE 'YELLOW (context)' END AS lab
+       FROM shown),
+lines AS (
+  SELECT sweep_id, 0 AS k1, 0 AS k2, 0 AS k3, 0 AS k4,
+         '# Digest | ' || strftime(sweep_ts, '%Y-%m-%d') || ' ' ||
+         CASE sweep_type WHEN 'full' THEN 'Morning' WHEN 'light' THEN 'Midday/Evening' ELSE sweep_type END AS line
+  FROM sw
+  UNION ALL SELECT sweep_id, 0, 0, 0, 1, '' FROM sw
+  UNION ALL SELECT DISTINCT sweep_id, 1, 0, 0, 0, '## FEED HEALTH' FROM sick
+  UNION ALL SELECT DISTINCT sweep_id, 1, 2, 0, 0, '' FROM sick
+  UNION ALL SELECT sweep_id, 1, 1, dense_rank() OVER (PARTITION BY sweep_id ORDER BY feed_id), 0,
+                   '- **' || feed_id || '** -- ' || CAST(cf AS varchar) || ' consecutive failures. Last error: '
+                   || COALESCE(le, 'unknown') || ' (HTTP ' || COALESCE(CAST(lc AS varchar), '?') || ')'
+            FROM sick
+  UNION ALL SELECT DISTINCT sweep_id, 2, 0, 0, 0, '## EXTRACTION QUALITY' FROM ws
+  UNION ALL SELECT DISTINCT sweep_id, 2, 2, 0, 0, '' FROM ws
+  UNION ALL SELECT sweep_id, 2, 1, ord, 0, '- ' || warning FROM ws
+  UNION ALL SELECT DISTINCT sweep_id, 3, t, 0, 0, '## ' || lab FROM tl
+  UNION ALL SELECT DISTINCT sweep_id, 3, t, 0, 1, '' FROM tl
+  UNION ALL SELECT sweep_id, 3, t, rank, 0,
+                   '- **[' || title || '](' || url || ')** `' || source || '` `' || domain || '`' FROM tl
+  UNION ALL SELECT sweep_id, 3, t, rank, 1, '  ' || summary FROM tl WHERE summary <> ''
+  UNION ALL SELECT sweep_id, 3, t, rank, 2, '' FROM tl
+  UNION ALL SELECT sweep_id, 3, 0, 0, 0, '*Nothing above noise threshold. Clean day.*' FROM tot WHERE n = 0
+  UNION ALL SELECT sweep_id, 3, 0, 0, 1, '' FROM tot WHERE n = 0
+  UNION ALL SELECT sweep_id, 4, 0, 0, 0, '---' FROM tot
+  UNION ALL SELECT sweep_id, 4, 0, 0, 1, '*' || CAST(n AS varchar) || ' items surfaced from ' || sweep_type
+                   || ' sweep. RED: ' || CAST(r AS varchar) || ', ORANGE: ' || CAST(o AS varchar)
+                   || ', YELLOW: ' || CAST(y AS varchar) || '*' FROM tot
+  UNION ALL SELECT sweep_id, 4, 0, 0, 2, '' FROM tot
+  UNION ALL SELECT DISTINCT sweep_id, 5, 0, 0, 0, '### Source Signal Rates' FROM sqa
+  UNION ALL SELECT DISTINCT sweep_id, 5, 2, 0, 0, '' FROM sqa
+  UNION ALL SELECT sweep_id, 5, 1,
+                   row_number() OVER (PARTITION BY sweep_id ORDER BY (200 * s3 + total_scored) // (2 * total_scored) DESC, source),
+                   0, '- `' || source || '` signal: ' || CAST((200 * s3 + total_scored) // (2 * total_scored) AS varchar)
+                   || '% (' || CAST(s3 AS varchar) || '/' || CAST(total_scored AS varchar) || ')'
+            FROM sqa WHERE total_scored >= 5
+)"""
+
+ORACLE["digest_lines"] = _with(DIGEST, """
+SELECT sweep_id, CAST(count(*) AS bigint) AS n_lines, string_agg(line, chr(10) ORDER BY k1, k2, k3, k4) AS digest
+FROM lines GROUP BY sweep_id""")
