@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FIXTURE_CONFIG as CFG
@@ -435,3 +435,63 @@ def q_digest_lines(spark, sf_dir):
     quality = dg.source_quality_asof(_scored(spark, sf_dir), sweeps)
     lines = dg.digest_lines(sweeps, sick, warnings, shown, quality, CFG.orient_prompt)
     return dg.digest_text(lines)
+
+
+# -------------------------------------------------------------------- streaming
+# Each stream query lands rows derived from the tables in arrival order
+# (five sweeps per landing), runs the stream to completion with
+# availableNow, and reads its sink. Several micro-batches run, so equality
+# with the batch oracle shows stream = batch.
+
+LANDING_SWEEPS = 5
+
+
+def _landed(spark, df: DataFrame, name: str, unit_col: Column | None = None):
+    from ..session import scratch_path
+    from ..streaming import sweeps as sw
+    root = scratch_path(spark, name)
+    unit = unit_col if unit_col is not None else F.floor(F.col("sweep_id") / LANDING_SWEEPS)
+    sw.land_in_order(df.withColumn("landing", unit.cast("bigint")), f"{root}/landing", "landing")
+    schema = spark.read.parquet(f"{root}/landing").schema
+    return root, schema
+
+
+@query("stream_equals_batch")
+def q_stream_equals_batch(spark, sf_dir):
+    from ..sinks.logs import LogStore
+    from ..streaming import sweeps as sw
+    items = fx.feed_item_rows(spark, sf_dir)
+    root, schema = _landed(spark, items, "stream-curate")
+    sw.curate_stream(spark, f"{root}/landing", schema, LogStore(f"{root}/logs"), f"{root}/out",
+                     f"{root}/ckpt", CFG.skip_domains, CFG.skip_patterns, CFG.dedup_window_hours)
+    return spark.read.parquet(f"{root}/out").select(F.col("sweep_id").cast("bigint").alias("sweep_id"), "seq",
+                                                    "item_id", "domain", "source", "title", "url")
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    from ..streaming import sweeps as sw
+    rows = _deduped(spark, sf_dir).select("sweep_id", "sweep_ts", "item_id", "seq")
+    root, schema = _landed(spark, rows, "stream-dedup")
+    sw.dedup_stream(spark, f"{root}/landing", schema, f"{root}/out", f"{root}/ckpt", CFG.dedup_window_hours)
+    out = spark.read.parquet(f"{root}/out")
+    return out.select("sweep_id", "item_id", "seq",
+                      ts_text(F.timestamp_micros("first_us")).alias("first_seen"), "kept")
+
+
+@query("stream_feed_health")
+def q_stream_feed_health(spark, sf_dir):
+    from ..streaming import sweeps as sw
+    log = fx.fetch_log(spark, sf_dir).withColumn("sweep_id", F.dayofmonth("ts").cast("bigint"))
+    root, schema = _landed(spark, log, "stream-health")
+    sw.feed_health_stream(spark, f"{root}/landing", schema, f"{root}/snapshots", f"{root}/ckpt")
+    return fl.feed_health_view(sw.latest_snapshot(spark, f"{root}/snapshots"))
+
+
+@query("stream_source_quality")
+def q_stream_source_quality(spark, sf_dir):
+    from ..streaming import sweeps as sw
+    scored = _scored(spark, sf_dir).select("sweep_id", "source", "score")
+    root, schema = _landed(spark, scored, "stream-quality")
+    sw.source_quality_stream(spark, f"{root}/landing", schema, f"{root}/snapshot", f"{root}/ckpt")
+    return fl.source_quality_view(spark.read.parquet(f"{root}/snapshot"))

@@ -624,3 +624,10 @@ lines AS (
 ORACLE["digest_lines"] = _with(DIGEST, """
 SELECT sweep_id, CAST(count(*) AS bigint) AS n_lines, string_agg(line, chr(10) ORDER BY k1, k2, k3, k4) AS digest
 FROM lines GROUP BY sweep_id""")
+
+# --- streaming: the stream must equal the batch query -------------------------
+
+ORACLE["stream_equals_batch"] = ORACLE["curated_items"]
+ORACLE["stream_dedup"] = ORACLE["dedup_window"]
+ORACLE["stream_feed_health"] = ORACLE["feed_health"]
+ORACLE["stream_source_quality"] = ORACLE["source_quality"]

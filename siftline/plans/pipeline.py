@@ -1,0 +1,112 @@
+"""One sweep, or many at once, end to end (the original's ``run``).
+
+raw items -> validate -> in-sweep dedup -> noise filters -> cross-run
+window against the seen-store -> [items_seen] -> batches -> scorer ->
+[responses] -> scores -> [score_log] -> budgets -> digest ->
+[digests, digest_log, warnings]. Bracketed steps are log writes; each is
+read back, which cuts the lineage and fixes the model's answers.
+
+Runs as a batch job over any number of new sweeps and as the body of a
+streaming ``foreachBatch`` (``streaming.sweeps``).
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..config import CurationConfig
+from ..operators import curate as cur
+from ..operators import digest as dg
+from ..operators import reports as rp
+from ..operators import scoring as sc
+from ..operators import validate as val
+from ..operators.ordering import keep_first
+from ..sinks.logs import LogStore, digest_files
+
+
+@dataclass
+class SweepResult:
+    checked: DataFrame
+    curated: DataFrame
+    scored: DataFrame
+    digests: DataFrame
+    digest_log: DataFrame
+
+
+def curate_against_store(filtered: DataFrame, store: LogStore, spark: SparkSession,
+                         new_sweeps: DataFrame, window_hours: int) -> DataFrame:
+    """Cross-run window (D5) for new sweeps given the seen-store. The first
+    sighting of an item is the earlier of the store's (rows recorded by
+    *other* sweeps, so a rerun sees the same store) and the new sweeps'."""
+    prior = store.read(spark, "items_seen").join(new_sweeps.select("sweep_id"), "sweep_id", "left_anti")
+    ids = filtered.select("item_id")
+    prior_first = prior.join(ids, "item_id", "left_semi").select("item_id", F.col("first_seen").alias("sweep_ts"))
+    firsts = (filtered.select("item_id", "sweep_ts").unionByName(prior_first)
+              .groupBy("item_id").agg(F.min("sweep_ts").alias("first_seen")))
+    return (filtered.join(firsts, "item_id").where(cur.window_keep(hours=window_hours))
+            .drop("first_seen"))
+
+
+def record_seen(curated: DataFrame, store: LogStore, spark: SparkSession, new_sweeps: DataFrame) -> None:
+    """Insert-if-absent (K1): the first curated copy of items the store
+    does not know yet, first_seen = sweep time."""
+    prior = store.read(spark, "items_seen").join(new_sweeps.select("sweep_id"), "sweep_id", "left_anti")
+    first = keep_first(curated, ["item_id"], "sweep_ts").join(prior.select("item_id"), "item_id", "left_anti")
+    rows = first.select("item_id", "url", "title", F.substring("summary", 1, 500).alias("summary"), "source",
+                        "domain", "published", F.col("sweep_ts").alias("first_seen"),
+                        F.to_date("sweep_ts").alias("first_seen_date"), "sweep_id")
+    store.write(rows, "items_seen")
+
+
+def run_sweeps(spark: SparkSession, items: DataFrame, sweeps: DataFrame, cfg: CurationConfig,
+               store: LogStore, scorer: sc.Scorer | None = None, fetches: DataFrame | None = None,
+               system_prompt: str = "", digest_dir: str | None = None) -> SweepResult:
+    """Process new sweeps. ``items``: ITEM rows; ``sweeps``: (sweep_id,
+    sweep_ts, sweep_type); ``fetches``: fetch-log rows of these sweeps."""
+    sources = [s.name for s in cfg.enabled_sources()] or sorted(
+        r.source_type for r in items.select("source_type").distinct().collect())
+    checked = val.validate_items(items)
+    report = val.validation_report(checked)
+    warnings = store.read_back(spark, val.quality_warnings(report, sweeps, sources), "warnings") \
+        .join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
+    valid = checked.where(F.col("reason") == "valid").drop("reason", "empty_summary")
+    filtered = cur.apply_noise_filters(cur.dedup_batch(valid), cfg.skip_domains, cfg.skip_patterns)
+    curated = curate_against_store(filtered, store, spark, sweeps, cfg.dedup_window_hours)
+    record_seen(curated, store, spark, sweeps)
+
+    batched = sc.number_batches(curated, cfg.batch_size)
+    if scorer is None:
+        scored = sc.apply_scores(batched, None)
+    else:
+        have = store.read(spark, "responses").join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
+        if have.limit(1).count() == 0:   # a rerun reuses the logged answers
+            prompts = sc.batch_prompts(batched)
+            store.write(sc.run_scorer(prompts, scorer, system_prompt), "responses")
+        responses = store.read(spark, "responses").join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
+        scored = sc.apply_scores(batched, responses)
+    score_log = store.read_back(spark, scored.select(
+        "sweep_id", "sweep_ts", "seq", "item_id", "source", "score", "tier", "reason"), "score_log")
+    new_scores = score_log.join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
+    scored_items = batched.join(new_scores.select("sweep_id", "seq", "score", "tier", "reason"),
+                                ["sweep_id", "seq"])
+
+    surf = rp.surfaced(scored_items, cfg.min_score)
+    shown = rp.apply_budgets(surf, cfg.budgets)
+    if fetches is not None:
+        store.write(fetches, "fetch_log")
+    sick = dg.feed_health_asof(store.read(spark, "fetch_log"), sweeps)
+    quality = dg.source_quality_asof(score_log, sweeps)
+    lines = dg.digest_lines(sweeps, sick, warnings, shown.select(
+        "sweep_id", "tier", "rank", "title", "url", "source", "domain", "reason"), quality, cfg.orient_prompt)
+    digests = store.read_back(spark, dg.digest_text(lines), "digests") \
+        .join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
+    if digest_dir:
+        digest_files(digests, digest_dir)
+    funnel = rp.sweep_funnel(sweeps.select("sweep_id", "sweep_ts", "sweep_type"), valid, curated, curated,
+                             surf, shown)
+    dlog = store.read_back(spark, rp.digest_log(funnel, digest_dir or "digests"), "digest_log") \
+        .join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
+    return SweepResult(checked, curated, scored_items, digests, dlog)
