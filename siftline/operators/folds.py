@@ -17,7 +17,8 @@ from .ordering import keep_first
 
 # ------------------------------------------------------------------ feed health
 
-_KEY = F.struct("ts", "seq")
+def _key():
+    return F.struct("ts", "seq")
 
 
 def feed_health_delta(log: DataFrame) -> DataFrame:
@@ -37,10 +38,10 @@ def feed_health_delta(log: DataFrame) -> DataFrame:
         F.sum(F.when(ok, F.col("item_count")).otherwise(F.lit(0))).cast("bigint").alias("total_items"),
         F.max(F.when(ok, F.col("ts"))).alias("last_success"),
         F.max(F.when(~ok, F.struct("ts", "seq", "status_code", "error"))).alias("_lf"),
-        F.max(F.when(ok, _KEY)).alias("_last_ok"),
+        F.max(F.when(ok, _key())).alias("_last_ok"),
         F.count_if(~ok).alias("failures"),
     )
-    after = (log.where(~ok).select("feed_id", _KEY.alias("_k"))
+    after = (log.where(~ok).select("feed_id", _key().alias("_k"))
              .join(agg.select("feed_id", "_last_ok"), "feed_id")
              .where(F.col("_last_ok").isNull() | (F.col("_k") > F.col("_last_ok")))
              .groupBy("feed_id").agg(F.count(F.lit(1)).alias("consecutive_failures")))

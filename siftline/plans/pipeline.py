@@ -1,7 +1,7 @@
 """One sweep, or many at once, end to end (the original's ``run``).
 
 raw items -> validate -> in-sweep dedup -> noise filters -> cross-run
-window against the seen-store -> [items_seen] -> batches -> scorer ->
+window against the seen-store -> [curated] -> [items_seen] -> batches -> scorer ->
 [responses] -> scores -> [score_log] -> budgets -> digest ->
 [digests, digest_log, warnings]. Bracketed steps are log writes; each is
 read back, which cuts the lineage and fixes the model's answers.
@@ -66,6 +66,7 @@ def run_sweeps(spark: SparkSession, items: DataFrame, sweeps: DataFrame, cfg: Cu
                system_prompt: str = "", digest_dir: str | None = None) -> SweepResult:
     """Process new sweeps. ``items``: ITEM rows; ``sweeps``: (sweep_id,
     sweep_ts, sweep_type); ``fetches``: fetch-log rows of these sweeps."""
+    items = items.drop("score", "tier", "reason")   # scores come from the scorer only
     sources = [s.name for s in cfg.enabled_sources()] or sorted(
         r.source_type for r in items.select("source_type").distinct().collect())
     checked = val.validate_items(items)
@@ -74,7 +75,11 @@ def run_sweeps(spark: SparkSession, items: DataFrame, sweeps: DataFrame, cfg: Cu
         .join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
     valid = checked.where(F.col("reason") == "valid").drop("reason", "empty_summary")
     filtered = cur.apply_noise_filters(cur.dedup_batch(valid), cfg.skip_domains, cfg.skip_patterns)
-    curated = curate_against_store(filtered, store, spark, sweeps, cfg.dedup_window_hours)
+    # staged once: later steps read these files, not a plan over the
+    # seen-store that record_seen is about to rewrite
+    curated = store.read_back(spark, curate_against_store(filtered, store, spark, sweeps,
+                                                          cfg.dedup_window_hours), "curated") \
+        .join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
     record_seen(curated, store, spark, sweeps)
 
     batched = sc.number_batches(curated, cfg.batch_size)

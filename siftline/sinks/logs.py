@@ -19,6 +19,8 @@ SCHEMAS = {
     "items_seen": ("item_id string, url string, title string, summary string, source string, "
                    "domain string, published string, first_seen timestamp, first_seen_date date, "
                    "sweep_id bigint"),
+    "curated": ("sweep_id bigint, sweep_ts timestamp, source_type string, seq bigint, item_id string, "
+                "title string, url string, summary string, source string, domain string, published string"),
     "responses": "sweep_id bigint, batch bigint, response string",
     "score_log": ("sweep_id bigint, sweep_ts timestamp, seq bigint, item_id string, source string, "
                   "score bigint, tier string, reason string"),
@@ -32,7 +34,7 @@ SCHEMAS = {
 }
 PARTITIONS = {
     "items_seen": ("first_seen_date", "sweep_id"),
-    "responses": ("sweep_id",), "score_log": ("sweep_id",), "fetch_log": ("sweep_id",),
+    "curated": ("sweep_id",), "responses": ("sweep_id",), "score_log": ("sweep_id",), "fetch_log": ("sweep_id",),
     "digest_log": ("sweep_id",), "digests": ("sweep_id",), "warnings": ("sweep_id",),
 }
 

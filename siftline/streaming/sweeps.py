@@ -80,7 +80,8 @@ def _first_seen_rule(window_hours: int):
     window_us = int(window_hours) * 3600 * 1_000_000
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state):
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["sweep_us", "seq"])
+        pdf = (pd.concat(list(pdfs), ignore_index=True).sort_values(["sweep_us", "seq"])
+               .reset_index(drop=True))
         first = state.get[0] if state.exists else None
         kept, firsts = [], []
         for ts in pdf["sweep_us"].tolist():
