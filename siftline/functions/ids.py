@@ -11,7 +11,7 @@ from .text import col_, ustrip
 def canonical_url(url) -> Column:
     """strip -> lower -> drop every trailing '/'. Scheme, host case after
     lowering, query string and fragment are all kept."""
-    return F.regexp_replace(F.lower(ustrip(col_(url))), r"/+\z", "")
+    return F.rtrim(F.lower(ustrip(col_(url))), F.lit("/"))
 
 
 def item_id(url) -> Column:

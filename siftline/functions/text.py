@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 # four information separators U+001C..U+001F.
 WS_CLASS = r"[\s\x{1c}-\x{1f}]"
 _WS_RUN = r"(?U)" + WS_CLASS + "+"
-_EDGE_WS = r"(?U)^" + WS_CLASS + "+|" + WS_CLASS + r"+\z"
+# Fixed value: the characters Python's str.strip()/split() treat as white
+# space (Unicode White_Space plus U+001C..U+001F), as a trim set.
+PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+                 + "".join(chr(c) for c in range(0x2000, 0x200B))
+                 + "\u2028\u2029\u202f\u205f\u3000")
 _TAG = r"<[^>]+>"
 
 
@@ -19,8 +23,10 @@ def col_(c) -> Column:
 
 
 def ustrip(c) -> Column:
-    """Python ``str.strip()``: Spark's ``trim`` removes only U+0020."""
-    return F.regexp_replace(col_(c), _EDGE_WS, "")
+    """Python ``str.strip()``. Spark's one-argument ``trim`` removes only
+    U+0020; with a trim set it removes any of those characters from both
+    ends, codegen'd, no regex."""
+    return F.trim(col_(c), F.lit(PY_WHITESPACE))
 
 
 def is_blank(c) -> Column:

@@ -73,9 +73,50 @@ def filter_seen(items: DataFrame, seen: DataFrame, window_hours: int = 48) -> Da
     return items.join(recent, "item_id", "left_anti")
 
 
+def sweep_survivors(items: DataFrame, skip_domains: Iterable[str], skip_patterns: Iterable[str]) -> DataFrame:
+    """Per (sweep, item): the row that survives the hard validity rules and
+    in-sweep dedup (the first by ``seq``: dedup within a source type, then
+    across source types, keeps the overall first), and whether it passes
+    the noise filters. Output ``sweep_id, item_id, sweep_ts, seq, passes``.
+
+    One partial aggregation: ``min(seq*2 + noise_bit)`` carries the
+    survivor and its noise outcome in one long, so hot keys collapse
+    map-side and only one row per (sweep, item) per task is shuffled.
+    """
+    from .validate import hard_failure
+    pats = usable_patterns(skip_patterns, items.sparkSession)
+    fails = blocked_site(F.col("url"), list(skip_domains)) | noise_match(F.col("title"), F.col("summary"), pats)
+    code = F.shiftleft(F.col("seq"), 1) + F.when(fails, F.lit(1)).otherwise(F.lit(0))
+    g = (items.where(hard_failure().isNull())
+         .groupBy("sweep_id", "item_id").agg(F.min(code).alias("_c"), F.min("sweep_ts").alias("sweep_ts")))
+    return g.select("sweep_id", "item_id", "sweep_ts", F.shiftright("_c", 1).alias("seq"),
+                    (F.col("_c").bitwiseAND(F.lit(1)) == 0).alias("passes"))
+
+
+def window_survivors(surv: DataFrame, window_hours: int = 48, prior_first: DataFrame | None = None) -> DataFrame:
+    """The 48 h rule on survivors that pass the noise filters: first
+    sighting per item (optionally also from a seen-store: ``item_id,
+    first_seen``), then keep or suppress each (sweep, item). Works on the
+    per-(sweep, item) table, where an item has at most one row per sweep."""
+    ok = surv.where("passes")
+    cand = ok.select("item_id", "sweep_ts")
+    if prior_first is not None:   # only the store rows of items in these sweeps
+        prior = prior_first.join(ok.select("item_id"), "item_id", "left_semi")
+        cand = cand.unionByName(prior.select("item_id", F.col("first_seen").alias("sweep_ts")))
+    firsts = cand.groupBy("item_id").agg(F.min("sweep_ts").alias("first_seen"))
+    return ok.join(firsts, "item_id").where(window_keep(hours=window_hours))
+
+
 def curate(items: DataFrame, skip_domains: Iterable[str], skip_patterns: Iterable[str],
-           window_hours: int = 48) -> DataFrame:
-    """Valid items -> in-sweep dedup -> noise filters -> cross-run window."""
-    deduped = dedup_batch(items)
-    filtered = apply_noise_filters(deduped, skip_domains, skip_patterns)
-    return filter_seen_replay(filtered, window_hours)
+           window_hours: int = 48, prior_first: DataFrame | None = None) -> DataFrame:
+    """Raw ITEM rows -> the rows kept by validity rules, in-sweep dedup,
+    noise filters and the cross-run window, for any number of sweeps.
+
+    Aggregations run on (sweep, item) keys; the item rows themselves are
+    shuffled once, for the final semi join on (sweep, item, seq), which a
+    hot item cannot skew because ``seq`` is part of the key.
+    """
+    from .validate import hard_failure
+    keep = window_survivors(sweep_survivors(items, skip_domains, skip_patterns), window_hours, prior_first)
+    return items.where(hard_failure().isNull()).join(
+        keep.select("sweep_id", "item_id", "seq"), ["sweep_id", "item_id", "seq"], "left_semi")

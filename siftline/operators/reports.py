@@ -56,19 +56,19 @@ def tier_counts(surf: DataFrame, shown: DataFrame, group: Sequence[str] = ("swee
     return pre.join(post, list(group), "left").na.fill(0, ["items_shown"])
 
 
-def sweep_funnel(sweeps: DataFrame, fetched: DataFrame, after_dedup: DataFrame,
+def sweep_funnel(sweeps: DataFrame, fetched_counts: DataFrame, after_dedup: DataFrame,
                  scored: DataFrame, surf: DataFrame, shown: DataFrame) -> DataFrame:
     """Stage counts per sweep (A8): one stage-flagged union, one
-    aggregation; sweeps without rows get zeros."""
+    aggregation; sweeps without rows get zeros. ``fetched_counts``
+    (``sweep_id, items_fetched``) comes from the validation report, so
+    valid rows are never materialised just to be counted."""
     def flag(df, stage):
         return df.select("sweep_id", F.lit(stage).alias("_stage"),
                          (F.col("tier") if "tier" in df.columns else F.lit(None).cast("string")).alias("tier"))
-    u = (flag(fetched, "fetched").unionByName(flag(after_dedup, "dedup"))
-         .unionByName(flag(scored, "scored")).unionByName(flag(surf, "surfaced"))
-         .unionByName(flag(shown, "shown")))
+    u = (flag(after_dedup, "dedup").unionByName(flag(scored, "scored"))
+         .unionByName(flag(surf, "surfaced")).unionByName(flag(shown, "shown")))
     st, t = F.col("_stage"), F.col("tier")
     agg = u.groupBy("sweep_id").agg(
-        F.count_if(st == "fetched").alias("items_fetched"),
         F.count_if(st == "dedup").alias("items_after_dedup"),
         F.count_if(st == "scored").alias("items_scored"),
         F.count_if(st == "surfaced").alias("items_surfaced"),
@@ -76,8 +76,9 @@ def sweep_funnel(sweeps: DataFrame, fetched: DataFrame, after_dedup: DataFrame,
         F.count_if((st == "surfaced") & (t == "ORANGE")).alias("orange_count"),
         F.count_if((st == "surfaced") & (t == "YELLOW")).alias("yellow_count"),
         F.count_if(st == "shown").alias("items_shown"))
-    cols = [c for c in agg.columns if c != "sweep_id"]
-    return sweeps.join(agg, "sweep_id", "left").na.fill(0, cols)
+    cols = ["items_fetched"] + [c for c in agg.columns if c != "sweep_id"]
+    fetched = fetched_counts.groupBy("sweep_id").agg(F.sum("items_fetched").cast("bigint").alias("items_fetched"))
+    return sweeps.join(fetched, "sweep_id", "left").join(agg, "sweep_id", "left").na.fill(0, cols)
 
 
 def digest_log(funnel: DataFrame, digest_dir: str = "digests", dry_run: bool = False) -> DataFrame:

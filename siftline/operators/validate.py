@@ -61,6 +61,30 @@ def validation_report(checked: DataFrame, scope: Sequence[str] = ("sweep_id", "s
     )
 
 
+def report_from_items(items: DataFrame, scope: Sequence[str] = ("sweep_id", "source_type")) -> DataFrame:
+    """The same report as ``validation_report(validate_items(items))``
+    without touching item rows in a shuffle: hard failures are counted per
+    row, and duplicates and blank summaries come from one partial
+    aggregation per (scope, item) -- ``min(seq*2 + blank_bit)`` gives the
+    first copy and whether its summary is blank."""
+    hard = hard_failure()
+    rows = items.groupBy(*scope).agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(hard == "empty_title").alias("empty_title"),
+        F.count_if(hard == "empty_url").alias("empty_url"),
+        F.count_if(hard == "malformed_url").alias("malformed_url"))
+    code = F.shiftleft(F.col("seq"), 1) + F.when(is_blank(F.col("summary")), F.lit(1)).otherwise(F.lit(0))
+    keys = (items.where(hard.isNull()).groupBy(*scope, "item_id")
+            .agg(F.count(F.lit(1)).alias("_n"), F.min(code).alias("_c")))
+    uniq = keys.groupBy(*scope).agg(
+        F.sum("_n").alias("_passing"), F.count(F.lit(1)).alias("valid"),
+        F.count_if(F.col("_c").bitwiseAND(F.lit(1)) == 1).alias("empty_summary"))
+    j = rows.join(uniq, list(scope), "left").na.fill(0, ["_passing", "valid", "empty_summary"])
+    return j.select(*scope, "total", F.col("valid").cast("bigint").alias("valid"), "empty_title", "empty_url",
+                    "malformed_url", (F.col("_passing") - F.col("valid")).cast("bigint").alias("duplicate_in_batch"),
+                    F.col("empty_summary").cast("bigint").alias("empty_summary"))
+
+
 def quality_warning(source="source_type", total="total", valid="valid",
                     empty_summary="empty_summary", malformed="malformed_url") -> Column:
     """Warning text for one report row, or null (A2). Integer arithmetic:

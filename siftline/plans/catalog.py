@@ -56,7 +56,7 @@ def q_validate_items(spark, sf_dir):
 
 @query("validate_report")
 def q_validate_report(spark, sf_dir):
-    return val.validation_report(_checked(spark, sf_dir))
+    return val.report_from_items(fx.feed_item_rows(spark, sf_dir))
 
 
 def _sweeps(spark, sf_dir) -> DataFrame:
@@ -65,7 +65,7 @@ def _sweeps(spark, sf_dir) -> DataFrame:
 
 @query("quality_warnings")
 def q_quality_warnings(spark, sf_dir):
-    report = val.validation_report(_checked(spark, sf_dir))
+    report = val.report_from_items(fx.feed_item_rows(spark, sf_dir))
     names = [s.name for s in CFG.enabled_sources()]
     return val.quality_warnings(report, _sweeps(spark, sf_dir), names)
 
@@ -73,7 +73,12 @@ def q_quality_warnings(spark, sf_dir):
 # ------------------------------------------------------------------- curation
 
 def _deduped(spark, sf_dir) -> DataFrame:
-    return cur.dedup_batch(_valid(spark, sf_dir))
+    """Rows that survive validity rules and in-sweep dedup (D1 + D2): the
+    first passing copy per (sweep, item)."""
+    rows = fx.feed_item_rows(spark, sf_dir)
+    surv = cur.sweep_survivors(rows, (), ())
+    return rows.where(val.hard_failure().isNull()).join(
+        surv.select("sweep_id", "item_id", "seq"), ["sweep_id", "item_id", "seq"], "left_semi")
 
 
 @query("dedup_batch")
@@ -100,8 +105,8 @@ def q_dedup_window(spark, sf_dir):
 
 
 def _curated(spark, sf_dir) -> DataFrame:
-    filtered = cur.apply_noise_filters(_deduped(spark, sf_dir), CFG.skip_domains, CFG.skip_patterns)
-    return cur.filter_seen_replay(filtered, CFG.dedup_window_hours)
+    return cur.curate(fx.feed_item_rows(spark, sf_dir), CFG.skip_domains, CFG.skip_patterns,
+                      CFG.dedup_window_hours)
 
 
 @query("curated_items")
@@ -259,7 +264,9 @@ def q_tier_counts(spark, sf_dir):
 def _funnel(spark, sf_dir) -> DataFrame:
     sweeps = fx.feed_items(spark, sf_dir).groupBy("sweep_id").agg(F.min("sweep_ts").alias("sweep_ts"))
     cur_ = _curated(spark, sf_dir)
-    return rp.sweep_funnel(sweeps, _valid(spark, sf_dir), cur_, cur_,
+    fetched = val.report_from_items(fx.feed_item_rows(spark, sf_dir)).select(
+        "sweep_id", F.col("valid").alias("items_fetched"))
+    return rp.sweep_funnel(sweeps, fetched, cur_, cur_,
                            _surfaced(spark, sf_dir), _shown(spark, sf_dir))
 
 
@@ -429,7 +436,7 @@ def q_digest_lines(spark, sf_dir):
     sweeps = _sweep_table(spark, sf_dir)
     log = fx.fetch_log(spark, sf_dir).withColumn("sweep_id", F.dayofmonth("ts").cast("bigint"))
     sick = dg.feed_health_asof(log, sweeps)
-    report = val.validation_report(_checked(spark, sf_dir))
+    report = val.report_from_items(fx.feed_item_rows(spark, sf_dir))
     warnings = val.quality_warnings(report, sweeps, [s.name for s in CFG.enabled_sources()])
     shown = _shown(spark, sf_dir).select("sweep_id", "tier", "rank", "title", "url", "source", "domain", "reason")
     quality = dg.source_quality_asof(_scored(spark, sf_dir), sweeps)

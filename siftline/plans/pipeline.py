@@ -36,18 +36,15 @@ class SweepResult:
     digest_log: DataFrame
 
 
-def curate_against_store(filtered: DataFrame, store: LogStore, spark: SparkSession,
-                         new_sweeps: DataFrame, window_hours: int) -> DataFrame:
-    """Cross-run window (D5) for new sweeps given the seen-store. The first
-    sighting of an item is the earlier of the store's (rows recorded by
-    *other* sweeps, so a rerun sees the same store) and the new sweeps'."""
+def curate_against_store(items: DataFrame, store: LogStore, spark: SparkSession, new_sweeps: DataFrame,
+                         cfg: CurationConfig) -> DataFrame:
+    """Curation of new sweeps given the seen-store.
+    The first sighting of an item is the earlier of the store's (rows
+    recorded by *other* sweeps, so a rerun sees the same store) and the new
+    sweeps' own."""
     prior = store.read(spark, "items_seen").join(new_sweeps.select("sweep_id"), "sweep_id", "left_anti")
-    ids = filtered.select("item_id")
-    prior_first = prior.join(ids, "item_id", "left_semi").select("item_id", F.col("first_seen").alias("sweep_ts"))
-    firsts = (filtered.select("item_id", "sweep_ts").unionByName(prior_first)
-              .groupBy("item_id").agg(F.min("sweep_ts").alias("first_seen")))
-    return (filtered.join(firsts, "item_id").where(cur.window_keep(hours=window_hours))
-            .drop("first_seen"))
+    return cur.curate(items, cfg.skip_domains, cfg.skip_patterns, cfg.dedup_window_hours,
+                      prior_first=prior.select("item_id", "first_seen"))
 
 
 def record_seen(curated: DataFrame, store: LogStore, spark: SparkSession, new_sweeps: DataFrame) -> None:
@@ -69,16 +66,13 @@ def run_sweeps(spark: SparkSession, items: DataFrame, sweeps: DataFrame, cfg: Cu
     items = items.drop("score", "tier", "reason")   # scores come from the scorer only
     sources = [s.name for s in cfg.enabled_sources()] or sorted(
         r.source_type for r in items.select("source_type").distinct().collect())
-    checked = val.validate_items(items)
-    report = val.validation_report(checked)
+    checked = val.validate_items(items)          # per-row reasons, lazily, for callers
+    report = val.report_from_items(items)
     warnings = store.read_back(spark, val.quality_warnings(report, sweeps, sources), "warnings") \
         .join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
-    valid = checked.where(F.col("reason") == "valid").drop("reason", "empty_summary")
-    filtered = cur.apply_noise_filters(cur.dedup_batch(valid), cfg.skip_domains, cfg.skip_patterns)
     # staged once: later steps read these files, not a plan over the
     # seen-store that record_seen is about to rewrite
-    curated = store.read_back(spark, curate_against_store(filtered, store, spark, sweeps,
-                                                          cfg.dedup_window_hours), "curated") \
+    curated = store.read_back(spark, curate_against_store(items, store, spark, sweeps, cfg), "curated") \
         .join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
     record_seen(curated, store, spark, sweeps)
 
@@ -110,7 +104,8 @@ def run_sweeps(spark: SparkSession, items: DataFrame, sweeps: DataFrame, cfg: Cu
         .join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
     if digest_dir:
         digest_files(digests, digest_dir)
-    funnel = rp.sweep_funnel(sweeps.select("sweep_id", "sweep_ts", "sweep_type"), valid, curated, curated,
+    fetched = report.select("sweep_id", F.col("valid").alias("items_fetched"))
+    funnel = rp.sweep_funnel(sweeps.select("sweep_id", "sweep_ts", "sweep_type"), fetched, curated, curated,
                              surf, shown)
     dlog = store.read_back(spark, rp.digest_log(funnel, digest_dir or "digests"), "digest_log") \
         .join(sweeps.select("sweep_id"), "sweep_id", "left_semi")

@@ -28,8 +28,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators import curate as cur
 from ..operators import folds as fl
-from ..operators import validate as val
-from ..plans.pipeline import curate_against_store, record_seen
+from ..plans.pipeline import record_seen
 from ..sinks.logs import LogStore
 
 
@@ -57,10 +56,9 @@ def curate_stream(spark: SparkSession, landing: str, schema, store: LogStore, ou
     to ``out`` by sweep partition (idempotent on replay of an epoch)."""
     def body(batch: DataFrame, epoch: int) -> None:
         sweeps = batch.select("sweep_id").distinct()
-        valid = (val.validate_items(batch).where(F.col("reason") == "valid")
-                 .drop("reason", "empty_summary"))
-        filtered = cur.apply_noise_filters(cur.dedup_batch(valid), skip_domains, skip_patterns)
-        curated = curate_against_store(filtered, store, spark, sweeps, window_hours)
+        prior = store.read(spark, "items_seen").join(sweeps, "sweep_id", "left_anti")
+        curated = cur.curate(batch, skip_domains, skip_patterns, window_hours,
+                             prior_first=prior.select("item_id", "first_seen"))
         # write, then read back: later epochs must not re-run this lineage
         (curated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("sweep_id").parquet(out))
