@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from typing import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.keywords import blocked_site, noise_match, usable_patterns
@@ -96,15 +96,21 @@ def sweep_survivors(items: DataFrame, skip_domains: Iterable[str], skip_patterns
 def window_survivors(surv: DataFrame, window_hours: int = 48, prior_first: DataFrame | None = None) -> DataFrame:
     """The 48 h rule on survivors that pass the noise filters: first
     sighting per item (optionally also from a seen-store: ``item_id,
-    first_seen``), then keep or suppress each (sweep, item). Works on the
-    per-(sweep, item) table, where an item has at most one row per sweep."""
-    ok = surv.where("passes")
-    cand = ok.select("item_id", "sweep_ts")
+    first_seen``), then keep or suppress each (sweep, item).
+
+    Runs on the per-(sweep, item) table, where an item has at most one row
+    per sweep, so a window by item is bounded by the number of sweeps even
+    for the hottest item, and the survivors are computed once.
+    """
+    ok = surv.where("passes").select("sweep_id", "item_id", "sweep_ts", "seq", F.lit(False).alias("_prior"))
     if prior_first is not None:   # only the store rows of items in these sweeps
         prior = prior_first.join(ok.select("item_id"), "item_id", "left_semi")
-        cand = cand.unionByName(prior.select("item_id", F.col("first_seen").alias("sweep_ts")))
-    firsts = cand.groupBy("item_id").agg(F.min("sweep_ts").alias("first_seen"))
-    return ok.join(firsts, "item_id").where(window_keep(hours=window_hours))
+        ok = ok.unionByName(prior.select(
+            F.lit(None).cast("bigint").alias("sweep_id"), "item_id", F.col("first_seen").alias("sweep_ts"),
+            F.lit(None).cast("bigint").alias("seq"), F.lit(True).alias("_prior")))
+    first = F.min("sweep_ts").over(Window.partitionBy("item_id"))
+    return (ok.withColumn("first_seen", first).where(~F.col("_prior") & window_keep(hours=window_hours))
+            .drop("_prior"))
 
 
 def curate(items: DataFrame, skip_domains: Iterable[str], skip_patterns: Iterable[str],
