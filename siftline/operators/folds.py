@@ -98,7 +98,8 @@ def feed_health_view(state: DataFrame, threshold: int = 3) -> DataFrame:
         avg_even("total_items", "total_fetches").alias("avg_items"),
         feed_status(c, threshold).alias("status"),
         F.when(c == 0, F.lit("OK")).otherwise(F.concat(F.lit("FAILING ("), c.cast("string"),
-                                                       F.lit("x)"))).alias("health"))
+                                                       F.lit("x)"))).alias("health")
+    ).orderBy(F.col("consecutive_failures").desc(), F.col("feed_id"))   # O1; ties by id
 
 
 def sick_feeds(state: DataFrame, threshold: int = 3) -> DataFrame:
@@ -131,7 +132,8 @@ def source_quality_view(counts: DataFrame) -> DataFrame:
     return counts.select(
         "source", "total_scored", "scored_3plus", "scored_4plus",
         sig.alias("signal_pct"), rate_pct("scored_4plus", "total_scored").alias("premium_pct"),
-        signal_band(sig).alias("band"), bar_fill(sig).alias("bar_fill"))
+        signal_band(sig).alias("band"), bar_fill(sig).alias("bar_fill")
+    ).orderBy(F.col("signal_pct").desc(), F.col("source"))              # O2; ties by name
 
 
 # ------------------------------------------------------------ items and scores
