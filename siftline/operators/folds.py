@@ -156,6 +156,18 @@ def current_scores(score_log: DataFrame, seen: DataFrame) -> DataFrame:
                                    F.col("reason").alias("llm_reason")), "item_id")
 
 
+def item_state(scored: DataFrame) -> DataFrame:
+    """Items seen and their current score in one partial aggregation per
+    item (K1 + K3): the first recorded copy (by sweep time) and the latest
+    score. Rows are unique per (item, sweep) after in-sweep dedup."""
+    first = F.min_by(F.struct("url", "title", "summary", "source", "domain", "published", "sweep_ts"), "sweep_ts")
+    last = F.max_by(F.struct("score", "tier", "reason"), "sweep_ts")
+    return scored.groupBy("item_id").agg(first.alias("_f"), last.alias("_l")).select(
+        "item_id", "_f.url", "_f.title", F.substring("_f.summary", 1, 500).alias("summary"), "_f.source",
+        "_f.domain", "_f.published", F.col("_f.sweep_ts").alias("first_seen"),
+        F.col("_l.score").alias("llm_score"), F.col("_l.tier").alias("tier"), F.col("_l.reason").alias("llm_reason"))
+
+
 def lifetime_stats(seen: DataFrame, current: DataFrame, digests: DataFrame, as_of) -> DataFrame:
     """Lifetime panel (A7, F9): one row. ``as_of`` is a Column (a literal or
     a scalar subquery); "last 24 h" is ``first_seen > as_of - 24 h``. The

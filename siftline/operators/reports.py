@@ -56,29 +56,49 @@ def tier_counts(surf: DataFrame, shown: DataFrame, group: Sequence[str] = ("swee
     return pre.join(post, list(group), "left").na.fill(0, ["items_shown"])
 
 
-def sweep_funnel(sweeps: DataFrame, fetched_counts: DataFrame, after_dedup: DataFrame,
-                 scored: DataFrame, surf: DataFrame, shown: DataFrame) -> DataFrame:
-    """Stage counts per sweep (A8): one stage-flagged union, one
-    aggregation; sweeps without rows get zeros. ``fetched_counts``
-    (``sweep_id, items_fetched``) comes from the validation report, so
-    valid rows are never materialised just to be counted."""
-    def flag(df, stage):
-        return df.select("sweep_id", F.lit(stage).alias("_stage"),
-                         (F.col("tier") if "tier" in df.columns else F.lit(None).cast("string")).alias("tier"))
-    u = (flag(after_dedup, "dedup").unionByName(flag(scored, "scored"))
-         .unionByName(flag(surf, "surfaced")).unionByName(flag(shown, "shown")))
-    st, t = F.col("_stage"), F.col("tier")
-    agg = u.groupBy("sweep_id").agg(
-        F.count_if(st == "dedup").alias("items_after_dedup"),
-        F.count_if(st == "scored").alias("items_scored"),
-        F.count_if(st == "surfaced").alias("items_surfaced"),
-        F.count_if((st == "surfaced") & (t == "RED")).alias("red_count"),
-        F.count_if((st == "surfaced") & (t == "ORANGE")).alias("orange_count"),
-        F.count_if((st == "surfaced") & (t == "YELLOW")).alias("yellow_count"),
-        F.count_if(st == "shown").alias("items_shown"))
-    cols = ["items_fetched"] + [c for c in agg.columns if c != "sweep_id"]
+def stage_counts(scored: DataFrame, budgets: Mapping[str, int], min_score: int = 3,
+                 group: Sequence[str] = ("sweep_id",), tiers: Sequence[str] = TIERS) -> DataFrame:
+    """Per sweep, from the scored items alone, in one partial aggregation:
+    items scored, surfaced (score >= min and a known tier), per-tier counts
+    before budgets (the log's numbers, A6) and the number shown after
+    budgets (the digest's, Q4). Shown = sum over tiers of min(count, budget)
+    -- the first N of a tier are shown whatever N is, so no window is
+    needed to count them."""
+    t, sc = F.col("tier"), F.col("score")
+    surf = (sc >= min_score) & t.isin(*tiers)
+    per_tier = {k: F.count_if(surf & (t == k)) for k in tiers}
+    agg = scored.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("items_scored"), F.count_if(surf).alias("items_surfaced"),
+        *[per_tier[k].alias(f"_n_{k}") for k in tiers])
+    shown = F.lit(0)
+    for k in tiers:
+        n = F.col(f"_n_{k}")
+        shown = shown + (F.least(n, F.lit(int(budgets[k]))) if k in budgets else n)
+    named = {"RED": "red_count", "ORANGE": "orange_count", "YELLOW": "yellow_count"}
+    return agg.select(*group, "items_scored", "items_surfaced",
+                      *[F.col(f"_n_{k}").cast("bigint").alias(named.get(k, f"{k.lower()}_count")) for k in tiers],
+                      shown.cast("bigint").alias("items_shown"))
+
+
+def tier_counts_from(scored: DataFrame, budgets: Mapping[str, int], min_score: int = 3,
+                     group: Sequence[str] = ("sweep_id",)) -> DataFrame:
+    """Tier counts of sweeps that surfaced anything."""
+    return (stage_counts(scored, budgets, min_score, group).where(F.col("items_surfaced") > 0)
+            .select(*group, "red_count", "orange_count", "yellow_count", "items_surfaced", "items_shown"))
+
+
+def sweep_funnel(sweeps: DataFrame, fetched_counts: DataFrame, scored: DataFrame,
+                 budgets: Mapping[str, int], min_score: int = 3) -> DataFrame:
+    """Stage counts per sweep (A8): fetched (valid items, from the
+    validation report), after dedup and window (= scored: every kept item
+    is scored once), surfaced, per tier, shown. Two aggregations, no row
+    shuffle beyond them; sweeps without rows get zeros."""
+    st = stage_counts(scored, budgets, min_score)
     fetched = fetched_counts.groupBy("sweep_id").agg(F.sum("items_fetched").cast("bigint").alias("items_fetched"))
-    return sweeps.join(fetched, "sweep_id", "left").join(agg, "sweep_id", "left").na.fill(0, cols)
+    cols = ["items_fetched", "items_after_dedup", "items_scored", "items_surfaced", "red_count",
+            "orange_count", "yellow_count", "items_shown"]
+    return (sweeps.join(fetched, "sweep_id", "left").join(st, "sweep_id", "left")
+            .withColumn("items_after_dedup", F.col("items_scored")).na.fill(0, cols))
 
 
 def digest_log(funnel: DataFrame, digest_dir: str = "digests", dry_run: bool = False) -> DataFrame:

@@ -31,6 +31,22 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+def _memo(fn):
+    """Build a helper frame once per (session, folder): frames are
+    immutable lazy plans, so sharing one object across the branches of a
+    query only saves plan-building round trips (no data is cached)."""
+    cache: dict = {}
+
+    def wrapper(spark, sf_dir):
+        key = (id(spark), spark.sparkContext.applicationId, sf_dir)
+        if key not in cache:
+            cache[key] = fn(spark, sf_dir)
+        return cache[key]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 def query(name: str):
     def deco(fn: Query) -> Query:
         QUERIES[name] = fn
@@ -40,10 +56,12 @@ def query(name: str):
 
 # ---------------------------------------------------------------- validation
 
+@_memo
 def _checked(spark, sf_dir) -> DataFrame:
     return val.validate_items(fx.feed_item_rows(spark, sf_dir))
 
 
+@_memo
 def _valid(spark, sf_dir) -> DataFrame:
     return _checked(spark, sf_dir).where(F.col("reason") == "valid").drop("reason", "empty_summary")
 
@@ -59,6 +77,7 @@ def q_validate_report(spark, sf_dir):
     return val.report_from_items(fx.feed_item_rows(spark, sf_dir))
 
 
+@_memo
 def _sweeps(spark, sf_dir) -> DataFrame:
     return fx.feed_items(spark, sf_dir).select("sweep_id").distinct()
 
@@ -72,6 +91,7 @@ def q_quality_warnings(spark, sf_dir):
 
 # ------------------------------------------------------------------- curation
 
+@_memo
 def _deduped(spark, sf_dir) -> DataFrame:
     """Rows that survive validity rules and in-sweep dedup (D1 + D2): the
     first passing copy per (sweep, item)."""
@@ -86,6 +106,7 @@ def q_dedup_batch(spark, sf_dir):
     return _deduped(spark, sf_dir).select("sweep_id", "item_id", "seq", "source", "url", "title")
 
 
+@_memo
 def _page_rows(spark, sf_dir) -> DataFrame:
     return fx.page_items(spark, sf_dir).withColumn("summary", truncate(strip_html("html"), 400))
 
@@ -104,6 +125,7 @@ def q_dedup_window(spark, sf_dir):
                     cur.window_keep(hours=CFG.dedup_window_hours).alias("kept"))
 
 
+@_memo
 def _curated(spark, sf_dir) -> DataFrame:
     return cur.curate(fx.feed_item_rows(spark, sf_dir), CFG.skip_domains, CFG.skip_patterns,
                       CFG.dedup_window_hours)
@@ -129,6 +151,7 @@ def q_sick_feeds(spark, sf_dir):
     return fl.sick_feeds(state).select("feed_id", "consecutive_failures", "last_error", "last_status_code")
 
 
+@_memo
 def _scored(spark, sf_dir) -> DataFrame:
     """Curated items with the fixture's score and tier as scorer output;
     the reason is the summary."""
@@ -148,6 +171,7 @@ def q_source_quality_incremental(spark, sf_dir):
     return fl.source_quality_view(fl.merge_source_quality(prior, delta))
 
 
+@_memo
 def _seen(spark, sf_dir) -> DataFrame:
     return fl.items_seen(_curated(spark, sf_dir))
 
@@ -157,8 +181,9 @@ def q_items_seen_fold(spark, sf_dir):
     return _seen(spark, sf_dir).withColumn("first_seen", ts_text("first_seen"))
 
 
+@_memo
 def _current(spark, sf_dir) -> DataFrame:
-    return fl.current_scores(_scored(spark, sf_dir), _seen(spark, sf_dir))
+    return fl.item_state(_scored(spark, sf_dir))
 
 
 @query("items_current")
@@ -172,11 +197,13 @@ def q_items_current(spark, sf_dir):
 def q_lifetime_stats(spark, sf_dir):
     feed = fx.feed_items(spark, sf_dir)
     as_of = feed.agg(F.max("ts")).scalar()
-    return fl.lifetime_stats(_seen(spark, sf_dir), _current(spark, sf_dir), _sweeps(spark, sf_dir), as_of)
+    cur_ = _current(spark, sf_dir)
+    return fl.lifetime_stats(cur_, cur_, _sweeps(spark, sf_dir), as_of)
 
 
 # ---------------------------------------------------------------------- scoring
 
+@_memo
 def _doc_batched(spark, sf_dir) -> DataFrame:
     docs = fx.doc_items(spark, sf_dir).withColumn("sweep_id", F.lit(0).cast("bigint"))
     return sc.number_batches(docs, CFG.batch_size)
@@ -243,10 +270,12 @@ def q_profile_prompt(spark, sf_dir):
 
 # ----------------------------------------------------------------------- budgets
 
+@_memo
 def _surfaced(spark, sf_dir) -> DataFrame:
     return rp.surfaced(_scored(spark, sf_dir), CFG.min_score)
 
 
+@_memo
 def _shown(spark, sf_dir) -> DataFrame:
     return rp.apply_budgets(_surfaced(spark, sf_dir), CFG.budgets)
 
@@ -258,16 +287,15 @@ def q_tier_budget(spark, sf_dir):
 
 @query("tier_counts")
 def q_tier_counts(spark, sf_dir):
-    return rp.tier_counts(_surfaced(spark, sf_dir), _shown(spark, sf_dir))
+    return rp.tier_counts_from(_scored(spark, sf_dir), CFG.budgets, CFG.min_score)
 
 
+@_memo
 def _funnel(spark, sf_dir) -> DataFrame:
     sweeps = fx.feed_items(spark, sf_dir).groupBy("sweep_id").agg(F.min("sweep_ts").alias("sweep_ts"))
-    cur_ = _curated(spark, sf_dir)
     fetched = val.report_from_items(fx.feed_item_rows(spark, sf_dir)).select(
         "sweep_id", F.col("valid").alias("items_fetched"))
-    return rp.sweep_funnel(sweeps, fetched, cur_, cur_,
-                           _surfaced(spark, sf_dir), _shown(spark, sf_dir))
+    return rp.sweep_funnel(sweeps, fetched, _scored(spark, sf_dir), CFG.budgets, CFG.min_score)
 
 
 @query("sweep_funnel")
@@ -384,6 +412,7 @@ HN_TERMS = {"click": "ui", "purchase": "commerce", "error": "ops", "signup": Non
 HN_KEYWORDS = ("purchase", "user 1")
 
 
+@_memo
 def _hn_hits(spark, sf_dir) -> DataFrame:
     return jf.hn_search_hits(bd.hn_search_bodies(spark, sf_dir), HN_TERMS)
 
@@ -394,6 +423,7 @@ def q_hn_search_items(spark, sf_dir):
         "sweep_id", "object_id", "url", "title", "summary", "domain", "published")
 
 
+@_memo
 def _hn_cands(spark, sf_dir) -> DataFrame:
     top, stories = bd.hn_top_lists(spark, sf_dir)
     return jf.hn_top_stories(top, stories, CFG.top_n)
@@ -426,6 +456,7 @@ def q_serp_items(spark, sf_dir):
 
 # ----------------------------------------------------------------------- digest
 
+@_memo
 def _sweep_table(spark, sf_dir) -> DataFrame:
     return (fx.feed_items(spark, sf_dir).groupBy("sweep_id").agg(F.min("sweep_ts").alias("sweep_ts"))
             .withColumn("sweep_type", sweep_type_of(F.col("sweep_ts"))))

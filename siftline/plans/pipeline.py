@@ -105,8 +105,8 @@ def run_sweeps(spark: SparkSession, items: DataFrame, sweeps: DataFrame, cfg: Cu
     if digest_dir:
         digest_files(digests, digest_dir)
     fetched = report.select("sweep_id", F.col("valid").alias("items_fetched"))
-    funnel = rp.sweep_funnel(sweeps.select("sweep_id", "sweep_ts", "sweep_type"), fetched, curated, curated,
-                             surf, shown)
+    funnel = rp.sweep_funnel(sweeps.select("sweep_id", "sweep_ts", "sweep_type"), fetched, scored_items,
+                             cfg.budgets, cfg.min_score)
     dlog = store.read_back(spark, rp.digest_log(funnel, digest_dir or "digests"), "digest_log") \
         .join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
     return SweepResult(checked, curated, scored_items, digests, dlog)
