@@ -48,7 +48,7 @@ def positions(df: DataFrame, group: Sequence[str], order: Sequence[str],
     ``group + order`` must be unique.
     """
     cols = [*group, *order]
-    n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
               .withColumn("_pid", F.spark_partition_id())
               # monotonically_increasing_id = (partition << 33) + index in partition
