@@ -48,6 +48,7 @@ class CurationConfig:
     dedup_window_hours: int = DEFAULT_WINDOW_HOURS
     min_score: int = DEFAULT_MIN_SCORE
     batch_size: int = DEFAULT_BATCH_SIZE
+    model: str = ""                     # passed to the injected scorer (X3)
     tier_budgets: tuple[tuple[str, int], ...] = (("RED", 3), ("ORANGE", 8), ("YELLOW", 15))
     keywords: tuple[str, ...] = ()
     min_points: int = DEFAULT_MIN_POINTS
@@ -103,6 +104,7 @@ def from_mapping(cfg: dict[str, Any]) -> CurationConfig:
         dedup_window_hours=int(nf.get("dedup_window_hours", DEFAULT_WINDOW_HOURS)),
         min_score=int(sc.get("min_score", DEFAULT_MIN_SCORE)),
         batch_size=int(sc.get("batch_size", DEFAULT_BATCH_SIZE)),
+        model=str(sc.get("model", "") or ""),
         tier_budgets=tuple((sc.get("tier_budgets") or {}).items()),
         keywords=tuple(kws),
         min_points=int(hn.get("min_points", DEFAULT_MIN_POINTS)),

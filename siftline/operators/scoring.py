@@ -122,22 +122,27 @@ def apply_scores(batched: DataFrame, responses: DataFrame | None,
 Scorer = Callable[[Iterator[pd.DataFrame]], Iterable[pd.DataFrame]]
 
 
-def run_scorer(prompts: DataFrame, scorer: Scorer, system_prompt: str = "") -> DataFrame:
-    """Call the injected scorer on prompt rows (M6): the only JVM<->Python
-    step, Arrow-batched by ``mapInPandas``. Materialise the result (score
-    log) before reuse: a model is not deterministic."""
+def run_scorer(prompts: DataFrame, scorer: Scorer, system_prompt: str = "", model: str = "") -> DataFrame:
+    """Call the injected scorer on prompt rows (M6, X3): the only
+    JVM<->Python step, Arrow-batched by ``mapInPandas``. A scorer takes the
+    batches, and optionally the system prompt and the model name from the
+    config. Materialise the result (score log) before reuse: a model is not
+    deterministic."""
+    n = _arity(scorer)
+    extra = (system_prompt, model)[:max(0, min(n, 3) - 1)]
+
     def _call(batches):
-        for pdf in scorer(batches, system_prompt) if _takes_system(scorer) else scorer(batches):
+        for pdf in scorer(batches, *extra):
             yield pdf[["sweep_id", "batch", "response"]]
     return prompts.select("sweep_id", "batch", "n_items", "prompt").mapInPandas(_call, RESPONSE_SCHEMA)
 
 
-def _takes_system(fn) -> bool:
+def _arity(fn) -> int:
     import inspect
     try:
-        return len(inspect.signature(fn).parameters) >= 2
+        return len(inspect.signature(fn).parameters)
     except (TypeError, ValueError):
-        return False
+        return 1
 
 
 def keyword_scorer(keywords: Sequence[str], strong: Sequence[str] = ()) -> Scorer:

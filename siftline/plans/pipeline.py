@@ -83,7 +83,7 @@ def run_sweeps(spark: SparkSession, items: DataFrame, sweeps: DataFrame, cfg: Cu
         have = store.read(spark, "responses").join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
         if have.limit(1).count() == 0:   # a rerun reuses the logged answers
             prompts = sc.batch_prompts(batched)
-            store.write(sc.run_scorer(prompts, scorer, system_prompt), "responses")
+            store.write(sc.run_scorer(prompts, scorer, system_prompt, cfg.model), "responses")
         responses = store.read(spark, "responses").join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
         scored = sc.apply_scores(batched, responses)
     score_log = store.read_back(spark, scored.select(
@@ -110,3 +110,74 @@ def run_sweeps(spark: SparkSession, items: DataFrame, sweeps: DataFrame, cfg: Cu
     dlog = store.read_back(spark, rp.digest_log(funnel, digest_dir or "digests"), "digest_log") \
         .join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
     return SweepResult(checked, curated, scored_items, digests, dlog)
+
+
+# ------------------------------------------------------------- raw payloads
+
+RAW_FETCH = ("sweep_id bigint, sweep_ts timestamp, sweep_type string, source_type string, feed_name string, "
+             "feed_url string, query string, domain string, fetch_seq bigint, status_code int, error string, "
+             "body string")
+
+
+def arrival_seq(src_rank, fetch_seq, part, pos) -> F.Column:
+    """Arrival order as one bigint: registry rank of the source type, then
+    fetch (feed / query) order, then RSS-before-Atom, then position in the
+    payload (U1). Bits: 4 | 35 | 1 | 23."""
+    return (F.shiftleft(src_rank.cast("bigint"), 59) + F.shiftleft(fetch_seq.cast("bigint"), 24)
+            + F.shiftleft(part.cast("bigint"), 23) + pos.cast("bigint"))
+
+
+def items_from_raw(raw: DataFrame, cfg: CurationConfig, spark: SparkSession,
+                   hn_top: DataFrame | None = None, hn_stories: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Landed payloads of one or more sweeps -> (ITEM rows, fetch-log rows).
+
+    Gating (S8) drops disabled and skipped sources; each source type goes
+    through its parser (S1-S6); failed fetches (``error`` set) give no
+    items; RSS fetches also give fetch-log rows (K2). ``hn_top`` (sweep_id,
+    rank, id) and ``hn_stories`` (sweep_id, id, body) carry the top-story
+    list when the Hacker News source is used.
+    """
+    from ..functions.ids import item_id
+    from ..sources import gating
+    from ..sources import json_feeds as jf
+    from ..sources import xml_feeds as xf
+    from ..config import SOURCE_ORDER, SourceConfig
+
+    srcs = list(cfg.sources) or [SourceConfig(n) for n in SOURCE_ORDER]   # unset: all enabled
+    gated = gating.gate(raw, gating.source_config_table(spark, srcs), cfg.default_domain)
+    live = gated.where((F.col("action") == "fetch") & F.col("error").isNull())
+    rank = {n: i for i, n in enumerate(SOURCE_ORDER)}
+    keep = ("sweep_id", "sweep_ts", "fetch_seq", "feed_name", "domain")
+    sweeps_ts = raw.select("sweep_id", "sweep_ts").distinct()
+
+    def item_rows(df, source_type, part_col="part"):
+        return df.select(
+            "sweep_id", "sweep_ts", F.lit(source_type).alias("source_type"),
+            arrival_seq(F.lit(rank.get(source_type, 15)), F.col("fetch_seq"), F.col(part_col), F.col("pos")).alias("seq"),
+            item_id(F.col("url")).alias("item_id"), "title", "url", "summary", "source", "domain", "published")
+
+    parts = []
+    rss = xf.feed_items(live.where(F.col("source_type") == "rss"), keep)
+    parts.append(item_rows(rss, "rss"))
+    arx = xf.arxiv_items(live.where(F.col("source_type") == "arxiv"), keep).withColumn("part", F.lit(0))
+    parts.append(item_rows(arx, "arxiv"))
+    hn_raw = live.where((F.col("source_type") == "hackernews") & (F.col("sweep_type") == "full"))
+    hits = jf.hn_search_hits(hn_raw.withColumnRenamed("fetch_seq", "query_seq"))
+    search = (jf.hn_search_items(hits).join(sweeps_ts, "sweep_id")
+              .withColumnRenamed("query_seq", "fetch_seq").withColumn("part", F.lit(0)))
+    parts.append(item_rows(search, "hackernews"))
+    if hn_top is not None and hn_stories is not None:
+        cands = jf.hn_top_stories(hn_top, hn_stories, cfg.top_n)
+        top = (jf.hn_top_items(cands, cfg.keywords, cfg.min_points, seen_urls=hits).join(sweeps_ts, "sweep_id")
+               .select("sweep_id", "sweep_ts", F.lit((1 << 35) - 1).alias("fetch_seq"), F.lit(0).alias("part"),
+                       (F.col("rank") - 1).alias("pos"), "title", "url", "summary", "source", "domain", "published"))
+        parts.append(item_rows(top, "hackernews"))
+    serp_raw = live.where(F.col("source_type") == "serp").withColumnRenamed("fetch_seq", "query_seq")
+    serp = (jf.serp_items(jf.serp_results(serp_raw), cfg.skip_domains).join(sweeps_ts, "sweep_id")
+            .withColumnRenamed("query_seq", "fetch_seq").withColumn("part", F.lit(0)))
+    parts.append(item_rows(serp, "serp"))
+    items = parts[0]
+    for p in parts[1:]:
+        items = items.unionByName(p)
+    fetches = xf.fetch_log_rows(gated.where((F.col("source_type") == "rss") & (F.col("action") == "fetch")))
+    return items, fetches

@@ -149,8 +149,9 @@ def fetch_log_rows(raw: DataFrame) -> DataFrame:
                     F.lit(0))
          + F.coalesce(F.when(F.col("_atom_ok"), titled(F.col("_doc.entry"))), F.lit(0)))
     ok = F.col("error").isNull()
+    sweep = [F.col("sweep_id")] if "sweep_id" in raw.columns else []
     return p.select(
-        F.concat(F.lit("rss:"), F.col("feed_name")).alias("feed_id"), F.col("feed_url"),
+        *sweep, F.concat(F.lit("rss:"), F.col("feed_name")).alias("feed_id"), F.col("feed_url"),
         F.col("sweep_ts").alias("ts"), F.col("fetch_seq").alias("seq"), ok.alias("ok"),
         F.when(ok, F.lit(None)).otherwise(F.coalesce("status_code", F.lit(0))).cast("int").alias("status_code"),
         F.col("error"), F.when(ok, n).otherwise(F.lit(0)).cast("int").alias("item_count"))
