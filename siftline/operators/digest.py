@@ -121,73 +121,93 @@ def digest_lines(sweeps: DataFrame, sick: DataFrame, warnings: DataFrame, shown:
     ``feed_health_asof``; ``warnings``: sweep_id, ord, warning; ``shown``:
     budgeted items (sweep_id, tier, rank, title, url, source, domain,
     reason); ``quality``: from ``source_quality_asof``.
+
+    Each input is read once and emits all of its lines with one
+    ``explode``: a section's header and closing blank line come from the
+    section's first row (rank 1), not from a second pass over the input.
     """
     sid = F.col("sweep_id")
     st = F.col("sweep_type")
-    head = _rows(sweeps,
-                 _line(sid, 0, 0, 0, 0, F.concat(F.lit("# Digest | "), F.date_format("sweep_ts", "yyyy-MM-dd"),
-                                                 F.lit(" "), sweep_label(st))),
-                 _line(sid, 0, 0, 0, 1, F.lit("")))
-    sick_sw = sick.select("sweep_id").distinct()
-    sick_head = _rows(sick_sw, _line(sid, 1, 0, 0, 0, F.lit(HEALTH_HEADER)), _line(sid, 1, 2, 0, 0, F.lit("")))
-    feed_rank = F.dense_rank().over(Window.partitionBy("sweep_id").orderBy("feed_id"))
-    sick_lines = sick.withColumn("_r", feed_rank).select(_line(
-        sid, 1, 1, F.col("_r"), 0,
-        F.concat(F.lit("- **"), F.col("feed_id"), F.lit("** -- "), F.col("consecutive_failures").cast("string"),
-                 F.lit(" consecutive failures. Last error: "), F.coalesce("last_error", F.lit("unknown")),
-                 F.lit(" (HTTP "), F.coalesce(F.col("last_status_code").cast("string"), F.lit("?")), F.lit(")")))
-        .alias("_l")).select("_l.*")
-    warn_sw = warnings.select("sweep_id").distinct()
-    warn_head = _rows(warn_sw, _line(sid, 2, 0, 0, 0, F.lit(QUALITY_HEADER)), _line(sid, 2, 2, 0, 0, F.lit("")))
-    warn_lines = warnings.select(_line(sid, 2, 1, F.col("ord"), 0,
-                                       F.concat(F.lit("- "), F.col("warning"))).alias("_l")).select("_l.*")
+    nothing = F.lit(None).cast("string")
+
+    def lines(df: DataFrame, *parts: Column) -> DataFrame:
+        return df.select(F.explode(F.array(*parts)).alias("_l")).select("_l.*").where(F.col("line").isNotNull())
+
+    # sweep lines: title, clean-day note, totals (post-budget counts)
+    counts = shown.groupBy("sweep_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("tier") == "RED").alias("r"),
+        F.count_if(F.col("tier") == "ORANGE").alias("o"), F.count_if(F.col("tier") == "YELLOW").alias("y"))
+    tot = sweeps.join(counts, "sweep_id", "left").na.fill(0, ["n", "r", "o", "y"])
+    clean = F.col("n") == 0
+    sweep_parts = [
+        _line(sid, 0, 0, 0, 0, F.concat(F.lit("# Digest | "), F.date_format("sweep_ts", "yyyy-MM-dd"),
+                                        F.lit(" "), sweep_label(st))),
+        _line(sid, 0, 0, 0, 1, F.lit("")),
+        _line(sid, 3, 0, 0, 0, F.when(clean, F.lit(CLEAN_DAY))),
+        _line(sid, 3, 0, 0, 1, F.when(clean, F.lit(""))),
+        _line(sid, 4, 0, 0, 0, F.lit("---")),
+        _line(sid, 4, 0, 0, 1, F.concat(
+            F.lit("*"), F.col("n").cast("string"), F.lit(" items surfaced from "), st,
+            F.lit(" sweep. RED: "), F.col("r").cast("string"), F.lit(", ORANGE: "),
+            F.col("o").cast("string"), F.lit(", YELLOW: "), F.col("y").cast("string"), F.lit("*"))),
+        _line(sid, 4, 0, 0, 2, F.lit(""))]
+    if orient_prompt:
+        sweep_parts.append(_line(sid, 6, 0, 0, 0, F.lit(orient_prompt)))
+    out = lines(tot, *sweep_parts)
+
+    # feed health section
+    r = F.dense_rank().over(Window.partitionBy("sweep_id").orderBy("feed_id"))
+    first = F.col("_r") == 1
+    out = out.unionByName(lines(
+        sick.withColumn("_r", r),
+        _line(sid, 1, 0, 0, 0, F.when(first, F.lit(HEALTH_HEADER))),
+        _line(sid, 1, 2, 0, 0, F.when(first, F.lit(""))),
+        _line(sid, 1, 1, F.col("_r"), 0, F.concat(
+            F.lit("- **"), F.col("feed_id"), F.lit("** -- "), F.col("consecutive_failures").cast("string"),
+            F.lit(" consecutive failures. Last error: "), F.coalesce("last_error", F.lit("unknown")),
+            F.lit(" (HTTP "), F.coalesce(F.col("last_status_code").cast("string"), F.lit("?")), F.lit(")")))))
+
+    # extraction quality section
+    wr = F.row_number().over(Window.partitionBy("sweep_id").orderBy("ord"))
+    out = out.unionByName(lines(
+        warnings.withColumn("_r", wr),
+        _line(sid, 2, 0, 0, 0, F.when(first, F.lit(QUALITY_HEADER))),
+        _line(sid, 2, 2, 0, 0, F.when(first, F.lit(""))),
+        _line(sid, 2, 1, F.col("ord"), 0, F.concat(F.lit("- "), F.col("warning")))))
+
+    # tier sections: the rank-1 item of a tier carries its header
     tier_ord = F.lit(None).cast("bigint")
-    label = F.lit(None).cast("string")
+    label = nothing
     for i, t in enumerate(tiers):
         tier_ord = F.when(F.col("tier") == t, F.lit(i)).otherwise(tier_ord)
         label = F.when(F.col("tier") == t, F.lit(tier_labels.get(t, t))).otherwise(label)
-    tier_sw = shown.select("sweep_id", "tier").distinct().withColumn("_t", tier_ord).withColumn("_lab", label)
-    tier_head = _rows(tier_sw, _line(sid, 3, F.col("_t"), 0, 0, F.concat(F.lit("## "), F.col("_lab"))),
-                      _line(sid, 3, F.col("_t"), 0, 1, F.lit("")))
-    items = shown.withColumn("_t", tier_ord)
+    head = F.col("rank") == 1
     reason = F.coalesce(F.col("reason"), F.lit(""))
-    item_lines = items.select(F.explode(F.array(
+    out = out.unionByName(lines(
+        shown.withColumn("_t", tier_ord),
+        _line(sid, 3, F.col("_t"), 0, 0, F.when(head, F.concat(F.lit("## "), label))),
+        _line(sid, 3, F.col("_t"), 0, 1, F.when(head, F.lit(""))),
         _line(sid, 3, F.col("_t"), F.col("rank"), 0,
               F.concat(F.lit("- **["), F.col("title"), F.lit("]("), F.col("url"), F.lit(")** `"),
                        F.col("source"), F.lit("` `"), F.col("domain"), F.lit("`"))),
         _line(sid, 3, F.col("_t"), F.col("rank"), 1, F.when(reason != "", F.concat(F.lit("  "), reason))),
-        _line(sid, 3, F.col("_t"), F.col("rank"), 2, F.lit("")))).alias("_l")).select("_l.*") \
-        .where(F.col("line").isNotNull())
-    counts = shown.groupBy("sweep_id").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("tier") == "RED").alias("r"),
-        F.count_if(F.col("tier") == "ORANGE").alias("o"), F.count_if(F.col("tier") == "YELLOW").alias("y"))
-    tot = sweeps.join(counts, "sweep_id", "left").na.fill(0, ["n", "r", "o", "y"])
-    clean = _rows(tot.where(F.col("n") == 0), _line(sid, 3, 0, 0, 0, F.lit(CLEAN_DAY)),
-                  _line(sid, 3, 0, 0, 1, F.lit("")))
-    stats = _rows(tot,
-                  _line(sid, 4, 0, 0, 0, F.lit("---")),
-                  _line(sid, 4, 0, 0, 1, F.concat(
-                      F.lit("*"), F.col("n").cast("string"), F.lit(" items surfaced from "), st,
-                      F.lit(" sweep. RED: "), F.col("r").cast("string"), F.lit(", ORANGE: "),
-                      F.col("o").cast("string"), F.lit(", YELLOW: "), F.col("y").cast("string"), F.lit("*"))),
-                  _line(sid, 4, 0, 0, 2, F.lit("")))
-    q_sw = quality.select("sweep_id").distinct()
-    q_head = _rows(q_sw, _line(sid, 5, 0, 0, 0, F.lit(RATES_HEADER)), _line(sid, 5, 2, 0, 0, F.lit("")))
+        _line(sid, 3, F.col("_t"), F.col("rank"), 2, F.lit(""))))
+
+    # source signal rates: header if the sweep has any scored source, rows
+    # for sources with enough scores, highest rate first
     pct = rate_pct("scored_3plus", "total_scored")
-    q_rank = F.row_number().over(Window.partitionBy("sweep_id").orderBy(pct.desc(), F.col("source")))
-    q_lines = (quality.where(F.col("total_scored") >= QUALITY_FOOTER_MIN_SCORED)
-               .withColumn("_r", q_rank)
-               .select(_line(sid, 5, 1, F.col("_r"), 0, F.concat(
-                   F.lit("- `"), F.col("source"), F.lit("` signal: "), pct.cast("string"), F.lit("% ("),
-                   F.col("scored_3plus").cast("string"), F.lit("/"), F.col("total_scored").cast("string"),
-                   F.lit(")"))).alias("_l")).select("_l.*"))
-    parts = [head, sick_head, sick_lines, warn_head, warn_lines, tier_head, item_lines, clean, stats,
-             q_head, q_lines]
-    if orient_prompt:
-        parts.append(_rows(sweeps, _line(sid, 6, 0, 0, 0, F.lit(orient_prompt))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    any_r = F.row_number().over(Window.partitionBy("sweep_id").orderBy("source"))
+    enough = F.col("total_scored") >= QUALITY_FOOTER_MIN_SCORED
+    rate_r = F.row_number().over(Window.partitionBy("sweep_id").orderBy(
+        (~enough).cast("int"), pct.desc(), F.col("source")))
+    out = out.unionByName(lines(
+        quality.withColumn("_r", any_r).withColumn("_q", rate_r),
+        _line(sid, 5, 0, 0, 0, F.when(first, F.lit(RATES_HEADER))),
+        _line(sid, 5, 2, 0, 0, F.when(first, F.lit(""))),
+        _line(sid, 5, 1, F.col("_q"), 0, F.when(enough, F.concat(
+            F.lit("- `"), F.col("source"), F.lit("` signal: "), pct.cast("string"), F.lit("% ("),
+            F.col("scored_3plus").cast("string"), F.lit("/"), F.col("total_scored").cast("string"),
+            F.lit(")"))))))
     return out
 
 

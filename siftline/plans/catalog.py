@@ -469,8 +469,11 @@ def q_digest_lines(spark, sf_dir):
     sick = dg.feed_health_asof(log, sweeps)
     report = val.report_from_items(fx.feed_item_rows(spark, sf_dir))
     warnings = val.quality_warnings(report, sweeps, [s.name for s in CFG.enabled_sources()])
-    shown = _shown(spark, sf_dir).select("sweep_id", "tier", "rank", "title", "url", "source", "domain", "reason")
-    quality = dg.source_quality_asof(_scored(spark, sf_dir), sweeps)
+    scored = _scored(spark, sf_dir).select(
+        "sweep_id", "seq", "item_id", "title", "url", "source", "domain", "score", "tier", "reason")
+    shown = rp.apply_budgets(rp.surfaced(scored, CFG.min_score), CFG.budgets).select(
+        "sweep_id", "tier", "rank", "title", "url", "source", "domain", "reason")
+    quality = dg.source_quality_asof(scored, sweeps)
     lines = dg.digest_lines(sweeps, sick, warnings, shown, quality, CFG.orient_prompt)
     return dg.digest_text(lines)
 
