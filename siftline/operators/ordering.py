@@ -36,27 +36,28 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
 
 
 def positions(df: DataFrame, group: Sequence[str], order: Sequence[str],
-              pos: str = "rn", num_partitions: int | None = None) -> DataFrame:
-    """0-based position of each row within ``group`` by ``order``, without
-    a one-partition window when a group is huge.
-
-    Rows are range-partitioned on ``group + order`` and sorted within
-    partitions; a row's position is its index inside the partition minus
-    the index of its group's first row there, plus the rows of its group in
-    lower partitions. Those offsets come from a table of (group, partition)
-    counts whose size is bounded by partitions + groups, not by rows.
-    ``group + order`` must be unique.
+              pos: str = "rn", num_partitions: int | None = None, block_bits: int = 16) -> DataFrame:
+    """0-based position of each row within ``group`` by one integral
+    ``order`` column (unique within the group), without a one-partition
+    window when a group is huge.
+
+    Rows fall into blocks of the order value (``order >> block_bits``). A
+    row's position is the number of rows of its group in lower blocks (a
+    running sum over the small table of per-block counts) plus its rank
+    inside the block (a window whose partition holds at most
+    ``2**block_bits`` rows, whatever the size of the group). Everything
+    depends on data values only, so any re-execution, with any partitioning,
+    gives the same positions. ``num_partitions`` is accepted for callers
+    and unused.
     """
-    cols = [*group, *order]
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-              .withColumn("_pid", F.spark_partition_id())
-              # monotonically_increasing_id = (partition << 33) + index in partition
-              .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
-    counts = ranged.groupBy(*group, "_pid").agg(F.count(F.lit(1)).alias("_n"),
-                                                F.min("_local").alias("_start"))
-    w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    return (ranged.join(offsets, [*group, "_pid"])
-            .withColumn(pos, (F.col("_off") + F.col("_local") - F.col("_start")).cast("bigint"))
-            .drop("_pid", "_local", "_off", "_start"))
+    if len(order) != 1:
+        raise ValueError("positions() orders by one integral column")
+    o = order[0]
+    blocked = df.withColumn("_blk", F.shiftright(F.col(o).cast("bigint"), block_bits))
+    counts = blocked.groupBy(*group, "_blk").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*group).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*group, "_blk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    local = F.row_number().over(Window.partitionBy(*group, "_blk").orderBy(o)) - 1
+    return (blocked.withColumn("_local", local).join(offsets, [*group, "_blk"])
+            .withColumn(pos, (F.col("_off") + F.col("_local")).cast("bigint"))
+            .drop("_blk", "_local", "_off"))

@@ -40,3 +40,17 @@ def test_positions_across_partitions(spark):
     for s in range(3):
         seqs = sorted(q for (g, q) in got if g == s)
         assert [got[(s, q)] for q in seqs] == list(range(len(seqs)))
+
+
+def test_positions_do_not_depend_on_partitioning(spark):
+    """Positions must be a function of the data only: two executions over
+    differently partitioned inputs give the same numbering (a join of the
+    two would otherwise pair different rows)."""
+    from siftline.operators.ordering import positions
+    base = spark.range(5000).select((F.col("id") % 2).alias("sweep_id"), (F.col("id") * 7919 % 100003).alias("seq"))
+    a = positions(base.repartition(7), ["sweep_id"], ["seq"], "a")
+    b = positions(base.repartition(3, "seq"), ["sweep_id"], ["seq"], "b")
+    j = a.join(b, ["sweep_id", "seq"])
+    assert j.count() == 5000 and j.where("a != b").count() == 0
+    per = {r.sweep_id: sorted(r.ps) for r in a.groupBy("sweep_id").agg(F.collect_list("a").alias("ps")).collect()}
+    assert all(v == list(range(len(v))) for v in per.values())
