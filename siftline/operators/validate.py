@@ -108,18 +108,30 @@ def quality_warning(source="source_type", total="total", valid="valid",
 EMPTY_SWEEP_WARNING = "0 items fetched from all sources -- check config and network."
 
 
-def quality_warnings(report: DataFrame, sweeps: DataFrame, sources: Sequence[str]) -> DataFrame:
+def quality_warnings(report: DataFrame, sweeps: DataFrame, sources: Sequence) -> DataFrame:
     """Warnings per sweep in render order (A2 + A11).
 
-    ``sweeps``: one row per sweep (``sweep_id``); ``sources``: the enabled
-    source types in registry order. A source with no rows in a sweep still
-    gets its "returned 0 items" row, so each sweep is expanded to its
-    enabled sources with a literal array (config-sized, no join) and the
-    report is left-joined to that.
+    ``sweeps``: one row per sweep (``sweep_id``, optionally
+    ``sweep_type``); ``sources``: the enabled source types in registry
+    order, as names or ``SourceConfig``. A source that was called but gave
+    no rows still gets its "returned 0 items" row, so each sweep is
+    expanded to its called sources with a literal array (config-sized, no
+    join) and the report is left-joined to that. A web-search source marked
+    ``sweep: full`` is not called on light sweeps, so it gets no row there.
     """
-    srcs = F.array(*[F.struct(F.lit(n).alias("source_type"), F.lit(i).cast("bigint").alias("ord"))
-                     for i, n in enumerate(sources)])
-    grid = sweeps.select("sweep_id", F.explode(srcs).alias("_s")).select("sweep_id", "_s.*")
+    from ..sources.gating import SEARCH_SOURCE
+    cfgs = [(s, None) if isinstance(s, str) else (s.name, s.sweep) for s in sources]
+    srcs = F.array(*[F.struct(F.lit(n).alias("source_type"), F.lit(i).cast("bigint").alias("ord"),
+                              F.lit(sw).cast("string").alias("_sweep"))
+                     for i, (n, sw) in enumerate(cfgs)])
+    typed = "sweep_type" in sweeps.columns
+    keep = ["sweep_id"] + (["sweep_type"] if typed else [])
+    grid = sweeps.select(*keep, F.explode(srcs).alias("_s")).select(*keep, "_s.*")
+    if typed:
+        skipped = ((F.col("sweep_type") == "light") & (F.col("source_type") == SEARCH_SOURCE)
+                   & F.col("_sweep").eqNullSafe("full"))
+        grid = grid.where(~skipped)
+    grid = grid.select("sweep_id", "source_type", "ord")
     rep = grid.join(report, ["sweep_id", "source_type"], "left").na.fill(
         0, ["total", "valid", "empty_title", "empty_url", "malformed_url",
             "duplicate_in_batch", "empty_summary"])

@@ -64,7 +64,7 @@ def run_sweeps(spark: SparkSession, items: DataFrame, sweeps: DataFrame, cfg: Cu
     """Process new sweeps. ``items``: ITEM rows; ``sweeps``: (sweep_id,
     sweep_ts, sweep_type); ``fetches``: fetch-log rows of these sweeps."""
     items = items.drop("score", "tier", "reason")   # scores come from the scorer only
-    sources = [s.name for s in cfg.enabled_sources()] or sorted(
+    sources = cfg.enabled_sources() or sorted(
         r.source_type for r in items.select("source_type").distinct().collect())
     checked = val.validate_items(items)          # per-row reasons, lazily, for callers
     report = val.report_from_items(items)

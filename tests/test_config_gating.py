@@ -68,3 +68,16 @@ def test_report_from_items_equals_row_level_report(spark):
         "sweep_id", "source_type", "total", "valid", "empty_title", "empty_url", "malformed_url",
         "duplicate_in_batch", "empty_summary").collect())
     assert a == b
+
+
+def test_skipped_search_source_gives_no_warning(spark):
+    items = spark.createDataFrame([(1, "rss", 0, "a", "t", "http://a", "s"), (2, "rss", 1, "a", "t", "http://a", "s")],
+                                  "sweep_id long, source_type string, seq long, item_id string, title string, "
+                                  "url string, summary string")
+    sweeps = spark.createDataFrame([(1, "full"), (2, "light")], "sweep_id long, sweep_type string")
+    srcs = [SourceConfig("rss"), SourceConfig("serp", sweep="full")]
+    w = {(r.sweep_id, r.source_type) for r in val.quality_warnings(val.report_from_items(items), sweeps, srcs).collect()}
+    assert w == {(1, "serp")}               # called on the full sweep, explicitly skipped on the light one
+    unset = [SourceConfig("rss"), SourceConfig("serp")]
+    w2 = {(r.sweep_id, r.source_type) for r in val.quality_warnings(val.report_from_items(items), sweeps, unset).collect()}
+    assert w2 == {(1, "serp"), (2, "serp")}   # sweep unset: called on light sweeps too, returns nothing
