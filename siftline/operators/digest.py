@@ -44,10 +44,13 @@ def carry_forward(states: DataFrame, key: Sequence[str], sweeps: DataFrame) -> D
     return spread.join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
 
 
-def feed_health_asof(log: DataFrame, sweeps: DataFrame, threshold: int = SICK_FEED_THRESHOLD) -> DataFrame:
+def feed_health_asof(log: DataFrame, sweeps: DataFrame, threshold: int = SICK_FEED_THRESHOLD,
+                     prior: DataFrame | None = None) -> DataFrame:
     """Sick feeds as of each sweep: ``(sweep_id, feed_id,
     consecutive_failures, last_error, last_status_code)``. ``log`` rows
-    carry the ``sweep_id`` of the fetch."""
+    carry the ``sweep_id`` of the fetch. ``prior`` (a folded state from
+    ``operators.folds``, as of before these sweeps) lets a run read only
+    the new part of the log: it enters as one delta row per feed."""
     ok = F.col("ok")
     key = F.struct("ts", "seq")
     per = log.groupBy("feed_id", "sweep_id").agg(
@@ -58,11 +61,21 @@ def feed_health_asof(log: DataFrame, sweeps: DataFrame, threshold: int = SICK_FE
                 .join(per.select("feed_id", "sweep_id", "_last_ok"), ["feed_id", "sweep_id"])
                 .where(F.col("_last_ok").isNotNull() & (F.col("_k") > F.col("_last_ok")))
                 .groupBy("feed_id", "sweep_id").agg(F.count(F.lit(1)).alias("trailing")))
-    d = per.join(trailing, ["feed_id", "sweep_id"], "left").na.fill(0, ["trailing"])
+    d = (per.join(trailing, ["feed_id", "sweep_id"], "left").na.fill(0, ["trailing"])
+         .select("feed_id", "sweep_id", "failures", F.col("_last_ok").isNotNull().alias("_ok"), "trailing",
+                 F.col("_lf").cast("struct<ts:timestamp,seq:bigint,status_code:int,error:string>").alias("_lf")))
+    if prior is not None:
+        # only the trailing failures of the prior state matter from here on
+        start = sweeps.agg(F.min("sweep_id")).scalar() - F.lit(1)
+        c = F.col("consecutive_failures")
+        d = d.unionByName(prior.select(
+            "feed_id", start.alias("sweep_id"), c.alias("failures"), F.col("has_success").alias("_ok"),
+            c.alias("trailing"),
+            F.col("last_failure_key").cast("struct<ts:timestamp,seq:bigint,status_code:int,error:string>")
+            .alias("_lf")))
     run = Window.partitionBy("feed_id").orderBy("sweep_id").rowsBetween(Window.unboundedPreceding, 0)
-    cum = F.sum("failures").over(run)
-    d = d.withColumn("_cum", cum)
-    base = F.last(F.when(F.col("_last_ok").isNotNull(), F.col("_cum") - F.col("trailing")), True).over(run)
+    d = d.withColumn("_cum", F.sum("failures").over(run))
+    base = F.last(F.when(F.col("_ok"), F.col("_cum") - F.col("trailing")), True).over(run)
     state = d.select(
         "feed_id", "sweep_id",
         (F.col("_cum") - F.coalesce(base, F.lit(0))).cast("bigint").alias("consecutive_failures"),
@@ -85,11 +98,17 @@ def feed_health_asof(log: DataFrame, sweeps: DataFrame, threshold: int = SICK_FE
     return spread.select("sweep_id", "feed_id", "consecutive_failures", "last_error", "last_status_code")
 
 
-def source_quality_asof(scores: DataFrame, sweeps: DataFrame) -> DataFrame:
-    """Cumulative scoring counts per source as of each sweep."""
+def source_quality_asof(scores: DataFrame, sweeps: DataFrame, prior: DataFrame | None = None) -> DataFrame:
+    """Cumulative scoring counts per source as of each sweep; ``prior``
+    (source, total_scored, scored_3plus, scored_4plus) is the state before
+    these sweeps."""
     s = F.col("score")
     per = scores.groupBy("source", "sweep_id").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(s >= 3).alias("n3"), F.count_if(s >= 4).alias("n4"))
+    if prior is not None:
+        start = sweeps.agg(F.min("sweep_id")).scalar() - F.lit(1)
+        per = per.unionByName(prior.select("source", start.alias("sweep_id"), F.col("total_scored").alias("n"),
+                                           F.col("scored_3plus").alias("n3"), F.col("scored_4plus").alias("n4")))
     run = Window.partitionBy("source").orderBy("sweep_id").rowsBetween(Window.unboundedPreceding, 0)
     state = per.select("source", "sweep_id",
                        F.sum("n").over(run).cast("bigint").alias("total_scored"),

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..config import CurationConfig
 from ..operators import curate as cur
 from ..operators import digest as dg
+from ..operators import folds as fl
 from ..operators import reports as rp
 from ..operators import scoring as sc
 from ..operators import validate as val
@@ -94,10 +95,20 @@ def run_sweeps(spark: SparkSession, items: DataFrame, sweeps: DataFrame, cfg: Cu
 
     surf = rp.surfaced(scored_items, cfg.min_score)
     shown = rp.apply_budgets(surf, cfg.budgets)
+    # as-of state for the digests: latest snapshot before these sweeps
+    # merged with the new log rows only, then a new snapshot
+    first, last = sweeps.agg(F.min("sweep_id")).scalar(), sweeps.agg(F.max("sweep_id")).scalar()
     if fetches is not None:
         store.write(fetches, "fetch_log")
-    sick = dg.feed_health_asof(store.read(spark, "fetch_log"), sweeps)
-    quality = dg.source_quality_asof(score_log, sweeps)
+    new_log = store.read(spark, "fetch_log").join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
+    prev_feed = store.snapshot_before(spark, "feed_state", first)
+    sick = dg.feed_health_asof(new_log, sweeps, prior=prev_feed)
+    store.write(fl.merge_feed_health(prev_feed, fl.feed_health_delta(new_log)).withColumn("as_of_sweep", last),
+                "feed_state")
+    prev_q = store.snapshot_before(spark, "quality_state", first)
+    quality = dg.source_quality_asof(new_scores, sweeps, prior=prev_q)
+    store.write(fl.merge_source_quality(prev_q, fl.source_quality_counts(new_scores)).withColumn("as_of_sweep", last),
+                "quality_state")
     lines = dg.digest_lines(sweeps, sick, warnings, shown.select(
         "sweep_id", "tier", "rank", "title", "url", "source", "domain", "reason"), quality, cfg.orient_prompt)
     digests = store.read_back(spark, dg.digest_text(lines), "digests") \

@@ -31,14 +31,29 @@ SCHEMAS = {
                    "orange_count bigint, yellow_count bigint, filepath string"),
     "digests": "sweep_id bigint, n_lines bigint, digest string",
     "warnings": "sweep_id bigint, ord bigint, source_type string, warning string",
+    # folded state as of the last sweep of a run (snapshots; a run reads
+    # the latest one before its sweeps and the new log rows only)
+    "feed_state": ("feed_id string, feed_url string, first_key struct<ts:timestamp,seq:bigint,feed_url:string>, "
+                   "total_fetches bigint, total_items bigint, last_success timestamp, last_failure timestamp, "
+                   "last_status_code bigint, last_error string, "
+                   "last_failure_key struct<ts:timestamp,seq:bigint,status_code:int,error:string>, "
+                   "has_success boolean, failures bigint, consecutive_failures bigint, as_of_sweep bigint"),
+    "quality_state": "source string, total_scored bigint, scored_3plus bigint, scored_4plus bigint, as_of_sweep bigint",
 }
 PARTITIONS = {
     "items_seen": ("first_seen_date", "sweep_id"),
     "curated": ("sweep_id",), "responses": ("sweep_id",), "score_log": ("sweep_id",), "fetch_log": ("sweep_id",),
     "digest_log": ("sweep_id",), "digests": ("sweep_id",), "warnings": ("sweep_id",),
+    "feed_state": ("as_of_sweep",), "quality_state": ("as_of_sweep",),
 }
 
 
+def _cols(schema: str) -> list[str]:
+    """Top-level column names of a DDL schema (struct fields use ','
+    without a space, columns ', ')."""
+    return [c.split()[0] for c in schema.split(", ")]
+
+
 @dataclass(frozen=True)
 class LogStore:
     """Logs under ``root`` (a folder every executor can reach)."""
@@ -57,15 +72,19 @@ class LogStore:
         schema = SCHEMAS[name]
         if not self.exists(spark, name):
             return spark.createDataFrame([], schema)
-        cols = [c.split()[0] for c in schema.split(", ")]
-        return spark.read.schema(schema).parquet(self.path(name)).select(*cols)
+        return spark.read.schema(schema).parquet(self.path(name)).select(*_cols(schema))
 
     def write(self, df: DataFrame, name: str) -> None:
         """Replace the partitions present in ``df``; others stay."""
-        cols = [c.split()[0] for c in SCHEMAS[name].split(", ")]
-        (df.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (df.select(*_cols(SCHEMAS[name])).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*PARTITIONS[name]).parquet(self.path(name)))
 
+    def snapshot_before(self, spark: SparkSession, name: str, sweep) -> DataFrame:
+        """The latest snapshot taken before ``sweep`` (a Column), or none."""
+        snaps = self.read(spark, name)
+        last = snaps.where(F.col("as_of_sweep") < sweep).agg(F.max("as_of_sweep")).scalar()
+        return snaps.where(F.col("as_of_sweep") == last).drop("as_of_sweep")
+
     def read_back(self, spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
         """Write, then read the written partitions back: cuts lineage, and
         makes non-deterministic inputs (model answers) fixed."""

@@ -36,6 +36,14 @@ def test_incremental_equals_replay_and_rerun_is_idempotent(spark, tmpdir_path):
     replay = catalog._curated(spark, SMOKE).where(F.col("sweep_id") <= 6)
     assert sorted(curated) == sorted((r.sweep_id, r.seq) for r in replay.collect())
 
+    # the same six sweeps in one run: same digests (snapshots + deltas = full fold)
+    one = LogStore(tmpdir_path + "/one")
+    whole = run_sweeps(spark, items, _sweeps(items), CFG, one, scorer=scorer, fetches=log)
+    d_one = {r.sweep_id: r.digest for r in whole.digests.collect()}
+    d_two = {r.sweep_id: r.digest for r in store.read(spark, "digests").collect()}
+    assert d_one == d_two and len(d_one) == 6
+    assert any("## FEED HEALTH" in t for t in d_one.values())
+
     counts = {n: store.read(spark, n).count() for n in ("items_seen", "score_log", "digest_log", "responses")}
     part = items.where(F.col("sweep_id").between(4, 6))
     run_sweeps(spark, part, _sweeps(part), CFG, store, scorer=scorer, digest_dir=tmpdir_path + "/md")
