@@ -42,8 +42,20 @@ def curate_against_store(items: DataFrame, store: LogStore, spark: SparkSession,
     """Curation of new sweeps given the seen-store.
     The first sighting of an item is the earlier of the store's (rows
     recorded by *other* sweeps, so a rerun sees the same store) and the new
-    sweeps' own."""
-    prior = store.read(spark, "items_seen").join(new_sweeps.select("sweep_id"), "sweep_id", "left_anti")
+    sweeps' own.
+
+    A run of one sweep reads only the store's recent ``first_seen_date``
+    partitions: an older first sighting never suppresses, and one sweep has
+    at most one row per item, so nothing else can. A run of several sweeps
+    needs every prior sighting of its items (an old one keeps a repeat
+    inside the run from counting as a first)."""
+    prior = store.read(spark, "items_seen")
+    bounds = new_sweeps.agg(F.count(F.lit(1)).alias("n"), F.min("sweep_ts").alias("t")).first()
+    if bounds is not None and bounds["n"] == 1 and bounds["t"] is not None:
+        from datetime import timedelta
+        cutoff = (bounds["t"] - timedelta(hours=cfg.dedup_window_hours)).date()
+        prior = prior.where(F.col("first_seen_date") >= F.lit(cutoff))        # partition pruning
+    prior = prior.join(new_sweeps.select("sweep_id"), "sweep_id", "left_anti")
     return cur.curate(items, cfg.skip_domains, cfg.skip_patterns, cfg.dedup_window_hours,
                       prior_first=prior.select("item_id", "first_seen"))
 

@@ -109,3 +109,17 @@ def test_raw_payloads_through_a_sweep(spark, tmpdir_path):
                    (1, "serp", "web")}
     log = {r.sweep_id: (r.items_fetched, r.items_after_dedup) for r in res.digest_log.collect()}
     assert log == {1: (5, 4), 2: (2, 0)}
+
+
+def test_single_sweep_runs_prune_the_store_and_match_replay(spark, tmpdir_path):
+    items = fx.feed_item_rows(spark, SMOKE).where(F.col("sweep_id") <= 5)
+    store = LogStore(tmpdir_path + "/logs")
+    got = []
+    for s in range(1, 6):
+        part = items.where(F.col("sweep_id") == s)
+        got += [(r.sweep_id, r.seq) for r in run_sweeps(spark, part, _sweeps(part), CFG, store).curated.collect()]
+    replay = catalog._curated(spark, SMOKE).where(F.col("sweep_id") <= 5)
+    assert sorted(got) == sorted((r.sweep_id, r.seq) for r in replay.collect())
+    plan = store.read(spark, "items_seen").where(F.col("first_seen_date") >= F.lit("2024-01-04").cast("date")) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(first_seen_date" in plan
