@@ -73,9 +73,16 @@ def record_seen(curated: DataFrame, store: LogStore, spark: SparkSession, new_sw
 
 def run_sweeps(spark: SparkSession, items: DataFrame, sweeps: DataFrame, cfg: CurationConfig,
                store: LogStore, scorer: sc.Scorer | None = None, fetches: DataFrame | None = None,
-               system_prompt: str = "", digest_dir: str | None = None) -> SweepResult:
+               system_prompt: str = "", digest_dir: str | None = None, mode: str = "full") -> SweepResult:
     """Process new sweeps. ``items``: ITEM rows; ``sweeps``: (sweep_id,
-    sweep_ts, sweep_type); ``fetches``: fetch-log rows of these sweeps."""
+    sweep_ts, sweep_type); ``fetches``: fetch-log rows of these sweeps.
+
+    ``mode``: ``full``; ``dry_run`` (everything, but no digest file and the
+    log's path is ``(dry-run)``); ``sources_only`` (items are recorded as
+    seen, then the run stops: no scoring, no digest, no digest log; the
+    curated listing is the result)."""
+    if mode not in ("full", "dry_run", "sources_only"):
+        raise ValueError(f"unknown mode {mode}")
     items = items.drop("score", "tier", "reason")   # scores come from the scorer only
     sources = cfg.enabled_sources() or sorted(
         r.source_type for r in items.select("source_type").distinct().collect())
@@ -88,6 +95,10 @@ def run_sweeps(spark: SparkSession, items: DataFrame, sweeps: DataFrame, cfg: Cu
     curated = store.read_back(spark, curate_against_store(items, store, spark, sweeps, cfg), "curated") \
         .join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
     record_seen(curated, store, spark, sweeps)
+    if mode == "sources_only":
+        listing = curated.select("sweep_id", "seq", "domain", "source", "title")
+        empty = spark.createDataFrame([], "sweep_id bigint")
+        return SweepResult(checked, curated, listing, empty, empty)
 
     batched = sc.number_batches(curated, cfg.batch_size)
     if scorer is None:
@@ -125,12 +136,13 @@ def run_sweeps(spark: SparkSession, items: DataFrame, sweeps: DataFrame, cfg: Cu
         "sweep_id", "tier", "rank", "title", "url", "source", "domain", "reason"), quality, cfg.orient_prompt)
     digests = store.read_back(spark, dg.digest_text(lines), "digests") \
         .join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
-    if digest_dir:
+    if digest_dir and mode == "full":
         digest_files(digests, digest_dir)
     fetched = report.select("sweep_id", F.col("valid").alias("items_fetched"))
     funnel = rp.sweep_funnel(sweeps.select("sweep_id", "sweep_ts", "sweep_type"), fetched, scored_items,
                              cfg.budgets, cfg.min_score)
-    dlog = store.read_back(spark, rp.digest_log(funnel, digest_dir or "digests"), "digest_log") \
+    dlog = store.read_back(spark, rp.digest_log(funnel, digest_dir or "digests", dry_run=(mode == "dry_run")),
+                           "digest_log") \
         .join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
     return SweepResult(checked, curated, scored_items, digests, dlog)
 

@@ -123,3 +123,17 @@ def test_single_sweep_runs_prune_the_store_and_match_replay(spark, tmpdir_path):
     plan = store.read(spark, "items_seen").where(F.col("first_seen_date") >= F.lit("2024-01-04").cast("date")) \
         ._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(first_seen_date" in plan
+
+
+def test_dry_run_and_sources_only(spark, tmpdir_path):
+    items = fx.feed_item_rows(spark, SMOKE).where(F.col("sweep_id") == 2)
+    dry = run_sweeps(spark, items, _sweeps(items), CFG, LogStore(tmpdir_path + "/a"), mode="dry_run",
+                     digest_dir=tmpdir_path + "/md")
+    assert {r.filepath for r in dry.digest_log.collect()} == {"(dry-run)"}
+    import os
+    assert not os.path.exists(tmpdir_path + "/md")
+    store = LogStore(tmpdir_path + "/b")
+    src = run_sweeps(spark, items, _sweeps(items), CFG, store, mode="sources_only")
+    assert src.scored.columns == ["sweep_id", "seq", "domain", "source", "title"]
+    assert store.read(spark, "items_seen").count() == src.curated.count() > 0
+    assert not store.exists(spark, "digest_log") and not store.exists(spark, "score_log")
