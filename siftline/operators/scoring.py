@@ -67,8 +67,10 @@ def extract_json_array(text: Column) -> Column:
     return F.when(F.instr(text, '[{"') > 0, obj).otherwise(any_)
 
 
-def parse_responses(responses: DataFrame, group: Sequence[str] = ("sweep_id",)) -> DataFrame:
-    """Response rows -> (group, batch, idx, score, tier, why, ok) (M3).
+def parse_responses(responses: DataFrame, group: Sequence[str] = ("sweep_id",)) -> tuple[DataFrame, DataFrame]:
+    """Response rows -> (batch status, parsed elements) (M3): status rows
+    ``(group, batch, ok)`` and element rows ``(group, batch, idx, score,
+    tier, why)``.
 
     ``ok`` is false for the whole batch when no JSON array is found, it
     does not parse, or an element lacks ``idx``. Repeated idx: the last

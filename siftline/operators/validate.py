@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import ratio_pct_even
@@ -135,9 +135,14 @@ def quality_warnings(report: DataFrame, sweeps: DataFrame, sources: Sequence) ->
     rep = grid.join(report, ["sweep_id", "source_type"], "left").na.fill(
         0, ["total", "valid", "empty_title", "empty_url", "malformed_url",
             "duplicate_in_batch", "empty_summary"])
-    per_source = rep.select("sweep_id", "ord", "source_type", quality_warning().alias("warning"))
-    fetched = rep.groupBy("sweep_id").agg(F.sum("valid").alias("_fetched"))
-    whole = fetched.where(F.col("_fetched") == 0).select(
-        "sweep_id", F.lit(1_000_000).cast("bigint").alias("ord"),
-        F.lit(None).cast("string").alias("source_type"), F.lit(EMPTY_SWEEP_WARNING).alias("warning"))
-    return per_source.unionByName(whole).where(F.col("warning").isNotNull())
+    # one pass over the (small) per-source report: each row emits its own
+    # warning; the sweep's first source also emits the whole-sweep one
+    sweep_w = Window.partitionBy("sweep_id")
+    rep = (rep.withColumn("_fetched", F.sum("valid").over(sweep_w))
+           .withColumn("_first", F.col("ord") == F.min("ord").over(sweep_w)))
+    both = F.array(
+        F.struct(F.col("ord"), F.col("source_type"), quality_warning().alias("warning")),
+        F.struct(F.lit(1_000_000).cast("bigint").alias("ord"), F.lit(None).cast("string").alias("source_type"),
+                 F.when(F.col("_first") & (F.col("_fetched") == 0), F.lit(EMPTY_SWEEP_WARNING)).alias("warning")))
+    return (rep.select("sweep_id", F.explode(both).alias("_w")).select("sweep_id", "_w.*")
+            .where(F.col("warning").isNotNull()))
