@@ -84,8 +84,9 @@ def run_sweeps(spark: SparkSession, items: DataFrame, sweeps: DataFrame, cfg: Cu
     if mode not in ("full", "dry_run", "sources_only"):
         raise ValueError(f"unknown mode {mode}")
     items = items.drop("score", "tier", "reason")   # scores come from the scorer only
-    sources = cfg.enabled_sources() or sorted(
-        r.source_type for r in items.select("source_type").distinct().collect())
+    from ..config import SOURCE_ORDER, SourceConfig
+    # no sources configured: every registry source, enabled by default
+    sources = cfg.enabled_sources() if cfg.sources else [SourceConfig(n) for n in SOURCE_ORDER]
     checked = val.validate_items(items)          # per-row reasons, lazily, for callers
     report = val.report_from_items(items)
     warnings = store.read_back(spark, val.quality_warnings(report, sweeps, sources), "warnings") \
