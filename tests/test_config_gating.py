@@ -81,3 +81,11 @@ def test_skipped_search_source_gives_no_warning(spark):
     unset = [SourceConfig("rss"), SourceConfig("serp")]
     w2 = {(r.sweep_id, r.source_type) for r in val.quality_warnings(val.report_from_items(items), sweeps, unset).collect()}
     assert w2 == {(1, "serp"), (2, "serp")}   # sweep unset: called on light sweeps too, returns nothing
+
+
+def test_scale_conf_sizes_partitions():
+    from siftline.session import scale_conf
+    c = scale_conf(100 << 40)                       # 100 TB
+    assert int(c["spark.sql.shuffle.partitions"]) == 200_000 or int(c["spark.sql.shuffle.partitions"]) >= 400_000 // 2
+    assert scale_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
+    assert int(scale_conf(1 << 40)["spark.sql.shuffle.partitions"]) == 4096
