@@ -30,7 +30,8 @@ ATOM_ENTRY = (f"struct<title:{_TXT},link:array<struct<_href:string>>,summary:{_T
 FEED_SCHEMA = (f"_xmlns string, channel struct<item:array<{RSS_ITEM}>>, item array<{RSS_ITEM}>, "
                f"entry array<{ATOM_ENTRY}>")
 
-_ATOM_PREFIX = r'xmlns:([A-Za-z_][\w.\-]*)\s*=\s*"http://www\.w3\.org/2005/Atom"'
+# a prefixed Atom root: <P:feed ...> with P bound to the Atom namespace
+_PREFIXED_ROOT = r"<([A-Za-z_][\w.\-]*):feed[\s>/]"
 
 
 def _first(arr) -> Column:
@@ -42,12 +43,16 @@ def parse_feed_xml(raw: DataFrame, body: str = "body") -> DataFrame:
 
     RSS items count only when the root has no default namespace (an RSS 1.0
     ``rdf:RDF`` document with a default namespace gives none, as in the
-    original); Atom entries only when the Atom namespace is declared, as
-    default or as a prefix (prefixed tags are rewritten to plain ones).
+    original); an RSS 2.0 root that merely declares ``xmlns:atom`` for a
+    self link still counts. Atom entries count when the root is in the Atom
+    namespace, by default namespace or as ``<P:feed>`` with P bound to it
+    (then P's tags are rewritten to plain ones).
     A malformed body parses to null: zero items, the fetch still succeeds.
     """
     b = F.col(body)
-    prefix = F.regexp_extract(b, _ATOM_PREFIX, 1)
+    root_prefix = F.regexp_extract(b, _PREFIXED_ROOT, 1)
+    declared = F.instr(b, F.concat(F.lit("xmlns:"), root_prefix, F.lit(f'="{ATOM_NS}"'))) > 0
+    prefix = F.when((root_prefix != "") & declared, root_prefix).otherwise(F.lit(""))
     norm = F.when(prefix != "", F.regexp_replace(b, F.concat(F.lit("<(/?)"), prefix, F.lit(":")),
                                                  F.lit("<$1"))).otherwise(b)
     return (raw.withColumn("_prefix", prefix)

@@ -107,3 +107,11 @@ def test_score_response_parsing(spark):
     assert out[(4, 2)] == (3, "YELLOW", "")
     none = {r.reason for r in sc.apply_scores(batched, None).collect()}
     assert none == {"unscored -- no API key"}
+
+
+def test_rss_declaring_atom_prefix_still_parses(spark):
+    body = ('<?xml version="1.0"?><rss version="2.0" xmlns:atom="http://www.w3.org/2005/Atom"><channel>'
+            '<atom:link href="http://self" rel="self"/><item><title>T</title><link>http://real</link>'
+            '<atom:link href="http://wrong"/></item></channel></rss>')
+    rows = xf.feed_items(_raw(spark, [body])).collect()
+    assert [(r.title, r.url) for r in rows] == [("T", "http://real")]
