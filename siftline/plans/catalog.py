@@ -480,11 +480,11 @@ def q_digest_lines(spark, sf_dir):
 
 # -------------------------------------------------------------------- streaming
 # Each stream query lands rows derived from the tables in arrival order
-# (five sweeps per landing), runs the stream to completion with
+# (ten sweeps per landing, so four micro-batches), runs the stream to completion with
 # availableNow, and reads its sink. Several micro-batches run, so equality
 # with the batch oracle shows stream = batch.
 
-LANDING_SWEEPS = 5
+LANDING_SWEEPS = 10
 
 
 def _landed(spark, df: DataFrame, name: str, unit_col: Column | None = None):
@@ -497,6 +497,12 @@ def _landed(spark, df: DataFrame, name: str, unit_col: Column | None = None):
     return root, schema
 
 
+def _stream_partitions(spark) -> int:
+    """The fixture streams land a few MB: one partition per core is plenty
+    (and fixes the state-store partition count for these checkpoints)."""
+    return spark.sparkContext.defaultParallelism
+
+
 @query("stream_equals_batch")
 def q_stream_equals_batch(spark, sf_dir):
     from ..sinks.logs import LogStore
@@ -504,7 +510,8 @@ def q_stream_equals_batch(spark, sf_dir):
     items = fx.feed_item_rows(spark, sf_dir)
     root, schema = _landed(spark, items, "stream-curate")
     sw.curate_stream(spark, f"{root}/landing", schema, LogStore(f"{root}/logs"), f"{root}/out",
-                     f"{root}/ckpt", CFG.skip_domains, CFG.skip_patterns, CFG.dedup_window_hours)
+                     f"{root}/ckpt", CFG.skip_domains, CFG.skip_patterns, CFG.dedup_window_hours,
+                     partitions=_stream_partitions(spark))
     return spark.read.parquet(f"{root}/out").select(F.col("sweep_id").cast("bigint").alias("sweep_id"), "seq",
                                                     "item_id", "domain", "source", "title", "url")
 
@@ -514,7 +521,8 @@ def q_stream_dedup(spark, sf_dir):
     from ..streaming import sweeps as sw
     rows = _deduped(spark, sf_dir).select("sweep_id", "sweep_ts", "item_id", "seq")
     root, schema = _landed(spark, rows, "stream-dedup")
-    sw.dedup_stream(spark, f"{root}/landing", schema, f"{root}/out", f"{root}/ckpt", CFG.dedup_window_hours)
+    sw.dedup_stream(spark, f"{root}/landing", schema, f"{root}/out", f"{root}/ckpt", CFG.dedup_window_hours,
+                    partitions=_stream_partitions(spark))
     out = spark.read.parquet(f"{root}/out")
     return out.select("sweep_id", "item_id", "seq",
                       ts_text(F.timestamp_micros("first_us")).alias("first_seen"), "kept")
@@ -525,7 +533,8 @@ def q_stream_feed_health(spark, sf_dir):
     from ..streaming import sweeps as sw
     log = fx.fetch_log(spark, sf_dir).withColumn("sweep_id", F.dayofmonth("ts").cast("bigint"))
     root, schema = _landed(spark, log, "stream-health")
-    sw.feed_health_stream(spark, f"{root}/landing", schema, f"{root}/snapshots", f"{root}/ckpt")
+    sw.feed_health_stream(spark, f"{root}/landing", schema, f"{root}/snapshots", f"{root}/ckpt",
+                          partitions=_stream_partitions(spark))
     return fl.feed_health_view(sw.latest_snapshot(spark, f"{root}/snapshots"))
 
 
@@ -534,5 +543,6 @@ def q_stream_source_quality(spark, sf_dir):
     from ..streaming import sweeps as sw
     scored = _scored(spark, sf_dir).select("sweep_id", "source", "score")
     root, schema = _landed(spark, scored, "stream-quality")
-    sw.source_quality_stream(spark, f"{root}/landing", schema, f"{root}/snapshot", f"{root}/ckpt")
+    sw.source_quality_stream(spark, f"{root}/landing", schema, f"{root}/snapshot", f"{root}/ckpt",
+                             partitions=_stream_partitions(spark))
     return fl.source_quality_view(spark.read.parquet(f"{root}/snapshot"))

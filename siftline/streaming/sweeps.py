@@ -19,6 +19,7 @@ or a restarted query replays from the checkpoint with the same results.
 from __future__ import annotations
 
 import time
+from contextlib import contextmanager
 from typing import Iterator
 
 import pandas as pd
@@ -44,6 +45,23 @@ def land_in_order(df: DataFrame, path: str, unit: str) -> int:
     return len(units)
 
 
+@contextmanager
+def _partitions(spark: SparkSession, n: int | None):
+    """Start a stream with ``n`` shuffle (and state) partitions. A streaming
+    query clones the session at start, so the caller's setting is restored
+    right after. ``None`` keeps the session's value."""
+    if n is None:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def _read(spark: SparkSession, path: str, schema, per_trigger: int) -> DataFrame:
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger)
             .parquet(path))
@@ -51,7 +69,7 @@ def _read(spark: SparkSession, path: str, schema, per_trigger: int) -> DataFrame
 
 def curate_stream(spark: SparkSession, landing: str, schema, store: LogStore, out: str,
                   checkpoint: str, skip_domains, skip_patterns, window_hours: int = 48,
-                  per_trigger: int = 1):
+                  per_trigger: int = 1, partitions: int | None = None):
     """Each micro-batch is a set of sweeps; curated items are written
     to ``out`` by sweep partition (idempotent on replay of an epoch)."""
     def body(batch: DataFrame, epoch: int) -> None:
@@ -64,8 +82,9 @@ def curate_stream(spark: SparkSession, landing: str, schema, store: LogStore, ou
          .partitionBy("sweep_id").parquet(out))
         record_seen(spark.read.parquet(out).join(sweeps, "sweep_id", "left_semi"), store, spark, sweeps)
 
-    q = (_read(spark, landing, schema, per_trigger).writeStream.foreachBatch(body)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    with _partitions(spark, partitions):
+        q = (_read(spark, landing, schema, per_trigger).writeStream.foreachBatch(body)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return q
 
@@ -95,7 +114,7 @@ def _first_seen_rule(window_hours: int):
 
 
 def dedup_stream(spark: SparkSession, landing: str, schema, out: str, checkpoint: str,
-                 window_hours: int = 48, per_trigger: int = 1):
+                 window_hours: int = 48, per_trigger: int = 1, partitions: int | None = None):
     """Per item id, ``first_us`` in state; each row is kept iff it is
     the first sighting or at least ``window_hours`` after it. Rows of one
     key in a micro-batch are at most one per sweep (in-sweep dedup runs
@@ -104,14 +123,15 @@ def dedup_stream(spark: SparkSession, landing: str, schema, out: str, checkpoint
         "sweep_id", "item_id", "seq", F.unix_micros(F.col("sweep_ts").cast("timestamp")).alias("sweep_us"))
     rows = src.groupBy("item_id").applyInPandasWithState(
         _first_seen_rule(window_hours), DEDUP_OUT, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
-    q = (rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start())
+    with _partitions(spark, partitions):
+        q = (rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+             .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return q
 
 
 def feed_health_stream(spark: SparkSession, landing: str, schema, snapshots: str, checkpoint: str,
-                       per_trigger: int = 1):
+                       per_trigger: int = 1, partitions: int | None = None):
     """Snapshot ``v=<epoch>`` = merge(snapshot of the previous epoch,
     delta of this batch). Rewriting an epoch replaces its snapshot."""
     def body(batch: DataFrame, epoch: int) -> None:
@@ -123,8 +143,9 @@ def feed_health_stream(spark: SparkSession, landing: str, schema, snapshots: str
             state = delta
         state.write.mode("overwrite").parquet(f"{snapshots}/v={epoch}")
 
-    q = (_read(spark, landing, schema, per_trigger).writeStream.foreachBatch(body)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    with _partitions(spark, partitions):
+        q = (_read(spark, landing, schema, per_trigger).writeStream.foreachBatch(body)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return q
 
@@ -135,14 +156,15 @@ def latest_snapshot(spark: SparkSession, snapshots: str) -> DataFrame:
 
 
 def source_quality_stream(spark: SparkSession, landing: str, schema, snapshot: str, checkpoint: str,
-                          per_trigger: int = 1):
+                          per_trigger: int = 1, partitions: int | None = None):
     """T4: running counts per source, complete output written per epoch."""
     counts = fl.source_quality_counts(_read(spark, landing, schema, per_trigger))
 
     def body(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(snapshot)
 
-    q = (counts.writeStream.outputMode("complete").foreachBatch(body)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    with _partitions(spark, partitions):
+        q = (counts.writeStream.outputMode("complete").foreachBatch(body)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return q
