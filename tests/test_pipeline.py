@@ -137,3 +137,21 @@ def test_dry_run_and_sources_only(spark, tmpdir_path):
     assert src.scored.columns == ["sweep_id", "seq", "domain", "source", "title"]
     assert store.read(spark, "items_seen").count() == src.curated.count() > 0
     assert not store.exists(spark, "digest_log") and not store.exists(spark, "score_log")
+
+
+def test_sweep_with_no_items(spark, tmpdir_path):
+    from datetime import datetime
+    from siftline.config import CurationConfig, SourceConfig
+    items = fx.feed_item_rows(spark, SMOKE).where(F.col("sweep_id") == 3)
+    sweeps = spark.createDataFrame([(3, datetime(2024, 1, 3), "full"), (40, datetime(2024, 2, 9, 12), "light")],
+                                   "sweep_id long, sweep_ts timestamp, sweep_type string")
+    cfg = CurationConfig(sources=(SourceConfig("click"), SourceConfig("view")))
+    res = run_sweeps(spark, items, sweeps, cfg, LogStore(tmpdir_path + "/logs"))
+    log = {r.sweep_id: (r.items_fetched, r.items_scored, r.sweep_type) for r in res.digest_log.collect()}
+    assert log[40] == (0, 0, "light") and log[3][0] > 0
+    text = {r.sweep_id: r.digest for r in res.digests.collect()}[40]
+    assert text.startswith("# Digest | 2024-02-09 Midday/Evening")
+    assert "- [click] returned 0 items" in text and "- [view] returned 0 items" in text
+    assert "- 0 items fetched from all sources -- check config and network." in text
+    assert "*Nothing above noise threshold. Clean day.*" in text
+    assert "*0 items surfaced from light sweep. RED: 0, ORANGE: 0, YELLOW: 0*" in text
