@@ -279,7 +279,6 @@ FROM db LEFT JOIN lab USING (sweep_id, batch, idx)""")
 
 def _profile_sql() -> str:
     from ..config import FIXTURE_CONFIG as C
-    from ..operators.scoring import profile_prompt  # noqa: F401  (same wording below)
     head = [f"You score feed items for a personal digest. The reader is {C.description}.",
             "Current projects:"] + [f"{i}. {p}" for i, p in enumerate(C.projects, 1)] + [
         "",
