@@ -181,13 +181,9 @@ def domain_line(per_domain: int = PROMPT_KEYWORDS_PER_DOMAIN) -> Column:
                     F.array_join(F.slice(F.col("keywords"), 1, per_domain), ", "))
 
 
-def profile_prompt(domains: DataFrame, description: str, projects: Sequence[str],
-                   noise_notes: Sequence[str], profile_cols: Sequence[str] = ()) -> DataFrame:
-    """System prompt per profile (M1): reader, numbered projects, score
-    scale, domains with weights and keywords, noise notes when any, reply
-    format. ``domains``: (``*profile_cols``, ord, domain, weight double,
-    keywords array); one output row per profile. Domains per profile are
-    config-sized, so the collected list is small."""
+def prompt_parts(description: str, projects: Sequence[str], noise_notes: Sequence[str]) -> tuple[str, str]:
+    """The fixed text before and after the domain lines of a profile
+    prompt (M1), in this package's own wording."""
     head = [f"You score feed items for a personal digest. The reader is {description}.",
             "Current projects:"] + [f"{i}. {p}" for i, p in enumerate(projects, 1)] + [
         "",
@@ -200,8 +196,18 @@ def profile_prompt(domains: DataFrame, description: str, projects: Sequence[str]
         tail += ["", "Always score 1:"] + [f"- {n}" for n in noise_notes]
     tail += ["", 'Reply with a JSON array only: [{"idx": 0, "score": 4, "tier": "ORANGE", "why": "one line"}].',
              "Be strict: most items score 1 or 2."]
+    return "\n".join(head) + "\n", "\n" + "\n".join(tail)
+
+
+def profile_prompt(domains: DataFrame, description: str, projects: Sequence[str],
+                   noise_notes: Sequence[str], profile_cols: Sequence[str] = ()) -> DataFrame:
+    """System prompt per profile (M1): reader, numbered projects, score
+    scale, domains with weights and keywords, noise notes when any, reply
+    format. ``domains``: (``*profile_cols``, ord, domain, weight double,
+    keywords array); one output row per profile. Domains per profile are
+    config-sized, so the collected list is small."""
+    head, tail = prompt_parts(description, projects, noise_notes)
     lines = domains.select(*profile_cols, "ord", domain_line().alias("line"))
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "line"))),
                                     lambda x: x["line"]), "\n")
-    return lines.groupBy(*profile_cols).agg(
-        F.concat(F.lit("\n".join(head) + "\n"), body, F.lit("\n" + "\n".join(tail))).alias("prompt"))
+    return lines.groupBy(*profile_cols).agg(F.concat(F.lit(head), body, F.lit(tail)).alias("prompt"))

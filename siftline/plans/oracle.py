@@ -279,20 +279,9 @@ FROM db LEFT JOIN lab USING (sweep_id, batch, idx)""")
 
 def _profile_sql() -> str:
     from ..config import FIXTURE_CONFIG as C
-    head = [f"You score feed items for a personal digest. The reader is {C.description}.",
-            "Current projects:"] + [f"{i}. {p}" for i, p in enumerate(C.projects, 1)] + [
-        "",
-        "Scale: 5 RED = act now (deadline, competitor, breaking change); 4 ORANGE = changes the",
-        "reader's model, read in full; 3 YELLOW = useful context; 2 = mostly noise; 1 = noise.",
-        "",
-        "Domains and calibration keywords:"]
-    tail = []
-    if C.noise_notes:
-        tail += ["", "Always score 1:"] + [f"- {n}" for n in C.noise_notes]
-    tail += ["", 'Reply with a JSON array only: [{"idx": 0, "score": 4, "tier": "ORANGE", "why": "one line"}].',
-             "Be strict: most items score 1 or 2."]
+    from ..operators.scoring import prompt_parts
+    head, tail = prompt_parts(C.description, C.projects, C.noise_notes)
     q = lambda s: "'" + s.replace("'", "''") + "'"
-    nl = " || chr(10) || "
     return f"""
 WITH kw AS (SELECT n_regionkey, list(n_name ORDER BY n_nationkey) AS keywords FROM nation GROUP BY n_regionkey),
 dom AS (
@@ -301,8 +290,7 @@ dom AS (
            || array_to_string(list_slice(COALESCE(keywords, []), 1, 5), ', ') AS line
   FROM region LEFT JOIN kw ON r_regionkey = n_regionkey
 )
-SELECT {nl.join(q(h) for h in head)} || chr(10) || string_agg(line, chr(10) ORDER BY ord)
-       || chr(10) || {nl.join(q(t) for t in tail)} AS prompt
+SELECT {q(head)} || string_agg(line, chr(10) ORDER BY ord) || {q(tail)} AS prompt
 FROM dom"""
 
 
