@@ -29,7 +29,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators import curate as cur
 from ..operators import folds as fl
-from ..plans.pipeline import record_seen
+from ..plans.sweep_run import record_seen
 from ..sinks.logs import LogStore
 
 

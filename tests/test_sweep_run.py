@@ -8,7 +8,7 @@ from siftline.config import FIXTURE_CONFIG as CFG
 from siftline.functions.dates import sweep_type_of
 from siftline.operators import scoring as sc
 from siftline.plans import catalog, fixtures as fx
-from siftline.plans.pipeline import run_sweeps
+from siftline.plans.sweep_run import run_sweeps
 from siftline.sinks.logs import LogStore
 from siftline.streaming import sweeps as sw
 
@@ -72,7 +72,7 @@ def test_raw_payloads_through_a_sweep(spark, tmpdir_path):
     import json
     from datetime import datetime
     from siftline.config import CurationConfig, SourceConfig
-    from siftline.plans.pipeline import RAW_FETCH, items_from_raw
+    from siftline.plans.sweep_run import RAW_FETCH, items_from_raw
 
     t1, t2 = datetime(2024, 1, 1, 7), datetime(2024, 1, 1, 13)
     rss = ('<rss><channel><item><title>Same story</title><link>https://a.example/x/</link>'
