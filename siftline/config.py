@@ -55,6 +55,8 @@ class CurationConfig:
     top_n: int = DEFAULT_TOP_N
     default_domain: str = DEFAULT_DOMAIN
     sources: tuple[SourceConfig, ...] = ()
+    # (source type, feed name or query, domain): per-feed / per-term domains
+    source_keys: tuple[tuple[str, str, str | None], ...] = ()
     description: str = "a researcher"
     projects: tuple[str, ...] = ()
     noise_notes: tuple[str, ...] = ()
@@ -98,6 +100,10 @@ def from_mapping(cfg: dict[str, Any]) -> CurationConfig:
                      domain=(srcs.get(name) or {}).get("domain"))
         for name in SOURCE_ORDER if name in srcs)
     hn = srcs.get("hackernews") or {}
+    keys = ([("rss", f.get("name", ""), f.get("domain")) for f in (srcs.get("rss") or {}).get("feeds", []) or []]
+            + [("hackernews", t.get("query", ""), t.get("domain")) for t in hn.get("search_terms", []) or []]
+            + [("serp", q.get("query", ""), q.get("domain"))
+               for q in (srcs.get("serp") or {}).get("queries", []) or []])
     return CurationConfig(
         skip_domains=tuple(nf.get("skip_domains", []) or []),
         skip_patterns=tuple(nf.get("skip_patterns", []) or []),
@@ -110,6 +116,7 @@ def from_mapping(cfg: dict[str, Any]) -> CurationConfig:
         min_points=int(hn.get("min_points", DEFAULT_MIN_POINTS)),
         top_n=int(hn.get("top_n", DEFAULT_TOP_N)),
         sources=sources,
+        source_keys=tuple(keys),
         description=prof.get("description", "a researcher"),
         projects=tuple(prof.get("projects", []) or []),
         noise_notes=tuple(prof.get("noise_patterns", []) or []),

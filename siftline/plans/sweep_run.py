@@ -180,6 +180,12 @@ def items_from_raw(raw: DataFrame, cfg: CurationConfig, spark: SparkSession,
     from ..config import SOURCE_ORDER, SourceConfig
 
     srcs = list(cfg.sources) or [SourceConfig(n) for n in SOURCE_ORDER]   # unset: all enabled
+    if cfg.source_keys:   # per-feed / per-search-term domains (config-sized, broadcast)
+        keys = spark.createDataFrame([(t, k, d) for t, k, d in cfg.source_keys],
+                                     "source_type string, _key string, _key_domain string")
+        raw = (raw.withColumn("_key", F.coalesce("feed_name", "query"))
+               .join(F.broadcast(keys), ["source_type", "_key"], "left")
+               .withColumn("domain", F.coalesce("domain", "_key_domain")).drop("_key", "_key_domain"))
     gated = gating.gate(raw, gating.source_config_table(spark, srcs), cfg.default_domain)
     live = gated.where((F.col("action") == "fetch") & F.col("error").isNull())
     rank = {n: i for i, n in enumerate(SOURCE_ORDER)}

@@ -89,3 +89,18 @@ def test_scale_conf_sizes_partitions():
     assert c["spark.sql.shuffle.partitions"] == "200000"        # 409,600 x 256 MB, capped
     assert scale_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
     assert int(scale_conf(1 << 40)["spark.sql.shuffle.partitions"]) == 4096
+
+
+def test_feed_and_term_domains(spark):
+    from siftline.plans.sweep_run import RAW_FETCH, items_from_raw
+    cfg = from_mapping({
+        "profile": {}, "domains": {},
+        "sources": {"rss": {"feeds": [{"name": "blog", "url": "u", "domain": "tools"}, {"name": "plain", "url": "v"}]},
+                    "arxiv": {"domain": "papers"}}})
+    assert ("rss", "blog", "tools") in cfg.source_keys
+    rss = '<rss><channel><item><title>T</title><link>http://x</link></item></channel></rss>'
+    raw = spark.createDataFrame([(1, None, "full", "rss", "blog", "u", None, None, 0, None, None, rss),
+                                 (1, None, "full", "rss", "plain", "v", None, None, 1, None, None, rss)], RAW_FETCH)
+    items, _ = items_from_raw(raw, cfg, spark)
+    assert sorted((r.source, r.domain) for r in items.collect()) == [("rss:blog", "tools"),
+                                                                      ("rss:plain", "ai_research")]
