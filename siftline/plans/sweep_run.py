@@ -223,3 +223,27 @@ def items_from_raw(raw: DataFrame, cfg: CurationConfig, spark: SparkSession,
         items = items.unionByName(p)
     fetches = xf.fetch_log_rows(gated.where((F.col("source_type") == "rss") & (F.col("action") == "fetch")))
     return items, fetches
+
+
+def health_panels(spark: SparkSession, store: LogStore, as_of_sweep=None) -> dict[str, DataFrame]:
+    """The original's health report and dashboard panels (R2, R3) from the
+    log store: feed health (status bands, average items per fetch),
+    source signal rates, the last ten digests and lifetime counts. Folded
+    state comes from the latest snapshots (cheap) and, when none exists
+    yet, from the logs themselves."""
+    limit = F.lit((1 << 62) if as_of_sweep is None else int(as_of_sweep) + 1)
+    feed_state = (store.snapshot_before(spark, "feed_state", limit) if store.exists(spark, "feed_state")
+                  else fl.feed_health_delta(store.read(spark, "fetch_log")))
+    quality = (store.snapshot_before(spark, "quality_state", limit) if store.exists(spark, "quality_state")
+               else fl.source_quality_counts(store.read(spark, "score_log")))
+    seen = store.read(spark, "items_seen")
+    scores = store.read(spark, "score_log")
+    current = fl.current_scores(scores, seen)
+    digests = store.read(spark, "digest_log")
+    as_of = seen.agg(F.max("first_seen")).scalar()
+    return {
+        "feed_health": fl.feed_health_view(feed_state),
+        "source_quality": fl.source_quality_view(quality),
+        "digest_history": rp.digest_history(digests),
+        "lifetime": fl.lifetime_stats(seen, current, digests, as_of),
+    }

@@ -155,3 +155,23 @@ def test_sweep_with_no_items(spark, tmpdir_path):
     assert "- 0 items fetched from all sources -- check config and network." in text
     assert "*Nothing above noise threshold. Clean day.*" in text
     assert "*0 items surfaced from light sweep. RED: 0, ORANGE: 0, YELLOW: 0*" in text
+
+
+def test_health_panels_from_snapshots_equal_folds(spark, tmpdir_path):
+    from siftline.operators import folds as fl
+    from siftline.plans.sweep_run import health_panels
+    items = fx.feed_item_rows(spark, SMOKE).where(F.col("sweep_id") <= 4)
+    log = fx.fetch_log(spark, SMOKE).withColumn("sweep_id", F.dayofmonth("ts").cast("long")) \
+        .where(F.col("sweep_id") <= 4)
+    store = LogStore(tmpdir_path + "/logs")
+    for lo, hi in [(1, 2), (3, 4)]:
+        part = items.where(F.col("sweep_id").between(lo, hi))
+        run_sweeps(spark, part, _sweeps(part), CFG, store, fetches=log.where(F.col("sweep_id").between(lo, hi)))
+    p = health_panels(spark, store)
+    got = sorted(tuple(r) for r in p["feed_health"].collect())
+    want = sorted(tuple(r) for r in fl.feed_health_view(fl.feed_health_delta(store.read(spark, "fetch_log"))).collect())
+    assert got == want and got
+    q = sorted(tuple(r) for r in p["source_quality"].collect())
+    q2 = sorted(tuple(r) for r in fl.source_quality_view(fl.source_quality_counts(store.read(spark, "score_log"))).collect())
+    assert q == q2
+    assert p["digest_history"].count() == 4 and p["lifetime"].first()["digests"] == 4
