@@ -93,10 +93,13 @@ STATE_SCHEMA = "first_us long"
 DEDUP_OUT = "sweep_id long, item_id string, seq long, sweep_us long, first_us long, kept boolean"
 
 
-def _first_seen_rule(window_hours: int):
+def _first_seen_rule(window_hours: int, ttl_ms: int | None = None):
     window_us = int(window_hours) * 3600 * 1_000_000
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state):
+        if ttl_ms is not None and state.hasTimedOut:   # opt-in TTL: forget the item
+            state.remove()
+            return
         pdf = (pd.concat(list(pdfs), ignore_index=True).sort_values(["sweep_us", "seq"])
                .reset_index(drop=True))
         first = state.get[0] if state.exists else None
@@ -107,6 +110,8 @@ def _first_seen_rule(window_hours: int):
             kept.append(ts == first or ts >= first + window_us)
             firsts.append(first)
         state.update((int(first),))
+        if ttl_ms is not None:
+            state.setTimeoutDuration(ttl_ms)
         yield pd.DataFrame({"sweep_id": pdf["sweep_id"].astype("int64"), "item_id": pdf["item_id"],
                             "seq": pdf["seq"].astype("int64"), "sweep_us": pdf["sweep_us"].astype("int64"),
                             "first_us": pd.Series(firsts, dtype="int64"), "kept": kept})
@@ -114,15 +119,23 @@ def _first_seen_rule(window_hours: int):
 
 
 def dedup_stream(spark: SparkSession, landing: str, schema, out: str, checkpoint: str,
-                 window_hours: int = 48, per_trigger: int = 1, partitions: int | None = None):
+                 window_hours: int = 48, per_trigger: int = 1, partitions: int | None = None,
+                 ttl_hours: float | None = None):
     """Per item id, ``first_us`` in state; each row is kept iff it is
     the first sighting or at least ``window_hours`` after it. Rows of one
     key in a micro-batch are at most one per sweep (in-sweep dedup runs
-    before), so a group is bounded by the sweeps per batch."""
+    before), so a group is bounded by the sweeps per batch.
+
+    The exact rule keeps an item's state for ever (first_seen is never
+    refreshed). ``ttl_hours`` opts into forgetting items not seen for that
+    long (processing time); it bounds the state and changes results: an
+    expired item counts as new again."""
     src = _read(spark, landing, schema, per_trigger).select(
         "sweep_id", "item_id", "seq", F.unix_micros(F.col("sweep_ts").cast("timestamp")).alias("sweep_us"))
+    ttl_ms = None if ttl_hours is None else int(ttl_hours * 3600 * 1000)
+    timeout = GroupStateTimeout.NoTimeout if ttl_ms is None else GroupStateTimeout.ProcessingTimeTimeout
     rows = src.groupBy("item_id").applyInPandasWithState(
-        _first_seen_rule(window_hours), DEDUP_OUT, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+        _first_seen_rule(window_hours, ttl_ms), DEDUP_OUT, STATE_SCHEMA, "append", timeout)
     with _partitions(spark, partitions):
         q = (rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
              .outputMode("append").trigger(availableNow=True).start())

@@ -56,13 +56,14 @@ def test_incremental_equals_replay_and_rerun_is_idempotent(spark, tmpdir_path):
 def test_stream_dedup_independent_of_batch_size(spark, tmpdir_path):
     rows = catalog._deduped(spark, SMOKE).select("sweep_id", "sweep_ts", "item_id", "seq")
     outs = []
-    for per in (1, 100):
-        root = f"{tmpdir_path}/d{per}"
+    for per, ttl in ((1, None), (100, None), (1, 24 * 365)):   # a long TTL never fires here
+        root = f"{tmpdir_path}/d{per}-{ttl}"
         sw.land_in_order(rows.withColumn("landing", F.floor(F.col("sweep_id") / 3)), f"{root}/landing", "landing")
         schema = spark.read.parquet(f"{root}/landing").schema
-        sw.dedup_stream(spark, f"{root}/landing", schema, f"{root}/out", f"{root}/ck", 48, per_trigger=per)
+        sw.dedup_stream(spark, f"{root}/landing", schema, f"{root}/out", f"{root}/ck", 48, per_trigger=per,
+                        partitions=4, ttl_hours=ttl)
         outs.append(sorted((r.sweep_id, r.seq, r.kept) for r in spark.read.parquet(f"{root}/out").collect()))
-    assert outs[0] == outs[1]
+    assert outs[0] == outs[1] == outs[2]
     assert any(not k for _, _, k in outs[0]) and any(k for _, _, k in outs[0])
 
 
