@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -62,13 +62,16 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts, landing data and stream checkpoints.
 
-    Read from ``spark.checkpoint.dir`` (what a cluster names); only when it
-    is unset (local tests) a fresh folder is created and registered.
+    Read from ``spark.checkpoint.dir`` (what a cluster names). Where it is
+    unset, a local master (tests, one machine) gets a fresh folder; any other
+    master is an error, because executors would each write to their own disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="siftline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -79,16 +82,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/siftline/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_dir(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_dir(path), exist_ok=True)
