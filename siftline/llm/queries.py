@@ -7,6 +7,7 @@ import public_tokenizers
 
 from .common import table
 from .dac_tokens import encode_documents
+from .hyperminhash_dedup import near_duplicates
 from .lpt_shards import shard_by_size
 from .string_tiling import find_leaks
 from .token_attribution import count_tokens
@@ -32,11 +33,15 @@ def op6_string_tiling(spark, sf_dir):
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_hyperminhash(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op10_warc_salvage(spark, sf_dir):
     return archive_pages(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_dac_tokens, op2_token_attribution, op3_lpt_shards, op6_string_tiling,
+QUERIES = {f.__name__: f for f in (op1_dac_tokens, op2_token_attribution, op3_lpt_shards, op6_string_tiling, op7_hyperminhash,
                                    op10_warc_salvage)}
 
 ORACLE: dict[str, str] = {}
