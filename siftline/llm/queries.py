@@ -5,10 +5,13 @@ from __future__ import annotations
 
 import public_tokenizers
 
+from .bigru_langid import identify
 from .common import table
 from .dac_tokens import encode_documents
+from .hnsw_search import nearest_of_every
 from .hyperminhash_dedup import near_duplicates
 from .lpt_shards import shard_by_size
+from .soft_mixing import mix_rates
 from .string_tiling import find_leaks
 from .token_attribution import count_tokens
 from .warc_salvage import archive_pages
@@ -29,6 +32,10 @@ def op3_lpt_shards(spark, sf_dir):
     return shard_by_size(table(spark, sf_dir, "documents"), n_shards=24)
 
 
+def op5_hnsw(spark, sf_dir):
+    return nearest_of_every(table(spark, sf_dir, "embeddings"), divisor=50, k=5)
+
+
 def op6_string_tiling(spark, sf_dir):
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -37,11 +44,19 @@ def op7_hyperminhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op8_bigru_langid(spark, sf_dir):
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op9_soft_mixing(spark, sf_dir):
+    return mix_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_warc_salvage(spark, sf_dir):
     return archive_pages(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_dac_tokens, op2_token_attribution, op3_lpt_shards, op6_string_tiling, op7_hyperminhash,
-                                   op10_warc_salvage)}
+QUERIES = {f.__name__: f for f in (op1_dac_tokens, op2_token_attribution, op3_lpt_shards, op5_hnsw, op6_string_tiling,
+                                   op7_hyperminhash, op8_bigru_langid, op9_soft_mixing, op10_warc_salvage)}
 
 ORACLE: dict[str, str] = {}
