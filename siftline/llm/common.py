@@ -9,6 +9,7 @@ from typing import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -70,85 +71,138 @@ class PieceEncoder:
     """Encodes whole texts with the tokenizers library, each distinct piece
     once.
 
-    Byte-level BPE first cuts a text by a pattern whose tokens start anew at a
-    single space between two characters that are not white space, whatever
-    surrounds it. So the ids of a text are the ids of its pieces (cut there,
-    each keeping its leading space) in order, and repeated pieces are looked
-    up instead of encoded again. ``tests/llm`` holds this against encoding
-    whole texts. Pieces are forgotten once there are ``max_pieces`` of them or
-    ``max_tokens`` of their tokens, after the batch at hand.
+    Byte-level BPE first cuts a text by a pattern that begins a new part at a
+    single space or line break between two characters that are not white
+    space. So the ids of a text are the ids of its pieces (cut there, each
+    keeping its leading space or break) in order, and repeated pieces are
+    looked up instead of encoded again: Arrow cuts the texts and finds the
+    distinct pieces of a batch. A text with other white space is encoded as a
+    whole. ``tests/llm`` holds this against encoding whole texts. New pieces
+    are encoded many to a string and fall apart again by the byte lengths of
+    their tokens. Beyond ``max_pieces``, pieces used once are forgotten, or all
+    if too many are left.
     """
 
-    _CUT = re.compile(r"(?<=\S) (?=\S)")
+    _HEAD = "\0"      # marks a text's first piece, which has nothing before it
 
-    def __init__(self, path: str, offsets: bool = False, max_pieces: int = 400_000, max_tokens: int = 4_000_000):
+    def __init__(self, path: str, offsets: bool = False, max_pieces: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.offsets, self.max_pieces, self.max_tokens = offsets, max_pieces, max_tokens
-        self._forget()
-
-    def _forget(self) -> None:
-        self.index: dict[str, int] = {}
-        self.ids = np.zeros(0, np.uint32)
-        self.spans = np.zeros((0, 2), np.int32)
-        self.start = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int64)
-        self.chars = np.zeros(0, np.int64)
-
-    def _learn(self, pieces: list[str]) -> None:
-        encode = self.tok.encode_batch if self.offsets else self.tok.encode_batch_fast
-        for lo in range(0, len(pieces), 20_000):
-            part = pieces[lo:lo + 20_000]
-            found = encode(part, add_special_tokens=False)
-            n = np.fromiter((len(e) for e in found), np.int64, len(found))
-            base = len(self.ids) + np.cumsum(n) - n
-            for k, p in enumerate(part):
-                self.index[p] = len(self.start) + k
-            flat = np.fromiter((i for e in found for i in e.ids), np.uint32, int(n.sum()))
-            self.ids = np.concatenate([self.ids, flat])
-            self.start = np.concatenate([self.start, base])
-            self.length = np.concatenate([self.length, n])
-            if self.offsets:
-                spans = np.array([s for e in found for s in e.offsets], np.int32).reshape(-1, 2)
-                self.spans = np.concatenate([self.spans, spans])
-                self.chars = np.concatenate([self.chars, np.fromiter(map(len, part), np.int64, len(part))])
-
-    def _pieces(self, text: str) -> list[str]:
-        parts = text.split(" ")
-        pieces = [parts[0], *[" " + p for p in parts[1:]]]
-        for p in set(pieces).difference(self.index):
-            inner = p[1:] if p[:1] == " " else p
-            if not inner or inner[0].isspace() or inner[-1].isspace():
-                cut = self._CUT.split(text)  # white space beside a space: cut only where it is safe
-                return [cut[0], *[" " + p for p in cut[1:]]]
-        return pieces
+        self.offsets, self.max_pieces = offsets, max_pieces
+        size = max(self.tok.get_vocab(with_added_tokens=True).values()) + 1
+        # a byte-level token's string has one character for each byte
+        self.bytes_of = np.array([len(self.tok.id_to_token(k) or "") for k in range(size)], np.int64)
+        self._keep(np.zeros(0, np.int64))
+
+    def _keep(self, keep: np.ndarray) -> None:
+        """Forget all pieces but those at the places ``keep``."""
+        if not len(keep):
+            self.index: dict[str, int] = {}             # -1: not to be cut here
+            self.ids, self.start = np.zeros(0, np.int32), np.zeros(0, np.int64)
+            self.length = self.chars = self.uses = np.zeros(0, np.int32)
+            self.spans = np.zeros((0, 2), np.int32)
+            return
+        n = self.length[keep].astype(np.int64)
+        take = np.repeat(self.start[keep] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        place = np.full(len(self.uses), -1)
+        place[keep] = np.arange(len(keep))
+        self.index = {p: int(place[k]) for p, k in self.index.items() if k >= 0 and place[k] >= 0}
+        self.ids, self.length, self.start = self.ids[take], self.length[keep], np.cumsum(n) - n
+        self.uses = np.zeros(len(keep), np.int32)
+        if self.offsets:
+            self.spans, self.chars = self.spans[take], self.chars[keep]
+
+    def _text(self, piece: str) -> str | None:
+        """What a piece stands for, or None where the text must stay whole."""
+        head = piece[:1] == self._HEAD
+        inner = piece[1:] if head or piece[:1] == "\n" else piece
+        if inner[-1:].isspace() or not head and (not inner or inner[0].isspace()):
+            return None
+        return inner if head else piece if piece[0] == "\n" else " " + piece
+
+    def _learn(self, texts: list[str], joined: bool) -> int:
+        """Add the ids of ``texts``; ``joined`` ones may follow each other in
+        one string. Returns the place of the first."""
+        first = len(self.start)
+        if not texts:
+            return first
+        if self.offsets:
+            found = self.tok.encode_batch(texts, add_special_tokens=False)
+            n = np.fromiter(map(len, found), np.int64, len(found))
+            flat = np.fromiter((i for e in found for i in e.ids), np.int32, int(n.sum()))
+            self.spans = np.concatenate([self.spans, np.array([s for e in found for s in e.offsets], np.int32).reshape(-1, 2)])
+            self.chars = np.concatenate([self.chars, np.fromiter(map(len, texts), np.int32, len(texts))])
+        else:
+            step = 500 if joined else 1
+            found = self.tok.encode_batch_fast(["".join(texts[lo:lo + step]) for lo in range(0, len(texts), step)],
+                                               add_special_tokens=False)
+            flat = np.concatenate([np.array(e.ids, np.int32) for e in found])
+            sizes = np.fromiter(map(len, map(str.encode, texts)), np.int64, len(texts))
+            upto = np.searchsorted(np.cumsum(self.bytes_of[flat]), np.cumsum(sizes), "left") + 1
+            upto = np.where(np.cumsum(sizes) == 0, 0, upto)         # empty texts have no token
+            n = np.diff(np.concatenate([[0], upto]))
+        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(n) - n])
+        self.ids = np.concatenate([self.ids, flat])
+        self.length = np.concatenate([self.length, n.astype(np.int32)])
+        self.uses = np.concatenate([self.uses, np.zeros(len(n), np.int32)])
+        return first
+
+    def _places(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each piece of the texts, and the number of pieces of
+        each text."""
+        whole = pa.array(texts, pa.large_string())
+        marked = pc.binary_join_element_wise(pa.scalar(self._HEAD, pa.large_string()),
+                                             pc.replace_substring(whole, "\n", " \n"), pa.scalar("", pa.large_string()))
+        lists = pc.split_pattern(marked, " ")
+        pieces = lists.flatten().dictionary_encode()
+        distinct, codes = pieces.dictionary.to_pylist(), pieces.indices.to_numpy()
+        number = np.diff(lists.offsets.to_numpy())
+        at = list(map(self.index.get, distinct))
+        heads, rest = [], []
+        for k in [k for k, place in enumerate(at) if place is None]:
+            text = self._text(distinct[k])
+            if text is None:
+                at[k] = self.index[distinct[k]] = -1
+            else:
+                (heads if distinct[k][:1] == self._HEAD else rest).append((k, text))
+        for new, joined in ((heads, False), (rest, True)):
+            first = self._learn([t for _, t in new], joined)
+            for place, (k, _) in enumerate(new, first):
+                at[k] = self.index[distinct[k]] = place
+        places = np.array(at, np.int64)[codes]
+        bounds = np.concatenate([[0], np.cumsum(number)])
+        uncut = np.searchsorted(bounds, np.flatnonzero(places < 0), "right") - 1
+        uncut = np.union1d(uncut, np.flatnonzero(pc.match_substring(whole, self._HEAD).to_numpy(zero_copy_only=False)))
+        if len(uncut):
+            first = self._learn([texts[k] for k in uncut], False)
+            parts = [places[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+            for place, k in enumerate(uncut, first):
+                parts[k] = np.array([place])
+            places, number = np.concatenate(parts), np.array(list(map(len, parts)), np.int64)
+        return places, number
 
     def batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
         """All ids of the texts one after another, the number of ids of each
         text, and with ``offsets`` each token's (start, end) in characters."""
-        if len(self.start) > self.max_pieces or len(self.ids) > self.max_tokens:
-            self._forget()
-        pieces = [self._pieces(t) if t else [] for t in texts]
-        new = set()
-        for p in pieces:
-            new.update(set(p).difference(self.index))
-        self._learn(sorted(new))
-        number = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        at = np.fromiter((self.index[p] for ps in pieces for p in ps), np.int64, int(number.sum()))
+        if len(self.index) > self.max_pieces or len(self.ids) > 8 * self.max_pieces:
+            keep = np.flatnonzero(self.uses > 1)
+            keep = keep[self.length[keep] < 64]         # no whole texts
+            self._keep(keep if len(keep) <= self.max_pieces // 2 else keep[:0])
+        at, number = self._places(texts)
+        self.uses += np.bincount(at, minlength=len(self.uses)).astype(np.int32)
         n = self.length[at]
-        ends = np.cumsum(n)
-        take = np.repeat(self.start[at] - (ends - n), n) + np.arange(int(n.sum()))
+        ends = np.cumsum(n, dtype=np.int64)
+        take = np.repeat((self.start[at] - (ends - n)).astype(np.int32), n)
+        take += np.arange(len(take), dtype=np.int32)
         cuts = np.concatenate([[0], np.cumsum(number)])
-        upto = np.concatenate([[0], ends])
-        sizes = np.diff(upto[cuts])
+        sizes = np.diff(np.concatenate([[0], ends])[cuts])
         if not self.offsets:
             return self.ids[take], sizes, None
-        chars = self.chars[at]
-        before = np.cumsum(chars) - chars
-        first = np.repeat(before[np.minimum(cuts[:-1], max(len(before) - 1, 0))] if len(before) else np.zeros(len(texts), np.int64), number)
-        return self.ids[take], sizes, self.spans[take] + np.repeat(before - first, n)[:, None]
+        before = np.concatenate([[0], np.cumsum(self.chars[at], dtype=np.int64)])
+        place = before[:-1] - np.repeat(before[cuts[:-1]], number)     # each piece's place in its text
+        return self.ids[take], sizes, self.spans[take] + np.repeat(place, n)[:, None]
 
 
 _ENCODERS: dict[tuple, PieceEncoder] = {}

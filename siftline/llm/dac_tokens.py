@@ -49,7 +49,7 @@ RANK_BITS = 512
 
 # ------------------------------------------------------------------ the codes
 
-def chunk_widths(ids: np.ndarray, levels: int = 4) -> list[int]:
+def chunk_widths(ids: np.ndarray, levels: int = 2) -> list[int]:
     """Widths of the levels of least total size for these ids, at most
     ``levels`` of them: dynamic programming over bit lengths."""
     if not len(ids):
@@ -71,23 +71,35 @@ def chunk_widths(ids: np.ndarray, levels: int = 4) -> list[int]:
 
 
 def pack(values: np.ndarray, width: int) -> bytes:
-    """``values`` in ``width`` bits each, lowest bit first."""
-    kind = np.dtype("<u2" if width <= 16 else "<u4")
-    out = []
-    for lo in range(0, len(values), 1 << 19):
-        part = np.ascontiguousarray(values[lo:lo + (1 << 19)].astype(kind))
-        bits = np.unpackbits(part.view(np.uint8).reshape(-1, kind.itemsize), axis=1, bitorder="little")
-        out.append(np.packbits(bits[:, :width].ravel(), bitorder="little").tobytes())
-    return b"".join(out)
-
-
-def unpack(raw: np.ndarray, first_bit: int, count: int, width: int) -> np.ndarray:
-    """``count`` values of ``width`` bits from bit ``first_bit`` of ``raw``."""
-    kind = np.dtype("<u2" if width <= 16 else "<u4")
-    bits = np.unpackbits(raw, bitorder="little")[first_bit:first_bit + count * width].reshape(count, width)
-    full = np.zeros((count, kind.itemsize * 8), np.uint8)
-    full[:, :width] = bits
-    return np.packbits(full, axis=1, bitorder="little").view(kind).ravel().astype(np.uint32)
+    """``values`` in ``width`` bits each, lowest bit first. Eight values fill
+    ``width`` whole bytes, so each of the eight is moved for all rows at once."""
+    rows = -(-len(values) // 8)
+    v = np.zeros(rows * 8, np.uint64 if width > 24 else np.uint32)
+    v[:len(values)] = values
+    v = v.reshape(rows, 8)
+    out = np.zeros((rows, width + 8), np.uint8)
+    for j in range(8):
+        byte, shift = divmod(j * width, 8)
+        x = v[:, j] << v.dtype.type(shift)
+        for k in range(-(-(width + shift) // 8)):
+            out[:, byte + k] |= (x >> v.dtype.type(8 * k)).astype(np.uint8)
+    return np.ascontiguousarray(out[:, :width]).tobytes()[:-(-len(values) * width // 8)]
+
+
+def unpack(raw: np.ndarray, count: int, width: int) -> np.ndarray:
+    """``count`` values of ``width`` bits from the start of ``raw``."""
+    rows = -(-count // 8)
+    kind = np.uint64 if width > 24 else np.uint32
+    padded = np.zeros(rows * width + 8, np.uint8)
+    padded[:min(len(raw), rows * width)] = raw[:rows * width]
+    out = np.empty((rows, 8), np.uint32)
+    for j in range(8):
+        byte, shift = divmod(j * width, 8)
+        x = np.zeros(rows, kind)
+        for k in range(-(-(width + shift) // 8)):
+            x |= padded[byte + k:byte + k + (rows - 1) * width + 1:width].astype(kind) << kind(8 * k)
+        out[:, j] = (x >> kind(shift)) & kind((1 << width) - 1)
+    return out.ravel()[:count]
 
 
 def to_bytes(doc_ids: list, starts: np.ndarray, ids: np.ndarray) -> bytes:
@@ -147,10 +159,9 @@ class DacFile:
         return ones
 
     def _values(self, level: dict, lo: int, hi: int) -> np.ndarray:
-        w = level["width"]
-        first = lo * w // 8
-        raw = self._at(level["chunks"], first, -(-hi * w // 8) - first)
-        return unpack(raw, lo * w - first * 8, hi - lo, w)
+        w, first = level["width"], lo // 8 * 8                  # eight values start at a whole byte
+        raw = self._at(level["chunks"], first * w // 8, -(-hi * w // 8) - first * w // 8)
+        return unpack(raw, hi - first, w)[lo - first:]
 
     def token(self, i: int) -> int:
         """Token ``i`` of the file alone: one chunk read a level."""
@@ -230,8 +241,9 @@ def write_tokens(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int
             texts, doc_ids, hashes = cm.texts_of(b), b.column("doc_id").to_pylist(), b.column("h").to_pylist()
             for lo, hi in cm.chunks(texts, 2_000_000):
                 ids, sizes, _ = enc.batch(texts[lo:hi])
-                ends = np.cumsum(sizes)
-                ids = np.insert(ids, ends, end_id)  # each document's own end
+                whole = np.full(len(ids) + len(sizes), end_id, np.int32)  # each document's own end
+                whole[np.arange(len(ids)) + np.repeat(np.arange(len(sizes)), sizes)] = ids
+                ids = whole
                 held.append((ids, sizes + 1, doc_ids[lo:hi], hashes[lo:hi]))
                 total += len(ids)
                 if total >= file_tokens:
