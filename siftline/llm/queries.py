@@ -10,6 +10,7 @@ from .common import table
 from .dac_tokens import encode_documents
 from .hnsw_search import nearest_of_every
 from .hyperminhash_dedup import near_duplicates
+from .katz_lm import score
 from .lpt_shards import shard_by_size
 from .soft_mixing import mix_rates
 from .string_tiling import find_leaks
@@ -32,6 +33,10 @@ def op3_lpt_shards(spark, sf_dir):
     return shard_by_size(table(spark, sf_dir, "documents"), n_shards=24)
 
 
+def op4_katz_lm(spark, sf_dir):
+    return score(table(spark, sf_dir, "documents"))
+
+
 def op5_hnsw(spark, sf_dir):
     return nearest_of_every(table(spark, sf_dir, "embeddings"), divisor=50, k=5)
 
@@ -56,7 +61,7 @@ def op10_warc_salvage(spark, sf_dir):
     return archive_pages(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_dac_tokens, op2_token_attribution, op3_lpt_shards, op5_hnsw, op6_string_tiling,
+QUERIES = {f.__name__: f for f in (op1_dac_tokens, op2_token_attribution, op3_lpt_shards, op4_katz_lm, op5_hnsw, op6_string_tiling,
                                    op7_hyperminhash, op8_bigru_langid, op9_soft_mixing, op10_warc_salvage)}
 
 ORACLE: dict[str, str] = {}
