@@ -85,7 +85,7 @@ class PieceEncoder:
 
     _HEAD = "\0"      # marks a text's first piece, which has nothing before it
 
-    def __init__(self, path: str, offsets: bool = False, max_pieces: int = 600_000):
+    def __init__(self, path: str, offsets: bool = False, max_pieces: int = 2_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
@@ -99,7 +99,8 @@ class PieceEncoder:
     def _keep(self, keep: np.ndarray) -> None:
         """Forget all pieces but those at the places ``keep``."""
         if not len(keep):
-            self.index: dict[str, int] = {}             # -1: not to be cut here
+            self.known = pa.array([], pa.large_string())    # pieces, and where each one's ids are (-1: not to be cut)
+            self.places = np.zeros(0, np.int64)
             self.ids, self.start = np.zeros(0, np.int32), np.zeros(0, np.int64)
             self.length = self.chars = self.uses = np.zeros(0, np.int32)
             self.spans = np.zeros((0, 2), np.int32)
@@ -108,7 +109,8 @@ class PieceEncoder:
         take = np.repeat(self.start[keep] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
         place = np.full(len(self.uses), -1)
         place[keep] = np.arange(len(keep))
-        self.index = {p: int(place[k]) for p, k in self.index.items() if k >= 0 and place[k] >= 0}
+        still = (self.places >= 0) & (place[np.maximum(self.places, 0)] >= 0)
+        self.known, self.places = self.known.filter(pa.array(still)), place[self.places[still]]
         self.ids, self.length, self.start = self.ids[take], self.length[keep], np.cumsum(n) - n
         self.uses = np.zeros(len(keep), np.int32)
         if self.offsets:
@@ -157,21 +159,24 @@ class PieceEncoder:
                                              pc.replace_substring(whole, "\n", " \n"), pa.scalar("", pa.large_string()))
         lists = pc.split_pattern(marked, " ")
         pieces = lists.flatten().dictionary_encode()
-        distinct, codes = pieces.dictionary.to_pylist(), pieces.indices.to_numpy()
-        number = np.diff(lists.offsets.to_numpy())
-        at = list(map(self.index.get, distinct))
+        codes, number = pieces.indices.to_numpy(), np.diff(lists.offsets.to_numpy())
+        found = pc.index_in(pieces.dictionary, self.known)
+        at = np.full(len(found), -1, np.int64)
+        old = found.is_valid().to_numpy(zero_copy_only=False)
+        at[old] = self.places[found.drop_null().to_numpy()]
+        fresh = np.flatnonzero(~old)
+        unknown = pieces.dictionary.take(pa.array(fresh))
         heads, rest = [], []
-        for k in [k for k, place in enumerate(at) if place is None]:
-            text = self._text(distinct[k])
-            if text is None:
-                at[k] = self.index[distinct[k]] = -1
-            else:
-                (heads if distinct[k][:1] == self._HEAD else rest).append((k, text))
+        for k, piece in zip(fresh.tolist(), unknown.to_pylist()):
+            if (text := self._text(piece)) is not None:
+                (heads if piece[:1] == self._HEAD else rest).append((k, text))
         for new, joined in ((heads, False), (rest, True)):
             first = self._learn([t for _, t in new], joined)
-            for place, (k, _) in enumerate(new, first):
-                at[k] = self.index[distinct[k]] = place
-        places = np.array(at, np.int64)[codes]
+            at[[k for k, _ in new]] = np.arange(first, first + len(new))
+        if len(fresh):
+            self.known = pa.concat_arrays([self.known, unknown])
+            self.places = np.concatenate([self.places, at[fresh]])
+        places = at[codes]
         bounds = np.concatenate([[0], np.cumsum(number)])
         uncut = np.searchsorted(bounds, np.flatnonzero(places < 0), "right") - 1
         uncut = np.union1d(uncut, np.flatnonzero(pc.match_substring(whole, self._HEAD).to_numpy(zero_copy_only=False)))
@@ -186,7 +191,7 @@ class PieceEncoder:
     def batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
         """All ids of the texts one after another, the number of ids of each
         text, and with ``offsets`` each token's (start, end) in characters."""
-        if len(self.index) > self.max_pieces or len(self.ids) > 8 * self.max_pieces:
+        if len(self.known) > self.max_pieces or len(self.ids) > 8 * self.max_pieces:
             keep = np.flatnonzero(self.uses > 1)
             keep = keep[self.length[keep] < 64]         # no whole texts
             self._keep(keep if len(keep) <= self.max_pieces // 2 else keep[:0])

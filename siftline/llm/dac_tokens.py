@@ -88,6 +88,8 @@ def pack(values: np.ndarray, width: int) -> bytes:
 
 def unpack(raw: np.ndarray, count: int, width: int) -> np.ndarray:
     """``count`` values of ``width`` bits from the start of ``raw``."""
+    if not count:
+        return np.zeros(0, np.uint32)
     rows = -(-count // 8)
     kind = np.uint64 if width > 24 else np.uint32
     padded = np.zeros(rows * width + 8, np.uint8)
@@ -239,7 +241,7 @@ def write_tokens(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int
                 ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64())]))
         for b in batches:
             texts, doc_ids, hashes = cm.texts_of(b), b.column("doc_id").to_pylist(), b.column("h").to_pylist()
-            for lo, hi in cm.chunks(texts, 2_000_000):
+            for lo, hi in cm.chunks(texts, 16_000_000):
                 ids, sizes, _ = enc.batch(texts[lo:hi])
                 whole = np.full(len(ids) + len(sizes), end_id, np.int32)  # each document's own end
                 whole[np.arange(len(ids)) + np.repeat(np.arange(len(sizes)), sizes)] = ids

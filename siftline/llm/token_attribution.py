@@ -20,8 +20,8 @@ Nothing is shuffled: sections come with the document's row, as lines (the
 default; a line holds its line break) or as a column of spans.
 
 Defined cases: a null or empty text gives no row by lines. Rows of equal id are
-each counted on their own (``copy`` numbers nothing: rows simply repeat). An
-empty table gives an empty result; extra columns are not read.
+each counted on their own. An empty table gives an empty result; extra columns
+are not read.
 """
 
 from __future__ import annotations
@@ -88,7 +88,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, rule: str = "most", spans
         for b in batches:
             texts, ids = cm.texts_of(b), b.column("doc_id").to_pylist()
             given = b.column("spans").to_pylist() if spans else None
-            for lo, hi in cm.chunks(texts, 1_000_000):
+            for lo, hi in cm.chunks(texts, 4_000_000):
                 _, sizes, offsets = enc.batch(texts[lo:hi])
                 upto = np.concatenate([[0], np.cumsum(sizes)])
                 parts = [[] for _ in range(6)]
