@@ -123,7 +123,7 @@ def alphas(d: np.ndarray, total: np.ndarray, seen: np.ndarray, mass: np.ndarray)
 
 def squeeze(a: np.ndarray) -> bytes:
     """An array of whole numbers, byte plane by byte plane, compressed."""
-    raw = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes()
+    raw = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
     return len(a).to_bytes(8, "little") + len(raw).to_bytes(8, "little") + pa.Codec("zstd").compress(raw, asbytes=True)
 
 
