@@ -14,13 +14,14 @@ Steps, each on Spark and each cut off by a table in the shared folder:
 1. one pass over the texts: set size, digest of the word sequence, sketch;
 2. documents of equal word sequence become one class (partial aggregation);
 3. band keys of the classes; buckets of one class only are dropped;
-4. rounds: in each bucket a pivot is paired with the other members, pairs are
-   estimated and confirmed, and components are formed from the links. The next
-   round takes further pivots, up to 16 a bucket, but only in buckets whose
-   members lie in several components, and only pairs across components. A
-   bucket is done when its members are one component or all were pivots. So no
-   link between different texts is lost that banding finds, and a group of
-   copies costs one pair a member, not all pairs;
+4. in each bucket the least member is paired with the other members; pairs are
+   estimated and confirmed on their sets, and components are formed from the
+   links. So a group of copies costs one pair a member, not all pairs;
+   where a bucket's members are still in several components, its pairs across
+   components are compared, each pair in the first bucket that has it. Members
+   come in blocks of at most ``BLOCK`` with their sets, two blocks to a
+   comparison, and only links come out. So no link between different texts is
+   lost that banding finds, however large a bucket;
 5. each document gets its class's component, named by its smallest doc_id.
 
 Two documents at the threshold share no band with a probability of less than
@@ -45,7 +46,7 @@ from typing import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common as cm
@@ -55,7 +56,8 @@ BUCKETS = 256
 MANTISSA = 10
 EQUAL_BY_CHANCE = 2.0 ** -MANTISSA / 3      # same leading zeros (1/3), then the same mantissa
 SIGMAS = 5.0
-PIVOTS = 16                                 # pivots a bucket and round after the first
+BLOCK = 256                                 # members of a bucket that are compared at once
+BLOCK_BYTES = 16 << 20                      # and the bytes of their sets, about
 
 
 def bands(threshold: float) -> int:
@@ -205,6 +207,66 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
+def compare(nodes: np.ndarray, comps: np.ndarray, side: np.ndarray, sets: list[np.ndarray], bucket: int,
+            percent: int, orders: np.ndarray) -> list[tuple[int, int]]:
+    """Links across components and, where ``side`` has two values, across
+    sides, among members of a bucket that share no earlier bucket."""
+    t, size = percent / 100, bands(percent / 100)
+    regs = np.stack([sketch(s) for s in sets])
+    keys = band_keys(regs, size, orders)
+    band = int(np.flatnonzero((keys == bucket).all(axis=0))[0])
+    n, two, out = np.array([len(s) for s in sets]), len(set(side.tolist())) > 1, []
+    for i in range(len(nodes) - 1):
+        j = np.arange(i + 1, len(nodes))
+        fit = (comps[j] != comps[i]) & (np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent)
+        if two:
+            fit &= side[j] != side[i]
+        j = j[fit]
+        j = j[~(keys[j, :band] == keys[i, :band]).any(axis=1)]
+        if not len(j):
+            continue
+        near, used = estimate(regs[i][None], regs[j])
+        for k in j[near >= t - SIGMAS * np.sqrt(t * (1 - t) / np.maximum(used, 1))]:
+            both = len(np.intersect1d(sets[i], sets[k], assume_unique=True))
+            if 100 * both >= percent * (n[i] + n[k] - both):
+                out.append((int(nodes[i]), int(nodes[k])))
+    return out
+
+
+def _across(members: DataFrame, comp: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links across components in the buckets that have several."""
+    named = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    split = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+    left = cm.staged(named.join(split.select("bucket"), "bucket").join(sets, "node"), "unresolved")
+    sizes = left.groupBy("bucket").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum(F.octet_length("set")) / BLOCK_BYTES)).cast("int").alias("blocks"))
+    dealt = (left.join(cm.staged(sizes, "blocks"), "bucket")
+             .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
+                     "own", "node", "comp", "set")
+             .repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        orders, key, held = _orders(), None, []
+
+        def links() -> pa.RecordBatch:
+            found = compare(np.array([h[1] for h in held]), np.array([h[2] for h in held]), np.array([h[0] for h in held]),
+                            [np.frombuffer(h[3], np.uint64) for h in held], key[0], percent, orders) if len(held) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()),
+                                               pa.array([f[1] for f in found], pa.int64())], names=["a", "b"])
+        for b in batches:
+            for row in zip(*(b.column(c).to_pylist() for c in ("bucket", "lo", "hi", "own", "node", "comp", "set"))):
+                if row[:3] != key:
+                    if key is not None and len(held) > 1:
+                        yield links()
+                    key, held = row[:3], []
+                held.append(row[3:])
+        if key is not None:
+            yield links()
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """Full sets of the classes in ``wanted`` (doc_id, key, node)."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(
@@ -269,32 +331,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5) -> DataF
     sets = cm.staged(_sets(docs, wanted, words).dropDuplicates(["node"]) if _repeats(rows)
                      else _sets(docs, wanted, words), "sets")
 
-    def tested(pairs: DataFrame, name: str) -> DataFrame:
-        likely = cm.staged(_likely(pairs, classes, percent), f"likely-{name}")
-        return cm.staged(_confirmed(likely, sets, percent), f"links-{name}")
-    # first round: the least member of each bucket with every other
-    pairs = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    links = tested(cm.staged(pairs, "pairs"), "0")
+    pairs = cm.staged(members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(),
+                      "pairs")
+    likely = cm.staged(_likely(pairs, classes, percent), "likely")
+    links = cm.staged(_confirmed(likely, sets, percent), "links")
     comp = cm.staged(components(links), "components")
-    crowd = members.groupBy("node").agg(F.sum("members").alias("crowd"))
-    left, done = members.where("node <> pivot").select("bucket", "node").join(crowd, "node"), 0
-    while True:
-        # buckets with untested pairs across components
-        named = left.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        split = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-        left = cm.staged(named.join(split.select("bucket"), "bucket"), "unresolved")
-        if left.isEmpty():
-            break
-        done += 1
-        # the members that share most with others come first: a text that many copies derive from
-        ranked = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("crowd"), "node"))
-        pivots = cm.staged(left.withColumn("rank", ranked).where(F.col("rank") <= PIVOTS)
-                           .select("bucket", F.col("node").alias("p"), F.col("comp").alias("pc")), "pivots")
-        pairs = (left.join(pivots, "bucket").where("comp <> pc")
-                 .select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct())
-        links = links.unionByName(tested(cm.staged(pairs, "pairs"), str(done)))
-        comp = cm.staged(components(links), "components")
-        left = left.drop("comp").join(pivots.select("bucket", F.col("p").alias("node")), ["bucket", "node"], "left_anti")
+    more = cm.staged(_across(members.select("bucket", "node"), comp, sets, percent), "more-links")
+    if not more.isEmpty():
+        comp = cm.staged(components(links.unionByName(more)), "components")
 
     named = classes.select("node", "key", "rep_id").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = named.groupBy("comp").agg(F.min("rep_id").alias("component_id"))
