@@ -62,6 +62,23 @@ def salted_rank(df: DataFrame, keys: Sequence[str], salt: Column, salts: int,
             .drop("_salt", "_in", "_off"))
 
 
+def split_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """The texts' words (ASCII letters lower-cased, cut at ASCII white space):
+    each word's place among the distinct ones, the number of words of each
+    text, and the distinct words."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string())))
+    found = lists.flatten().dictionary_encode()
+    codes, words, number = found.indices.to_numpy(), found.dictionary.to_pylist(), np.diff(lists.offsets.to_numpy())
+    if "" in words:                                    # white space at a text's ends
+        at = words.index("")
+        real = codes != at
+        number = np.diff(np.concatenate([[0], np.cumsum(real)])[np.concatenate([[0], np.cumsum(number)])])
+        codes = codes[real]
+        codes = codes - (codes > at)
+        words.pop(at)
+    return codes, number, words
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The text column as Python strings, null as the empty text."""
     return [t or "" for t in batch.column(name).to_pylist()]

@@ -66,37 +66,24 @@ def bands(threshold: float) -> int:
     return max(r for r in range(1, 33) if (1 - threshold ** r) ** (BUCKETS // r) <= 1e-4)
 
 
-class Shingles:
-    """Sorted distinct 64-bit hashes of a text's shingles."""
-
-    def __init__(self, words: int, max_words: int = 400_000):
-        self.words, self.max_words, self.known = words, max_words, {}
-
-    def batch(self, texts: list[str]) -> list[tuple[np.ndarray, bytes | None]]:
-        """Of each text: its set, and a digest of its word sequence (None
-        without words)."""
-        if len(self.known) > self.max_words:
-            self.known = {}
-        split = [t.encode().lower().split() for t in texts]
-        new = set()
-        for w in split:
-            new.update(set(w).difference(self.known))
-        for w in new:
-            self.known[w] = xxhash.xxh3_64_intdigest(w)
-        get, out = self.known.__getitem__, []
-        for w in split:
-            if not w:
-                out.append((np.zeros(0, np.uint64), None))
-                continue
-            ids = np.fromiter(map(get, w), np.uint64, len(w))
-            n = min(self.words, len(ids))
-            h = np.zeros(len(ids) - n + 1, np.uint64)
-            with np.errstate(over="ignore"):
-                for k in range(n):
-                    h = h * BASE + ids[k:k + len(h)]
-                h = _mixed(h + np.uint64(n))
-            out.append((np.unique(h), hashlib.blake2b(b" ".join(w), digest_size=16).digest()))
-        return out
+def shingles(texts: list[str], words: int) -> list[tuple[np.ndarray, bytes | None]]:
+    """Of each text: the sorted distinct 64-bit hashes of its shingles, and a
+    digest of its word sequence (None without words)."""
+    codes, number, distinct = cm.split_words(texts)
+    ids = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in distinct), np.uint64, len(distinct))[codes]
+
+    def hashes(part: np.ndarray, n: int) -> np.ndarray:
+        h = np.zeros(max(len(part) - n + 1, 0), np.uint64)
+        with np.errstate(over="ignore"):
+            for k in range(n):
+                h = h * BASE + part[k:k + len(h)]
+            return _mixed(h + np.uint64(n))
+    every, out, end = hashes(ids, words), [], 0
+    for n in number.tolist():
+        start, end = end, end + n
+        h = every[start:end - words + 1] if n >= words else hashes(ids[start:end], n) if n else every[:0]
+        out.append((np.unique(h), hashlib.blake2b(ids[start:end].tobytes(), digest_size=16).digest() if n else None))
+    return out
 
 
 def sketch(sorted_set: np.ndarray) -> np.ndarray:
@@ -145,11 +132,10 @@ def estimate(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _signatures(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(words)
         for b in batches:
             texts, ids = cm.texts_of(b), b.column("doc_id")
-            for lo, hi in cm.chunks(texts, 2_000_000):
-                sets = shingles.batch(texts[lo:hi])
+            for lo, hi in cm.chunks(texts, 8_000_000):
+                sets = shingles(texts[lo:hi], words)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(lo, hi - lo), pa.array([len(s) for s, _ in sets], pa.int64()),
                      pa.array([k for _, k in sets], pa.binary()),
@@ -273,11 +259,10 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
         wanted, F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("key", "node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(words)
         for b in batches:
             texts, keys, nodes = cm.texts_of(b), b.column("key").to_pylist(), b.column("node").to_pylist()
-            for lo, hi in cm.chunks(texts, 2_000_000):
-                got = [(n, s.tobytes()) for n, k, (s, own) in zip(nodes[lo:hi], keys[lo:hi], shingles.batch(texts[lo:hi]))
+            for lo, hi in cm.chunks(texts, 8_000_000):
+                got = [(n, s.tobytes()) for n, k, (s, own) in zip(nodes[lo:hi], keys[lo:hi], shingles(texts[lo:hi], words))
                        if own == k]  # rows of one id may have different texts
                 yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()),
                                                   pa.array([g[1] for g in got], pa.binary())], names=["node", "set"])

@@ -44,7 +44,6 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -148,17 +147,7 @@ def undeltas(raw) -> np.ndarray:
 def tokens_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Local word numbers of the texts' tokens, tokens of each text, and the
     words by number; the end token is the last one."""
-    flat = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string())))
-    parts = flat.flatten().dictionary_encode()
-    codes, words = parts.indices.to_numpy(), parts.dictionary.to_pylist()
-    number = np.diff(flat.offsets.to_numpy())
-    if END in words:                                   # white space at a text's ends
-        at = words.index(END)
-        real = codes != at
-        number = np.diff(np.concatenate([[0], np.cumsum(real)])[np.concatenate([[0], np.cumsum(number)])])
-        codes = codes[real]
-        codes = codes - (codes > at)
-        words.pop(at)
+    codes, number, words = cm.split_words(texts)
     out = np.full(len(codes) + len(texts), len(words), np.int32)
     out[np.arange(len(codes)) + np.repeat(np.arange(len(texts)), number)] = codes
     return out, number + 1, words + [END]
