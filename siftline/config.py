@@ -21,7 +21,7 @@ DEFAULT_MIN_POINTS = 50
 DEFAULT_TOP_N = 100
 TOP_STORY_CAP = 50
 HN_HITS_PER_QUERY = 10
-SERP_RESULTS_PER_QUERY = 5
+SERP_RESULTS_PER_QUERY = 5         # asked for by a fetcher; all results of a response are read
 ARXIV_MAX_RESULTS = 50
 ARXIV_MAX_KEYWORDS = 10
 PROMPT_KEYWORDS_PER_DOMAIN = 5
@@ -30,9 +30,17 @@ QUALITY_FOOTER_MIN_SCORED = 5
 TIERS = ("RED", "ORANGE", "YELLOW")
 # Registry order of the source types: it decides which copy of an item wins.
 SOURCE_ORDER = ("arxiv", "hackernews", "rss", "serp")
+ARXIV_CATEGORIES = ("cs.AI", "cs.CL", "cs.CV", "cs.LG")
 SWEEP_LABELS = {"full": "Morning", "light": "Midday/Evening"}
 
 
+# This package's own wording for a scorer; both are settings.
+SCORE_SCALE = ((5, "RED", "needs action soon"), (4, "ORANGE", "worth a full read"), (3, "YELLOW", "good background"),
+               (2, "", "mostly beside the point"), (1, "", "of no use"))
+REPLY_NOTES = ('Answer with JSON only, an array of objects with the fields "idx", "score", "tier" and "why".',
+               "High scores are rare.")
+
+
 @dataclass(frozen=True)
 class SourceConfig:
     name: str
@@ -41,6 +49,22 @@ class SourceConfig:
     domain: str | None = None
 
 
+@dataclass(frozen=True)
+class DomainConfig:
+    name: str
+    weight: float = 1.0
+    keywords: tuple[str, ...] = ()
+    arxiv_categories: tuple[str, ...] = ()
+
+
+@dataclass(frozen=True)
+class ArxivConfig:
+    keywords: tuple[str, ...] = ()
+    categories: tuple[str, ...] = ARXIV_CATEGORIES
+    max_results: int = ARXIV_MAX_RESULTS
+    domain: str = DEFAULT_DOMAIN
+
+
 @dataclass(frozen=True)
 class CurationConfig:
     skip_domains: tuple[str, ...] = ()
@@ -61,6 +85,12 @@ class CurationConfig:
     projects: tuple[str, ...] = ()
     noise_notes: tuple[str, ...] = ()
     orient_prompt: str = ""
+    domains: tuple[DomainConfig, ...] = ()
+    arxiv: ArxivConfig = ArxivConfig()
+    digest_dir: str = "digests"
+    # what a scorer is told: the meaning of each score, and how to answer
+    score_scale: tuple[tuple[int, str, str], ...] = SCORE_SCALE
+    reply_notes: tuple[str, ...] = REPLY_NOTES
 
     def __post_init__(self):
         for tier, budget in self.tier_budgets:
@@ -77,6 +107,20 @@ class CurationConfig:
         return [s for s in self.sources if s.enabled]
 
 
+def arxiv_request(cfg: CurationConfig, sweep_type: str) -> dict[str, Any]:
+    """What a fetcher asks the paper listing for: the search expression and
+    the number of results. Without own keywords those of the source's domain
+    are used (and its categories, if the source has none); a light sweep asks
+    for half."""
+    ax = cfg.arxiv
+    own = next((d for d in cfg.domains if d.name == ax.domain), DomainConfig(ax.domain))
+    words = ax.keywords or own.keywords
+    cats = ax.categories or (() if ax.keywords else own.arxiv_categories)
+    search = " AND ".join(f"({' OR '.join(part)})" for part in (
+        [f'all:"{w}"' for w in words[:ARXIV_MAX_KEYWORDS]], [f"cat:{c}" for c in cats]))
+    return {"search_query": search, "max_results": ax.max_results // (2 if sweep_type == "light" else 1)}
+
+
 REQUIRED_SECTIONS = ("profile", "sources", "domains")
 
 
@@ -98,7 +142,8 @@ def from_mapping(cfg: dict[str, Any]) -> CurationConfig:
         SourceConfig(name=name, enabled=(srcs.get(name) or {}).get("enabled", True),
                      sweep=(srcs.get(name) or {}).get("sweep"),
                      domain=(srcs.get(name) or {}).get("domain"))
-        for name in SOURCE_ORDER if name in srcs)
+        for name in dict.fromkeys((*SOURCE_ORDER, *srcs)))      # a source that is not named is enabled
+    ax = srcs.get("arxiv") or {}
     hn = srcs.get("hackernews") or {}
     keys = ([("rss", f.get("name", ""), f.get("domain")) for f in (srcs.get("rss") or {}).get("feeds", []) or []]
             + [("hackernews", t.get("query", ""), t.get("domain")) for t in hn.get("search_terms", []) or []]
@@ -116,7 +161,12 @@ def from_mapping(cfg: dict[str, Any]) -> CurationConfig:
         min_points=int(hn.get("min_points", DEFAULT_MIN_POINTS)),
         top_n=int(hn.get("top_n", DEFAULT_TOP_N)),
         sources=sources,
-        source_keys=tuple(keys),
+        source_keys=tuple({(t, k): (t, k, d) for t, k, d in reversed(keys)}.values())[::-1],    # the first of a name
+        domains=tuple(DomainConfig(str(n), float((d or {}).get("weight", 1.0)), tuple((d or {}).get("keywords", []) or []),
+                                   tuple((d or {}).get("arxiv_categories", []) or [])) for n, d in domains.items()),
+        arxiv=ArxivConfig(tuple(ax.get("keywords", []) or []), tuple(ax.get("categories", ARXIV_CATEGORIES) or []),
+                          int(ax.get("max_results", ARXIV_MAX_RESULTS)), ax.get("domain", DEFAULT_DOMAIN)),
+        digest_dir=str((cfg.get("output") or {}).get("digest_dir", "digests")),
         description=prof.get("description", "a researcher"),
         projects=tuple(prof.get("projects", []) or []),
         noise_notes=tuple(prof.get("noise_patterns", []) or []),

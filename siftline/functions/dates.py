@@ -9,13 +9,31 @@ from ..config import SWEEP_LABELS
 from .text import col_, ustrip
 
 _ISO_PREFIX = r"^\d{4}-\d{2}-\d{2}T"
-_RFC_DAY = r"(\d{1,2} [A-Za-z]{3} \d{4})"
+_MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+_NAME = r"(?:[a-z]+[,.]?\s+|[a-z]+,)?"
+_MONTH = f"({'|'.join(_MONTHS)})[a-z]*"
+_TIME = r"\d{1,2}[:.]\d{1,2}"
+# day month year time (spaces or hyphens between), month day year time, month day time year; and the
+# groups of day, month and year
+_RFC = ((rf"(?i)^{_NAME}(\d{{1,2}})[\s-]+{_MONTH}[.,]?[\s-]+(\d{{4}}|\d{{2}}),?\s+{_TIME}", 1, 2, 3),
+        (rf"(?i)^{_NAME}{_MONTH}[.,]?\s+(\d{{1,2}}),?\s+(\d{{4}}|\d{{2}}),?\s+{_TIME}", 2, 1, 3),
+        (rf"(?i)^{_NAME}{_MONTH}[.,]?\s+(\d{{1,2}})\s+{_TIME}[\d:.]*\s+(\d{{4}}|\d{{2}})(?!\d)", 2, 1, 3))
 
 
 def rfc822_date(c) -> Column:
-    """Calendar date written in an RFC-822 date, in its own offset (no
-    time-zone conversion), or null."""
-    return F.try_to_date(F.regexp_extract(col_(c), _RFC_DAY, 1), "d MMM yyyy")
+    """Calendar date written in an RFC-822 date with a time, in its own offset
+    (no time-zone conversion), or null. Two-digit years from 69 on are in the
+    20th century, others in the 21st; full month names, hyphens, and the month
+    before the day are read too."""
+    x, out = col_(c), []
+    for rx, day, month, year in _RFC:
+        y = F.regexp_extract(x, rx, year)
+        short = F.length(y) == 2
+        full = F.concat(F.when(short & (y >= "69"), "19").when(short, "20").otherwise(""), y)
+        m = F.array_position(F.lit(list(_MONTHS)), F.lower(F.regexp_extract(x, rx, month)))
+        text = F.concat_ws("-", full, F.lpad(m.cast("string"), 2, "0"), F.lpad(F.regexp_extract(x, rx, day), 2, "0"))
+        out.append(F.when(x.rlike(rx), F.try_to_date(text, "yyyy-MM-dd")))
+    return F.coalesce(*out)
 
 
 def parse_date(c, compat: bool = False) -> Column:
@@ -51,3 +69,8 @@ def sweep_label(sweep_type) -> Column:
 def ts_text(c) -> Column:
     """Timestamps as text with microseconds, identical across engines."""
     return F.date_format(col_(c), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+
+
+def digest_name(ts) -> Column:
+    """The file a sweep's digest is written to."""
+    return F.concat(F.date_format(col_(ts), "yyyy-MM-dd_HHmm"), F.lit(".md"))

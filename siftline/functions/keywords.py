@@ -63,46 +63,76 @@ def blocked_site(url, skip_domains: Iterable[str]) -> Column:
     return any_keyword(url, skip_domains) if list(skip_domains) else F.lit(False)
 
 
-def usable_patterns(patterns: Iterable[str], spark: SparkSession | None = None) -> list[str]:
-    """Patterns that compile; the rest are skipped, as the original does.
+def java_pattern(pattern: str) -> str:
+    """A Python pattern in Java's syntax: named groups and references to them
+    (names are numbered), ``{,n}``, comments, and the end anchor ``\\Z``."""
+    names: dict[str, str] = {}
+
+    def name(n: str) -> str:
+        return names.setdefault(n, f"n{len(names)}")
+    out, i, in_class = [], 0, False
+    while i < len(pattern):
+        rest = pattern[i:]
+        if rest[0] == "\\":
+            piece, new = rest[:2], r"\z" if rest[:2] == r"\Z" and not in_class else rest[:2]
+        elif in_class:
+            piece = new = rest[0]
+            in_class = rest[0] != "]"
+            if rest[0] == "[":
+                new = r"\["            # Java would open a nested class
+        elif rest[0] == "[":
+            m = re.match(r"\[\^?\]?", rest)      # a bracket in first place is an ordinary character
+            piece, new, in_class = m[0], m[0].replace("]", r"\]"), True
+        elif m := re.match(r"\(\?P<(\w+)>", rest):
+            piece, new = m[0], f"(?<{name(m[1])}>"
+        elif m := re.match(r"\(\?P=(\w+)\)", rest):
+            piece, new = m[0], rf"\k<{name(m[1])}>"
+        elif m := re.match(r"\(\?#[^)]*\)", rest):
+            piece, new = m[0], ""
+        elif m := re.match(r"\{,(\d+)\}", rest):
+            piece, new = m[0], f"{{0,{m[1]}}}"
+        else:
+            piece = new = rest[0]
+        out.append(new)
+        i += len(piece)
+    return "".join(out)
+
 
-    A pattern must compile as a Python regex (the original's rule) and as a
-    Java regex (what ``rlike`` runs); the Java check runs on the driver.
-    """
+def usable_patterns(patterns: Iterable[str], spark: SparkSession | None = None) -> list[str]:
+    """The patterns in Java's syntax. What is no Python pattern is skipped, as
+    the original does; a Python pattern that Java cannot run is an error."""
+    jpat = spark.sparkContext._jvm.java.util.regex.Pattern if spark is not None else None
     out = []
-    jpat = None
-    if spark is not None:
-        try:
-            jpat = spark.sparkContext._jvm.java.util.regex.Pattern
-        except Exception:  # pragma: no cover - no JVM gateway (Connect)
-            jpat = None
     for p in patterns:
         try:
             re.compile(p, re.IGNORECASE)
         except re.error:
             continue
+        java = java_pattern(p)
         if jpat is not None:
             try:
-                jpat.compile(p)
-            except Exception:
-                continue
-        out.append(p)
+                jpat.compile("(?iU)" + java)
+            except Exception as e:
+                raise ValueError(f"noise pattern {p!r} has no counterpart in Java: {e}") from e
+        out.append(java)
     return out
 
 
-def noise_regex(patterns: Iterable[str]) -> str | None:
-    """One case-insensitive, Unicode-aware alternation of the patterns."""
-    pats = list(patterns)
-    if not pats:
-        return None
-    return "(?iU)" + "|".join(f"(?:{p})" for p in pats)
+def noise_regexes(patterns: Iterable[str]) -> list[str]:
+    """Case-insensitive, Unicode-aware expressions: one alternation of the
+    patterns without groups, and one for each pattern that has groups, whose
+    numbers an alternation would shift."""
+    plain, own = [], []
+    for p in patterns:
+        (own if re.search(r"(?<!\\)(?:\\\\)*\((?!\?[:=!#]|\?<[=!])", p) else plain).append(p)
+    return (["(?iU)" + "|".join(f"(?:{p})" for p in plain)] if plain else []) + [f"(?iU){p}" for p in own]
 
 
 def noise_match(title, summary, patterns: Iterable[str]) -> Column:
     """Search over lower(title + " " + summary)."""
-    rx = noise_regex(patterns)
-    if rx is None:
-        return F.lit(False)
     text = F.lower(F.concat_ws(" ", F.coalesce(col_(title), F.lit("")),
                                F.coalesce(col_(summary), F.lit(""))))
-    return text.rlike(rx)
+    hit = F.lit(False)
+    for rx in noise_regexes(patterns):
+        hit = hit | text.rlike(rx)
+    return hit

@@ -44,26 +44,17 @@ def carry_forward(states: DataFrame, key: Sequence[str], sweeps: DataFrame) -> D
     return spread.join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
 
 
-def feed_health_asof(log: DataFrame, sweeps: DataFrame, threshold: int = SICK_FEED_THRESHOLD,
+def feed_health_asof(deltas: DataFrame, sweeps: DataFrame, threshold: int = SICK_FEED_THRESHOLD,
                      prior: DataFrame | None = None) -> DataFrame:
     """Sick feeds as of each sweep: ``(sweep_id, feed_id,
-    consecutive_failures, last_error, last_status_code)``. ``log`` rows
-    carry the ``sweep_id`` of the fetch. ``prior`` (a folded state from
-    ``operators.folds``, as of before these sweeps) lets a run read only
-    the new part of the log: it enters as one delta row per feed."""
-    ok = F.col("ok")
-    key = F.struct("ts", "seq")
-    per = log.groupBy("feed_id", "sweep_id").agg(
-        F.count_if(~ok).alias("failures"),
-        F.max(F.when(ok, key)).alias("_last_ok"),
-        F.max(F.when(~ok, F.struct("ts", "seq", "status_code", "error"))).alias("_lf"))
-    trailing = (log.where(~ok).select("feed_id", "sweep_id", key.alias("_k"))
-                .join(per.select("feed_id", "sweep_id", "_last_ok"), ["feed_id", "sweep_id"])
-                .where(F.col("_last_ok").isNotNull() & (F.col("_k") > F.col("_last_ok")))
-                .groupBy("feed_id", "sweep_id").agg(F.count(F.lit(1)).alias("trailing")))
-    d = (per.join(trailing, ["feed_id", "sweep_id"], "left").na.fill(0, ["trailing"])
-         .select("feed_id", "sweep_id", "failures", F.col("_last_ok").isNotNull().alias("_ok"), "trailing",
-                 F.col("_lf").cast("struct<ts:timestamp,seq:bigint,status_code:int,error:string>").alias("_lf")))
+    consecutive_failures, last_error, last_status_code)``. ``deltas``: one row
+    a feed and sweep (``folds.feed_health_delta`` by both). ``prior`` (a folded
+    state as of before these sweeps) lets a run read only the new deltas: it
+    enters as one delta row per feed."""
+    d = deltas.select(
+        "feed_id", "sweep_id", "failures", F.col("has_success").alias("_ok"),
+        F.when(F.col("has_success"), F.col("consecutive_failures")).otherwise(F.lit(0)).alias("trailing"),
+        F.col("last_failure_key").cast("struct<ts:timestamp,seq:bigint,status_code:int,error:string>").alias("_lf"))
     if prior is not None:
         # only the trailing failures of the prior state matter from here on
         start = sweeps.agg(F.min("sweep_id")).scalar() - F.lit(1)
@@ -98,13 +89,13 @@ def feed_health_asof(log: DataFrame, sweeps: DataFrame, threshold: int = SICK_FE
     return spread.select("sweep_id", "feed_id", "consecutive_failures", "last_error", "last_status_code")
 
 
-def source_quality_asof(scores: DataFrame, sweeps: DataFrame, prior: DataFrame | None = None) -> DataFrame:
-    """Cumulative scoring counts per source as of each sweep; ``prior``
+def source_quality_asof(deltas: DataFrame, sweeps: DataFrame, prior: DataFrame | None = None) -> DataFrame:
+    """Cumulative scoring counts per source as of each sweep. ``deltas``: one
+    row a source and sweep (``folds.source_quality_counts`` by both); ``prior``
     (source, total_scored, scored_3plus, scored_4plus) is the state before
     these sweeps."""
-    s = F.col("score")
-    per = scores.groupBy("source", "sweep_id").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(s >= 3).alias("n3"), F.count_if(s >= 4).alias("n4"))
+    per = deltas.select("source", "sweep_id", F.col("total_scored").alias("n"), F.col("scored_3plus").alias("n3"),
+                        F.col("scored_4plus").alias("n4"))
     if prior is not None:
         start = sweeps.agg(F.min("sweep_id")).scalar() - F.lit(1)
         per = per.unionByName(prior.select("source", start.alias("sweep_id"), F.col("total_scored").alias("n"),
@@ -160,7 +151,7 @@ def digest_lines(sweeps: DataFrame, sick: DataFrame, warnings: DataFrame, shown:
     clean = F.col("n") == 0
     sweep_parts = [
         _line(sid, 0, 0, 0, 0, F.concat(F.lit("# Digest | "), F.date_format("sweep_ts", "yyyy-MM-dd"),
-                                        F.lit(" "), sweep_label(st))),
+                                        F.lit(" "), sweep_label(st), F.lit(" ("), F.date_format("sweep_ts", "HH:mm"), F.lit(")"))),
         _line(sid, 0, 0, 0, 1, F.lit("")),
         _line(sid, 3, 0, 0, 0, F.when(clean, F.lit(CLEAN_DAY))),
         _line(sid, 3, 0, 0, 1, F.when(clean, F.lit(""))),

@@ -8,6 +8,8 @@ forms merge a prior snapshot with a delta by the same associative rules.
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,45 +19,70 @@ from .ordering import keep_first
 
 # ------------------------------------------------------------------ feed health
 
-def _key():
-    return F.struct("ts", "seq")
-
-
-def feed_health_delta(log: DataFrame) -> DataFrame:
-    """Per-feed summary of a slice of the fetch log (``feed_id, feed_url,
-    ts, seq, ok, status_code, error, item_count``).
+def feed_health_delta(log: DataFrame, keys: Sequence[str] = ("feed_id",)) -> DataFrame:
+    """Per-feed summary (or per ``keys``) of a slice of the fetch log
+    (``feed_id, feed_url, ts, seq, ok, status_code, error, item_count``).
 
     ``consecutive_failures`` counts failures after the last success of the
-    slice (all failures when it has none). Found in two partial
-    aggregations: the last success key per feed, then the failures after
-    it; the one-row-per-feed side of the join is broadcast by AQE when its
-    measured size is small.
+    slice (all failures when it has none).
+
+    Counts and times are summed per (feed, hour) first, on fixed-width buffers
+    map-side, so a feed that holds a third of the log becomes one row an hour.
+    Log rows are only joined back where they decide something: those at a
+    feed's first, last-success and last-failure time (joined by feed *and*
+    time), and the failures in the hour of its last success.
     """
-    ok = F.col("ok")
-    agg = log.groupBy("feed_id").agg(
-        F.min(F.struct("ts", "seq", "feed_url")).alias("_first"),
-        F.count(F.lit(1)).alias("total_fetches"),
-        F.sum(F.when(ok, F.col("item_count")).otherwise(F.lit(0))).cast("bigint").alias("total_items"),
-        F.max(F.when(ok, F.col("ts"))).alias("last_success"),
-        F.max(F.when(~ok, F.struct("ts", "seq", "status_code", "error"))).alias("_lf"),
-        F.max(F.when(ok, _key())).alias("_last_ok"),
-        F.count_if(~ok).alias("failures"),
-    )
-    after = (log.where(~ok).select("feed_id", _key().alias("_k"))
-             .join(agg.select("feed_id", "_last_ok"), "feed_id")
-             .where(F.col("_last_ok").isNull() | (F.col("_k") > F.col("_last_ok")))
-             .groupBy("feed_id").agg(F.count(F.lit(1)).alias("consecutive_failures")))
-    return (agg.join(after, "feed_id", "left")
-            .select("feed_id", F.col("_first.feed_url").alias("feed_url"),
-                    F.col("_first").alias("first_key"),
-                    "total_fetches", "total_items", "last_success",
-                    F.col("_lf.ts").alias("last_failure"),
-                    F.col("_lf.status_code").cast("bigint").alias("last_status_code"),
-                    F.col("_lf.error").alias("last_error"),
-                    F.col("_lf").alias("last_failure_key"),
-                    F.col("_last_ok").isNotNull().alias("has_success"),
-                    "failures",
-                    F.coalesce("consecutive_failures", F.lit(0)).cast("bigint").alias("consecutive_failures")))
+    ok, keys = F.col("ok"), list(keys)
+    hour = F.date_trunc("hour", F.col("ts"))
+    rows = log.withColumn("_hour", hour)
+    per = rows.groupBy(*keys, "_hour").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.when(ok, F.col("item_count")).otherwise(F.lit(0))).alias("items"),
+        F.count_if(~ok).alias("fails"), F.min("ts").alias("first"),
+        F.max(F.when(ok, F.col("ts"))).alias("ok_ts"), F.max(F.when(~ok, F.col("ts"))).alias("fail_ts"))
+    tot = per.groupBy(*keys).agg(
+        F.sum("n").cast("bigint").alias("total_fetches"), F.sum("items").cast("bigint").alias("total_items"),
+        F.sum("fails").cast("bigint").alias("failures"), F.min("first").alias("first"),
+        F.max("ok_ts").alias("last_success"), F.max("fail_ts").alias("last_failure"))
+    marks = tot.select(*keys, F.explode(F.array_distinct(F.array_compact(
+        F.array("first", "last_success", "last_failure")))).alias("ts"))
+    at = (rows.join(marks, [*keys, "ts"]).groupBy(*keys).agg(
+        F.min(F.struct("ts", "seq", "feed_url")).alias("first_key"),
+        F.max(F.when(ok, F.struct("ts", "seq"))).alias("_last_ok"),
+        F.max(F.when(~ok, F.struct("ts", "seq", "status_code", "error"))).alias("last_failure_key")))
+    later = (per.join(tot.select(*keys, "last_success"), keys)
+             .where(F.col("last_success").isNull() | (F.col("_hour") > F.date_trunc("hour", F.col("last_success"))))
+             .groupBy(*keys).agg(F.sum("fails").alias("later")))
+    same = (rows.where(~ok).join(at.where(F.col("_last_ok").isNotNull()).select(
+        *keys, "_last_ok", F.date_trunc("hour", F.col("_last_ok.ts")).alias("_hour")), [*keys, "_hour"])
+        .where(F.struct("ts", "seq") > F.col("_last_ok")).groupBy(*keys).agg(F.count(F.lit(1)).alias("same")))
+    return (tot.join(at, keys).join(later, keys, "left").join(same, keys, "left").select(
+        *keys, F.col("first_key.feed_url").alias("feed_url"), "first_key", "total_fetches", "total_items",
+        "last_success", "last_failure", F.col("last_failure_key.status_code").cast("bigint").alias("last_status_code"),
+        F.col("last_failure_key.error").alias("last_error"), "last_failure_key",
+        F.col("_last_ok").isNotNull().alias("has_success"), "failures",
+        (F.coalesce("later", F.lit(0)) + F.coalesce("same", F.lit(0))).cast("bigint").alias("consecutive_failures")))
+
+
+def fold_feed_deltas(deltas: DataFrame) -> DataFrame:
+    """Per-feed state from deltas of (feed, sweep), in any order of arrival:
+    failures after the last sweep that saw a success, and that sweep's own
+    failures after it."""
+    agg = deltas.groupBy("feed_id").agg(
+        F.min("first_key").alias("first_key"), F.sum("total_fetches").cast("bigint").alias("total_fetches"),
+        F.sum("total_items").cast("bigint").alias("total_items"), F.max("last_success").alias("last_success"),
+        F.max("last_failure_key").alias("last_failure_key"), F.max("has_success").alias("has_success"),
+        F.sum("failures").cast("bigint").alias("failures"),
+        F.max(F.when(F.col("has_success"), F.struct("sweep_id", "consecutive_failures"))).alias("_ok"))
+    later = (deltas.join(agg.select("feed_id", "_ok"), "feed_id")
+             .where(F.col("_ok").isNull() | (F.col("sweep_id") > F.col("_ok.sweep_id")))
+             .groupBy("feed_id").agg(F.sum("failures").alias("later")))
+    return agg.join(later, "feed_id", "left").select(
+        "feed_id", F.col("first_key.feed_url").alias("feed_url"), "first_key", "total_fetches", "total_items",
+        "last_success", F.col("last_failure_key.ts").alias("last_failure"),
+        F.col("last_failure_key.status_code").cast("bigint").alias("last_status_code"),
+        F.col("last_failure_key.error").alias("last_error"), "last_failure_key", "has_success", "failures",
+        (F.coalesce("later", F.lit(0)) + F.coalesce("_ok.consecutive_failures", F.lit(0))).cast("bigint")
+        .alias("consecutive_failures"))
 
 
 def merge_feed_health(prior: DataFrame, delta: DataFrame) -> DataFrame:
@@ -108,10 +135,11 @@ def sick_feeds(state: DataFrame, threshold: int = 3) -> DataFrame:
 
 # --------------------------------------------------------------- source quality
 
-def source_quality_counts(scores: DataFrame) -> DataFrame:
-    """Scoring events per source (A4); re-surfaced items count again."""
+def source_quality_counts(scores: DataFrame, keys: Sequence[str] = ("source",)) -> DataFrame:
+    """Scoring events per source (A4), or per ``keys``; re-surfaced items
+    count again."""
     s = F.col("score")
-    return scores.groupBy("source").agg(
+    return scores.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_scored"),
         F.count_if(s >= 3).alias("scored_3plus"),
         F.count_if(s >= 4).alias("scored_4plus"))
@@ -119,7 +147,12 @@ def source_quality_counts(scores: DataFrame) -> DataFrame:
 
 def merge_source_quality(prior: DataFrame, delta: DataFrame) -> DataFrame:
     """Counter merge (J5): sums per source."""
-    return prior.unionByName(delta).groupBy("source").agg(
+    return sum_source_counts(prior.unionByName(delta))
+
+
+def sum_source_counts(counts: DataFrame) -> DataFrame:
+    """Counters of sweeps or slices, in any order."""
+    return counts.groupBy("source").agg(
         F.sum("total_scored").cast("bigint").alias("total_scored"),
         F.sum("scored_3plus").cast("bigint").alias("scored_3plus"),
         F.sum("scored_4plus").cast("bigint").alias("scored_4plus"))
@@ -147,13 +180,14 @@ def items_seen(recorded: DataFrame) -> DataFrame:
                         "source", "domain", "published", F.col("sweep_ts").alias("first_seen"))
 
 
-def current_scores(score_log: DataFrame, seen: DataFrame) -> DataFrame:
+def current_scores(score_log: DataFrame, seen: DataFrame, how: str = "inner") -> DataFrame:
     """Last score per item (K3): latest sweep wins; ids never recorded are
-    ignored (an update, not an upsert)."""
+    ignored (an update, not an upsert). ``how="left"`` keeps items that were
+    never scored."""
     last = score_log.groupBy("item_id").agg(F.max("sweep_ts").alias("sweep_ts"))
     latest = score_log.join(last, ["item_id", "sweep_ts"], "left_semi")
     return seen.join(latest.select("item_id", F.col("score").alias("llm_score"), "tier",
-                                   F.col("reason").alias("llm_reason")), "item_id")
+                                   F.col("reason").alias("llm_reason")), "item_id", how)
 
 
 def item_state(scored: DataFrame) -> DataFrame:
@@ -168,15 +202,16 @@ def item_state(scored: DataFrame) -> DataFrame:
         F.col("_l.score").alias("llm_score"), F.col("_l.tier").alias("tier"), F.col("_l.reason").alias("llm_reason"))
 
 
-def lifetime_stats(seen: DataFrame, current: DataFrame, digests: DataFrame, as_of) -> DataFrame:
-    """Lifetime panel (A7, F9): one row. ``as_of`` is a Column (a literal or
+def lifetime_stats(items: DataFrame, digests: DataFrame, as_of) -> DataFrame:
+    """Lifetime panel (A7, F9): one row. ``items``: ``first_seen`` and current
+    ``tier`` of each item (``item_state``). ``as_of`` is a Column (a literal or
     a scalar subquery); "last 24 h" is ``first_seen > as_of - 24 h``. The
-    other panels' counts are scalar subqueries, no joins."""
-    red = current.agg(F.count_if(F.col("tier") == "RED")).scalar()
-    orange = current.agg(F.count_if(F.col("tier") == "ORANGE")).scalar()
+    number of digests is a scalar subquery, and item counts are one
+    aggregation over the items with their current score."""
     n_digests = digests.agg(F.count(F.lit(1))).scalar()
-    return seen.agg(
+    tier = F.col("tier")
+    return items.agg(
         F.count(F.lit(1)).alias("items_seen"),
         F.count_if(F.col("first_seen") > as_of - F.expr("INTERVAL 24 HOURS")).alias("last_24h"),
-    ).select("items_seen", "last_24h", n_digests.alias("digests"), red.alias("red_caught"),
-             orange.alias("orange_caught"))
+        F.count_if(tier == "RED").alias("red_caught"), F.count_if(tier == "ORANGE").alias("orange_caught"),
+    ).select("items_seen", "last_24h", n_digests.alias("digests"), "red_caught", "orange_caught")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import TIERS
-from ..functions.dates import sweep_type_of, ts_text
+from ..functions.dates import digest_name, sweep_type_of, ts_text
 from ..functions.numbers import noise_pct
 
 
@@ -105,7 +105,7 @@ def digest_log(funnel: DataFrame, digest_dir: str = "digests", dry_run: bool = F
     """One log row per sweep (K4); the id is the sweep id. The digest file
     name is the sweep time as ``YYYY-MM-DD_HHMM.md``."""
     path = F.lit("(dry-run)") if dry_run else F.concat(
-        F.lit(digest_dir.rstrip("/") + "/"), F.date_format("sweep_ts", "yyyy-MM-dd_HHmm"), F.lit(".md"))
+        F.lit(digest_dir.rstrip("/") + "/"), digest_name(F.col("sweep_ts")))
     return funnel.select(
         "sweep_id", ts_text("sweep_ts").alias("sweep_ts"),
         F.coalesce(F.col("sweep_type"), sweep_type_of(F.col("sweep_ts"))).alias("sweep_type")

@@ -16,10 +16,10 @@ from __future__ import annotations
 from typing import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import PROMPT_KEYWORDS_PER_DOMAIN
+from ..config import PROMPT_KEYWORDS_PER_DOMAIN, REPLY_NOTES, SCORE_SCALE, CurationConfig
 from .ordering import positions
 
 # Fixed fallback values (score, tier, reason) that must equal the original's.
@@ -29,7 +29,7 @@ MISSING = (2, "YELLOW", "unscored")
 DEFAULT_TIER = "YELLOW"
 
 SCORE_SCHEMA = "array<struct<idx:int,score:int,tier:string,why:string>>"
-RESPONSE_SCHEMA = "sweep_id bigint, batch bigint, response string"
+RESPONSE_SCHEMA = "sweep_id bigint, batch bigint, response string, prompt_hash string"
 
 
 def number_batches(items: DataFrame, batch_size: int, group: Sequence[str] = ("sweep_id",),
@@ -101,23 +101,25 @@ def apply_scores(batched: DataFrame, responses: DataFrame | None,
     if responses is None:
         return batched.withColumn("score", F.lit(NO_KEY[0]).cast("bigint")) \
             .withColumn("tier", F.lit(NO_KEY[1])).withColumn("reason", F.lit(NO_KEY[2]))
-    status, elems = parse_responses(responses, group)
     keys = [*group, "batch"]
-    bad_score = (elems.join(batched.select(*keys, "idx"), [*keys, "idx"], "left_semi")
-                 .where(F.col("score").isNull()).select(*keys).distinct()
-                 .withColumn("_bad", F.lit(True)))
-    st = (status.join(bad_score, keys, "left")
-          .select(*keys, (F.col("ok") & F.col("_bad").isNull()).alias("_ok")))
-    j = (batched.join(st, keys, "left").join(elems, [*keys, "idx"], "left"))
-    ok = F.coalesce(F.col("_ok"), F.lit(False))
-    present = F.col("score").isNotNull()
+    js = extract_json_array(F.coalesce(F.col("response"), F.lit("")))
+    answers = responses.select(*keys, F.from_json(F.nullif(js, F.lit("")), SCORE_SCHEMA).alias("_a"))
+    j = batched.join(answers, keys, "left")
+    # the last element of an idx; an answer has about as many elements as its batch has items
+    hit = F.try_element_at(F.filter("_a", lambda x: x["idx"] == F.col("idx")), F.lit(-1))
+    j = j.withColumn("_hit", hit)
+    whole = F.col("_a").isNotNull() & F.coalesce(F.forall("_a", lambda x: x["idx"].isNotNull()), F.lit(True))
+    scoreless = F.col("_hit").isNotNull() & F.col("_hit.score").isNull()
+    ok = whole & ~F.max(scoreless).over(Window.partitionBy(*keys))      # a batch is a bounded group
+    j = j.withColumn("_ok", ok)
+    failed, present = ~F.coalesce(F.col("_ok"), F.lit(False)), F.col("_hit").isNotNull()
     return j.select(
         *[c for c in batched.columns],
-        F.when(~ok, F.lit(FAILED[0])).when(present, F.col("score")).otherwise(F.lit(MISSING[0]))
+        F.when(failed, F.lit(FAILED[0])).when(present, F.col("_hit.score")).otherwise(F.lit(MISSING[0]))
         .cast("bigint").alias("score"),
-        F.when(~ok, F.lit(FAILED[1])).when(present, F.coalesce("tier", F.lit(DEFAULT_TIER)))
+        F.when(failed, F.lit(FAILED[1])).when(present, F.coalesce("_hit.tier", F.lit(DEFAULT_TIER)))
         .otherwise(F.lit(MISSING[1])).alias("tier"),
-        F.when(~ok, F.lit(FAILED[2])).when(present, F.coalesce("why", F.lit("")))
+        F.when(failed, F.lit(FAILED[2])).when(present, F.coalesce("_hit.why", F.lit("")))
         .otherwise(F.lit(MISSING[2])).alias("reason"))
 
 
@@ -134,9 +136,23 @@ def run_scorer(prompts: DataFrame, scorer: Scorer, system_prompt: str = "", mode
     extra = (system_prompt, model)[:max(0, min(n, 3) - 1)]
 
     def _call(batches):
-        for pdf in scorer(batches, *extra):
-            yield pdf[["sweep_id", "batch", "response"]]
-    return prompts.select("sweep_id", "batch", "n_items", "prompt").mapInPandas(_call, RESPONSE_SCHEMA)
+        asked: dict = {}        # the prompts of the frames a scorer has taken and not answered yet
+
+        def seen():
+            for pdf in batches:
+                asked.update(zip(zip(pdf["sweep_id"], pdf["batch"]), pdf["prompt_hash"]))
+                yield pdf.drop(columns="prompt_hash")
+        for pdf in scorer(seen(), *extra):
+            pdf = pdf[["sweep_id", "batch", "response"]].copy()
+            pdf["prompt_hash"] = [asked.pop(k) for k in zip(pdf["sweep_id"], pdf["batch"])]
+            yield pdf
+    return prompts.select("sweep_id", "batch", "n_items", "prompt", prompt_hash(system_prompt, model).alias("prompt_hash")) \
+        .mapInPandas(_call, RESPONSE_SCHEMA)
+
+
+def prompt_hash(system_prompt: str = "", model: str = "") -> Column:
+    """What was asked, of whom: answers are kept under this."""
+    return F.sha2(F.concat_ws("\x1f", F.lit(model), F.lit(system_prompt), F.col("prompt")), 256)
 
 
 def _arity(fn) -> int:
@@ -181,32 +197,34 @@ def domain_line(per_domain: int = PROMPT_KEYWORDS_PER_DOMAIN) -> Column:
                     F.array_join(F.slice(F.col("keywords"), 1, per_domain), ", "))
 
 
-def prompt_parts(description: str, projects: Sequence[str], noise_notes: Sequence[str]) -> tuple[str, str]:
-    """The fixed text before and after the domain lines of a profile
-    prompt (M1), in this package's own wording."""
-    head = [f"You score feed items for a personal digest. The reader is {description}.",
-            "Current projects:"] + [f"{i}. {p}" for i, p in enumerate(projects, 1)] + [
-        "",
-        "Scale: 5 RED = act now (deadline, competitor, breaking change); 4 ORANGE = changes the",
-        "reader's model, read in full; 3 YELLOW = useful context; 2 = mostly noise; 1 = noise.",
-        "",
-        "Domains and calibration keywords:"]
-    tail = []
-    if noise_notes:
-        tail += ["", "Always score 1:"] + [f"- {n}" for n in noise_notes]
-    tail += ["", 'Reply with a JSON array only: [{"idx": 0, "score": 4, "tier": "ORANGE", "why": "one line"}].',
-             "Be strict: most items score 1 or 2."]
-    return "\n".join(head) + "\n", "\n" + "\n".join(tail)
+def prompt_parts(description: str, projects: Sequence[str], noise_notes: Sequence[str],
+                 scale: Sequence[tuple[int, str, str]] = SCORE_SCALE,
+                 reply: Sequence[str] = REPLY_NOTES) -> tuple[str, str]:
+    """The text before and after the domain lines of a profile prompt (M1)."""
+    head = [f"Reader: {description}", "Works on:", *[f"{i}. {p}" for i, p in enumerate(projects, 1)],
+            "", "Scores:", *[f"{n}{f' {tier}' if tier else ''}: {meaning}" for n, tier, meaning in scale],
+            "", "Domains:"]
+    tail = ["", "Always 1:", *[f"- {n}" for n in noise_notes]] if noise_notes else []
+    return "\n".join(head) + "\n", "\n" + "\n".join([*tail, "", *reply])
+
+
+def config_prompt(cfg: CurationConfig) -> str:
+    """The system prompt of a config (M1): what ``profile_prompt`` makes of a
+    table of domains, for the few of one config."""
+    head, tail = prompt_parts(cfg.description, cfg.projects, cfg.noise_notes, cfg.score_scale, cfg.reply_notes)
+    return head + "\n".join(f"  {d.name} (weight {float(d.weight)}): {', '.join(d.keywords[:PROMPT_KEYWORDS_PER_DOMAIN])}"
+                            for d in cfg.domains) + tail
 
 
 def profile_prompt(domains: DataFrame, description: str, projects: Sequence[str],
-                   noise_notes: Sequence[str], profile_cols: Sequence[str] = ()) -> DataFrame:
+                   noise_notes: Sequence[str], profile_cols: Sequence[str] = (),
+                   scale: Sequence[tuple[int, str, str]] = SCORE_SCALE, reply: Sequence[str] = REPLY_NOTES) -> DataFrame:
     """System prompt per profile (M1): reader, numbered projects, score
     scale, domains with weights and keywords, noise notes when any, reply
     format. ``domains``: (``*profile_cols``, ord, domain, weight double,
     keywords array); one output row per profile. Domains per profile are
     config-sized, so the collected list is small."""
-    head, tail = prompt_parts(description, projects, noise_notes)
+    head, tail = prompt_parts(description, projects, noise_notes, scale, reply)
     lines = domains.select(*profile_cols, "ord", domain_line().alias("line"))
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "line"))),
                                     lambda x: x["line"]), "\n")

@@ -105,10 +105,12 @@ def quality_warning(source="source_type", total="total", valid="valid",
                   F.concat(tag, F.lit("quality issues: "), issues)))
 
 
+# Fixed display values that must equal the original's, like the texts in quality_warning.
 EMPTY_SWEEP_WARNING = "0 items fetched from all sources -- check config and network."
 
 
-def quality_warnings(report: DataFrame, sweeps: DataFrame, sources: Sequence) -> DataFrame:
+def quality_warnings(report: DataFrame, sweeps: DataFrame, sources: Sequence,
+                     crashes: DataFrame | None = None) -> DataFrame:
     """Warnings per sweep in render order (A2 + A11).
 
     ``sweeps``: one row per sweep (``sweep_id``, optionally
@@ -118,6 +120,8 @@ def quality_warnings(report: DataFrame, sweeps: DataFrame, sources: Sequence) ->
     expanded to its called sources with a literal array (config-sized, no
     join) and the report is left-joined to that. A web-search source marked
     ``sweep: full`` is not called on light sweeps, so it gets no row there.
+    ``crashes`` (sweep_id, source_type, error): a source whose fetch crashed
+    has that as its warning and no report.
     """
     from ..sources.gating import SEARCH_SOURCE
     cfgs = [(s, None) if isinstance(s, str) else (s.name, s.sweep) for s in sources]
@@ -135,13 +139,19 @@ def quality_warnings(report: DataFrame, sweeps: DataFrame, sources: Sequence) ->
     rep = grid.join(report, ["sweep_id", "source_type"], "left").na.fill(
         0, ["total", "valid", "empty_title", "empty_url", "malformed_url",
             "duplicate_in_batch", "empty_summary"])
+    text = quality_warning()
+    if crashes is not None:
+        first = crashes.groupBy("sweep_id", "source_type").agg(F.min(F.coalesce("error", F.lit(""))).alias("_crash"))
+        rep = rep.join(first, ["sweep_id", "source_type"], "left")
+        text = F.when(F.col("_crash").isNotNull(), F.concat(
+            F.lit("["), F.col("source_type"), F.lit("] fetch crashed: "), F.col("_crash"))).otherwise(text)
     # one pass over the (small) per-source report: each row emits its own
     # warning; the sweep's first source also emits the whole-sweep one
     sweep_w = Window.partitionBy("sweep_id")
     rep = (rep.withColumn("_fetched", F.sum("valid").over(sweep_w))
            .withColumn("_first", F.col("ord") == F.min("ord").over(sweep_w)))
     both = F.array(
-        F.struct(F.col("ord"), F.col("source_type"), quality_warning().alias("warning")),
+        F.struct(F.col("ord"), F.col("source_type"), text.alias("warning")),
         F.struct(F.lit(1_000_000).cast("bigint").alias("ord"), F.lit(None).cast("string").alias("source_type"),
                  F.when(F.col("_first") & (F.col("_fetched") == 0), F.lit(EMPTY_SWEEP_WARNING)).alias("warning")))
     return (rep.select("sweep_id", F.explode(both).alias("_w")).select("sweep_id", "_w.*")

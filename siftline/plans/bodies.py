@@ -98,7 +98,8 @@ def hn_search_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hn_top_lists(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Top-story list per sweep (rank = arrival order, one row per story)
-    and one item body per story; every fifth item is a job, not a story."""
+    and one item body per story; every fifth item is a job, not a story;
+    every fourth has a URL that no search hit has."""
     f = fx.feed_items(spark, sf_dir)
     s = F.col("seq")
     from ..operators.ordering import positions
@@ -107,7 +108,8 @@ def hn_top_lists(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     body = F.to_json(F.struct(
         F.when(s % 5 == 0, F.lit("job")).otherwise(F.lit("story")).alias("type"),
         F.col("title").alias("title"),
-        F.when(s % 13 == 0, F.lit(None).cast("string")).otherwise(F.col("url")).alias("url"),
+        F.when(s % 4 == 1, F.concat(F.lit("https://story.example/"), (s % 100).cast("string")))
+        .when(s % 13 == 0, F.lit(None).cast("string")).otherwise(F.col("url")).alias("url"),
         s.alias("id"), (F.col("score") * 20).cast("bigint").alias("score")))
     stories = f.select("sweep_id", s.alias("id"), body.alias("body"))
     return top, stories
@@ -139,3 +141,24 @@ def serp_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json(F.struct(section(0).alias("news_results"), section(1).alias("organic_results"))).alias("body")
     ).select(F.lit(0).cast("bigint").alias("sweep_id"), "query_seq",
              F.concat(F.lit("q"), F.col("query_seq").cast("string")).alias("query"), "body")
+
+
+def raw_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed payloads (RAW_FETCH) of all sweeps: the search responses of each
+    sweep, and the page feeds and web searches dealt over the sweeps. Sweeps
+    are full and light in turn (``feed_items``)."""
+    times = fx.feed_items(spark, sf_dir).groupBy("sweep_id").agg(F.min("sweep_ts").alias("sweep_ts"))
+    none = F.lit(None).cast("string")
+
+    def rows(df: DataFrame, source: str, seq: str, feed: Column, query: Column) -> DataFrame:
+        return df.select("sweep_id", F.lit(source).alias("source_type"), feed.alias("feed_name"), none.alias("feed_url"),
+                         query.alias("query"), none.alias("domain"), F.col(seq).cast("bigint").alias("fetch_seq"),
+                         F.lit(None).cast("int").alias("status_code"), none.alias("error"), "body")
+    dealt = (F.col("n") % 30 + 1).cast("bigint")
+    rss = rss_bodies(spark, sf_dir).drop("sweep_id").withColumn("n", F.col("fetch_seq")).withColumn("sweep_id", dealt)
+    serp = serp_bodies(spark, sf_dir).drop("sweep_id").withColumn("n", F.col("query_seq")).withColumn("sweep_id", dealt)
+    every = (rows(hn_search_bodies(spark, sf_dir), "hackernews", "query_seq", none, F.col("query"))
+             .unionByName(rows(rss, "rss", "fetch_seq", F.col("feed_name"), none))
+             .unionByName(rows(serp, "serp", "query_seq", none, F.col("query"))))
+    from ..functions.dates import sweep_type_of
+    return every.join(times, "sweep_id").withColumn("sweep_type", sweep_type_of(F.col("sweep_ts")))

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FIXTURE_CONFIG as CFG
@@ -198,14 +198,15 @@ def q_lifetime_stats(spark, sf_dir):
     feed = fx.feed_items(spark, sf_dir)
     as_of = feed.agg(F.max("ts")).scalar()
     cur_ = _current(spark, sf_dir)
-    return fl.lifetime_stats(cur_, cur_, _sweeps(spark, sf_dir), as_of)
+    return fl.lifetime_stats(cur_, _sweeps(spark, sf_dir), as_of)
 
 
 # ---------------------------------------------------------------------- scoring
 
 @_memo
 def _doc_batched(spark, sf_dir) -> DataFrame:
-    docs = fx.doc_items(spark, sf_dir).withColumn("sweep_id", F.lit(0).cast("bigint"))
+    """Batch and place of each document item: ids only."""
+    docs = fx.doc_items(spark, sf_dir).select("seq", F.lit(0).cast("bigint").alias("sweep_id"))
     return sc.number_batches(docs, CFG.batch_size)
 
 
@@ -216,7 +217,12 @@ def q_score_batches(spark, sf_dir):
 
 @query("score_prompts")
 def q_score_prompts(spark, sf_dir):
-    return sc.batch_prompts(_doc_batched(spark, sf_dir))
+    return sc.batch_prompts(_doc_batched(spark, sf_dir).join(
+        fx.doc_items(spark, sf_dir).select("seq", "domain", "title", "summary"), "seq"))
+
+
+def _doc_labelled(spark, sf_dir) -> DataFrame:
+    return _doc_batched(spark, sf_dir).join(fx.labelled_doc_items(spark, sf_dir), "seq")
 
 
 def label_responses(batched: DataFrame) -> DataFrame:
@@ -236,7 +242,7 @@ def label_responses(batched: DataFrame) -> DataFrame:
 
 @query("parse_scores")
 def q_parse_scores(spark, sf_dir):
-    status, elems = sc.parse_responses(label_responses(_doc_batched(spark, sf_dir)))
+    status, elems = sc.parse_responses(label_responses(_doc_labelled(spark, sf_dir)))
     ok = status.where("ok").select("sweep_id", "batch")
     return elems.join(ok, ["sweep_id", "batch"], "left_semi")
 
@@ -244,7 +250,7 @@ def q_parse_scores(spark, sf_dir):
 @query("apply_scores")
 def q_apply_scores(spark, sf_dir):
     batched = _doc_batched(spark, sf_dir)
-    out = sc.apply_scores(batched.select("seq", "sweep_id", "batch", "idx"), label_responses(batched))
+    out = sc.apply_scores(batched, label_responses(_doc_labelled(spark, sf_dir)))
     return out.select("seq", "sweep_id", "batch", "idx", "score", "tier", "reason")
 
 
@@ -337,12 +343,14 @@ def q_strip_html(spark, sf_dir):
 @query("parse_date")
 def q_parse_date(spark, sf_dir):
     o = fx.table(spark, sf_dir, "orders")
-    d, k = F.col("o_orderdate"), F.col("o_orderkey") % 5
-    raw = (F.when(k == 0, F.concat(F.date_format(d, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000")))
-           .when(k == 1, F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-           .when(k == 2, F.lit(""))
-           .when(k == 3, F.date_format(d, "yyyy-MM-dd"))
-           .otherwise(F.concat(F.date_format(d, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT"))))
+    d, k = F.col("o_orderdate"), F.col("o_orderkey") % 11
+    def text(pattern: str, end: str = ""):
+        return F.concat(F.date_format(d, pattern), F.lit(end))
+    forms = [text("EEE, dd MMM yyyy HH:mm:ss", " +0000"), text("yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit(""), text("yyyy-MM-dd"),
+             text("EEE, dd MMM yyyy HH:mm:ss", " GMT"), text("EEE, dd MMM yy HH:mm:ss", " GMT"), text("d MMMM yyyy HH:mm"),
+             text("EEE, dd-MMM-yyyy HH:mm:ss", " GMT"), text("dd MMM yyyy"), text("MMM dd, yyyy HH:mm:ss"),
+             F.concat(F.lit("31 Feb "), text("yyyy HH:mm:ss"))]
+    raw = F.element_at(F.array(*forms), (k + 1).cast("int"))
     return o.select("o_orderkey", raw.alias("raw")).select(
         "o_orderkey", "raw", parse_date(F.col("raw")).alias("published"),
         parse_date(F.col("raw"), compat=True).alias("published_compat"))
@@ -375,6 +383,8 @@ EVENT_SOURCE = {"click": "arxiv", "view": "hackernews", "signup": "rss", "purcha
 GATING_SOURCES = (SourceConfig("arxiv", domain="core_tech"), SourceConfig("hackernews"),
                   SourceConfig("rss", domain="ai_tools"), SourceConfig("serp", sweep="full"),
                   SourceConfig("podcast", enabled=False))
+# names neither the Hacker News source, which is enabled by default, nor podcasts, which no parser reads
+FEW_SOURCES = (SourceConfig("arxiv", domain="core_tech"), SourceConfig("rss", domain="ai_tools"), SourceConfig("serp"))
 
 
 @query("sweep_gating")
@@ -384,7 +394,9 @@ def q_sweep_gating(spark, sf_dir):
     for k, v in EVENT_SOURCE.items():
         src = F.when(F.col("event_type") == k, F.lit(v)).otherwise(src)
     fetches = e.select("event_id", src.alias("source_type"), sweep_type_of(F.col("ts")).alias("sweep_type"))
-    out = gating.gate(fetches, gating.source_config_table(spark, GATING_SOURCES))
+    odd = F.col("event_id") % 2 == 1
+    out = gating.gate(fetches.where(~odd), gating.source_config_table(spark, GATING_SOURCES)).unionByName(
+        gating.gate(fetches.where(odd), gating.source_config_table(spark, FEW_SOURCES)))
     return out.select("event_id", "source_type", "sweep_type", "action", "domain")
 
 
@@ -437,14 +449,8 @@ def q_hn_top_items(spark, sf_dir):
 
 @query("hn_combined")
 def q_hn_combined(spark, sf_dir):
-    hits = _hn_hits(spark, sf_dir)
-    search = jf.hn_search_items(hits).select(
-        "sweep_id", F.lit("search").alias("kind"), F.col("object_id").alias("item_key"), "url", "title",
-        "summary", "domain")
-    top = jf.hn_top_items(_hn_cands(spark, sf_dir), HN_KEYWORDS, seen_urls=hits).select(
-        "sweep_id", F.lit("top").alias("kind"), F.col("id").cast("string").alias("item_key"), "url", "title",
-        "summary", "domain")
-    return search.unionByName(top)
+    return jf.hn_items(_hn_hits(spark, sf_dir), _hn_cands(spark, sf_dir), HN_KEYWORDS).select(
+        "sweep_id", "kind", "item_key", "url", "title", "summary", "domain")
 
 
 @query("serp_items")
@@ -466,54 +472,87 @@ def _sweep_table(spark, sf_dir) -> DataFrame:
 def q_digest_lines(spark, sf_dir):
     sweeps = _sweep_table(spark, sf_dir)
     log = fx.fetch_log(spark, sf_dir).withColumn("sweep_id", F.dayofmonth("ts").cast("bigint"))
-    sick = dg.feed_health_asof(log, sweeps)
+    sick = dg.feed_health_asof(fl.feed_health_delta(log, ("feed_id", "sweep_id")), sweeps)
     report = val.report_from_items(fx.feed_item_rows(spark, sf_dir))
     warnings = val.quality_warnings(report, sweeps, [s.name for s in CFG.enabled_sources()])
     scored = _scored(spark, sf_dir).select(
         "sweep_id", "seq", "item_id", "title", "url", "source", "domain", "score", "tier", "reason")
     shown = rp.apply_budgets(rp.surfaced(scored, CFG.min_score), CFG.budgets).select(
         "sweep_id", "tier", "rank", "title", "url", "source", "domain", "reason")
-    quality = dg.source_quality_asof(scored, sweeps)
+    quality = dg.source_quality_asof(fl.source_quality_counts(scored, ("source", "sweep_id")), sweeps)
     lines = dg.digest_lines(sweeps, sick, warnings, shown, quality, CFG.orient_prompt)
     return dg.digest_text(lines)
 
 
+# ----------------------------------------------------------------- whole sweeps
+
+RUN_KEYWORDS, RUN_STRONG = ("purchase", "signup"), ("user 1",)
+
+
+@query("sweep_run_log")
+def q_sweep_run_log(spark, sf_dir):
+    """The score log after four runs against one store: sweeps 1 and 2, sweep
+    12, sweep 6 (out of order) together with sweep 2 again, and a rerun of
+    sweep 2 whose source then had nothing. With each row the number of items
+    that its source has in the health panel."""
+    from ..session import scratch_path
+    from ..sinks.logs import LogStore
+    from .sweep_run import health_panels, run_sweeps
+    root = scratch_path(spark, "sweep-run-log")
+    store = LogStore(f"{root}/logs")
+    items, sweeps = fx.feed_item_rows(spark, sf_dir), _sweep_table(spark, sf_dir)
+    for ids, gone in (((1, 2), ()), ((12,), ()), ((2, 6), ()), ((2,), (2,))):
+        chosen = F.col("sweep_id").isin(*ids)
+        run_sweeps(spark, items.where(chosen & ~F.col("sweep_id").isin(*gone)) if gone else items.where(chosen),
+                   sweeps.where(chosen), CFG, store, scorer=sc.keyword_scorer(RUN_KEYWORDS, RUN_STRONG),
+                   digest_dir=f"{root}/digests")
+    panel = health_panels(spark, store)["source_quality"].select("source", "total_scored")
+    return store.read(spark, "score_log").join(panel, "source").select(
+        "sweep_id", "seq", "item_id", "source", "score", "tier", "reason", "total_scored")
+
+
+@query("raw_sweep_items")
+def q_raw_sweep_items(spark, sf_dir):
+    """Items of landed payloads of three source types, in full and light
+    sweeps, by the registry: page feeds (one is landed under two names of the
+    config), searches and top stories, and web searches, of which light sweeps
+    have none."""
+    from ..config import CurationConfig
+    from .sweep_run import items_from_raw
+    items, _ = items_from_raw(bd.raw_fetches(spark, sf_dir), CurationConfig(
+        min_points=60, top_n=30, keywords=HN_KEYWORDS, skip_domains=CFG.skip_domains,
+        source_keys=(("hackernews", "click", "ui"), ("hackernews", "click", "again"))), spark,
+        *bd.hn_top_lists(spark, sf_dir))
+    return items.select("sweep_id", "source_type", "url", "title", "source", "domain")
+
+
 # -------------------------------------------------------------------- streaming
-# Each stream query lands rows derived from the tables in arrival order
-# (ten sweeps per landing, so four micro-batches), runs the stream to completion with
-# availableNow, and reads its sink. Several micro-batches run, so equality
-# with the batch oracle shows stream = batch.
+# Each stream query lands rows derived from the tables (ten sweeps a landing
+# folder, each in three files), runs the stream to completion with availableNow
+# over several micro-batches that cut through sweeps, and reads its sink, so
+# equality with the batch oracle shows stream = batch.
 
 LANDING_SWEEPS = 10
 
 
-def _landed(spark, df: DataFrame, name: str, unit_col: Column | None = None):
+def _landed(spark, df: DataFrame, name: str):
     from ..session import scratch_path
     from ..streaming import sweeps as sw
     root = scratch_path(spark, name)
-    unit = unit_col if unit_col is not None else F.floor(F.col("sweep_id") / LANDING_SWEEPS)
-    sw.land_in_order(df.withColumn("landing", unit.cast("bigint")), f"{root}/landing", "landing")
-    schema = spark.read.parquet(f"{root}/landing").schema
-    return root, schema
-
-
-def _stream_partitions(spark) -> int:
-    """The fixture streams land a few MB: one partition per core is plenty
-    (and fixes the state-store partition count for these checkpoints)."""
-    return spark.sparkContext.defaultParallelism
+    sw.land(df.withColumn("landing", F.floor(F.col("sweep_id") / LANDING_SWEEPS).cast("bigint")), f"{root}/landing",
+            "landing")
+    return root, df.schema
 
 
 @query("stream_equals_batch")
 def q_stream_equals_batch(spark, sf_dir):
     from ..sinks.logs import LogStore
     from ..streaming import sweeps as sw
-    items = fx.feed_item_rows(spark, sf_dir)
-    root, schema = _landed(spark, items, "stream-curate")
-    sw.curate_stream(spark, f"{root}/landing", schema, LogStore(f"{root}/logs"), f"{root}/out",
-                     f"{root}/ckpt", CFG.skip_domains, CFG.skip_patterns, CFG.dedup_window_hours,
-                     partitions=_stream_partitions(spark))
-    return spark.read.parquet(f"{root}/out").select(F.col("sweep_id").cast("bigint").alias("sweep_id"), "seq",
-                                                    "item_id", "domain", "source", "title", "url")
+    root, schema = _landed(spark, fx.feed_item_rows(spark, sf_dir), "stream-curate")
+    store = LogStore(f"{root}/logs")
+    sw.curate_stream(spark, f"{root}/landing", schema, store, f"{root}/ckpt", CFG.skip_domains, CFG.skip_patterns,
+                     CFG.dedup_window_hours)
+    return store.read(spark, "curated").select("sweep_id", "seq", "item_id", "domain", "source", "title", "url")
 
 
 @query("stream_dedup")
@@ -521,21 +560,20 @@ def q_stream_dedup(spark, sf_dir):
     from ..streaming import sweeps as sw
     rows = _deduped(spark, sf_dir).select("sweep_id", "sweep_ts", "item_id", "seq")
     root, schema = _landed(spark, rows, "stream-dedup")
-    sw.dedup_stream(spark, f"{root}/landing", schema, f"{root}/out", f"{root}/ckpt", CFG.dedup_window_hours,
-                    partitions=_stream_partitions(spark))
-    out = spark.read.parquet(f"{root}/out")
-    return out.select("sweep_id", "item_id", "seq",
-                      ts_text(F.timestamp_micros("first_us")).alias("first_seen"), "kept")
+    sw.dedup_stream(spark, f"{root}/landing", schema, f"{root}/out", f"{root}/ckpt")
+    return sw.dedup_decisions(spark, f"{root}/out", CFG.dedup_window_hours).withColumn(
+        "first_seen", ts_text("first_seen"))
 
 
 @query("stream_feed_health")
 def q_stream_feed_health(spark, sf_dir):
+    from ..sinks.logs import LogStore
     from ..streaming import sweeps as sw
     log = fx.fetch_log(spark, sf_dir).withColumn("sweep_id", F.dayofmonth("ts").cast("bigint"))
     root, schema = _landed(spark, log, "stream-health")
-    sw.feed_health_stream(spark, f"{root}/landing", schema, f"{root}/snapshots", f"{root}/ckpt",
-                          partitions=_stream_partitions(spark))
-    return fl.feed_health_view(sw.latest_snapshot(spark, f"{root}/snapshots"))
+    store = LogStore(f"{root}/logs")
+    sw.feed_health_stream(spark, f"{root}/landing", schema, store, f"{root}/ckpt")
+    return fl.feed_health_view(fl.fold_feed_deltas(store.read(spark, "feed_delta")))
 
 
 @query("stream_source_quality")
@@ -543,6 +581,5 @@ def q_stream_source_quality(spark, sf_dir):
     from ..streaming import sweeps as sw
     scored = _scored(spark, sf_dir).select("sweep_id", "source", "score")
     root, schema = _landed(spark, scored, "stream-quality")
-    sw.source_quality_stream(spark, f"{root}/landing", schema, f"{root}/snapshot", f"{root}/ckpt",
-                             partitions=_stream_partitions(spark))
+    sw.source_quality_stream(spark, f"{root}/landing", schema, f"{root}/snapshot", f"{root}/ckpt")
     return fl.source_quality_view(spark.read.parquet(f"{root}/snapshot"))

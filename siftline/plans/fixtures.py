@@ -31,27 +31,32 @@ def _k(props: Column) -> Column:
 
 
 def feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dirty, repetitive items; one sweep per day (sweep time = midnight)."""
+    """Dirty, repetitive items; one sweep per day, every third one light. Some
+    hit the noise settings; sweep 9 has no valid item, sweep 30 none of note,
+    and sources fall short of valid titles (4) and of summaries (6)."""
     e = table(spark, sf_dir, "events")
-    eid = F.col("event_id")
+    eid, kind = F.col("event_id"), F.col("event_type")
     k = _k(F.col("props"))
     user = F.col("user_id").cast("string")
     ts = F.col("ts").cast("timestamp")
-    title = F.when(eid % 97 == 0, F.lit("  ")).otherwise(
-        F.concat(F.col("event_type"), F.lit(" by user "), user))
+    day = F.dayofmonth(ts)
+    blank = (eid % 97 == 0) | (day == 9) | ((day == 4) & (kind == "error") & (eid % 3 != 0))
+    title = F.when(blank, F.lit("  ")).otherwise(
+        F.concat(kind, F.lit(" by user "), user, F.when(eid % 41 == 0, F.lit(" (License)")).otherwise(F.lit(""))))
     tail = F.when(eid % 3 == 0, F.lit("/")).when(eid % 3 == 1, F.lit("")).otherwise(F.lit("//"))
     url = (F.when(eid % 89 == 0, F.lit(""))
            .when(eid % 83 == 0, F.concat(F.lit("ftp://Ex.org/u/"), user))
-           .otherwise(F.concat(F.lit("https://Ex.org/u/"), user, F.lit("/"), F.col("event_type"), tail)))
-    summary = F.when(eid % 7 == 0, F.lit("")).otherwise(F.concat(F.lit("k "), k))
-    score = (F.lit(1) + k.cast("int") % 5).cast("int")
+           .when(eid % 43 == 0, F.concat(F.lit("https://Spam-Farm.example/"), user))
+           .otherwise(F.concat(F.lit("https://Ex.org/u/"), user, F.lit("/"), kind, tail)))
+    summary = F.when((eid % 7 == 0) | ((day == 6) & (kind == "view") & (eid % 2 == 0)), F.lit("")).otherwise(
+        F.concat(F.lit("k "), k))
+    score = F.when(day == 30, F.lit(1)).otherwise(F.lit(1) + k.cast("int") % 5).cast("int")
     tier = (F.when(eid % 4 == 0, F.lit("RED")).when(eid % 4 == 1, F.lit("ORANGE"))
             .when(eid % 4 == 2, F.lit("YELLOW")).otherwise(F.lit("GREY")))
+    start = F.date_trunc("day", ts) + F.when(day % 3 == 2, F.expr("INTERVAL 13 HOURS")).otherwise(F.expr("INTERVAL 7 HOURS"))
     return e.select(
-        eid.alias("seq"), ts.alias("ts"),
-        F.dayofmonth(ts).cast("bigint").alias("sweep_id"),
-        F.date_trunc("day", ts).alias("sweep_ts"),
-        F.col("event_type").alias("source"), title.alias("title"), url.alias("url"),
+        eid.alias("seq"), ts.alias("ts"), day.cast("bigint").alias("sweep_id"), start.alias("sweep_ts"),
+        kind.alias("source"), title.alias("title"), url.alias("url"),
         summary.alias("summary"), score.alias("score"), tier.alias("tier"))
 
 
@@ -91,15 +96,20 @@ def page_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items with partly missing scores (unlabelled = absent from responses)."""
-    d = table(spark, sf_dir, "documents")
-    lab = table(spark, sf_dir, "labels")
+    """Items of whole documents: the first line is the title."""
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("seq"),
+        F.concat(F.lit("https://docs.example/"), F.col("doc_id").cast("string")).alias("url"),
+        F.substring_index("text", "\n", 1).alias("title"), F.col("text").alias("summary"),
+        F.col("source"), F.col("lang").alias("domain"), F.col("text"))
+
+
+def labelled_doc_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document items with partly missing scores (unlabelled = absent from
+    responses); labels only, no text."""
     q, t = F.col("quality"), F.col("toxic")
     label_score = (F.when((q == 1) & (t == 0), F.lit(4)).when(q == 1, F.lit(3))
                    .when(t == 0, F.lit(2)).when(t == 1, F.lit(1)))
-    return d.join(lab, "doc_id", "left").select(
-        F.col("doc_id").alias("seq"),
-        F.concat(F.lit("https://docs.example/"), F.col("doc_id").cast("string")).alias("url"),
-        F.substring("text", 1, 80).alias("title"), F.substring("text", 1, 500).alias("summary"),
-        F.col("source"), F.col("lang").alias("domain"), label_score.alias("label_score"),
-        F.col("text"), q.alias("quality"), t.alias("toxic"))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq")).join(
+        table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "seq"), "seq", "left").select(
+        "seq", label_score.alias("label_score"), q.alias("quality"), t.alias("toxic"))

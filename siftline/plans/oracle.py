@@ -9,16 +9,21 @@ from __future__ import annotations
 FEED_ITEMS = """
 fi AS (
   SELECT event_id AS seq, ts, CAST(day(CAST(ts AS date)) AS bigint) AS sweep_id,
-         date_trunc('day', ts) AS sweep_ts,
+         date_trunc('day', ts) + CASE WHEN day(ts) % 3 = 2 THEN INTERVAL 13 HOUR ELSE INTERVAL 7 HOUR END AS sweep_ts,
          event_type AS source,
-         CASE WHEN event_id % 97 = 0 THEN '  '
-              ELSE event_type || ' by user ' || CAST(user_id AS varchar) END AS title,
+         CASE WHEN event_id % 97 = 0 OR day(ts) = 9 OR (day(ts) = 4 AND event_type = 'error' AND event_id % 3 <> 0)
+              THEN '  '
+              ELSE event_type || ' by user ' || CAST(user_id AS varchar)
+                   || CASE WHEN event_id % 41 = 0 THEN ' (License)' ELSE '' END END AS title,
          CASE WHEN event_id % 89 = 0 THEN ''
               WHEN event_id % 83 = 0 THEN 'ftp://Ex.org/u/' || CAST(user_id AS varchar)
+              WHEN event_id % 43 = 0 THEN 'https://Spam-Farm.example/' || CAST(user_id AS varchar)
               ELSE 'https://Ex.org/u/' || CAST(user_id AS varchar) || '/' || event_type
                    || CASE event_id % 3 WHEN 0 THEN '/' WHEN 1 THEN '' ELSE '//' END END AS url,
-         CASE WHEN event_id % 7 = 0 THEN '' ELSE 'k ' || regexp_extract(props, '([0-9]+)', 1) END AS summary,
-         CAST(1 + CAST(regexp_extract(props, '([0-9]+)', 1) AS int) % 5 AS int) AS score,
+         CASE WHEN event_id % 7 = 0 OR (day(ts) = 6 AND event_type = 'view' AND event_id % 2 = 0) THEN ''
+              ELSE 'k ' || regexp_extract(props, '([0-9]+)', 1) END AS summary,
+         CAST(CASE WHEN day(ts) = 30 THEN 1
+                   ELSE 1 + CAST(regexp_extract(props, '([0-9]+)', 1) AS int) % 5 END AS int) AS score,
          CASE event_id % 4 WHEN 0 THEN 'RED' WHEN 1 THEN 'ORANGE' WHEN 2 THEN 'YELLOW' ELSE 'GREY' END AS tier
   FROM events
 ),
@@ -241,7 +246,7 @@ SELECT CAST((SELECT count(*) FROM seen) AS bigint) AS items_seen,
 DOC_BATCHED = """
 di AS (
   SELECT d.doc_id AS seq, 'https://docs.example/' || CAST(d.doc_id AS varchar) AS url,
-         substring(d.text, 1, 80) AS title, substring(d.text, 1, 500) AS summary,
+         split_part(d.text, chr(10), 1) AS title, d.text AS summary,
          d.source AS source, d.lang AS domain,
          CASE WHEN l.quality = 1 AND l.toxic = 0 THEN 4 WHEN l.quality = 1 THEN 3
               WHEN l.toxic = 0 THEN 2 WHEN l.toxic = 1 THEN 1 END AS label_score,
@@ -278,9 +283,27 @@ FROM db LEFT JOIN lab USING (sweep_id, batch, idx)""")
 
 
 def _profile_sql() -> str:
-    from ..config import FIXTURE_CONFIG as C
-    from ..operators.scoring import prompt_parts
-    head, tail = prompt_parts(C.description, C.projects, C.noise_notes)
+    head = """Reader: an analyst of retail event streams
+Works on:
+1. Tracking signups
+2. Cleaning error feeds
+
+Scores:
+5 RED: needs action soon
+4 ORANGE: worth a full read
+3 YELLOW: good background
+2: mostly beside the point
+1: of no use
+
+Domains:
+"""
+    tail = """
+
+Always 1:
+- Duplicate clickstreams
+
+Answer with JSON only, an array of objects with the fields "idx", "score", "tier" and "why".
+High scores are rare."""
     q = lambda s: "'" + s.replace("'", "''") + "'"
     return f"""
 WITH kw AS (SELECT n_regionkey, list(n_name ORDER BY n_nationkey) AS keywords FROM nation GROUP BY n_regionkey),
@@ -363,23 +386,24 @@ FROM pages"""
 
 ORACLE["parse_date"] = """
 WITH r AS (
-  SELECT o_orderkey, o_orderdate,
-         CASE o_orderkey % 5
+  SELECT o_orderkey, o_orderdate, o_orderkey % 11 AS k,
+         CASE o_orderkey % 11
            WHEN 0 THEN strftime(o_orderdate, '%a, %d %b %Y %H:%M:%S') || ' +0000'
            WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ')
            WHEN 2 THEN ''
            WHEN 3 THEN strftime(o_orderdate, '%Y-%m-%d')
-           ELSE strftime(o_orderdate, '%a, %d %b %Y %H:%M:%S') || ' GMT' END AS raw
+           WHEN 4 THEN strftime(o_orderdate, '%a, %d %b %Y %H:%M:%S') || ' GMT'
+           WHEN 5 THEN strftime(o_orderdate, '%a, %d %b %y %H:%M:%S') || ' GMT'
+           WHEN 6 THEN strftime(o_orderdate, '%-d %B %Y %H:%M')
+           WHEN 7 THEN strftime(o_orderdate, '%a, %d-%b-%Y %H:%M:%S') || ' GMT'
+           WHEN 8 THEN strftime(o_orderdate, '%d %b %Y')
+           WHEN 9 THEN strftime(o_orderdate, '%b %d, %Y %H:%M:%S')
+           ELSE '31 Feb ' || strftime(o_orderdate, '%Y %H:%M:%S') END AS raw
   FROM orders
 )
 SELECT o_orderkey, raw,
-       CASE WHEN raw = '' THEN ''
-            WHEN o_orderkey % 5 = 1 THEN substring(raw, 1, 10)
-            WHEN o_orderkey % 5 IN (0, 4) THEN strftime(o_orderdate, '%Y-%m-%d')
-            ELSE substring(raw, 1, 10) END AS published,
-       CASE WHEN raw = '' THEN ''
-            WHEN contains(raw, 'T') THEN substring(raw, 1, 10)
-            WHEN o_orderkey % 5 IN (0, 4) THEN strftime(o_orderdate, '%Y-%m-%d')
+       CASE WHEN k IN (0, 4, 5, 6, 7, 9) THEN strftime(o_orderdate, '%Y-%m-%d') ELSE substring(raw, 1, 10) END AS published,
+       CASE WHEN NOT contains(raw, 'T') AND k IN (0, 4, 5, 6, 7, 9) THEN strftime(o_orderdate, '%Y-%m-%d')
             ELSE substring(raw, 1, 10) END AS published_compat
 FROM r"""
 
@@ -416,8 +440,8 @@ WITH f AS (
   FROM events
 )
 SELECT event_id, source_type, sweep_type,
-       CASE WHEN source_type = 'podcast' THEN 'disabled'
-            WHEN sweep_type = 'light' AND source_type = 'serp' THEN 'skipped'
+       CASE WHEN source_type = 'podcast' THEN CASE WHEN event_id % 2 = 0 THEN 'disabled' ELSE 'unknown' END
+            WHEN sweep_type = 'light' AND source_type = 'serp' THEN CASE WHEN event_id % 2 = 0 THEN 'skipped' ELSE 'empty' END
             ELSE 'fetch' END AS action,
        CASE source_type WHEN 'arxiv' THEN 'core_tech' WHEN 'rss' THEN 'ai_tools' ELSE 'ai_research' END AS domain
 FROM f"""
@@ -438,7 +462,7 @@ WHERE title <> ''""")
 DOCS = """
 dj AS (
   SELECT doc_id AS seq, 'https://docs.example/' || CAST(doc_id AS varchar) AS url,
-         substring(text, 1, 80) AS title, text
+         split_part(text, chr(10), 1) AS title, text
   FROM documents
 )"""
 
@@ -483,8 +507,9 @@ srch AS (
 ),
 cands AS (
   SELECT sweep_id, CAST(rank AS bigint) AS rank, CAST(seq AS bigint) AS id, title,
-         COALESCE(NULLIF(CASE WHEN seq % 13 = 0 THEN NULL ELSE url END, ''),
-                  'https://news.ycombinator.com/item?id=' || CAST(seq AS varchar)) AS url,
+         CASE WHEN seq % 4 = 1 THEN 'https://story.example/' || CAST(seq % 100 AS varchar)
+              ELSE COALESCE(NULLIF(CASE WHEN seq % 13 = 0 THEN NULL ELSE url END, ''),
+                            'https://news.ycombinator.com/item?id=' || CAST(seq AS varchar)) END AS url,
          CAST(score * 20 AS bigint) AS points, seq % 5 = 0 AS is_job
   FROM (SELECT *, row_number() OVER (PARTITION BY sweep_id ORDER BY seq) AS rank FROM fi)
   WHERE rank <= 50
@@ -574,7 +599,8 @@ tl AS (SELECT *, CASE tier WHEN 'RED' THEN 0 WHEN 'ORANGE' THEN 1 ELSE 2 END AS
 lines AS (
   SELECT sweep_id, 0 AS k1, 0 AS k2, 0 AS k3, 0 AS k4,
          '# Digest | ' || strftime(sweep_ts, '%Y-%m-%d') || ' ' ||
-         CASE sweep_type WHEN 'full' THEN 'Morning' WHEN 'light' THEN 'Midday/Evening' ELSE sweep_type END AS line
+         CASE sweep_type WHEN 'full' THEN 'Morning' WHEN 'light' THEN 'Midday/Evening' ELSE sweep_type END
+         || strftime(sweep_ts, ' (%H:%M)') AS line
   FROM sw
   UNION ALL SELECT sweep_id, 0, 0, 0, 1, '' FROM sw
   UNION ALL SELECT DISTINCT sweep_id, 1, 0, 0, 0, '## FEED HEALTH' FROM sick
@@ -618,3 +644,70 @@ ORACLE["stream_equals_batch"] = ORACLE["curated_items"]
 ORACLE["stream_dedup"] = ORACLE["dedup_window"]
 ORACLE["stream_feed_health"] = ORACLE["feed_health"]
 ORACLE["stream_source_quality"] = ORACLE["source_quality"]
+
+
+# --- whole sweeps ---------------------------------------------------------------
+
+ORACLE["sweep_run_log"] = _with(CHECKED + """,
+noise AS (
+  SELECT * FROM dd
+  WHERE NOT (contains(lower(url), 'spam-farm') OR contains(lower(url), 'cheap-pills'))
+    AND NOT regexp_matches(lower(title || ' ' || summary), '(license)|(tion.*sch)', 'i')
+    AND sweep_id IN (1, 2, 6, 12)
+),
+kept AS (
+  SELECT * FROM (SELECT *, min(sweep_ts) OVER (PARTITION BY item_id) AS first_seen FROM noise)
+  WHERE (sweep_ts = first_seen OR first_seen <= sweep_ts - INTERVAL 48 HOURS) AND sweep_id <> 2
+),
+marked AS (
+  SELECT *, '[ai_research] ' || title || ' | ' || substring(summary, 1, 200) AS line FROM kept
+),
+scored AS (
+  SELECT sweep_id, seq, item_id, source,
+         CAST(CASE WHEN contains(lower(line), 'user 1') THEN 4
+                   WHEN contains(lower(line), 'purchase') OR contains(lower(line), 'signup') THEN 3 ELSE 1 END AS bigint) AS score
+  FROM marked
+)""", """
+SELECT sweep_id, seq, item_id, source, score,
+       CASE score WHEN 4 THEN 'ORANGE' WHEN 3 THEN 'YELLOW' ELSE 'GREY' END AS tier,
+       CASE WHEN score > 1 THEN 'keyword match' ELSE 'no match' END AS reason,
+       CAST(count(*) OVER (PARTITION BY source) AS bigint) AS total_scored
+FROM scored""")
+
+ORACLE["raw_sweep_items"] = _with(HN + ",\n" + PAGE_ITEMS.strip() + """,
+kinds AS (SELECT DISTINCT sweep_id, hour(sweep_ts) < 10 AS is_full FROM fi),
+seen_hits AS (SELECT h.* FROM hits h JOIN kinds k USING (sweep_id) WHERE k.is_full),
+hn_search AS (
+  SELECT sweep_id, url_f AS url, title, CASE query WHEN 'click' THEN 'ui' ELSE 'ai_research' END AS domain
+  FROM (SELECT *, row_number() OVER (PARTITION BY sweep_id, url_f ORDER BY query_seq, seq) AS rn_u FROM seen_hits)
+  WHERE rn_u = 1 AND points >= 60
+),
+hn_top AS (
+  SELECT sweep_id, url, title, 'ai_research' AS domain FROM (
+    SELECT t.*, row_number() OVER (PARTITION BY t.sweep_id, t.url ORDER BY rank) AS rn_t
+    FROM cands t JOIN kinds k USING (sweep_id)
+    WHERE t.rank <= CASE WHEN k.is_full THEN 30 ELSE 15 END AND NOT is_job AND points >= 60
+      AND (contains(lower(title), 'purchase') OR contains(lower(title), 'user 1'))
+      AND NOT EXISTS (SELECT 1 FROM seen_hits h WHERE h.sweep_id = t.sweep_id AND h.url_f = t.url))
+  WHERE rn_t = 1
+),
+rss AS (
+  SELECT CAST((seq // 10) % 30 + 1 AS bigint) AS sweep_id, url, trim(title) AS title,
+         'rss:pages-' || CAST(seq // 10 AS varchar) AS source FROM pi
+  WHERE trim(title) <> ''
+),
+serp_rows AS (
+  SELECT seq // 10 AS q, CASE WHEN seq % 10 < 5 THEN 0 ELSE 1 END AS sec, seq, url, title FROM pi
+  UNION ALL
+  SELECT seq // 10 - 1, 1, seq, url, title FROM pi WHERE seq % 10 < 5 AND seq >= 10
+),
+serp AS (
+  SELECT sweep_id, url, title FROM (
+    SELECT CAST(q % 30 + 1 AS bigint) AS sweep_id, url, title,
+           row_number() OVER (PARTITION BY q % 30 + 1, url ORDER BY q, sec, seq) AS rn_w FROM serp_rows)
+  WHERE rn_w = 1 AND NOT (contains(url, 'SPAM-farm') OR contains(url, 'cheap-pills'))
+)""", """
+SELECT sweep_id, 'hackernews' AS source_type, url, title, 'hackernews' AS source, domain FROM hn_search
+UNION ALL SELECT sweep_id, 'hackernews', url, title, 'hackernews', domain FROM hn_top
+UNION ALL SELECT sweep_id, 'rss', url, title, source, 'ai_research' FROM rss JOIN kinds USING (sweep_id)
+UNION ALL SELECT sweep_id, 'serp', url, title, 'serp', 'ai_research' FROM serp JOIN kinds USING (sweep_id) WHERE is_full""")

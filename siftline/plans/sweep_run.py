@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import CurationConfig
+from ..config import CurationConfig, SourceConfig
 from ..operators import curate as cur
 from ..operators import digest as dg
 from ..operators import folds as fl
@@ -37,45 +37,55 @@ class SweepResult:
     digest_log: DataFrame
 
 
-def curate_against_store(items: DataFrame, store: LogStore, spark: SparkSession, new_sweeps: DataFrame,
+def curate_against_store(items: DataFrame, store: LogStore, spark: SparkSession, sweep_ids: list[int],
                          cfg: CurationConfig) -> DataFrame:
     """Curation of new sweeps given the seen-store.
     The first sighting of an item is the earlier of the store's (rows
     recorded by *other* sweeps, so a rerun sees the same store) and the new
-    sweeps' own.
-
-    A run of one sweep reads only the store's recent ``first_seen_date``
-    partitions: an older first sighting never suppresses, and one sweep has
-    at most one row per item, so nothing else can. A run of several sweeps
-    needs every prior sighting of its items (an old one keeps a repeat
-    inside the run from counting as a first)."""
-    prior = store.read(spark, "items_seen")
-    bounds = new_sweeps.agg(F.count(F.lit(1)).alias("n"), F.min("sweep_ts").alias("t")).first()
-    if bounds is not None and bounds["n"] == 1 and bounds["t"] is not None:
-        from datetime import timedelta
-        cutoff = (bounds["t"] - timedelta(hours=cfg.dedup_window_hours)).date()
-        prior = prior.where(F.col("first_seen_date") >= F.lit(cutoff))        # partition pruning
-    prior = prior.join(new_sweeps.select("sweep_id"), "sweep_id", "left_anti")
+    sweeps' own. First sightings never expire (a repeat after the window passes
+    and still is no first), so the store's (item, time) pairs are read whole:
+    two columns of it, reduced to the items at hand before anything else."""
+    prior = store.read(spark, "items_seen").where(~F.col("sweep_id").isin(sweep_ids))
     return cur.curate(items, cfg.skip_domains, cfg.skip_patterns, cfg.dedup_window_hours,
                       prior_first=prior.select("item_id", "first_seen"))
 
 
-def record_seen(curated: DataFrame, store: LogStore, spark: SparkSession, new_sweeps: DataFrame) -> None:
+def record_seen(curated: DataFrame, store: LogStore, spark: SparkSession, sweep_ids: list[int]) -> None:
     """Insert-if-absent (K1): the first curated copy of items the store
     does not know yet, first_seen = sweep time."""
-    prior = store.read(spark, "items_seen").join(new_sweeps.select("sweep_id"), "sweep_id", "left_anti")
+    prior = store.read(spark, "items_seen").where(~F.col("sweep_id").isin(sweep_ids))
     first = keep_first(curated, ["item_id"], "sweep_ts").join(prior.select("item_id"), "item_id", "left_anti")
     rows = first.select("item_id", "url", "title", F.substring("summary", 1, 500).alias("summary"), "source",
                         "domain", "published", F.col("sweep_ts").alias("first_seen"),
                         F.to_date("sweep_ts").alias("first_seen_date"), "sweep_id")
-    store.write(rows, "items_seen")
+    store.replace(spark, rows, "items_seen", sweep_ids)
+
+
+def answered(prompts: DataFrame, store: LogStore, spark: SparkSession, sweep_ids: list[int], scorer: sc.Scorer,
+             system_prompt: str, model: str) -> DataFrame:
+    """One answer for each prompt: those that the log has for the very same
+    prompt, and new ones of the scorer for all others."""
+    key = ["sweep_id", "batch", "prompt_hash"]
+    asked = prompts.withColumn("prompt_hash", sc.prompt_hash(system_prompt, model))
+    have = store.read(spark, "responses", sweep_ids)
+    store.append(sc.run_scorer(asked.join(have.select(*key), key, "left_anti"), scorer, system_prompt, model), "responses")
+    # a task that ran twice may have answered twice: one of them counts
+    return (store.read(spark, "responses", sweep_ids).join(asked.select(*key), key, "left_semi")
+            .groupBy("sweep_id", "batch").agg(F.min("response").alias("response")))
 
 
 def run_sweeps(spark: SparkSession, items: DataFrame, sweeps: DataFrame, cfg: CurationConfig,
                store: LogStore, scorer: sc.Scorer | None = None, fetches: DataFrame | None = None,
-               system_prompt: str = "", digest_dir: str | None = None, mode: str = "full") -> SweepResult:
+               system_prompt: str | None = None, digest_dir: str | None = None, mode: str = "full",
+               crashes: DataFrame | None = None) -> SweepResult:
     """Process new sweeps. ``items``: ITEM rows; ``sweeps``: (sweep_id,
-    sweep_ts, sweep_type); ``fetches``: fetch-log rows of these sweeps.
+    sweep_ts, sweep_type); ``fetches``: fetch-log rows of these sweeps;
+    ``crashes`` (sweep_id, source_type, error): sources whose fetch crashed.
+    The system prompt is that of the config unless one is given.
+
+    The sweeps (a row each) are held by the driver as literals, so every log
+    is read by its partitions. A run replaces what earlier runs of the same
+    sweeps left, also where there is nothing new; sweeps may come in any order.
 
     ``mode``: ``full``; ``dry_run`` (everything, but no digest file and the
     log's path is ``(dry-run)``); ``sources_only`` (items are recorded as
@@ -83,68 +93,56 @@ def run_sweeps(spark: SparkSession, items: DataFrame, sweeps: DataFrame, cfg: Cu
     curated listing is the result)."""
     if mode not in ("full", "dry_run", "sources_only"):
         raise ValueError(f"unknown mode {mode}")
-    items = items.drop("score", "tier", "reason")   # scores come from the scorer only
-    from ..config import SOURCE_ORDER, SourceConfig
+    from ..sources.gating import REGISTRY
+    sweeps = sweeps.select("sweep_id", F.col("sweep_ts").cast("timestamp").alias("sweep_ts"), "sweep_type")
+    sweeps = spark.createDataFrame(sweeps.distinct().collect(), "sweep_id bigint, sweep_ts timestamp, sweep_type string")
+    ids = sorted(r.sweep_id for r in sweeps.collect())
+    if not ids:
+        raise ValueError("no sweeps to process")
+    system_prompt = sc.config_prompt(cfg) if system_prompt is None else system_prompt
+    digest_dir = digest_dir or cfg.digest_dir
+    # parsed once: report, curation and funnel read these rows. Scores come from the scorer only
+    items = store.replace(spark, items, "items", ids)
     # no sources configured: every registry source, enabled by default
-    sources = cfg.enabled_sources() if cfg.sources else [SourceConfig(n) for n in SOURCE_ORDER]
+    sources = cfg.enabled_sources() if cfg.sources else [SourceConfig(n) for n in REGISTRY]
     checked = val.validate_items(items)          # per-row reasons, lazily, for callers
     report = val.report_from_items(items)
-    warnings = store.read_back(spark, val.quality_warnings(report, sweeps, sources), "warnings") \
-        .join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
-    # staged once: later steps read these files, not a plan over the
-    # seen-store that record_seen is about to rewrite
-    curated = store.read_back(spark, curate_against_store(items, store, spark, sweeps, cfg), "curated") \
-        .join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
-    record_seen(curated, store, spark, sweeps)
+    warnings = store.replace(spark, val.quality_warnings(report, sweeps, sources, crashes), "warnings", ids)
+    # later steps read these files, not a plan over the seen-store that record_seen rewrites
+    curated = store.replace(spark, curate_against_store(items, store, spark, ids, cfg), "curated", ids)
+    record_seen(curated, store, spark, ids)
     if mode == "sources_only":
         listing = curated.select("sweep_id", "seq", "domain", "source", "title")
         empty = spark.createDataFrame([], "sweep_id bigint")
         return SweepResult(checked, curated, listing, empty, empty)
 
     batched = sc.number_batches(curated, cfg.batch_size)
-    if scorer is None:
-        scored = sc.apply_scores(batched, None)
-    else:
-        have = store.read(spark, "responses").join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
-        if have.limit(1).count() == 0:   # a rerun reuses the logged answers
-            prompts = sc.batch_prompts(batched)
-            store.write(sc.run_scorer(prompts, scorer, system_prompt, cfg.model), "responses")
-        responses = store.read(spark, "responses").join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
-        scored = sc.apply_scores(batched, responses)
-    score_log = store.read_back(spark, scored.select(
-        "sweep_id", "sweep_ts", "seq", "item_id", "source", "score", "tier", "reason"), "score_log")
-    new_scores = score_log.join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
-    scored_items = batched.join(new_scores.select("sweep_id", "seq", "score", "tier", "reason"),
-                                ["sweep_id", "seq"])
+    responses = None if scorer is None else answered(sc.batch_prompts(batched), store, spark, ids, scorer,
+                                                     system_prompt, cfg.model)
+    scored_items = store.replace(spark, sc.apply_scores(batched, responses), "score_log", ids)
 
     surf = rp.surfaced(scored_items, cfg.min_score)
     shown = rp.apply_budgets(surf, cfg.budgets)
-    # as-of state for the digests: latest snapshot before these sweeps
-    # merged with the new log rows only, then a new snapshot
-    first, last = sweeps.agg(F.min("sweep_id")).scalar(), sweeps.agg(F.max("sweep_id")).scalar()
+    # as-of state for the digests: the sweeps before these as one folded state, then a delta a sweep,
+    # also of sweeps between these that other runs processed
     if fetches is not None:
-        store.write(fetches, "fetch_log")
-    new_log = store.read(spark, "fetch_log").join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
-    prev_feed = store.snapshot_before(spark, "feed_state", first)
-    sick = dg.feed_health_asof(new_log, sweeps, prior=prev_feed)
-    store.write(fl.merge_feed_health(prev_feed, fl.feed_health_delta(new_log)).withColumn("as_of_sweep", last),
-                "feed_state")
-    prev_q = store.snapshot_before(spark, "quality_state", first)
-    quality = dg.source_quality_asof(new_scores, sweeps, prior=prev_q)
-    store.write(fl.merge_source_quality(prev_q, fl.source_quality_counts(new_scores)).withColumn("as_of_sweep", last),
-                "quality_state")
+        log = store.replace(spark, fetches, "fetch_log", ids)
+        store.replace(spark, fl.feed_health_delta(log, ("feed_id", "sweep_id")), "feed_delta", ids)
+    feeds = store.read(spark, "feed_delta")
+    store.replace(spark, fl.source_quality_counts(scored_items, ("source", "sweep_id")), "quality_delta", ids)
+    state = store.read(spark, "quality_delta")
+    span = F.col("sweep_id").between(ids[0], ids[-1])
+    before = F.col("sweep_id") < ids[0]
+    sick = dg.feed_health_asof(feeds.where(span), sweeps, prior=fl.fold_feed_deltas(feeds.where(before)))
+    quality = dg.source_quality_asof(state.where(span), sweeps, prior=fl.sum_source_counts(state.where(before)))
     lines = dg.digest_lines(sweeps, sick, warnings, shown.select(
         "sweep_id", "tier", "rank", "title", "url", "source", "domain", "reason"), quality, cfg.orient_prompt)
-    digests = store.read_back(spark, dg.digest_text(lines), "digests") \
-        .join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
-    if digest_dir and mode == "full":
-        digest_files(digests, digest_dir)
+    digests = store.replace(spark, dg.digest_text(lines), "digests", ids)
+    if mode == "full":
+        digest_files(digests.join(sweeps, "sweep_id"), digest_dir).count()
     fetched = report.select("sweep_id", F.col("valid").alias("items_fetched"))
-    funnel = rp.sweep_funnel(sweeps.select("sweep_id", "sweep_ts", "sweep_type"), fetched, scored_items,
-                             cfg.budgets, cfg.min_score)
-    dlog = store.read_back(spark, rp.digest_log(funnel, digest_dir or "digests", dry_run=(mode == "dry_run")),
-                           "digest_log") \
-        .join(sweeps.select("sweep_id"), "sweep_id", "left_semi")
+    funnel = rp.sweep_funnel(sweeps, fetched, scored_items, cfg.budgets, cfg.min_score)
+    dlog = store.replace(spark, rp.digest_log(funnel, digest_dir, dry_run=(mode == "dry_run")), "digest_log", ids)
     return SweepResult(checked, curated, scored_items, digests, dlog)
 
 
@@ -155,95 +153,83 @@ RAW_FETCH = ("sweep_id bigint, sweep_ts timestamp, sweep_type string, source_typ
              "body string")
 
 
+#: the fetch_seq of a row that says a source's fetch crashed, with the message in ``error``
+CRASHED = -1
+
+
 def arrival_seq(src_rank, fetch_seq, part, pos) -> F.Column:
     """Arrival order as one bigint: registry rank of the source type, then
     fetch (feed / query) order, then RSS-before-Atom, then position in the
-    payload (U1). Bits: 4 | 35 | 1 | 23."""
-    return (F.shiftleft(src_rank.cast("bigint"), 59) + F.shiftleft(fetch_seq.cast("bigint"), 24)
-            + F.shiftleft(part.cast("bigint"), 23) + pos.cast("bigint"))
+    payload (U1). Bits: 6 | 32 | 1 | 23, so that it may be doubled; what does
+    not fit is an error."""
+    fits = ((src_rank < 64) & (fetch_seq >= 0) & (fetch_seq < (1 << 32)) & (pos < (1 << 23)))
+    return F.when(fits, F.shiftleft(src_rank.cast("bigint"), 56) + F.shiftleft(fetch_seq.cast("bigint"), 24)
+                  + F.shiftleft(part.cast("bigint"), 23) + pos.cast("bigint")).otherwise(
+        F.raise_error(F.lit("arrival order beyond its bits")).cast("bigint"))
 
 
 def items_from_raw(raw: DataFrame, cfg: CurationConfig, spark: SparkSession,
                    hn_top: DataFrame | None = None, hn_stories: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Landed payloads of one or more sweeps -> (ITEM rows, fetch-log rows).
 
-    Gating (S8) drops disabled and skipped sources; each source type goes
-    through its parser (S1-S6); failed fetches (``error`` set) give no
-    items; RSS fetches also give fetch-log rows (K2). ``hn_top`` (sweep_id,
-    rank, id) and ``hn_stories`` (sweep_id, id, body) carry the top-story
-    list when the Hacker News source is used.
+    Gating (S8) drops disabled and skipped sources; each registered source
+    type goes through its parser (S1-S6, X1); failed fetches (``error`` set)
+    give no items; RSS fetches also give fetch-log rows (K2). ``hn_top``
+    (sweep_id, rank, id) and ``hn_stories`` (sweep_id, id, body) carry the
+    top-story list; it is gated like the source's payloads, in the sweeps that
+    ``raw`` names.
     """
     from ..functions.ids import item_id
     from ..sources import gating
-    from ..sources import json_feeds as jf
     from ..sources import xml_feeds as xf
-    from ..config import SOURCE_ORDER, SourceConfig
-
-    srcs = list(cfg.sources) or [SourceConfig(n) for n in SOURCE_ORDER]   # unset: all enabled
-    if cfg.source_keys:   # per-feed / per-search-term domains (config-sized, broadcast)
-        keys = spark.createDataFrame([(t, k, d) for t, k, d in cfg.source_keys],
-                                     "source_type string, _key string, _key_domain string")
-        raw = (raw.withColumn("_key", F.coalesce("feed_name", "query"))
-               .join(F.broadcast(keys), ["source_type", "_key"], "left")
+
+    if cfg.source_keys:   # domains of feeds and search terms; one row a key, the first in the config
+        keys = list({(t, k): (t, k, d) for t, k, d in reversed(cfg.source_keys)}.values())
+        keys = spark.createDataFrame(keys, "source_type string, _key string, _key_domain string")
+        raw = (raw.withColumn("_key", F.coalesce("feed_name", "query")).join(keys, ["source_type", "_key"], "left")
                .withColumn("domain", F.coalesce("domain", "_key_domain")).drop("_key", "_key_domain"))
-    gated = gating.gate(raw, gating.source_config_table(spark, srcs), cfg.default_domain)
-    live = gated.where((F.col("action") == "fetch") & F.col("error").isNull())
-    rank = {n: i for i, n in enumerate(SOURCE_ORDER)}
-    keep = ("sweep_id", "sweep_ts", "fetch_seq", "feed_name", "domain")
-    sweeps_ts = raw.select("sweep_id", "sweep_ts").distinct()
-
-    def item_rows(df, source_type, part_col="part"):
-        return df.select(
-            "sweep_id", "sweep_ts", F.lit(source_type).alias("source_type"),
-            arrival_seq(F.lit(rank.get(source_type, 15)), F.col("fetch_seq"), F.col(part_col), F.col("pos")).alias("seq"),
+    table = gating.source_config_table(spark, cfg.sources)
+    gated = gating.gate(raw, table, cfg.default_domain)
+    live = gated.where((F.col("action") == "fetch") & F.col("error").isNull() & (F.col("fetch_seq") != CRASHED))
+    sweeps = raw.select("sweep_id", "sweep_ts", "sweep_type").distinct()
+    crashed = gated.where((F.col("action") == "fetch") & (F.col("fetch_seq") == CRASHED)).select("sweep_id", "source_type")
+    items = None
+    for rank, (name, parse) in enumerate(gating.REGISTRY.items()):
+        called = gating.gate(sweeps.withColumn("source_type", F.lit(name)), table).where(F.col("action") == "fetch")
+        called = called.join(crashed, ["sweep_id", "source_type"], "left_anti").select("sweep_id", "sweep_ts", "sweep_type")
+        rows = parse(gating.Landed(live.where(F.col("source_type") == name), cfg, called, hn_top, hn_stories)) \
+            .select(*gating.ITEM).join(called.select("sweep_id", "sweep_ts"), "sweep_id")
+        part = rows.select(
+            "sweep_id", "sweep_ts", F.lit(name).alias("source_type"),
+            arrival_seq(F.lit(rank), F.col("fetch_seq"), F.col("part"), F.col("pos")).alias("seq"),
             item_id(F.col("url")).alias("item_id"), "title", "url", "summary", "source", "domain", "published")
-
-    parts = []
-    rss = xf.feed_items(live.where(F.col("source_type") == "rss"), keep)
-    parts.append(item_rows(rss, "rss"))
-    arx = xf.arxiv_items(live.where(F.col("source_type") == "arxiv"), keep).withColumn("part", F.lit(0))
-    parts.append(item_rows(arx, "arxiv"))
-    hn_raw = live.where((F.col("source_type") == "hackernews") & (F.col("sweep_type") == "full"))
-    hits = jf.hn_search_hits(hn_raw.withColumnRenamed("fetch_seq", "query_seq"))
-    search = (jf.hn_search_items(hits).join(sweeps_ts, "sweep_id")
-              .withColumnRenamed("query_seq", "fetch_seq").withColumn("part", F.lit(0)))
-    parts.append(item_rows(search, "hackernews"))
-    if hn_top is not None and hn_stories is not None:
-        cands = jf.hn_top_stories(hn_top, hn_stories, cfg.top_n)
-        top = (jf.hn_top_items(cands, cfg.keywords, cfg.min_points, seen_urls=hits).join(sweeps_ts, "sweep_id")
-               .select("sweep_id", "sweep_ts", F.lit((1 << 35) - 1).alias("fetch_seq"), F.lit(0).alias("part"),
-                       (F.col("rank") - 1).alias("pos"), "title", "url", "summary", "source", "domain", "published"))
-        parts.append(item_rows(top, "hackernews"))
-    serp_raw = live.where(F.col("source_type") == "serp").withColumnRenamed("fetch_seq", "query_seq")
-    serp = (jf.serp_items(jf.serp_results(serp_raw), cfg.skip_domains).join(sweeps_ts, "sweep_id")
-            .withColumnRenamed("query_seq", "fetch_seq").withColumn("part", F.lit(0)))
-    parts.append(item_rows(serp, "serp"))
-    items = parts[0]
-    for p in parts[1:]:
-        items = items.unionByName(p)
-    fetches = xf.fetch_log_rows(gated.where((F.col("source_type") == "rss") & (F.col("action") == "fetch")))
+        items = part if items is None else items.unionByName(part)
+    fetches = xf.fetch_log_rows(gated.where((F.col("source_type") == "rss") & (F.col("action") == "fetch")
+                                            & (F.col("fetch_seq") != CRASHED)))
     return items, fetches
 
 
+def crashes_from_raw(raw: DataFrame) -> DataFrame:
+    """(sweep_id, source_type, error) of the sources whose fetch crashed."""
+    return raw.where(F.col("fetch_seq") == CRASHED).select("sweep_id", "source_type", "error")
+
+
 def health_panels(spark: SparkSession, store: LogStore, as_of_sweep=None) -> dict[str, DataFrame]:
     """The original's health report and dashboard panels (R2, R3) from the
     log store: feed health (status bands, average items per fetch),
-    source signal rates, the last ten digests and lifetime counts. Folded
-    state comes from the latest snapshots (cheap) and, when none exists
-    yet, from the logs themselves."""
-    limit = F.lit((1 << 62) if as_of_sweep is None else int(as_of_sweep) + 1)
-    feed_state = (store.snapshot_before(spark, "feed_state", limit) if store.exists(spark, "feed_state")
-                  else fl.feed_health_delta(store.read(spark, "fetch_log")))
-    quality = (store.snapshot_before(spark, "quality_state", limit) if store.exists(spark, "quality_state")
-               else fl.source_quality_counts(store.read(spark, "score_log")))
+    source signal rates, the last ten digests and lifetime counts. State is
+    folded from the sweeps' deltas, whatever order they came in."""
+    upto = F.lit(True) if as_of_sweep is None else F.col("sweep_id") <= int(as_of_sweep)
+    feed_state = fl.fold_feed_deltas(store.read(spark, "feed_delta").where(upto))
+    quality = fl.sum_source_counts(store.read(spark, "quality_delta").where(upto))
     seen = store.read(spark, "items_seen")
     scores = store.read(spark, "score_log")
-    current = fl.current_scores(scores, seen)
+    current = fl.current_scores(scores, seen, "left")
     digests = store.read(spark, "digest_log")
     as_of = seen.agg(F.max("first_seen")).scalar()
     return {
         "feed_health": fl.feed_health_view(feed_state),
         "source_quality": fl.source_quality_view(quality),
         "digest_history": rp.digest_history(digests),
-        "lifetime": fl.lifetime_stats(seen, current, digests, as_of),
+        "lifetime": fl.lifetime_stats(current, digests, as_of),
     }

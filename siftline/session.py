@@ -40,14 +40,13 @@ def build_session(master: str | None = None, app: str = "siftline",
     return spark
 
 
-def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
-               max_partitions: int = 200_000) -> dict[str, str]:
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings sized to the input, for a cluster run: enough shuffle
     partitions that each holds about ``target_partition_bytes`` (AQE
     coalesces small ones at runtime, and splits skewed ones for joins),
     scan splits of the same size, and a broadcast threshold that stays a
     fixed, checked bound rather than a share of the data."""
-    parts = max(200, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    parts = max(200, -(-int(input_bytes) // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),

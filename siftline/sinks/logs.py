@@ -1,15 +1,19 @@
 """Append-only logs under a shared folder (K1-K5).
 
-Every log is parquet partitioned by the sweep that wrote it, written with
-dynamic partition overwrite: a rerun of a sweep replaces its partitions
-instead of appending twice, and a lost executor only reruns tasks of the
-write. The tables of the original (items, feed health, source quality,
-digests) are folds over these logs (``operators.folds``).
+Every log is parquet partitioned by the sweep that wrote it. A run replaces
+the partitions of all its sweeps, also of those it has no rows for, so a rerun
+never appends twice and never leaves rows of an earlier run; a lost executor
+only reruns tasks of the write. Rows are staged first, so a run that breaks off
+between removing and writing is put right by the next. Tables (items, feed
+health, source quality, digests) are folds over these logs
+(``operators.folds``), kept as one delta a sweep: late and rerun sweeps count.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
+from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,9 +25,13 @@ SCHEMAS = {
                    "sweep_id bigint"),
     "curated": ("sweep_id bigint, sweep_ts timestamp, source_type string, seq bigint, item_id string, "
                 "title string, url string, summary string, source string, domain string, published string"),
-    "responses": "sweep_id bigint, batch bigint, response string",
-    "score_log": ("sweep_id bigint, sweep_ts timestamp, seq bigint, item_id string, source string, "
-                  "score bigint, tier string, reason string"),
+    # a model's answers, by what was asked: an answer only fits its own prompt
+    "items": ("sweep_id bigint, sweep_ts timestamp, source_type string, seq bigint, item_id string, "
+              "title string, url string, summary string, source string, domain string, published string"),
+    "responses": "sweep_id bigint, batch bigint, prompt_hash string, response string",
+    "score_log": ("sweep_id bigint, sweep_ts timestamp, source_type string, seq bigint, item_id string, "
+                  "title string, url string, summary string, source string, domain string, published string, "
+                  "batch bigint, idx bigint, score bigint, tier string, reason string"),
     "fetch_log": ("feed_id string, feed_url string, ts timestamp, seq bigint, ok boolean, "
                   "status_code int, error string, item_count int, sweep_id bigint"),
     "digest_log": ("sweep_id bigint, sweep_ts string, sweep_type string, items_fetched bigint, "
@@ -31,20 +39,20 @@ SCHEMAS = {
                    "orange_count bigint, yellow_count bigint, filepath string"),
     "digests": "sweep_id bigint, n_lines bigint, digest string",
     "warnings": "sweep_id bigint, ord bigint, source_type string, warning string",
-    # folded state as of the last sweep of a run (snapshots; a run reads
-    # the latest one before its sweeps and the new log rows only)
-    "feed_state": ("feed_id string, feed_url string, first_key struct<ts:timestamp,seq:bigint,feed_url:string>, "
+    # what each sweep adds to the folded state
+    "feed_delta": ("feed_id string, sweep_id bigint, feed_url string, "
+                   "first_key struct<ts:timestamp,seq:bigint,feed_url:string>, "
                    "total_fetches bigint, total_items bigint, last_success timestamp, last_failure timestamp, "
                    "last_status_code bigint, last_error string, "
                    "last_failure_key struct<ts:timestamp,seq:bigint,status_code:int,error:string>, "
-                   "has_success boolean, failures bigint, consecutive_failures bigint, as_of_sweep bigint"),
-    "quality_state": "source string, total_scored bigint, scored_3plus bigint, scored_4plus bigint, as_of_sweep bigint",
+                   "has_success boolean, failures bigint, consecutive_failures bigint"),
+    "quality_delta": "source string, sweep_id bigint, total_scored bigint, scored_3plus bigint, scored_4plus bigint",
 }
 PARTITIONS = {
     "items_seen": ("first_seen_date", "sweep_id"),
-    "curated": ("sweep_id",), "responses": ("sweep_id",), "score_log": ("sweep_id",), "fetch_log": ("sweep_id",),
+    "items": ("sweep_id",), "curated": ("sweep_id",), "responses": ("sweep_id",), "score_log": ("sweep_id",), "fetch_log": ("sweep_id",),
     "digest_log": ("sweep_id",), "digests": ("sweep_id",), "warnings": ("sweep_id",),
-    "feed_state": ("as_of_sweep",), "quality_state": ("as_of_sweep",),
+    "feed_delta": ("sweep_id",), "quality_delta": ("sweep_id",),
 }
 
 
@@ -62,37 +70,68 @@ class LogStore:
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    def _fs(self, spark: SparkSession, path: str):
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
     def exists(self, spark: SparkSession, name: str) -> bool:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs, p = self._fs(spark, self.path(name))
         return fs.exists(p)
 
-    def read(self, spark: SparkSession, name: str) -> DataFrame:
+    def _partitions(self, spark: SparkSession, name: str, sweeps: Sequence[int]) -> tuple:
+        """The file system and the paths of a log's partitions of ``sweeps``."""
+        ids = "{" + ",".join(str(int(s)) for s in sweeps) + "}"
+        depth = "/*" * (len(PARTITIONS[name]) - 1)
+        fs, pattern = self._fs(spark, f"{self.path(name)}{depth}/sweep_id={ids}")
+        return fs, [f.getPath() for f in fs.globStatus(pattern) or []]
+
+    def read(self, spark: SparkSession, name: str, sweeps: Sequence[int] | None = None) -> DataFrame:
+        """A log, or its partitions of ``sweeps``; no other one is listed."""
         schema = SCHEMAS[name]
-        if not self.exists(spark, name):
+        paths = [self.path(name)] if sweeps is None else [p.toString() for p in self._partitions(spark, name, sweeps)[1]]
+        if not paths or not self.exists(spark, name):
             return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(self.path(name)).select(*_cols(schema))
-
-    def write(self, df: DataFrame, name: str) -> None:
-        """Replace the partitions present in ``df``; others stay."""
-        (df.select(*_cols(SCHEMAS[name])).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        return (spark.read.schema(schema).option("basePath", self.path(name)).parquet(*paths)
+                .select(*_cols(schema)))
+
+    def replace(self, spark: SparkSession, df: DataFrame, name: str, sweeps: Sequence[int]) -> DataFrame:
+        """Make ``df`` the rows of ``sweeps`` in a log, and read them back:
+        cuts lineage, and fixes what is not deterministic. The rows are dealt
+        by sweep before they are written, a sweep to as many tasks as its size
+        asks for, so a partition gets few files."""
+        schema = SCHEMAS[name]
+        stage = f"{self.root.rstrip('/')}/_staged/{name}-{uuid.uuid4().hex[:12]}"
+        df.select(*_cols(schema)).hint("rebalance", "sweep_id").write.parquet(stage)
+        fs, old = self._partitions(spark, name, sweeps)
+        for path in old:
+            fs.delete(path, True)
+        (spark.read.schema(schema).parquet(stage).select(*_cols(schema)).write.mode("append")
          .partitionBy(*PARTITIONS[name]).parquet(self.path(name)))
-
-    def snapshot_before(self, spark: SparkSession, name: str, sweep) -> DataFrame:
-        """The latest snapshot taken before ``sweep`` (a Column), or none."""
-        snaps = self.read(spark, name)
-        last = snaps.where(F.col("as_of_sweep") < sweep).agg(F.max("as_of_sweep")).scalar()
-        return snaps.where(F.col("as_of_sweep") == last).drop("as_of_sweep")
-
-    def read_back(self, spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-        """Write, then read the written partitions back: cuts lineage, and
-        makes non-deterministic inputs (model answers) fixed."""
-        self.write(df, name)
-        return self.read(spark, name)
-
-
-def digest_files(digests: DataFrame, path: str) -> None:
-    """One markdown text per sweep (K5), in ``sweep_id=<n>`` folders."""
-    (digests.select("sweep_id", F.col("digest").alias("value")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("sweep_id").text(path))
+        fs.delete(self._fs(spark, stage)[1], True)
+        return self.read(spark, name, sweeps)
+
+    def append(self, df: DataFrame, name: str) -> None:
+        (df.select(*_cols(SCHEMAS[name])).write.mode("append").partitionBy(*PARTITIONS[name]).parquet(self.path(name)))
+
+
+def digest_files(digests: DataFrame, path: str) -> DataFrame:
+    """One markdown file a sweep (K5), ``<path>/YYYY-MM-DD_HHMM.md``, written
+    by the tasks that hold the digests (``sweep_id, sweep_ts, digest``); the
+    result lists them. A file is moved into place whole."""
+    from ..functions.dates import digest_name
+
+    def write(batches):
+        import pyarrow as pa
+        from pyarrow import fs as pafs
+        store, folder = pafs.FileSystem.from_uri(path) if "://" in path else (
+            pafs.LocalFileSystem(), path.removeprefix("file:"))
+        store.create_dir(folder, recursive=True)
+        for b in batches:
+            for name, text in zip(b.column("name").to_pylist(), b.column("digest").to_pylist()):
+                part = f"{folder}/.{name}.{uuid.uuid4().hex[:8]}"
+                with store.open_output_stream(part) as f:
+                    f.write((text or "").encode())
+                store.move(part, f"{folder}/{name}")
+            yield pa.RecordBatch.from_arrays([b.column("sweep_id"), b.column("name")], names=["sweep_id", "name"])
+    return digests.select("sweep_id", digest_name(F.col("sweep_ts")).alias("name"), "digest").mapInArrow(
+        write, "sweep_id bigint, name string")

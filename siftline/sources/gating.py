@@ -6,19 +6,20 @@ Gating rules, per source type and sweep type:
   warning (only that source honours the flag);
 * web search on a light sweep with ``sweep`` unset -> called, returns
   nothing (so its validation warns "returned 0 items");
-* otherwise fetched. The domain defaults to the configured default.
-
-The source config is a config-sized table joined by broadcast.
+* otherwise fetched, also if the config does not name the source. The domain
+  defaults to the configured default. A source type that neither the config
+  nor the registry knows is ``unknown``.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT_DOMAIN, SOURCE_ORDER, SourceConfig
+from ..config import DEFAULT_DOMAIN, SOURCE_ORDER, CurationConfig, SourceConfig
 
 SEARCH_SOURCE = "serp"
 
@@ -34,11 +35,12 @@ def source_config_table(spark: SparkSession, sources: Sequence[SourceConfig]) ->
 def gate(fetches: DataFrame, cfg: DataFrame, default_domain: str = DEFAULT_DOMAIN) -> DataFrame:
     """Add ``action`` (fetch / skipped / disabled / empty / unknown) and the
     resolved ``domain`` to rows with ``source_type`` and ``sweep_type``."""
-    j = fetches.join(F.broadcast(cfg), "source_type", "left")
+    j = fetches.join(cfg, "source_type", "left")
     light = F.col("sweep_type") == "light"
     serp = F.col("source_type") == SEARCH_SOURCE
-    action = (F.when(F.col("enabled").isNull(), F.lit("unknown"))
-              .when(~F.col("enabled"), F.lit("disabled"))
+    known = F.col("enabled").isNotNull() | F.col("source_type").isin(*REGISTRY)
+    action = (F.when(~known, F.lit("unknown"))
+              .when(~F.coalesce("enabled", F.lit(True)), F.lit("disabled"))
               .when(light & (F.col("sweep") == "full") & serp, F.lit("skipped"))
               .when(light & serp & F.col("sweep").isNull(), F.lit("empty"))
               .otherwise(F.lit("fetch")))
@@ -47,22 +49,64 @@ def gate(fetches: DataFrame, cfg: DataFrame, default_domain: str = DEFAULT_DOMAI
     return j.withColumn("action", action).withColumn("domain", dom).drop("enabled", "sweep", "cfg_domain")
 
 
-# Source plug-ins (X1): name -> parser from landed RAW_FETCH rows to items.
-Parser = Callable[..., DataFrame]
+# ------------------------------------------------------------ source plug-ins
+
+@dataclass(frozen=True)
+class Landed:
+    """What a parser gets: its source's live payload rows (RAW_FETCH with the
+    resolved domain), the settings, the sweeps (sweep_id, sweep_ts,
+    sweep_type) in which the source is called, and, for the top list, its
+    ranked ids and story bodies where there are any."""
+    rows: DataFrame
+    cfg: CurationConfig
+    sweeps: DataFrame
+    hn_top: DataFrame | None = None
+    hn_stories: DataFrame | None = None
+
+
+#: name -> parser of landed rows to item rows: sweep_id, fetch_seq, part, pos,
+#: title, url, summary, source, domain, published. The order is the registry's.
+Parser = Callable[[Landed], DataFrame]
 REGISTRY: dict[str, Parser] = {}
+ITEM = ("sweep_id", "fetch_seq", "part", "pos", "title", "url", "summary", "source", "domain", "published")
 
 
 def register(name: str, parser: Parser) -> None:
+    """Add a source type, or replace its parser. New ones come last."""
     REGISTRY[name] = parser
 
 
-def _defaults():
+def _arxiv(x: Landed) -> DataFrame:
+    from .xml_feeds import arxiv_items
+    return arxiv_items(x.rows, ("sweep_id", "fetch_seq", "domain")).withColumn("part", F.lit(0))
+
+
+def _rss(x: Landed) -> DataFrame:
+    from .xml_feeds import feed_items
+    return feed_items(x.rows, ("sweep_id", "fetch_seq", "feed_name", "domain"))
+
+
+def _hackernews(x: Landed) -> DataFrame:
+    from . import json_feeds as jf
+    full = x.rows.where(F.col("sweep_type") == "full").withColumnRenamed("fetch_seq", "query_seq")
+    hits = jf.hn_search_hits(full)
+    if x.hn_top is None or x.hn_stories is None:
+        return (jf.hn_search_items(hits, x.cfg.min_points).withColumnRenamed("query_seq", "fetch_seq")
+                .withColumn("part", F.lit(0)))
+    top = x.hn_top.select("sweep_id", "rank", "id").join(x.sweeps.select("sweep_id", "sweep_type"), "sweep_id")
+    cands = jf.hn_top_stories(top, x.hn_stories, x.cfg.top_n)
+    items = jf.hn_items(hits, cands, x.cfg.keywords, x.cfg.min_points)
+    last = F.lit((1 << 32) - 1)      # stories come after all queries
+    return items.withColumn("fetch_seq", F.when(F.col("kind") == "top", last).otherwise(F.col("query_seq"))) \
+        .withColumn("part", F.lit(0))
+
+
+def _serp(x: Landed) -> DataFrame:
     from . import json_feeds as jf
-    from . import xml_feeds as xf
-    register("arxiv", xf.arxiv_items)
-    register("rss", xf.feed_items)
-    register("hackernews", jf.hn_search_hits)
-    register("serp", jf.serp_results)
+    found = jf.serp_results(x.rows.withColumnRenamed("fetch_seq", "query_seq"))
+    return (jf.serp_items(found, x.cfg.skip_domains).withColumnRenamed("query_seq", "fetch_seq")
+            .withColumn("part", F.lit(0)))
 
 
-_defaults()
+for _name, _parser in (("arxiv", _arxiv), ("hackernews", _hackernews), ("rss", _rss), ("serp", _serp)):
+    register(_name, _parser)

@@ -13,7 +13,7 @@ from typing import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT_DOMAIN, DEFAULT_MIN_POINTS, TOP_STORY_CAP
+from ..config import DEFAULT_DOMAIN, DEFAULT_MIN_POINTS, HN_HITS_PER_QUERY, TOP_STORY_CAP
 from ..functions.keywords import any_keyword, contains_any_raw, matched_keywords
 from ..functions.text import blank_to_empty, points_text, truncate, url_or_discussion
 from ..operators.ordering import keep_first
@@ -25,6 +25,15 @@ SERP_RESULT = "struct<link:string,title:string,snippet:string,date:string>"
 SERP_SCHEMA = f"news_results array<{SERP_RESULT}>, organic_results array<{SERP_RESULT}>"
 
 
+def _order() -> F.Column:
+    """Query, then place in its response, as one long; too many to fit is an
+    error."""
+    q, pos = F.col("query_seq"), F.col("pos")
+    fits = (pos < (1 << 20)) & (q >= 0) & (q < (1 << 42))
+    return F.when(fits, q * F.lit(1 << 20) + pos).otherwise(
+        F.raise_error(F.lit("query_seq or position beyond 42 and 20 bits")).cast("bigint"))
+
+
 def _term_domain(query_col, terms: Mapping[str, str | None], default: str) -> F.Column:
     expr = F.lit(default)
     for q, d in terms.items():
@@ -33,16 +42,17 @@ def _term_domain(query_col, terms: Mapping[str, str | None], default: str) -> F.
 
 
 def hn_search_hits(raw: DataFrame, terms: Mapping[str, str | None] | None = None,
-                   default_domain: str = DEFAULT_DOMAIN) -> DataFrame:
-    """Every hit of every search response, in arrival order
+                   default_domain: str = DEFAULT_DOMAIN, max_hits: int = HN_HITS_PER_QUERY) -> DataFrame:
+    """The hits of every search response, in arrival order
     (``query_seq``, ``pos``), with the URL fallback and null -> 0/"" (Q7).
-    ``raw``: ``sweep_id, query_seq, query, body``; empty queries skipped."""
+    ``raw``: ``sweep_id, query_seq, query, body``; empty queries skipped. A
+    query asks for ``max_hits`` (W3), and further ones are not read."""
     r = raw.where(F.coalesce(F.col("query"), F.lit("")) != "")
     dom = _term_domain(F.col("query"), terms or {}, default_domain) if terms is not None \
         else (F.coalesce(F.col("domain"), F.lit(default_domain)) if "domain" in raw.columns
               else F.lit(default_domain))
     ex = r.select("sweep_id", "query_seq", dom.alias("domain"),
-                  F.posexplode(F.from_json("body", HN_SEARCH_SCHEMA)["hits"]).alias("pos", "_h"))
+                  F.posexplode(F.from_json("body", HN_SEARCH_SCHEMA)["hits"]).alias("pos", "_h")).where(F.col("pos") < max_hits)
     pts = F.coalesce(F.col("_h.points"), F.lit(0))
     return ex.select(
         "sweep_id", "query_seq", F.col("pos").cast("bigint").alias("pos"), "domain",
@@ -57,7 +67,7 @@ def hn_search_items(hits: DataFrame, min_points: int = DEFAULT_MIN_POINTS) -> Da
     """Search items (S4): a hit marks its raw URL seen *before* the points
     test, so a low-point hit hides the same URL in later hits (D3); then
     points >= min_points (F5)."""
-    hits = hits.withColumn("_order", F.col("query_seq") * F.lit(1 << 20) + F.col("pos"))
+    hits = hits.withColumn("_order", _order())
     first = keep_first(hits, ["sweep_id", "url"], "_order").drop("_order")
     return first.where(F.col("points") >= min_points).withColumn("source", F.lit("hackernews"))
 
@@ -65,11 +75,12 @@ def hn_search_items(hits: DataFrame, min_points: int = DEFAULT_MIN_POINTS) -> Da
 def hn_top_stories(top: DataFrame, stories: DataFrame, top_n: int, sweep_type: str = "full") -> DataFrame:
     """Ranked candidates (S5): the top list is cut to min(n, 50) *before*
     any filter (n halved on light sweeps); stories are joined by id.
-    ``top``: ``sweep_id, rank, id``; ``stories``: ``sweep_id, id, body``.
+    ``top``: ``sweep_id, rank, id`` and, for sweeps of both kinds,
+    ``sweep_type``; ``stories``: ``sweep_id, id, body``.
     A story that could not be fetched (no body) is skipped."""
-    n = top_n if sweep_type == "full" else top_n // 2
-    cap = min(n, TOP_STORY_CAP)
-    ranked = top.where(F.col("rank") <= cap)
+    kind = F.col("sweep_type") if "sweep_type" in top.columns else F.lit(sweep_type)
+    n = F.when(kind == "full", F.lit(top_n)).otherwise(F.lit(top_n // 2))
+    ranked = top.where(F.col("rank") <= F.least(n, F.lit(TOP_STORY_CAP))).select("sweep_id", "rank", "id")
     parsed = stories.select("sweep_id", "id", F.from_json("body", HN_ITEM_SCHEMA).alias("_s"))
     j = ranked.join(parsed, ["sweep_id", "id"])
     pts = F.coalesce(F.col("_s.score"), F.lit(0))
@@ -100,6 +111,28 @@ def hn_top_items(cands: DataFrame, keywords: Iterable[str], min_points: int = DE
                        matched_keywords(F.col("title"), kws).alias("matched_keywords"))
 
 
+def hn_items(hits: DataFrame, cands: DataFrame, keywords: Iterable[str],
+             min_points: int = DEFAULT_MIN_POINTS) -> DataFrame:
+    """Search and top-story items of a sweep together (S4, S5, D3): what
+    ``hn_search_items`` and ``hn_top_items`` keep, in one shuffle. Per (sweep,
+    raw URL) the first row wins, hits before stories, and a hit hides a URL
+    whatever its points; a story only counts if it passes its own tests. Rows
+    are told apart by ``kind``; ``pos`` of a story is its rank less one."""
+    kws = list(keywords)
+    cols = ["sweep_id", "kind", "query_seq", "pos", "domain", "item_key", "url", "points", "title", "summary", "published"]
+    search = hits.select("sweep_id", F.lit("search").alias("kind"), "query_seq", "pos", "domain",
+                         F.col("object_id").alias("item_key"), "url", "points", "title", "summary", "published")
+    top = cands.where((F.col("type") == "story") & (F.col("points") >= min_points) & any_keyword(F.col("title"), kws)).select(
+        "sweep_id", F.lit("top").alias("kind"), F.lit(1 << 41).alias("query_seq"), (F.col("rank") - 1).alias("pos"),
+        F.lit(DEFAULT_DOMAIN).alias("domain"), F.col("id").cast("string").alias("item_key"), "url", "points", "title",
+        points_text(F.col("points")).alias("summary"), F.lit("").alias("published"))
+    rows = search.select(cols).unionByName(top.select(cols)).withColumn("_order", _order())
+    first = rows.groupBy("sweep_id", "url").agg(F.min_by(F.struct(
+        *[c for c in cols if c not in ("sweep_id", "url")]), "_order").alias("x"))
+    return (first.select("sweep_id", "url", "x.*").where(F.col("points") >= min_points)
+            .withColumn("source", F.lit("hackernews")))
+
+
 def serp_results(raw: DataFrame, terms: Mapping[str, str | None] | None = None,
                  default_domain: str = DEFAULT_DOMAIN) -> DataFrame:
     """Every web-search result in arrival order: news results then organic
@@ -123,7 +156,7 @@ def serp_items(results: DataFrame, skip_domains: Iterable[str]) -> DataFrame:
     """Web-search items (S6): first copy of each raw link across the
     sweep's queries (an empty link dedups too) (D4), *then* the
     case-sensitive skip-domain test on the raw link (F4)."""
-    r = results.withColumn("_order", F.col("query_seq") * F.lit(1 << 20) + F.col("pos"))
+    r = results.withColumn("_order", _order())
     first = keep_first(r, ["sweep_id", "url"], "_order").drop("_order")
     return first.where(~contains_any_raw(F.col("url"), list(skip_domains))) \
         .withColumn("source", F.lit("serp"))

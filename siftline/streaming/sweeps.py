@@ -1,31 +1,26 @@
 """Sweeps as micro-batches.
 
-A landing folder receives the raw rows of each sweep as it happens; a
-file-source stream picks them up in arrival order (``maxFilesPerTrigger``
-decides how many landings one micro-batch takes). All state lives in the
-stream checkpoint or in logs under the shared folder, so a lost executor
-or a restarted query replays from the checkpoint with the same results.
-
-* T1 ``curate_stream``: ``foreachBatch`` runs the batch curation against
-  the seen-store, keyed by the micro-batch's sweeps.
-* T2 ``dedup_stream``: exact 48 h rule as per-item state
-  (``applyInPandasWithState``; first_seen is never refreshed, so the state
-  is kept for ever -- a TTL would change results).
-* T3 ``feed_health_stream``: per-epoch snapshot = merge(previous snapshot,
-  batch delta) with the associative rule of ``operators.folds``.
+A landing folder receives the raw rows of each sweep as it happens, in any
+number of files; a file-source stream picks them up (``maxFilesPerTrigger``
+decides how many files one micro-batch takes). A sweep may be spread over
+several micro-batches, and sweeps may come late or out of order: every sink
+ends in the batch result. All state lives in the stream checkpoint or in tables
+under the shared folder, each micro-batch in partitions of its own, so a lost
+executor or a restarted query replays from the checkpoint with the same results.
+
+* T1 ``curate_stream``: a micro-batch's rows are added to its sweeps, and these
+  sweeps and all later ones are curated anew against the seen-store.
+* T2 ``dedup_stream``: sightings, and the earliest sighting of each item in the
+  micro-batch (a partial aggregation); the exact 48 h rule reads both.
+* T3 ``feed_health_stream``: a micro-batch's rows are added to its sweeps, whose
+  deltas are made anew; the state folds the deltas.
 * T4 ``source_quality_stream``: streaming aggregation, complete mode.
 """
 
 from __future__ import annotations
 
-import time
-from contextlib import contextmanager
-from typing import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators import curate as cur
 from ..operators import folds as fl
@@ -33,33 +28,10 @@ from ..plans.sweep_run import record_seen
 from ..sinks.logs import LogStore
 
 
-def land_in_order(df: DataFrame, path: str, unit: str) -> int:
-    """Write ``df`` to the landing folder one ``unit`` value at a time, in
-    increasing order, one file each -- the order in which sweeps arrive.
-    Returns the number of landings. (A replay harness: in production the
-    sweeps themselves write their landings as they happen.)"""
-    units = [r[0] for r in df.select(unit).distinct().orderBy(unit).collect()]
-    for u in units:
-        df.where(F.col(unit) == u).coalesce(1).write.mode("append").parquet(path)
-        time.sleep(0.01)  # distinct modification times keep arrival order
-    return len(units)
-
-
-@contextmanager
-def _partitions(spark: SparkSession, n: int | None):
-    """Start a stream with ``n`` shuffle (and state) partitions. A streaming
-    query clones the session at start, so the caller's setting is restored
-    right after. ``None`` keeps the session's value."""
-    if n is None:
-        yield
-        return
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(n))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
+def land(df: DataFrame, path: str, unit: str, files: int = 3) -> None:
+    """Write ``df`` to the landing folder, each value of ``unit`` in up to
+    ``files`` files."""
+    df.repartition(files).write.mode("append").partitionBy(unit).parquet(path)
 
 
 def _read(spark: SparkSession, path: str, schema, per_trigger: int) -> DataFrame:
@@ -67,117 +39,90 @@ def _read(spark: SparkSession, path: str, schema, per_trigger: int) -> DataFrame
             .parquet(path))
 
 
-def curate_stream(spark: SparkSession, landing: str, schema, store: LogStore, out: str,
-                  checkpoint: str, skip_domains, skip_patterns, window_hours: int = 48,
-                  per_trigger: int = 1, partitions: int | None = None):
-    """Each micro-batch is a set of sweeps; curated items are written
-    to ``out`` by sweep partition (idempotent on replay of an epoch)."""
-    def body(batch: DataFrame, epoch: int) -> None:
-        sweeps = batch.select("sweep_id").distinct()
-        prior = store.read(spark, "items_seen").join(sweeps, "sweep_id", "left_anti")
-        curated = cur.curate(batch, skip_domains, skip_patterns, window_hours,
-                             prior_first=prior.select("item_id", "first_seen"))
-        # write, then read back: later epochs must not re-run this lineage
-        (curated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("sweep_id").parquet(out))
-        record_seen(spark.read.parquet(out).join(sweeps, "sweep_id", "left_semi"), store, spark, sweeps)
-
-    with _partitions(spark, partitions):
-        q = (_read(spark, landing, schema, per_trigger).writeStream.foreachBatch(body)
-             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+def _run(stream: DataFrame, body, checkpoint: str, mode: str = "append"):
+    q = (stream.writeStream.outputMode(mode).foreachBatch(body).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
 
 
-STATE_SCHEMA = "first_us long"
-DEDUP_OUT = "sweep_id long, item_id string, seq long, sweep_us long, first_us long, kept boolean"
+def _add(batch: DataFrame, epoch: int, path: str) -> list:
+    """Add a micro-batch's rows to ``path``, by sweep and epoch (a replayed
+    epoch replaces its own); the sweeps it touched, a handful of ids."""
+    (batch.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("sweep_id", "epoch").parquet(path))
+    return sorted(r.sweep_id for r in batch.select("sweep_id").distinct().collect())
 
 
-def _first_seen_rule(window_hours: int, ttl_ms: int | None = None):
-    window_us = int(window_hours) * 3600 * 1_000_000
+def _rows(spark: SparkSession, path: str, schema, sweeps: list) -> DataFrame:
+    """All rows added so far of ``sweeps``, read by partition."""
+    return (spark.read.schema(schema).parquet(path).where(F.col("sweep_id").isin(sweeps))
+            .select(*schema.fieldNames()))
 
-    def fn(key, pdfs: Iterator[pd.DataFrame], state):
-        if ttl_ms is not None and state.hasTimedOut:   # opt-in TTL: forget the item
-            state.remove()
-            return
-        pdf = (pd.concat(list(pdfs), ignore_index=True).sort_values(["sweep_us", "seq"])
-               .reset_index(drop=True))
-        first = state.get[0] if state.exists else None
-        kept, firsts = [], []
-        for ts in pdf["sweep_us"].tolist():
-            if first is None:
-                first = ts
-            kept.append(ts == first or ts >= first + window_us)
-            firsts.append(first)
-        state.update((int(first),))
-        if ttl_ms is not None:
-            state.setTimeoutDuration(ttl_ms)
-        yield pd.DataFrame({"sweep_id": pdf["sweep_id"].astype("int64"), "item_id": pdf["item_id"],
-                            "seq": pdf["seq"].astype("int64"), "sweep_us": pdf["sweep_us"].astype("int64"),
-                            "first_us": pd.Series(firsts, dtype="int64"), "kept": kept})
-    return fn
-
-
-def dedup_stream(spark: SparkSession, landing: str, schema, out: str, checkpoint: str,
-                 window_hours: int = 48, per_trigger: int = 1, partitions: int | None = None,
-                 ttl_hours: float | None = None):
-    """Per item id, ``first_us`` in state; each row is kept iff it is
-    the first sighting or at least ``window_hours`` after it. Rows of one
-    key in a micro-batch are at most one per sweep (in-sweep dedup runs
-    before), so a group is bounded by the sweeps per batch.
-
-    The exact rule keeps an item's state for ever (first_seen is never
-    refreshed). ``ttl_hours`` opts into forgetting items not seen for that
-    long (processing time); it bounds the state and changes results: an
-    expired item counts as new again."""
-    src = _read(spark, landing, schema, per_trigger).select(
-        "sweep_id", "item_id", "seq", F.unix_micros(F.col("sweep_ts").cast("timestamp")).alias("sweep_us"))
-    ttl_ms = None if ttl_hours is None else int(ttl_hours * 3600 * 1000)
-    timeout = GroupStateTimeout.NoTimeout if ttl_ms is None else GroupStateTimeout.ProcessingTimeTimeout
-    rows = src.groupBy("item_id").applyInPandasWithState(
-        _first_seen_rule(window_hours, ttl_ms), DEDUP_OUT, STATE_SCHEMA, "append", timeout)
-    with _partitions(spark, partitions):
-        q = (rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-             .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
 
+def curate_stream(spark: SparkSession, landing: str, schema, store: LogStore, checkpoint: str, skip_domains,
+                  skip_patterns, window_hours: int = 48, per_trigger: int = 4):
+    """Curated items go to the store's ``curated`` log. Late rows of a
+    sweep may change what later sweeps keep, so these are curated again; in
+    order, that is the last sweep only."""
+    raw = store.path("raw")
 
-def feed_health_stream(spark: SparkSession, landing: str, schema, snapshots: str, checkpoint: str,
-                       per_trigger: int = 1, partitions: int | None = None):
-    """Snapshot ``v=<epoch>`` = merge(snapshot of the previous epoch,
-    delta of this batch). Rewriting an epoch replaces its snapshot."""
     def body(batch: DataFrame, epoch: int) -> None:
-        delta = fl.feed_health_delta(batch)
-        if epoch > 0:
-            prior = spark.read.parquet(f"{snapshots}/v={epoch - 1}")
-            state = fl.merge_feed_health(prior, delta)
-        else:
-            state = delta
-        state.write.mode("overwrite").parquet(f"{snapshots}/v={epoch}")
-
-    with _partitions(spark, partitions):
-        q = (_read(spark, landing, schema, per_trigger).writeStream.foreachBatch(body)
-             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
-
+        touched = _add(batch, epoch, raw)
+        if not touched:
+            return
+        times = spark.read.schema(schema).parquet(raw).select("sweep_id", "sweep_ts")
+        start = times.where(F.col("sweep_id").isin(touched)).agg(F.min("sweep_ts")).first()[0]
+        again = sorted(r.sweep_id for r in times.where(F.col("sweep_ts") >= F.lit(start)).select("sweep_id")
+                       .distinct().collect())
+        prior = store.read(spark, "items_seen").where(~F.col("sweep_id").isin(again))
+        kept = cur.curate(_rows(spark, raw, schema, again), skip_domains, skip_patterns, window_hours,
+                          prior_first=prior.select("item_id", "first_seen"))
+        record_seen(store.replace(spark, kept, "curated", again), store, spark, again)
+    return _run(_read(spark, landing, schema, per_trigger), body, checkpoint)
+
+
+def dedup_stream(spark: SparkSession, landing: str, schema, out: str, checkpoint: str, per_trigger: int = 4):
+    """The sightings and, by epoch, each item's earliest one. An epoch
+    writes what its rows give and reads no history, so its cost does not grow
+    with it; ``dedup_decisions`` has the rule. State is kept for ever, as
+    first_seen is never refreshed."""
+    def body(batch: DataFrame, epoch: int) -> None:
+        rows = batch.select("sweep_id", "item_id", "seq", F.col("sweep_ts").cast("timestamp").alias("sweep_ts"))
+        rows.write.mode("overwrite").parquet(f"{out}/sightings/epoch={epoch}")
+        (rows.groupBy("item_id").agg(F.min("sweep_ts").alias("first_seen"))
+         .write.mode("overwrite").parquet(f"{out}/first/epoch={epoch}"))
+    return _run(_read(spark, landing, schema, per_trigger), body, checkpoint)
+
+
+def dedup_decisions(spark: SparkSession, out: str, window_hours: int = 48) -> DataFrame:
+    """sweep_id, item_id, seq, first_seen, kept: a sighting is kept iff it is
+    the item's first or at least ``window_hours`` after it. Of each epoch the
+    first sightings are one row an item, so a hot item is small there; its
+    sightings join them by item and are split if there are very many."""
+    first = spark.read.parquet(f"{out}/first").groupBy("item_id").agg(F.min("first_seen").alias("first_seen"))
+    rows = spark.read.parquet(f"{out}/sightings").drop("epoch")
+    return rows.join(first, "item_id").select(
+        "sweep_id", "item_id", "seq", "first_seen",
+        cur.window_keep("sweep_ts", "first_seen", window_hours).alias("kept"))
+
+
+def feed_health_stream(spark: SparkSession, landing: str, schema, store: LogStore, checkpoint: str,
+                       per_trigger: int = 4):
+    """The store's ``feed_delta`` has a row a feed and sweep, made from
+    all rows of the sweep so far; ``folds.fold_feed_deltas`` is the state."""
+    raw = store.path("raw")
 
-def latest_snapshot(spark: SparkSession, snapshots: str) -> DataFrame:
-    snaps = spark.read.parquet(snapshots)
-    return snaps.where(F.col("v") == snaps.agg(F.max("v")).scalar()).drop("v")
+    def body(batch: DataFrame, epoch: int) -> None:
+        if touched := _add(batch, epoch, raw):
+            delta = fl.feed_health_delta(_rows(spark, raw, schema, touched), ("feed_id", "sweep_id"))
+            store.replace(spark, delta, "feed_delta", touched)
+    return _run(_read(spark, landing, schema, per_trigger), body, checkpoint)
 
 
 def source_quality_stream(spark: SparkSession, landing: str, schema, snapshot: str, checkpoint: str,
-                          per_trigger: int = 1, partitions: int | None = None):
+                          per_trigger: int = 4):
     """T4: running counts per source, complete output written per epoch."""
-    counts = fl.source_quality_counts(_read(spark, landing, schema, per_trigger))
-
     def body(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(snapshot)
-
-    with _partitions(spark, partitions):
-        q = (counts.writeStream.outputMode("complete").foreachBatch(body)
-             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
+    return _run(fl.source_quality_counts(_read(spark, landing, schema, per_trigger)), body, checkpoint, "complete")

@@ -86,7 +86,7 @@ def test_skipped_search_source_gives_no_warning(spark):
 def test_scale_conf_sizes_partitions():
     from siftline.session import scale_conf
     c = scale_conf(100 << 40)                       # 100 TB
-    assert c["spark.sql.shuffle.partitions"] == "200000"        # 409,600 x 256 MB, capped
+    assert c["spark.sql.shuffle.partitions"] == "409600"        # x 256 MB
     assert scale_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
     assert int(scale_conf(1 << 40)["spark.sql.shuffle.partitions"]) == 4096
 
