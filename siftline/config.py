@@ -87,7 +87,7 @@ class CurationConfig:
     orient_prompt: str = ""
     domains: tuple[DomainConfig, ...] = ()
     arxiv: ArxivConfig = ArxivConfig()
-    digest_dir: str = "digests"
+    digest_dir: str = ""                # unset: beside the logs
     # what a scorer is told: the meaning of each score, and how to answer
     score_scale: tuple[tuple[int, str, str], ...] = SCORE_SCALE
     reply_notes: tuple[str, ...] = REPLY_NOTES
@@ -166,7 +166,7 @@ def from_mapping(cfg: dict[str, Any]) -> CurationConfig:
                                    tuple((d or {}).get("arxiv_categories", []) or [])) for n, d in domains.items()),
         arxiv=ArxivConfig(tuple(ax.get("keywords", []) or []), tuple(ax.get("categories", ARXIV_CATEGORIES) or []),
                           int(ax.get("max_results", ARXIV_MAX_RESULTS)), ax.get("domain", DEFAULT_DOMAIN)),
-        digest_dir=str((cfg.get("output") or {}).get("digest_dir", "digests")),
+        digest_dir=str((cfg.get("output") or {}).get("digest_dir") or ""),
         description=prof.get("description", "a researcher"),
         projects=tuple(prof.get("projects", []) or []),
         noise_notes=tuple(prof.get("noise_patterns", []) or []),

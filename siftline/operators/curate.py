@@ -27,16 +27,6 @@ def noise_flags(items: DataFrame, skip_domains: Iterable[str], skip_patterns: It
             .withColumn("noise_match", noise_match(F.col("title"), F.col("summary"), pats)))
 
 
-def apply_noise_filters(items: DataFrame, skip_domains: Iterable[str],
-                        skip_patterns: Iterable[str]) -> DataFrame:
-    """Drop items whose URL contains a skipped site or whose text matches a
-    noise pattern. Patterns that do not compile are skipped."""
-    pats = usable_patterns(skip_patterns, items.sparkSession)
-    keep = ~blocked_site(F.col("url"), list(skip_domains)) & \
-        ~noise_match(F.col("title"), F.col("summary"), pats)
-    return items.where(keep)
-
-
 def with_first_seen(items: DataFrame, key: str = "item_id", ts: str = "sweep_ts") -> DataFrame:
     """Add ``first_seen`` = earliest sweep time of the item over the replay.
 

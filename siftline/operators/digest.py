@@ -117,11 +117,6 @@ def _line(sweep, k1, k2, k3, k4, text: Column) -> Column:
                     text.alias("line"))
 
 
-def _rows(df: DataFrame, *lines: Column) -> DataFrame:
-    """Emit several line rows per input row."""
-    return df.select(F.explode(F.array(*lines)).alias("_l")).select("_l.*")
-
-
 def digest_lines(sweeps: DataFrame, sick: DataFrame, warnings: DataFrame, shown: DataFrame,
                  quality: DataFrame, orient_prompt: str = "",
                  tier_labels: Mapping[str, str] = TIER_LABELS, tiers: Sequence[str] = TIERS) -> DataFrame:

@@ -36,7 +36,7 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
 
 
 def positions(df: DataFrame, group: Sequence[str], order: Sequence[str],
-              pos: str = "rn", num_partitions: int | None = None, block_bits: int = 16) -> DataFrame:
+              pos: str = "rn", block_bits: int = 16) -> DataFrame:
     """0-based position of each row within ``group`` by one integral
     ``order`` column (unique within the group), without a one-partition
     window when a group is huge.
@@ -47,8 +47,7 @@ def positions(df: DataFrame, group: Sequence[str], order: Sequence[str],
     inside the block (a window whose partition holds at most
     ``2**block_bits`` rows, whatever the size of the group). Everything
     depends on data values only, so any re-execution, with any partitioning,
-    gives the same positions. ``num_partitions`` is accepted for callers
-    and unused.
+    gives the same positions.
     """
     if len(order) != 1:
         raise ValueError("positions() orders by one integral column")

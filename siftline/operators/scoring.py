@@ -33,11 +33,11 @@ RESPONSE_SCHEMA = "sweep_id bigint, batch bigint, response string, prompt_hash s
 
 
 def number_batches(items: DataFrame, batch_size: int, group: Sequence[str] = ("sweep_id",),
-                   order: Sequence[str] = ("seq",), num_partitions: int | None = None) -> DataFrame:
+                   order: Sequence[str] = ("seq",)) -> DataFrame:
     """Consecutive groups of ``batch_size`` in arrival order (W4): adds
     ``batch`` and ``idx`` (restarting at 0 in each batch). Positions come
-    from range partitioning, so one huge sweep is not one task."""
-    rn = positions(items, list(group), list(order), "_rn", num_partitions)
+    from blocks of the order value, so one huge sweep is not one task."""
+    rn = positions(items, list(group), list(order), "_rn")
     return (rn.withColumn("batch", F.floor(F.col("_rn") / batch_size).cast("bigint"))
             .withColumn("idx", (F.col("_rn") % batch_size).cast("bigint")).drop("_rn"))
 

@@ -43,10 +43,6 @@ def validate_items(items: DataFrame, scope: Sequence[str] = ("sweep_id", "source
             .drop("_hard", "_first"))
 
 
-def valid_items(items: DataFrame, scope: Sequence[str] = ("sweep_id", "source_type")) -> DataFrame:
-    return validate_items(items, scope).where(F.col("reason") == "valid").drop("reason", "empty_summary")
-
-
 def validation_report(checked: DataFrame, scope: Sequence[str] = ("sweep_id", "source_type")) -> DataFrame:
     """One row per scope: total and the count of each reason (A1)."""
     r = F.col("reason")

@@ -61,11 +61,6 @@ def _checked(spark, sf_dir) -> DataFrame:
     return val.validate_items(fx.feed_item_rows(spark, sf_dir))
 
 
-@_memo
-def _valid(spark, sf_dir) -> DataFrame:
-    return _checked(spark, sf_dir).where(F.col("reason") == "valid").drop("reason", "empty_summary")
-
-
 @query("validate_items")
 def q_validate_items(spark, sf_dir):
     return _checked(spark, sf_dir).select("sweep_id", "seq", "source_type", "item_id", "reason",

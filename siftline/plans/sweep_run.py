@@ -100,7 +100,7 @@ def run_sweeps(spark: SparkSession, items: DataFrame, sweeps: DataFrame, cfg: Cu
     if not ids:
         raise ValueError("no sweeps to process")
     system_prompt = sc.config_prompt(cfg) if system_prompt is None else system_prompt
-    digest_dir = digest_dir or cfg.digest_dir
+    digest_dir = digest_dir or cfg.digest_dir or store.path("digest_files")
     # parsed once: report, curation and funnel read these rows. Scores come from the scorer only
     items = store.replace(spark, items, "items", ids)
     # no sources configured: every registry source, enabled by default
@@ -195,8 +195,8 @@ def items_from_raw(raw: DataFrame, cfg: CurationConfig, spark: SparkSession,
     crashed = gated.where((F.col("action") == "fetch") & (F.col("fetch_seq") == CRASHED)).select("sweep_id", "source_type")
     items = None
     for rank, (name, parse) in enumerate(gating.REGISTRY.items()):
-        called = gating.gate(sweeps.withColumn("source_type", F.lit(name)), table).where(F.col("action") == "fetch")
-        called = called.join(crashed, ["sweep_id", "source_type"], "left_anti").select("sweep_id", "sweep_ts", "sweep_type")
+        called = gating.called_sweeps(sweeps, name, cfg.sources).join(
+            crashed.where(F.col("source_type") == name).select("sweep_id"), "sweep_id", "left_anti")
         rows = parse(gating.Landed(live.where(F.col("source_type") == name), cfg, called, hn_top, hn_stories)) \
             .select(*gating.ITEM).join(called.select("sweep_id", "sweep_ts"), "sweep_id")
         part = rows.select(

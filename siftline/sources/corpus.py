@@ -18,12 +18,6 @@ from ..config import ARXIV_MAX_KEYWORDS, ARXIV_MAX_RESULTS
 from ..functions.keywords import any_keyword, matched_keywords
 
 
-def search_keywords(own: Sequence[str], domain_keywords: Sequence[str]) -> list[str]:
-    """The source's keywords, else its domain's; first ten."""
-    kws = list(own) or list(domain_keywords)
-    return kws[:ARXIV_MAX_KEYWORDS]
-
-
 def corpus_search(corpus: DataFrame, keywords: Sequence[str], categories: Sequence[str],
                   text_cols: Sequence[str], category_col: str, recency_col: str,
                   max_results: int = ARXIV_MAX_RESULTS, sweep_type: str = "full") -> DataFrame:

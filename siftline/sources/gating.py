@@ -49,6 +49,17 @@ def gate(fetches: DataFrame, cfg: DataFrame, default_domain: str = DEFAULT_DOMAI
     return j.withColumn("action", action).withColumn("domain", dom).drop("enabled", "sweep", "cfg_domain")
 
 
+def called_sweeps(sweeps: DataFrame, source: str, sources: Sequence[SourceConfig]) -> DataFrame:
+    """The sweeps (with ``sweep_type``) in which one source is fetched: the
+    rules of ``gate`` for one name, as a filter."""
+    cfg = next((s for s in sources if s.name == source), SourceConfig(source))
+    if not cfg.enabled:
+        return sweeps.where(F.lit(False))
+    if source == SEARCH_SOURCE and cfg.sweep in (None, "full"):
+        return sweeps.where(F.col("sweep_type") != "light")
+    return sweeps
+
+
 # ------------------------------------------------------------ source plug-ins
 
 @dataclass(frozen=True)

@@ -1,7 +1,6 @@
 """Config loading (S9), source gating (S8), empty-sweep warnings."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from siftline.config import SourceConfig, from_mapping
 from siftline.operators import validate as val
@@ -20,7 +19,7 @@ def test_config_requires_sections_and_reads_defaults():
     })
     assert cfg.keywords == ("k1", "k2", "k3")
     assert cfg.dedup_window_hours == 48 and cfg.batch_size == 40 and cfg.min_score == 3
-    assert [s.name for s in cfg.enabled_sources()] == ["rss"]
+    assert [s.name for s in cfg.enabled_sources()] == ["arxiv", "hackernews", "rss"]     # a source not named is enabled
     assert cfg.budgets == {"RED": 1}
     with pytest.raises(ValueError):
         from_mapping({"profile": {}, "sources": {}, "domains": {}, "scoring": {"tier_budgets": {"RED": -1}}})

@@ -73,7 +73,7 @@ def test_feed_health_asof_equals_loop(spark):
     df = spark.createDataFrame(rows, SCHEMA).withColumn("sweep_id", F.floor(F.col("seq") / 20).cast("long"))
     sweeps = spark.range(0, 15).withColumnRenamed("id", "sweep_id")
     got = {(r.sweep_id, r.feed_id): (r.consecutive_failures, r.last_error)
-           for r in dg.feed_health_asof(df, sweeps).collect()}
+           for r in dg.feed_health_asof(fl.feed_health_delta(df, ("feed_id", "sweep_id")), sweeps).collect()}
     want = {}
     for s in range(15):
         st = _loop([r for r in rows if r[3] // 20 <= s])

@@ -2,7 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
 
 from siftline.operators import scoring as sc
 from siftline.sources import json_feeds as jf
