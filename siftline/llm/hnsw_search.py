@@ -32,7 +32,6 @@ from __future__ import annotations
 
 import heapq
 import json
-from typing import Iterator
 
 import numpy as np
 import pandas as pd

@@ -38,7 +38,6 @@ gives an empty result; extra columns are not read.
 
 from __future__ import annotations
 
-import math
 import random
 from typing import Iterator
 

@@ -65,3 +65,41 @@ QUERIES = {f.__name__: f for f in (op1_dac_tokens, op2_token_attribution, op3_lp
                                    op7_hyperminhash, op8_bigru_langid, op9_soft_mixing, op10_warc_salvage)}
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op7_hyperminhash"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN []
+           WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+           ELSE list_transform(range(1, len(words) - 3), lambda k: array_to_string(words[k:k + 4], ' ')) END) AS shingles
+  FROM w
+),
+e AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT s.doc_id, CAST(len(shingles) AS bigint) AS n_shingles,
+       least(s.doc_id, COALESCE(m, s.doc_id)) AS component_id, s.doc_id <= COALESCE(m, s.doc_id) AS kept
+FROM s LEFT JOIN least ON s.doc_id = least.a"""
+
+ORACLE["op10_warc_salvage"] = """
+WITH p AS (SELECT page_id, COALESCE(html, '') AS html, sha1(COALESCE(html, '')) AS hex FROM pages),
+d AS (
+  SELECT *, min(page_id) OVER (PARTITION BY hex) AS first_id,
+         array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((
+           CAST('0x' || substr(hex, CAST(5 * (i // 4) + 1 AS bigint), 5) AS integer) >> CAST(15 - 5 * (i % 4) AS integer)) & 31 AS bigint), 1)),
+           '') AS payload_digest
+  FROM p
+)
+SELECT page_id, CAST(octet_length(encode(html)) AS bigint) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM d"""
