@@ -102,7 +102,7 @@ class PieceEncoder:
 
     _HEAD = "\0"      # marks a text's first piece, which has nothing before it
 
-    def __init__(self, path: str, offsets: bool = False, max_pieces: int = 2_000_000):
+    def __init__(self, path: str, offsets: bool = False, max_pieces: int = 1_200_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)

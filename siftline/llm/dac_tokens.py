@@ -210,7 +210,7 @@ MANIFEST = ("first_id long, first_hash long, part int, seq int, path string, n_d
 
 
 def write_tokens(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int = 0,
-                 file_tokens: int = 4_000_000) -> DataFrame:
+                 file_tokens: int = 3_000_000) -> DataFrame:
     """Encode ``text`` of all ``docs`` and write the files and the manifest
     under ``out_dir``, a folder all executors share; returns the manifest."""
     spark = docs.sparkSession
@@ -241,7 +241,7 @@ def write_tokens(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int
                 ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64())]))
         for b in batches:
             texts, doc_ids, hashes = cm.texts_of(b), b.column("doc_id").to_pylist(), b.column("h").to_pylist()
-            for lo, hi in cm.chunks(texts, 16_000_000):
+            for lo, hi in cm.chunks(texts, 6_000_000):
                 ids, sizes, _ = enc.batch(texts[lo:hi])
                 whole = np.full(len(ids) + len(sizes), end_id, np.int32)  # each document's own end
                 whole[np.arange(len(ids)) + np.repeat(np.arange(len(sizes)), sizes)] = ids

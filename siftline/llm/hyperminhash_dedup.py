@@ -269,27 +269,29 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return rows.mapInArrow(run, "node long, set binary")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """(node, comp) of every node in ``links`` (a, b), comp the least node of
     its component: each round hooks nodes to the least neighbour, then halves
     the paths (large star, small star), until no edge changes. A hub's rows
-    meet its minimum, a partial aggregation, in a join that can be split."""
+    meet its minimum, a partial aggregation, in a join that can be split.
+    After a given number of ``rounds``, nodes of one comp are still of one
+    component, but a component may have several comps."""
     edges = cm.staged(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                      .distinct(), "links")
-    while True:
+                      .distinct(), "edges")
+    before, done = None, 0
+    while done != rounds and before != (before := _digest(edges)):
+        done += 1
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = cm.staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = cm.staged(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                           .where("u <> v").distinct(), "large-star")
         least = cm.staged(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u")
-        new = cm.staged(small.select("u", F.col("m").alias("v")).unionByName(
+        edges = cm.staged(small.select("u", F.col("m").alias("v")).unionByName(
             small.select(F.col("v").alias("u"), F.col("m").alias("v"))).where("u <> v").distinct(), "small-star")
-        if _digest(new) == _digest(edges):
-            break
-        edges = new
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(
-        edges.select(F.col("v").alias("node"), F.col("v").alias("comp"))).distinct()
+    named = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("comp"))
+    return named.unionByName(edges.select("v").distinct().join(edges.select(F.col("u").alias("v")), "v", "left_anti")
+                             .select(F.col("v").alias("node"), F.col("v").alias("comp")))
 
 
 def _digest(edges: DataFrame) -> tuple:
@@ -320,10 +322,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5) -> DataF
                       "pairs")
     likely = cm.staged(_likely(pairs, classes, percent), "likely")
     links = cm.staged(_confirmed(likely, sets, percent), "links")
-    comp = cm.staged(components(links), "components")
-    more = cm.staged(_across(members.select("bucket", "node"), comp, sets, percent), "more-links")
-    if not more.isEmpty():
-        comp = cm.staged(components(links.unionByName(more)), "components")
+    nearly = cm.staged(components(links, rounds=1), "first-components")
+    more = cm.staged(_across(members.select("bucket", "node"), nearly, sets, percent), "more-links")
+    comp = cm.staged(components(links.unionByName(more)), "components")
 
     named = classes.select("node", "key", "rep_id").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = named.groupBy("comp").agg(F.min("rep_id").alias("component_id"))
