@@ -177,7 +177,7 @@ def windows_of(raws: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
     return out.reshape(-1, window), number
 
 
-def document_scores(model: BiGRU, texts: list[str], window: int, side_by_side: int = 2048) -> np.ndarray:
+def document_scores(model: BiGRU, texts: list[str], window: int, side_by_side: int = 512) -> np.ndarray:
     """Mean label probabilities of each text over all its bytes."""
     raws = [t.encode() for t in texts]
     rows, number = windows_of(raws, window)
@@ -204,7 +204,7 @@ def fit(labelled: DataFrame, docs_per_lang: int = 400, windows_per_doc: int = 4,
            .where(F.col("rank") <= docs_per_lang).drop("rank"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in cm.parts(batches, 1_000_000):
             found = []
             for doc_id, lang, text in zip(*(b.column(c).to_pylist() for c in ("doc_id", "lang", "text"))):
                 raw = text.encode()
@@ -237,11 +237,9 @@ def predict(docs: DataFrame, model: BiGRU | None, window: int = 128) -> DataFram
     held = docs.sparkSession.sparkContext.broadcast(model)      # a few thousand numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts, ids = cm.texts_of(b), b.column("doc_id")
-            for lo, hi in cm.chunks(texts, 1_000_000):
-                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), *_labelled(held.value, texts[lo:hi], window)],
-                                                 names=["doc_id", "lang_pred", "score"])
+        for b in cm.parts(batches, 1_000_000):
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *_labelled(held.value, cm.texts_of(b), window)],
+                                             names=["doc_id", "lang_pred", "score"])
     return (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
             .mapInArrow(run, "doc_id long, lang_pred string, score double"))
 
@@ -274,9 +272,7 @@ def drop_unidentified(docs: DataFrame) -> DataFrame:
     kept = [f for f in docs.schema.fieldNames()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts, at = cm.texts_of(b), []
-            for lo, hi in cm.chunks(texts, 1_000_000):
-                at += [x != UND for x in _labelled(held.value, texts[lo:hi], 128)[0].to_pylist()]
-            yield b.filter(pa.array(at, pa.bool_()))
+        for b in cm.parts(batches, 1_000_000):
+            lang = _labelled(held.value, cm.texts_of(b), 128)[0]
+            yield b.filter(pa.array([x != UND for x in lang.to_pylist()], pa.bool_()))
     return docs.select(*kept).mapInArrow(run, docs.schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import os
 import re
-from typing import Sequence
+from typing import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -79,6 +79,20 @@ def split_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
     return codes, number, words
 
 
+def parts(batches: Iterator[pa.RecordBatch], size: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """The rows in parts whose texts have about ``size`` bytes, a longer text in
+    a part with those before it. Arrow's unused memory is given back after each
+    part, so a worker holds one part's intermediates at a time."""
+    for b in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(), dtype=np.int64)
+        lo = 0
+        while lo < b.num_rows:
+            hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + size)) + 1
+            yield b.slice(lo, hi - lo)
+            lo = hi
+            pa.default_memory_pool().release_unused()
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The text column as Python strings, null as the empty text."""
     return [t or "" for t in batch.column(name).to_pylist()]
@@ -235,16 +249,3 @@ def encoder(path: str, offsets: bool = False) -> PieceEncoder:
     if (path, offsets) not in _ENCODERS:
         _ENCODERS[path, offsets] = PieceEncoder(path, offsets)
     return _ENCODERS[path, offsets]
-
-
-def chunks(texts: list[str], chars: int = 4_000_000) -> list[tuple[int, int]]:
-    """Ranges of consecutive texts with about ``chars`` characters each."""
-    out, lo, total = [], 0, 0
-    for k, t in enumerate(texts):
-        total += len(t)
-        if total >= chars:
-            out.append((lo, k + 1))
-            lo, total = k + 1, 0
-    if lo < len(texts):
-        out.append((lo, len(texts)))
-    return out

@@ -239,17 +239,14 @@ def write_tokens(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int
             return pa.RecordBatch.from_pylist([row], schema=pa.schema([
                 ("first_id", pa.int64()), ("first_hash", pa.int64()), ("part", pa.int32()), ("seq", pa.int32()),
                 ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64())]))
-        for b in batches:
-            texts, doc_ids, hashes = cm.texts_of(b), b.column("doc_id").to_pylist(), b.column("h").to_pylist()
-            for lo, hi in cm.chunks(texts, 6_000_000):
-                ids, sizes, _ = enc.batch(texts[lo:hi])
-                whole = np.full(len(ids) + len(sizes), end_id, np.int32)  # each document's own end
-                whole[np.arange(len(ids)) + np.repeat(np.arange(len(sizes)), sizes)] = ids
-                ids = whole
-                held.append((ids, sizes + 1, doc_ids[lo:hi], hashes[lo:hi]))
-                total += len(ids)
-                if total >= file_tokens:
-                    yield flush()
+        for b in cm.parts(batches, 6_000_000):
+            ids, sizes, _ = enc.batch(cm.texts_of(b))
+            whole = np.full(len(ids) + len(sizes), end_id, np.int32)  # each document's own end
+            whole[np.arange(len(ids)) + np.repeat(np.arange(len(sizes)), sizes)] = ids
+            held.append((whole, sizes + 1, b.column("doc_id").to_pylist(), b.column("h").to_pylist()))
+            total += len(whole)
+            if total >= file_tokens:
+                yield flush()
         if held:
             yield flush()
     rows.mapInArrow(write, MANIFEST).write.parquet(f"{out_dir}/manifest")

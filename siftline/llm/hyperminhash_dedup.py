@@ -132,15 +132,13 @@ def estimate(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _signatures(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts, ids = cm.texts_of(b), b.column("doc_id")
-            for lo, hi in cm.chunks(texts, 8_000_000):
-                sets = shingles(texts[lo:hi], words)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(lo, hi - lo), pa.array([len(s) for s, _ in sets], pa.int64()),
-                     pa.array([k for _, k in sets], pa.binary()),
-                     pa.array([sketch(s).tobytes() if k else None for s, k in sets], pa.binary())],
-                    names=["doc_id", "n_shingles", "key", "regs"])
+        for b in cm.parts(batches, 4_000_000):
+            sets = shingles(cm.texts_of(b), words)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array([len(s) for s, _ in sets], pa.int64()),
+                 pa.array([k for _, k in sets], pa.binary()),
+                 pa.array([sketch(s).tobytes() if k else None for s, k in sets], pa.binary())],
+                names=["doc_id", "n_shingles", "key", "regs"])
     return (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
             .mapInArrow(run, "doc_id long, n_shingles long, key binary, regs binary")
             .withColumn("row", F.monotonically_increasing_id()))
@@ -259,13 +257,12 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
         wanted, F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("key", "node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts, keys, nodes = cm.texts_of(b), b.column("key").to_pylist(), b.column("node").to_pylist()
-            for lo, hi in cm.chunks(texts, 8_000_000):
-                got = [(n, s.tobytes()) for n, k, (s, own) in zip(nodes[lo:hi], keys[lo:hi], shingles(texts[lo:hi], words))
-                       if own == k]  # rows of one id may have different texts
-                yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()),
-                                                  pa.array([g[1] for g in got], pa.binary())], names=["node", "set"])
+        for b in cm.parts(batches, 4_000_000):
+            got = [(n, s.tobytes()) for n, k, (s, own) in zip(b.column("node").to_pylist(), b.column("key").to_pylist(),
+                                                              shingles(cm.texts_of(b), words))
+                   if own == k]  # rows of one id may have different texts
+            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()),
+                                              pa.array([g[1] for g in got], pa.binary())], names=["node", "set"])
     return rows.mapInArrow(run, "node long, set binary")
 
 

@@ -230,18 +230,16 @@ def _chunks(docs: DataFrame, folder: str, chunk_chars: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = cm.file_store(folder)
         store.create_dir(path, recursive=True)
-        for b in batches:
-            texts, ids = cm.texts_of(b), b.column("doc_id").to_pylist()
+        for b in cm.parts(batches, chunk_chars):
             held = np.array(b.column("held").to_pylist(), bool)
-            for lo, hi in cm.chunks(texts, chunk_chars):
-                tokens, sizes, words = tokens_of(texts[lo:hi])
-                name = random.SystemRandom().getrandbits(62)        # new in each attempt
-                Chunk(ids[lo:hi], held[lo:hi], sizes, tokens).write(f"{folder}/{name}")
-                counts = np.bincount(tokens[np.repeat(~held[lo:hi], sizes)], minlength=len(words))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name], pa.int64()), pa.array([len(tokens)], pa.int64()),
-                     pa.array([words], pa.list_(pa.string())), pa.array([counts], pa.list_(pa.int64()))],
-                    names=["chunk", "n", "words", "counts"])
+            tokens, sizes, words = tokens_of(cm.texts_of(b))
+            name = random.SystemRandom().getrandbits(62)        # new in each attempt
+            Chunk(b.column("doc_id").to_pylist(), held, sizes, tokens).write(f"{folder}/{name}")
+            counts = np.bincount(tokens[np.repeat(~held, sizes)], minlength=len(words))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name], pa.int64()), pa.array([len(tokens)], pa.int64()),
+                 pa.array([words], pa.list_(pa.string())), pa.array([counts], pa.list_(pa.int64()))],
+                names=["chunk", "n", "words", "counts"])
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", held_out(F.col("doc_id")).alias("held"))
     return cm.staged(rows.mapInArrow(run, "chunk long, n long, words array<string>, counts array<long>"), "lm-chunks")
 

@@ -161,7 +161,7 @@ def find_leaks(docs: DataFrame, bench: DataFrame, min_match: int = 5, min_covera
         held = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in cm.parts(batches, 4_000_000):
                 found = [(doc_id, item_id, len(t), t[0][2], sum(x[2] for x in t), n, sum(x[2] for x in t) / n)
                          for doc_id, text in zip(b.column("doc_id").to_pylist(), cm.texts_of(b))
                          for item_id, t, n in held.value.search(text)
@@ -183,7 +183,7 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame, min_match: int = 5, min
         held = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in cm.parts(batches, 4_000_000):
                 clean = [not any(t and sum(x[2] for x in t) >= min_coverage * n for _, t, n in held.value.search(text))
                          for text in cm.texts_of(b)]
                 yield b.filter(pa.array(clean, pa.bool_()))

@@ -85,35 +85,34 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, rule: str = "most", spans
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = cm.encoder(tokenizer_path, offsets=True)
-        for b in batches:
+        for b in cm.parts(batches, 4_000_000):
             texts, ids = cm.texts_of(b), b.column("doc_id").to_pylist()
             given = b.column("spans").to_pylist() if spans else None
-            for lo, hi in cm.chunks(texts, 4_000_000):
-                _, sizes, offsets = enc.batch(texts[lo:hi])
-                upto = np.concatenate([[0], np.cumsum(sizes)])
-                parts = [[] for _ in range(6)]
-                for k in range(lo, hi):
-                    own = offsets[upto[k - lo]:upto[k - lo + 1]]
-                    if given is None:
-                        starts = line_starts(texts[k])
-                        ends = np.append(starts[1:], len(texts[k])) if len(starts) else starts
-                    else:
-                        starts = np.array([x["start"] for x in given[k] or []], np.int64)
-                        ends = np.array([x["end"] for x in given[k] or []], np.int64)
-                        if (ends < starts).any() or (starts[1:] < ends[:-1]).any():
-                            raise ValueError(f"sections of document {ids[k]} overlap or are not sorted")
-                    at, crossing = allot(own, starts, ends, rule)
-                    n = np.bincount(at + 1, minlength=len(starts) + 1)
-                    x = np.bincount(at[crossing] + 1, minlength=len(starts) + 1)
-                    skip = 0 if n[0] else 1  # the outside has a row only if it has tokens
-                    for p, v in zip(parts, (np.full(len(n) - skip, k), np.arange(-1 + skip, len(starts)),
-                                            np.append([-1] * (1 - skip), starts), np.append([-1] * (1 - skip), ends),
-                                            n[skip:], x[skip:])):
-                        p.append(v)
-                doc, sec, a, z, n, x = (np.concatenate(p) if p else np.zeros(0, np.int64) for p in parts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([ids[int(k)] for k in doc], pa.int64()), pa.array(sec.astype(np.int32)),
-                     pa.array(a.astype(np.int32)), pa.array(z.astype(np.int32)),
-                     pa.array(n.astype(np.int64)), pa.array(x.astype(np.int64))],
-                    names=["doc_id", "section", "char_start", "char_end", "n_tokens", "n_crossing"])
+            _, sizes, offsets = enc.batch(texts)
+            upto = np.concatenate([[0], np.cumsum(sizes)])
+            parts = [[] for _ in range(6)]
+            for k in range(len(texts)):
+                own = offsets[upto[k]:upto[k + 1]]
+                if given is None:
+                    starts = line_starts(texts[k])
+                    ends = np.append(starts[1:], len(texts[k])) if len(starts) else starts
+                else:
+                    starts = np.array([x["start"] for x in given[k] or []], np.int64)
+                    ends = np.array([x["end"] for x in given[k] or []], np.int64)
+                    if (ends < starts).any() or (starts[1:] < ends[:-1]).any():
+                        raise ValueError(f"sections of document {ids[k]} overlap or are not sorted")
+                at, crossing = allot(own, starts, ends, rule)
+                n = np.bincount(at + 1, minlength=len(starts) + 1)
+                x = np.bincount(at[crossing] + 1, minlength=len(starts) + 1)
+                skip = 0 if n[0] else 1  # the outside has a row only if it has tokens
+                for p, v in zip(parts, (np.full(len(n) - skip, k), np.arange(-1 + skip, len(starts)),
+                                        np.append([-1] * (1 - skip), starts), np.append([-1] * (1 - skip), ends),
+                                        n[skip:], x[skip:])):
+                    p.append(v)
+            doc, sec, a, z, n, x = (np.concatenate(p) if p else np.zeros(0, np.int64) for p in parts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([ids[int(k)] for k in doc], pa.int64()), pa.array(sec.astype(np.int32)),
+                 pa.array(a.astype(np.int32)), pa.array(z.astype(np.int32)),
+                 pa.array(n.astype(np.int64)), pa.array(x.astype(np.int64))],
+                names=["doc_id", "section", "char_start", "char_end", "n_tokens", "n_crossing"])
     return docs.select(*cols).mapInArrow(run, SCHEMA)

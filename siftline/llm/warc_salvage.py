@@ -109,7 +109,7 @@ def write_pages(pages: DataFrame, out_dir: str, file_bytes: int = 64 << 20, comp
             out = None
             return pa.RecordBatch.from_arrays([pa.array([f"{out_dir}/data/{name}"]), pa.array([n], pa.int64()),
                                                pa.array([size], pa.int64())], names=["path", "n_records", "n_bytes"])
-        for b in batches:
+        for b in cm.parts(batches, 4_000_000, "html"):
             for page_id, url, html, refers in zip(*(b.column(c).to_pylist()
                                                     for c in ("page_id", "url", "html", "refers_to"))):
                 payload = (html or "").encode()
