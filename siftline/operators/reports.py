@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..config import TIERS
 from ..functions.dates import digest_name, sweep_type_of, ts_text
 from ..functions.numbers import noise_pct
+from .ordering import positions
 
 
 def surfaced(scored: DataFrame, min_score: int = 3, tiers: Sequence[str] = TIERS) -> DataFrame:
@@ -31,18 +32,21 @@ def apply_budgets(surf: DataFrame, budgets: Mapping[str, int],
     a budget are unlimited; budgets for unknown tiers are ignored; 0 shows
     none. Adds ``rank`` (1-based).
 
-    When every tier has a budget the filter carries the largest budget as a
-    literal, so Spark plans a WindowGroupLimit that keeps at most that many
-    rows per (sweep, tier) on the map side, before the shuffle.
+    The filter on tiers with a budget carries the largest one as a literal, so
+    Spark plans a WindowGroupLimit that keeps at most that many rows per
+    (sweep, tier) on the map side, before the shuffle. Rows of other tiers are
+    all shown; they are ranked by blocks (``ordering.positions``), so that an
+    unlimited tier is not one task.
     """
+    limited = [t for t in TIERS if t in budgets]
     w = Window.partitionBy(*group, "tier").orderBy(order)
-    ranked = surf.withColumn("rank", F.row_number().over(w).cast("bigint"))
-    b = _budget_of(budgets)
-    cond = b.isNull() | (F.col("rank") <= b)
-    present = set(budgets)
-    if budgets and all(t in present for t in TIERS):
-        cond = (F.col("rank") <= F.lit(max(int(v) for v in budgets.values()))) & cond
-    return ranked.where(cond)
+    out = surf.where(F.col("tier").isin(limited)).withColumn("rank", F.row_number().over(w).cast("bigint"))
+    top = max((int(budgets[t]) for t in limited), default=0)
+    out = out.where((F.col("rank") <= F.lit(top)) & (F.col("rank") <= _budget_of(budgets)))
+    if len(limited) == len(TIERS):
+        return out
+    rest = positions(surf.where(~F.col("tier").isin(limited)), [*group, "tier"], [order], "rank")
+    return out.unionByName(rest.withColumn("rank", F.col("rank") + 1).select(*out.columns))
 
 
 def tier_counts(surf: DataFrame, shown: DataFrame, group: Sequence[str] = ("sweep_id",)) -> DataFrame:

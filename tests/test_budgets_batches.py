@@ -26,7 +26,7 @@ def test_default_surfacing_ignores_unknown_tier(spark):
 def test_batches_0_40_41(spark):
     for n, want in [(0, []), (40, [40]), (41, [40, 1])]:
         df = spark.range(n).select(F.lit(1).cast("long").alias("sweep_id"), F.col("id").alias("seq"))
-        b = sc.number_batches(df, 40, num_partitions=4)
+        b = sc.number_batches(df, 40)
         sizes = [r["count"] for r in b.groupBy("batch").count().orderBy("batch").collect()]
         assert sizes == want
         if n:
@@ -36,7 +36,7 @@ def test_batches_0_40_41(spark):
 def test_positions_across_partitions(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("sweep_id"), F.col("id").alias("seq"))
     from siftline.operators.ordering import positions
-    got = {(r.sweep_id, r.seq): r.rn for r in positions(df, ["sweep_id"], ["seq"], num_partitions=7).collect()}
+    got = {(r.sweep_id, r.seq): r.rn for r in positions(df, ["sweep_id"], ["seq"]).collect()}
     for s in range(3):
         seqs = sorted(q for (g, q) in got if g == s)
         assert [got[(s, q)] for q in seqs] == list(range(len(seqs)))
