@@ -74,6 +74,17 @@ def answered(prompts: DataFrame, store: LogStore, spark: SparkSession, sweep_ids
             .groupBy("sweep_id", "batch").agg(F.min("response").alias("response")))
 
 
+def counted(fetches: DataFrame, items: DataFrame) -> DataFrame:
+    """Fetch-log rows with the number of items of each successful fetch that
+    has none yet: the parsed items of its place in the arrival order."""
+    n = (items.where(F.col("source_type") == "rss")
+         .groupBy("sweep_id", F.shiftright("seq", 24).bitwiseAND(F.lit((1 << 32) - 1)).alias("_fetch"))
+         .agg(F.count(F.lit(1)).cast("int").alias("_n")).withColumnRenamed("sweep_id", "_sweep"))
+    return (fetches.join(n, (F.col("sweep_id") == F.col("_sweep")) & (F.col("seq") == F.col("_fetch"))
+                         & F.col("item_count").isNull(), "left")
+            .withColumn("item_count", F.coalesce("item_count", "_n", F.lit(0))).drop("_sweep", "_fetch", "_n"))
+
+
 def run_sweeps(spark: SparkSession, items: DataFrame, sweeps: DataFrame, cfg: CurationConfig,
                store: LogStore, scorer: sc.Scorer | None = None, fetches: DataFrame | None = None,
                system_prompt: str | None = None, digest_dir: str | None = None, mode: str = "full",
@@ -126,7 +137,7 @@ def run_sweeps(spark: SparkSession, items: DataFrame, sweeps: DataFrame, cfg: Cu
     # as-of state for the digests: the sweeps before these as one folded state, then a delta a sweep,
     # also of sweeps between these that other runs processed
     if fetches is not None:
-        log = store.replace(spark, fetches, "fetch_log", ids)
+        log = store.replace(spark, counted(fetches, items), "fetch_log", ids)
         store.replace(spark, fl.feed_health_delta(log, ("feed_id", "sweep_id")), "feed_delta", ids)
     feeds = store.read(spark, "feed_delta")
     store.replace(spark, fl.source_quality_counts(scored_items, ("source", "sweep_id")), "quality_delta", ids)
@@ -174,7 +185,9 @@ def items_from_raw(raw: DataFrame, cfg: CurationConfig, spark: SparkSession,
 
     Gating (S8) drops disabled and skipped sources; each registered source
     type goes through its parser (S1-S6, X1); failed fetches (``error`` set)
-    give no items; RSS fetches also give fetch-log rows (K2). ``hn_top``
+    give no items; RSS fetches also give fetch-log rows (K2), whose numbers of
+    items ``run_sweeps`` counts from the parsed items, so that no body is
+    parsed twice. ``hn_top``
     (sweep_id, rank, id) and ``hn_stories`` (sweep_id, id, body) carry the
     top-story list; it is gated like the source's payloads, in the sweeps that
     ``raw`` names.
@@ -205,7 +218,7 @@ def items_from_raw(raw: DataFrame, cfg: CurationConfig, spark: SparkSession,
             item_id(F.col("url")).alias("item_id"), "title", "url", "summary", "source", "domain", "published")
         items = part if items is None else items.unionByName(part)
     fetches = xf.fetch_log_rows(gated.where((F.col("source_type") == "rss") & (F.col("action") == "fetch")
-                                            & (F.col("fetch_seq") != CRASHED)))
+                                            & (F.col("fetch_seq") != CRASHED)), count=False)
     return items, fetches
 
 

@@ -141,18 +141,20 @@ def arxiv_items(raw: DataFrame, keep=("sweep_id", "fetch_seq", "domain")) -> Dat
         F.substring(F.coalesce(_first("_e.published"), F.lit("")), 1, 10).alias("published"))
 
 
-def fetch_log_rows(raw: DataFrame) -> DataFrame:
+def fetch_log_rows(raw: DataFrame, count: bool = True) -> DataFrame:
     """One fetch-log row per RSS fetch (K2): success with the number of
     items parsed (a malformed body is a success with 0), or the failure's
-    status code (0 for non-HTTP errors) and message."""
-    p = parse_feed_xml(raw)
+    status code (0 for non-HTTP errors) and message. Without ``count`` no body
+    is parsed and a success has no number yet; whoever parses the items adds
+    it."""
+    p = parse_feed_xml(raw) if count else raw
 
     def titled(arr) -> Column:
         return F.size(F.filter(F.coalesce(arr, F.array()),
                                lambda x: ustrip(F.coalesce(F.element_at(x["title"], 1), F.lit(""))) != ""))
-    n = (F.coalesce(F.when(F.col("_rss_ok"), titled(F.col("_doc.channel.item")) + titled(F.col("_doc.item"))),
-                    F.lit(0))
-         + F.coalesce(F.when(F.col("_atom_ok"), titled(F.col("_doc.entry"))), F.lit(0)))
+    n = F.lit(None).cast("int") if not count else (
+        F.coalesce(F.when(F.col("_rss_ok"), titled(F.col("_doc.channel.item")) + titled(F.col("_doc.item"))), F.lit(0))
+        + F.coalesce(F.when(F.col("_atom_ok"), titled(F.col("_doc.entry"))), F.lit(0)))
     ok = F.col("error").isNull()
     sweep = [F.col("sweep_id")] if "sweep_id" in raw.columns else []
     return p.select(
