@@ -199,9 +199,13 @@ def fit(labelled: DataFrame, docs_per_lang: int = 400, windows_per_doc: int = 4,
     """Train on a bounded sample of ``labelled`` (doc_id, text, lang); None if
     there is no labelled text."""
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = (rows.select("doc_id", "lang").distinct().withColumn("rank", rank)
-           .where(F.col("rank") <= docs_per_lang).drop("rank"))
+    ids = rows.select("doc_id", "lang").distinct().withColumn("key", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)))
+    # of a large language only ids with a small key can be among the first: three times as many as are wanted, about
+    sizes = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))       # a row a language, as the network has an output
+    few = ids.join(F.broadcast(sizes), "lang").where(
+        F.col("key") <= F.lit(float(1 << 40)) * (3 * docs_per_lang) / F.col("n"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("key", "doc_id"))
+    ids = few.withColumn("rank", rank).where(F.col("rank") <= docs_per_lang).select("doc_id", "lang")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in cm.parts(batches, 1_000_000):

@@ -151,7 +151,7 @@ def _blocks(bench: DataFrame, min_match: int, block_bytes: int) -> Iterator[Bloc
 
 
 def find_leaks(docs: DataFrame, bench: DataFrame, min_match: int = 5, min_coverage: float = 0.5,
-               block_bytes: int = 32 << 20) -> DataFrame:
+               block_bytes: int = 8 << 20) -> DataFrame:
     """A row for each document and benchmark item whose coverage is
     ``min_coverage`` or more."""
     spark = docs.sparkSession
@@ -176,7 +176,7 @@ def find_leaks(docs: DataFrame, bench: DataFrame, min_match: int = 5, min_covera
 
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame, min_match: int = 5, min_coverage: float = 0.5,
-                      block_bytes: int = 32 << 20) -> DataFrame:
+                      block_bytes: int = 8 << 20) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
     spark, schema = docs.sparkSession, docs.schema
     for block in _blocks(bench, min_match, block_bytes):
