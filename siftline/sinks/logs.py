@@ -3,8 +3,8 @@
 Every log is parquet partitioned by the sweep that wrote it. A run replaces
 the partitions of all its sweeps, also of those it has no rows for, so a rerun
 never appends twice and never leaves rows of an earlier run; a lost executor
-only reruns tasks of the write. Rows are staged first, so a run that breaks off
-between removing and writing is put right by the next. Tables (items, feed
+only reruns tasks of the write. A run that breaks off is put right by the next
+run of its sweeps. Tables (items, feed
 health, source quality, digests) are folds over these logs
 (``operators.folds``), kept as one delta a sweep: late and rerun sweeps count.
 """
@@ -98,16 +98,17 @@ class LogStore:
         """Make ``df`` the rows of ``sweeps`` in a log, and read them back:
         cuts lineage, and fixes what is not deterministic. The rows are dealt
         by sweep before they are written, a sweep to as many tasks as its size
-        asks for, so a partition gets few files."""
+        asks for, so a partition gets few files. Partitions that get rows are
+        overwritten when the job commits; those of the other sweeps, which
+        still have their old files then, are removed."""
         schema = SCHEMAS[name]
-        stage = f"{self.root.rstrip('/')}/_staged/{name}-{uuid.uuid4().hex[:12]}"
-        df.select(*_cols(schema)).hint("rebalance", "sweep_id").write.parquet(stage)
-        fs, old = self._partitions(spark, name, sweeps)
-        for path in old:
-            fs.delete(path, True)
-        (spark.read.schema(schema).parquet(stage).select(*_cols(schema)).write.mode("append")
-         .partitionBy(*PARTITIONS[name]).parquet(self.path(name)))
-        fs.delete(self._fs(spark, stage)[1], True)
+        fs, paths = self._partitions(spark, name, sweeps)
+        old = [(path, [f.getPath() for f in fs.listStatus(path)]) for path in paths]
+        (df.select(*_cols(schema)).hint("rebalance", "sweep_id").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS[name]).parquet(self.path(name)))
+        for path, files in old:
+            if not files or any(fs.exists(f) for f in files):
+                fs.delete(path, True)
         return self.read(spark, name, sweeps)
 
     def append(self, df: DataFrame, name: str) -> None:
