@@ -21,6 +21,7 @@ from ..operators import folds as fl
 from ..operators import reports as rp
 from ..operators import scoring as sc
 from ..operators import validate as val
+from ..session import scratch_path
 from ..sources import corpus, gating
 from ..sources import json_feeds as jf
 from ..sources import xml_feeds as xf
@@ -470,8 +471,12 @@ def q_digest_lines(spark, sf_dir):
     sick = dg.feed_health_asof(fl.feed_health_delta(log, ("feed_id", "sweep_id")), sweeps)
     report = val.report_from_items(fx.feed_item_rows(spark, sf_dir))
     warnings = val.quality_warnings(report, sweeps, [s.name for s in CFG.enabled_sources()])
+    # curated and scored once, as a run keeps it in its log; shown items and rates read that
+    path = scratch_path(spark, "digest-scored")
     scored = _scored(spark, sf_dir).select(
         "sweep_id", "seq", "item_id", "title", "url", "source", "domain", "score", "tier", "reason")
+    scored.write.parquet(path)
+    scored = spark.read.schema(scored.schema).parquet(path)
     shown = rp.apply_budgets(rp.surfaced(scored, CFG.min_score), CFG.budgets).select(
         "sweep_id", "tier", "rank", "title", "url", "source", "domain", "reason")
     quality = dg.source_quality_asof(fl.source_quality_counts(scored, ("source", "sweep_id")), sweeps)
@@ -490,7 +495,6 @@ def q_sweep_run_log(spark, sf_dir):
     12, sweep 6 (out of order) together with sweep 2 again, and a rerun of
     sweep 2 whose source then had nothing. With each row the number of items
     that its source has in the health panel."""
-    from ..session import scratch_path
     from ..sinks.logs import LogStore
     from .sweep_run import health_panels, run_sweeps
     root = scratch_path(spark, "sweep-run-log")
@@ -531,7 +535,6 @@ LANDING_SWEEPS = 10
 
 
 def _landed(spark, df: DataFrame, name: str):
-    from ..session import scratch_path
     from ..streaming import sweeps as sw
     root = scratch_path(spark, name)
     sw.land(df.withColumn("landing", F.floor(F.col("sweep_id") / LANDING_SWEEPS).cast("bigint")), f"{root}/landing",
