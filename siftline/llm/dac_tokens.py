@@ -7,21 +7,21 @@ directory (ones before each block of 512 bits) turns a token's place on one
 level into its place on the next. Any token is read by a few bit reads, with
 no block to decode.
 
-One file holds whole documents in ascending order::
+One segment holds whole documents in ascending order::
 
     magic "DACTOK1\\n" | header length u32 | header JSON | sections
     level k: chunks (width w, packed little-endian), bitmap, rank directory u32
     documents: ids i64, null flags u8, token starts u64 (n_docs + 1)
 
-The chunk widths of a file are those of the least total size, found from the
+The chunk widths of a segment are those of the least total size, found from the
 ids' bit lengths. The header names each section's place, so a reader opens any
 token with reads of a few bytes.
 
 Layout on Spark: documents are range-partitioned by id (one shuffle of the
-texts), each task writes files of about ``file_tokens`` tokens, and a manifest
-table names the files. A file's name is new in each task attempt, and only the
-manifest rows of committed tasks name files, so an attempt that was lost leaves
-at most a file nobody reads.
+texts), each task writes one file of segments of about ``segment_tokens`` tokens,
+and a manifest table names each segment's file and place in it. A file's name is
+new in each task attempt, and only the manifest rows of committed tasks name
+files, so an attempt that was lost leaves at most a file nobody reads.
 
 Defined cases: a null text is empty, and an empty document is its end id
 alone. Rows with a null id come first; rows of equal id are ordered by a hash
@@ -105,7 +105,7 @@ def unpack(raw: np.ndarray, count: int, width: int) -> np.ndarray:
 
 
 def to_bytes(doc_ids: list, starts: np.ndarray, ids: np.ndarray) -> bytes:
-    """One file's content. ``starts`` has one more entry than there are
+    """One segment's content. ``starts`` has one more entry than there are
     documents."""
     widths = chunk_widths(ids)
     parts, places, levels, at = [], {}, [], 0
@@ -136,16 +136,17 @@ def to_bytes(doc_ids: list, starts: np.ndarray, ids: np.ndarray) -> bytes:
 
 
 class DacFile:
-    """Reads one file through ``read_at(size, offset)`` of an open file."""
+    """Reads the segment at ``place`` through ``read_at(size, offset)`` of an
+    open file."""
 
-    def __init__(self, source):
+    def __init__(self, source, place: int = 0):
         self.source = source
-        head = bytes(source.read_at(12, 0))
+        head = bytes(source.read_at(12, place))
         if head[:8] != MAGIC:
             raise ValueError("not a DAC token file")
         size = int(np.frombuffer(head[8:], "<u4")[0])
-        self.head = json.loads(bytes(source.read_at(size, 12)))
-        self.base = 12 + size
+        self.head = json.loads(bytes(source.read_at(size, place + 12)))
+        self.base = place + 12 + size
         self.n_tokens, self.n_docs = self.head["n_tokens"], self.head["n_docs"]
 
     def _at(self, place: int, offset: int, size: int) -> np.ndarray:
@@ -166,7 +167,7 @@ class DacFile:
         return unpack(raw, hi - first, w)[lo - first:]
 
     def token(self, i: int) -> int:
-        """Token ``i`` of the file alone: one chunk read a level."""
+        """Token ``i`` of the segment alone: one chunk read a level."""
         if not 0 <= i < self.n_tokens:
             raise IndexError(i)
         value, shift = 0, 0
@@ -206,11 +207,11 @@ class DacFile:
 
 # ------------------------------------------------------------------- on Spark
 
-MANIFEST = ("first_id long, first_hash long, part int, seq int, path string, n_docs long, n_tokens long, n_bytes long")
+MANIFEST = "part int, seq int, path string, place long, n_docs long, n_tokens long, n_bytes long"
 
 
 def write_tokens(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int = 0,
-                 file_tokens: int = 3_000_000) -> DataFrame:
+                 segment_tokens: int = 3_000_000) -> DataFrame:
     """Encode ``text`` of all ``docs`` and write the files and the manifest
     under ``out_dir``, a folder all executors share; returns the manifest."""
     spark = docs.sparkSession
@@ -222,33 +223,33 @@ def write_tokens(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, (store, folder) = cm.encoder(tokenizer_path), cm.file_store(f"{out_dir}/data")
         store.create_dir(folder, recursive=True)
-        part, seq = TaskContext.get().partitionId(), 0
-        held, total = [], 0  # (ids, sizes, doc ids, hashes) of the file at hand
+        part, seq, place, name, out = TaskContext.get().partitionId(), 0, 0, f"{uuid.uuid4().hex}.dac", None
+        held, total = [], 0  # (ids, sizes, doc ids) of the segment at hand
 
         def flush() -> pa.RecordBatch:
-            nonlocal held, total, seq
+            nonlocal held, total, seq, place, out
             ids = np.concatenate([h[0] for h in held])
             starts = np.concatenate([[0], np.cumsum(np.concatenate([h[1] for h in held]))])
-            docs_in = [d for h in held for d in h[2]]
-            raw, name = to_bytes(docs_in, starts, ids), f"{uuid.uuid4().hex}.dac"
-            with store.open_output_stream(f"{folder}/{name}") as f:
-                f.write(raw)
-            row = {"first_id": docs_in[0], "first_hash": held[0][3][0], "part": part, "seq": seq,
-                   "path": f"{out_dir}/data/{name}", "n_docs": len(docs_in), "n_tokens": len(ids), "n_bytes": len(raw)}
-            held, total, seq = [], 0, seq + 1
-            return pa.RecordBatch.from_pylist([row], schema=pa.schema([
-                ("first_id", pa.int64()), ("first_hash", pa.int64()), ("part", pa.int32()), ("seq", pa.int32()),
-                ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64())]))
+            raw = to_bytes([d for h in held for d in h[2]], starts, ids)
+            out = out or store.open_output_stream(f"{folder}/{name}")
+            out.write(raw)
+            row = [part, seq, f"{out_dir}/data/{name}", place, len(starts) - 1, len(ids), len(raw)]
+            held, total, seq, place = [], 0, seq + 1, place + len(raw)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([v], k) for v, k in zip(row, (pa.int32(), pa.int32(), pa.string(), *[pa.int64()] * 4))],
+                names=["part", "seq", "path", "place", "n_docs", "n_tokens", "n_bytes"])
         for b in cm.parts(batches, 6_000_000):
             ids, sizes, _ = enc.batch(cm.texts_of(b))
             whole = np.full(len(ids) + len(sizes), end_id, np.int32)  # each document's own end
             whole[np.arange(len(ids)) + np.repeat(np.arange(len(sizes)), sizes)] = ids
-            held.append((whole, sizes + 1, b.column("doc_id").to_pylist(), b.column("h").to_pylist()))
+            held.append((whole, sizes + 1, b.column("doc_id").to_pylist()))
             total += len(whole)
-            if total >= file_tokens:
+            if total >= segment_tokens:
                 yield flush()
         if held:
             yield flush()
+        if out is not None:
+            out.close()
     rows.mapInArrow(write, MANIFEST).write.parquet(f"{out_dir}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{out_dir}/manifest")
 
@@ -256,19 +257,22 @@ def write_tokens(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int
 def read_tokens(manifest: DataFrame, slice_tokens: int = 1_000_000) -> DataFrame:
     """Per document of the files: doc_id, start, n_tokens, ids_crc32.
 
-    The number of ids before each file is a running sum over the manifest,
-    which has one row a file (millions of tokens)."""
-    before = Window.orderBy(F.col("first_id").asc_nulls_first(), "first_hash", "part", "seq").rowsBetween(
-        Window.unboundedPreceding, -1)
-    files = manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0))).select("path", "base")
+    The ids before a segment are those of lower tasks, a running sum with a row
+    a task, and those of its task's earlier segments."""
+    lower = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = manifest.groupBy("part").agg(F.sum("n_tokens").alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(lower), F.lit(0)).alias("before"))
+    segments = (manifest.withColumn("own", F.coalesce(F.sum("n_tokens").over(earlier), F.lit(0))).join(tasks, "part")
+                .select("path", "place", (F.col("before") + F.col("own")).alias("base")))
     n = max(1, manifest.count())
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for path, base in zip(b.column("path").to_pylist(), b.column("base").to_pylist()):
+            for path, place, base in zip(*(b.column(c).to_pylist() for c in ("path", "place", "base"))):
                 store, name = cm.file_store(path)
                 with store.open_input_file(name) as source:
-                    f = DacFile(source)
+                    f = DacFile(source, place)
                     doc_ids, starts = f.documents()
                     crcs = np.zeros(f.n_docs, np.int64)
                     d = 0
@@ -284,7 +288,7 @@ def read_tokens(manifest: DataFrame, slice_tokens: int = 1_000_000) -> DataFrame
                     [pa.array(doc_ids, pa.int64()), pa.array(starts[:-1] + base, pa.int64()),
                      pa.array(np.diff(starts), pa.int64()), pa.array(crcs, pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"])
-    return files.repartition(min(n, 20_000)).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return segments.repartition(min(n, 20_000)).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 0) -> DataFrame:
