@@ -25,7 +25,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     it back: a lineage cut that survives the loss of any executor."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

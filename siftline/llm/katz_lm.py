@@ -246,11 +246,11 @@ def _chunks(docs: DataFrame, folder: str, chunk_chars: int) -> DataFrame:
 
 def _vocabulary(words: DataFrame) -> tuple[DataFrame, Unigrams]:
     """(word, id) of all training words, and their counts by id."""
-    counted = cm.staged(words.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0"), "lm-counts")
-    classes = counted.groupBy("c").agg(F.count(F.lit(1)).alias("m")).collect()      # at most sqrt(2 N) rows
+    counted = words.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0")
     ordered = cm.staged(counted.repartitionByRange(F.desc("c"), F.xxhash64("word"))
                         .sortWithinPartitions(F.desc("c"), F.xxhash64("word"))
-                        .withColumn("at", F.monotonically_increasing_id()), "lm-ordered")
+                        .withColumn("at", F.monotonically_increasing_id()), "lm-vocabulary")
+    classes = ordered.groupBy("c").agg(F.count(F.lit(1)).alias("m")).collect()      # at most sqrt(2 N) rows
     part = F.shiftright("at", 33)
     sizes = sorted((r.part, r.n) for r in ordered.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
     before, rows = 0, []
