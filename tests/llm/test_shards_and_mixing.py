@@ -65,8 +65,7 @@ def test_shard_edge_cases(spark, edge_docs, no_docs):
 
 def test_size_classes_are_few(spark):
     sizes = spark.range(1, 2_000_000).select(F.col("id").alias("s")).unionByName(
-        spark.range(0, 50).select(F.shiftleft(F.lit(1).cast("long"), F.col("id").cast("int")).alias("s"))
-        if False else spark.range(0, 50).select(F.pow(F.lit(2.0), F.col("id")).cast("long").alias("s")))
+        spark.range(0, 50).select(F.pow(F.lit(2.0), F.col("id")).cast("long").alias("s")))
     worst = sizes.withColumn("c", lpt.size_class(F.col("s"))).select(
         F.max((F.col("s") - F.col("c")) / F.col("s")).alias("w"), F.min(F.col("s") - F.col("c")).alias("low"),
         F.max(F.when(F.col("s") < 4096, F.col("s") - F.col("c"))).alias("exact")).first()
