@@ -140,8 +140,9 @@ def posteriors(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 14, label
 
 
 def fit_rates(members: DataFrame, targets: dict[str, float], ridge: float = 1e-3, tolerance: float = 1e-4,
-              rounds: int = 100, stage_every: int = 10) -> DataFrame:
-    """``members`` (n_tokens, p_*; and others) with the column ``rate``."""
+              rounds: int = 100, stage_every: int = 10, trace: list | None = None) -> DataFrame:
+    """``members`` (n_tokens, p_*; and others) with the column ``rate``. Each
+    round's domain totals, as shares of all tokens, are added to ``trace``."""
     p = [F.col(f"p_{d}") for d in DOMAINS]
     share = F.col("n_tokens")
     first = members.agg(F.sum(share).alias("n"), *[F.sum(share * x).alias(f"t{k}") for k, x in enumerate(p)]).first()
@@ -157,6 +158,8 @@ def fit_rates(members: DataFrame, targets: dict[str, float], ridge: float = 1e-3
     for k in range(1, rounds + 1):
         got = rows.agg(*sums).first()
         off = [float(got[i]) / tokens - w for i, w in enumerate(want)]
+        if trace is not None:
+            trace.append([o + w for o, w in zip(off, want)])
         if max(map(abs, off)) < tolerance:
             break
         pull = [F.lit(step * o / h) * x for o, h, x in zip(off, have, p)]
@@ -168,16 +171,17 @@ def fit_rates(members: DataFrame, targets: dict[str, float], ridge: float = 1e-3
     return rows
 
 
-#: shares of the corpus's tokens; within what posteriors that stay soft can reach
-TARGETS = {"high": 0.76, "low": 0.14, "toxic": 0.10}
+#: shares of the corpus's tokens; where soft posteriors cannot reach them, rates give the nearest totals
+TARGETS = {"high": 0.77, "low": 0.18, "toxic": 0.05}
 
 
-def mix_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
+def mix_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS,
+              trace: list | None = None) -> DataFrame:
     """doc_id, h (hash of the text), n_tokens, p_high, p_low, p_toxic, rate and
     copies, the whole number of copies a document gets: its rate, rounded up or
     down by a hash of its id so that the rates hold on average."""
     members = cm.staged(posteriors(docs, labels), "mix-posteriors")
-    rows = fit_rates(members, targets)
+    rows = fit_rates(members, targets, trace=trace)
     chance = F.pmod(F.xxhash64("doc_id", "h"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     whole = F.floor("rate")
     return rows.withColumn("copies", (whole + (chance < F.col("rate") - whole).cast("int")).cast("int"))

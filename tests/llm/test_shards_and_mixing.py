@@ -145,6 +145,16 @@ def test_mixing_changes_how_often_documents_occur(labelled):
     assert of[0] > 1.5 and of[2] < 0.5
 
 
+def test_the_registered_targets_are_asked_for_and_reached(labelled):
+    docs, labels = labelled
+    trace = []
+    rows = mx.mix_rates(docs, labels, trace=trace).collect()
+    n = sum(r.n_tokens for r in rows)
+    totals = [sum(r.n_tokens * r.rate * r[f"p_{d}"] for r in rows) / n for d in mx.DOMAINS]
+    assert np.abs(np.array(totals) - [0.77, 0.18, 0.05]).max() < 0.01
+    assert 1 < len(trace) <= 100
+
+
 def test_mixing_edge_cases(spark, edge_docs, no_docs):
     labels = spark.createDataFrame([(0, None, None), (0, 1, 1), (None, 1, 0), (1, 1, 0), (99, 0, 1), (2, 0, None)],
                                    "doc_id long, quality int, toxic int")
