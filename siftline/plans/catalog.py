@@ -510,6 +510,31 @@ def q_sweep_run_log(spark, sf_dir):
         "sweep_id", "seq", "item_id", "source", "score", "tier", "reason", "total_scored")
 
 
+#: sweeps that run again, early and late ones of both parities
+RUN_AGAIN = (5, 6, 9, 10, 11)
+
+
+@query("sweep_run_log_all")
+def q_sweep_run_log_all(spark, sf_dir):
+    """The score log after all sweeps went through four runs against one store:
+    the odd sweeps, the even ones (out of order), ``RUN_AGAIN`` again, and a
+    rerun of sweep 2 without the rows of the source ``click``. With each row the
+    number of items that its source has in the health panel."""
+    from ..sinks.logs import LogStore
+    from .sweep_run import health_panels, run_sweeps
+    root = scratch_path(spark, "sweep-run-log-all")
+    store = LogStore(f"{root}/logs")
+    items, sweeps = fx.feed_item_rows(spark, sf_dir), _sweep_table(spark, sf_dir)
+    odd = F.col("sweep_id") % 2 == 1
+    for chosen, gone in ((odd, None), (~odd, None), (F.col("sweep_id").isin(*RUN_AGAIN), None),
+                         (F.col("sweep_id") == 2, F.col("source") == "click")):
+        run_sweeps(spark, items.where(chosen if gone is None else chosen & ~gone), sweeps.where(chosen), CFG, store,
+                   scorer=sc.keyword_scorer(RUN_KEYWORDS, RUN_STRONG), digest_dir=f"{root}/digests")
+    panel = health_panels(spark, store)["source_quality"].select("source", "total_scored")
+    return store.read(spark, "score_log").join(panel, "source").select(
+        "sweep_id", "seq", "item_id", "source", "score", "tier", "reason", "total_scored")
+
+
 @query("raw_sweep_items")
 def q_raw_sweep_items(spark, sf_dir):
     """Items of landed payloads of three source types, in full and light

@@ -674,6 +674,53 @@ SELECT sweep_id, seq, item_id, source, score,
        CAST(count(*) OVER (PARTITION BY source) AS bigint) AS total_scored
 FROM scored""")
 
+# the store knows an item by the first sweep of the run that met it first; runs: odd, even, again, sweep 2 without a source
+ORACLE["sweep_run_log_all"] = _with(CHECKED + """,
+noise AS (
+  SELECT *, sweep_id IN (5, 6, 9, 10, 11) AS again FROM dd
+  WHERE NOT (contains(lower(url), 'spam-farm') OR contains(lower(url), 'cheap-pills'))
+    AND NOT regexp_matches(lower(title || ' ' || summary), '(license)|(tion.*sch)', 'i')
+),
+odd AS (SELECT item_id, min(sweep_ts) AS f, min(sweep_id) AS s FROM noise WHERE sweep_id % 2 = 1 GROUP BY item_id),
+even AS (SELECT item_id, min(sweep_ts) AS f, min(sweep_id) AS s FROM noise WHERE sweep_id % 2 = 0 GROUP BY item_id),
+met AS (
+  SELECT * FROM odd UNION ALL SELECT * FROM even WHERE item_id NOT IN (SELECT item_id FROM odd)
+),
+stayed AS (SELECT * FROM met WHERE s NOT IN (5, 6, 9, 10, 11)),
+anew AS (SELECT item_id, min(sweep_ts) AS f, min(sweep_id) AS s FROM noise WHERE again GROUP BY item_id),
+last_met AS (
+  SELECT * FROM stayed UNION ALL SELECT * FROM anew WHERE item_id NOT IN (SELECT item_id FROM stayed)
+),
+known AS (
+  SELECT n.*, CASE WHEN again THEN least(a.f, COALESCE(st.f, a.f))
+                   WHEN n.sweep_id = 2 THEN least(n.sweep_ts, COALESCE(l.f, n.sweep_ts))
+                   WHEN n.sweep_id % 2 = 1 THEN o.f ELSE least(e.f, COALESCE(o.f, e.f)) END AS first_seen
+  FROM noise n
+  LEFT JOIN odd o ON o.item_id = n.item_id
+  LEFT JOIN even e ON e.item_id = n.item_id
+  LEFT JOIN anew a ON a.item_id = n.item_id
+  LEFT JOIN stayed st ON st.item_id = n.item_id
+  LEFT JOIN last_met l ON l.item_id = n.item_id AND l.s <> 2
+  WHERE NOT (n.sweep_id = 2 AND n.source = 'click')
+),
+kept AS (
+  SELECT * FROM known WHERE sweep_ts = first_seen OR first_seen <= sweep_ts - INTERVAL 48 HOURS
+),
+marked AS (
+  SELECT *, '[ai_research] ' || title || ' | ' || substring(summary, 1, 200) AS line FROM kept
+),
+scored AS (
+  SELECT sweep_id, seq, item_id, source,
+         CAST(CASE WHEN contains(lower(line), 'user 1') THEN 4
+                   WHEN contains(lower(line), 'purchase') OR contains(lower(line), 'signup') THEN 3 ELSE 1 END AS bigint) AS score
+  FROM marked
+)""", """
+SELECT sweep_id, seq, item_id, source, score,
+       CASE score WHEN 4 THEN 'ORANGE' WHEN 3 THEN 'YELLOW' ELSE 'GREY' END AS tier,
+       CASE WHEN score > 1 THEN 'keyword match' ELSE 'no match' END AS reason,
+       CAST(count(*) OVER (PARTITION BY source) AS bigint) AS total_scored
+FROM scored""")
+
 ORACLE["raw_sweep_items"] = _with(HN + ",\n" + PAGE_ITEMS.strip() + """,
 kinds AS (SELECT DISTINCT sweep_id, hour(sweep_ts) < 10 AS is_full FROM fi),
 seen_hits AS (SELECT h.* FROM hits h JOIN kinds k USING (sweep_id) WHERE k.is_full),

@@ -47,6 +47,11 @@ def test_query_matches_oracle(spark, duck, name):
     assert got == want
 
 
+def test_all_sweeps_pass_through_the_runner(duck):
+    sweeps = {r[0] for r in duck.execute(f"SELECT DISTINCT sweep_id FROM ({se.oracle_sql()['sweep_run_log_all']})").fetchall()}
+    assert sweeps == set(range(1, 31)) - {9}           # sweep 9 has no valid item
+
+
 def test_entry_smoke(spark):
     df = se.entry(spark)
     assert df.count() >= 0
