@@ -108,7 +108,9 @@ class PieceEncoder:
     keeping its leading space or break) in order, and repeated pieces are
     looked up instead of encoded again: Arrow cuts the texts and finds the
     distinct pieces of a batch. A text with other white space is encoded as a
-    whole. ``tests/llm`` holds this against encoding whole texts. New pieces
+    whole, and so is one that holds an added token, unless ``special_as_text``
+    has the library encode special tokens like other text. ``tests/llm`` holds
+    this against encoding whole texts. New pieces
     are encoded many to a string and fall apart again by the byte lengths of
     their tokens. Beyond ``max_pieces``, pieces used once are forgotten, or all
     if too many are left.
@@ -116,11 +118,12 @@ class PieceEncoder:
 
     _HEAD = "\0"      # marks a text's first piece, which has nothing before it
 
-    def __init__(self, path: str, offsets: bool = False, max_pieces: int = 1_200_000):
+    def __init__(self, path: str, offsets: bool = False, max_pieces: int = 1_200_000, special_as_text: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = special_as_text
+        self.added = [] if special_as_text else [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.offsets, self.max_pieces = offsets, max_pieces
         size = max(self.tok.get_vocab(with_added_tokens=True).values()) + 1
         # a byte-level token's string has one character for each byte
@@ -153,6 +156,8 @@ class PieceEncoder:
         inner = piece[1:] if head or piece[:1] == "\n" else piece
         if inner[-1:].isspace() or not head and (not inner or inner[0].isspace()):
             return None
+        if any(t in piece for t in self.added):
+            return None
         return inner if head else piece if piece[0] == "\n" else " " + piece
 
     def _learn(self, texts: list[str], joined: bool) -> int:
@@ -245,7 +250,8 @@ _ENCODERS: dict[tuple, PieceEncoder] = {}
 
 
 def encoder(path: str, offsets: bool = False) -> PieceEncoder:
-    """One encoder a worker process, so later tasks find its pieces."""
+    """One encoder a worker process, so later tasks find its pieces. Added
+    tokens get their own ids, as the library gives them by default."""
     if (path, offsets) not in _ENCODERS:
-        _ENCODERS[path, offsets] = PieceEncoder(path, offsets)
+        _ENCODERS[path, offsets] = PieceEncoder(path, offsets, special_as_text=False)
     return _ENCODERS[path, offsets]

@@ -44,6 +44,33 @@ def test_pieces_equal_whole_texts(tok, offsets):
             at += n
 
 
+@pytest.mark.parametrize("offsets", [False, True])
+def test_the_operators_encoder_equals_an_untouched_tokenizer(offsets):
+    plain, enc = Tokenizer.from_file(PATH), cm.encoder(PATH, offsets)
+    texts = ["end of a file.<|endoftext|> next", "<|endoftext|>", "a <|endoftext|>\nb<|endoftext|><|endoftext|> c", *odd_texts()]
+    assert 50256 in plain.encode(texts[0], add_special_tokens=False).ids
+    for lo in range(0, len(texts), 200):
+        part, at = texts[lo:lo + 200], 0
+        ids, sizes, spans = enc.batch(part)
+        for n, want in zip(sizes, plain.encode_batch(part, add_special_tokens=False)):
+            assert ids[at:at + n].tolist() == want.ids
+            if offsets:
+                assert [tuple(s) for s in spans[at:at + n].tolist()] == want.offsets
+            at += n
+
+
+def test_files_and_counts_of_texts_with_an_added_token(spark):
+    plain, rows = Tokenizer.from_file(PATH), [(1, "end of a file.<|endoftext|> next"), (2, "one two"), (3, "x<|endoftext|>")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want, start = [], 0
+    for i, t in rows:
+        e = plain.encode(t, add_special_tokens=False).ids
+        want.append((i, start, len(e) + 1, digest(e)))
+        start += len(e) + 1
+    assert sorted(tuple(r) for r in dac.encode_documents(df, PATH).collect()) == want
+    assert {r.doc_id: r.n_tokens for r in ta.count_tokens(df, PATH).collect()} == {i: n - 1 for i, _, n, _ in want}
+
+
 @pytest.mark.parametrize("width", [1, 3, 8, 9, 13, 16, 17, 25, 32])
 @pytest.mark.parametrize("n", [0, 1, 7, 8, 9, 1000])
 def test_packing_round_trip(width, n):
