@@ -135,12 +135,12 @@ def _signatures(docs: DataFrame, words: int) -> DataFrame:
         for b in cm.parts(batches, 4_000_000):
             sets = shingles(cm.texts_of(b), words)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(s) for s, _ in sets], pa.int64()),
+                [b.column("doc_id"), b.column("h"), pa.array([len(s) for s, _ in sets], pa.int64()),
                  pa.array([k for _, k in sets], pa.binary()),
                  pa.array([sketch(s).tobytes() if k else None for s, k in sets], pa.binary())],
-                names=["doc_id", "n_shingles", "key", "regs"])
-    return (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-            .mapInArrow(run, "doc_id long, n_shingles long, key binary, regs binary")
+                names=["doc_id", "h", "n_shingles", "key", "regs"])
+    return (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
+            .mapInArrow(run, "doc_id long, h long, n_shingles long, key binary, regs binary")
             .withColumn("row", F.monotonically_increasing_id()))
 
 
@@ -299,6 +299,11 @@ def _digest(edges: DataFrame) -> tuple:
 def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id, kept. Documents
     are linked where 100 * intersection >= ``percent`` * union."""
+    return _hashed(docs, percent, words).drop("h")
+
+
+def _hashed(docs: DataFrame, percent: int, words: int) -> DataFrame:
+    """``near_duplicates`` with the hash ``h`` of each row's text."""
     rows = cm.staged(_signatures(docs, words), "sketches")
     own = rows.where(F.col("key").isNotNull())
     reps = cm.staged(own.groupBy("key").agg(F.min("doc_id").alias("rep_id"), F.min("row").alias("row")), "classes")
@@ -326,8 +331,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5) -> DataF
     named = classes.select("node", "key", "rep_id").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = named.groupBy("comp").agg(F.min("rep_id").alias("component_id"))
     of_class = cm.staged(named.join(least, "comp").select("key", "component_id"), "class-components")
-    out = rows.select("doc_id", "n_shingles", "key").join(of_class, "key", "left")
-    return out.select("doc_id", "n_shingles",
+    out = rows.select("doc_id", "h", "n_shingles", "key").join(of_class, "key", "left")
+    return out.select("doc_id", "h", "n_shingles",
                       F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
                       ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
@@ -340,6 +345,10 @@ def _repeats(rows: DataFrame) -> bool:
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame:
-    """``docs`` with one document (the smallest doc_id) of each group."""
-    gone = near_duplicates(docs, percent, words).where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` with one document (the smallest doc_id) of each group. A row
+    goes by its id and text: rows of one id may have texts of several groups,
+    and a row with a null id goes where a document with an id is kept."""
+    gone = _hashed(docs, percent, words).where(~F.col("kept")).select(
+        F.col("doc_id").alias("_gone_id"), F.col("h").alias("_gone_h")).distinct()
+    return docs.join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_gone_id"))
+                     & (F.xxhash64("text") == F.col("_gone_h")), "left_anti").select(*docs.columns)

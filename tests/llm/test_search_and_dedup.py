@@ -223,3 +223,11 @@ def test_sketches_estimate_similarity():
 def test_bands_lose_almost_nothing(t):
     r = hm.bands(t)
     assert (1 - t ** r) ** (hm.BUCKETS // r) <= 1e-4
+
+
+def test_rows_are_dropped_by_id_and_text(spark):
+    one, two = (" ".join(f"{w}{k}" for k in range(60)) for w in ("a", "b"))
+    rows = [(3, two), (5, one), (5, two), (6, one), (None, one), (None, "alone in its group it is"), (7, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {tuple(r) for r in hm.drop_near_duplicates(df).collect()}
+    assert got == {(3, two), (5, one), (None, "alone in its group it is"), (7, None)}
