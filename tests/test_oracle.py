@@ -10,7 +10,7 @@ from siftline.plans.catalog import QUERIES
 from siftline.plans.fixtures import TABLES
 from siftline.plans.oracle import ORACLE
 
-from conftest import SMOKE
+from fixture_paths import SMOKE
 
 
 def _rows(records, cols):

@@ -8,7 +8,7 @@ from siftline.operators import folds as fl
 from siftline.operators import validate as val
 from siftline.plans import fixtures as fx
 
-from conftest import SMOKE
+from fixture_paths import SMOKE
 
 
 def _variants(df):

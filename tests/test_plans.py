@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as se
 from siftline.plans.catalog import QUERIES
 
-from conftest import SMOKE
+from fixture_paths import SMOKE
 
 STREAMS = {"stream_equals_batch", "stream_dedup", "stream_feed_health", "stream_source_quality"}
 

@@ -20,7 +20,7 @@ from siftline.plans.sweep_run import RAW_FETCH, arrival_seq, crashes_from_raw, h
 from siftline.sinks.logs import LogStore
 from siftline.streaming import sweeps as sw
 
-from conftest import SMOKE
+from fixture_paths import SMOKE
 
 
 def _sweeps(items):
