@@ -5,7 +5,8 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-SMALL = "/root/testdata/sf0.001"
+from llm_paths import SMALL  # noqa: E402
+
 #: extra columns whose names the operators use for their own
 DOCS = "doc_id long, text string, lang string, source string, h long, key string, row int, rank int, shard int, node int"
 

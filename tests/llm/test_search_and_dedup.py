@@ -8,7 +8,7 @@ import pytest
 from siftline.llm import hnsw_search as hn
 from siftline.llm import hyperminhash_dedup as hm
 from siftline.llm import string_tiling as st
-from conftest import SMALL
+from llm_paths import SMALL
 
 
 # -------------------------------------------------------------------- neighbours

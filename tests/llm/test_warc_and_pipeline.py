@@ -12,7 +12,7 @@ import pytest
 
 import __spark_entry__ as se
 import corpus_pipeline as cp
-from conftest import SMALL
+from llm_paths import SMALL
 from siftline.llm import warc_salvage as ws
 
 
