@@ -12,6 +12,7 @@ from .hnsw_search import nearest_of_every
 from .hyperminhash_dedup import near_duplicates
 from .katz_lm import score
 from .lpt_shards import shard_by_size
+from .phrase_streams import mine_phrases
 from .soft_mixing import mix_rates
 from .string_tiling import find_leaks
 from .token_attribution import count_tokens
@@ -61,8 +62,12 @@ def op10_warc_salvage(spark, sf_dir):
     return archive_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_phrase_streams(spark, sf_dir):
+    return mine_phrases(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_dac_tokens, op2_token_attribution, op3_lpt_shards, op4_katz_lm, op5_hnsw, op6_string_tiling,
-                                   op7_hyperminhash, op8_bigru_langid, op9_soft_mixing, op10_warc_salvage)}
+                                   op7_hyperminhash, op8_bigru_langid, op9_soft_mixing, op10_warc_salvage, op11_phrase_streams)}
 
 ORACLE: dict[str, str] = {}
 
@@ -103,3 +108,46 @@ SELECT page_id, CAST(octet_length(encode(html)) AS bigint) AS payload_bytes, pay
        CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM d"""
+
+
+ORACLE["op11_phrase_streams"] = r"""
+WITH p AS (
+  SELECT COALESCE(lang, 'und') AS lang, unnest(regexp_split_to_array(
+           translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+q AS (SELECT lang, row_number() OVER () AS piece_id, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+w AS (SELECT lang, piece_id, unnest(ws) AS w1, generate_subscripts(ws, 1) AS i FROM q),
+t AS (
+  SELECT lang, w1, lead(w1, 1) OVER (PARTITION BY piece_id ORDER BY i) AS w2,
+         lead(w1, 2) OVER (PARTITION BY piece_id ORDER BY i) AS w3 FROM w
+),
+g AS (
+  SELECT lang, 1 AS k, w1 AS phrase FROM t
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM t WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM t WHERE w3 IS NOT NULL
+),
+f AS MATERIALIZED (SELECT lang, k, phrase, lang || chr(10) || phrase AS key, count(*) AS f FROM g GROUP BY lang, k, phrase),
+n AS (SELECT lang, CAST(sum(f) AS bigint) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2 AND f >= 10),
+cuts AS MATERIALIZED (
+  SELECT lang, phrase, a, cut, lang || chr(10) || array_to_string(ws[1:cut], ' ') AS first_key,
+         lang || chr(10) || array_to_string(ws[cut + 1:], ' ') AS rest_key
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)
+),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, cuts.a, cut, x.f AS l, y.f AS r,
+         CAST((CAST(1000000 AS hugeint) * a * a) // (CAST(x.f AS hugeint) * y.f) AS bigint) AS score
+  FROM cuts JOIN f x ON x.key = first_key JOIN f y ON y.key = rest_key
+),
+least AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+wide AS (
+  SELECT lang, part, max(a) AS wider FROM (
+    SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS part FROM c WHERE k = 3)
+  GROUP BY lang, part
+)
+SELECT least.lang, row_number() OVER (PARTITION BY least.lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM least JOIN n ON n.lang = least.lang LEFT JOIN wide ON wide.lang = least.lang AND part = phrase
+WHERE COALESCE(100 * wider < 50 * a, true)
+QUALIFY rank <= 2000"""
