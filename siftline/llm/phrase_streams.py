@@ -2,9 +2,12 @@
 suffix order, merged in lockstep.
 
 A phrase is a run of words of one piece of a text. Tasks count the phrases of up
-to ``max_words`` words in blocks of text by sorting their codes, and one
-aggregation adds the blocks up. The counts of at least ``min_count`` are then a
-stream of rows (lang, words, f) that is laid out twice:
+to ``max_words`` words in blocks of text by sorting their codes. Most phrases
+are rare, so a block has nearly as many as words: its counts are packed, a run for
+each part of all phrases, and travel as one row a block and part; a task adds up
+the runs of a part. A phrase has one count a block, so none is a large group. The
+counts of at least ``min_count`` are then a stream of rows (lang, words, f) that is
+laid out twice:
 
 * in prefix order, by first word, then second, ...: a phrase follows the
   phrases it begins with, so one pass that remembers the last row of each length
@@ -42,6 +45,7 @@ from typing import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,83 +56,135 @@ from . import text_bytes as tb
 PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 TABLE = tb.byte_table(spaces=b"\x20\x09", marks=PIECE_ENDS)
 COUNTS = "lang string, phrase string, f long"
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 MOST_RANGES = 4096       # cuts and the sample for them are on the driver
 SAMPLED = 16             # keys a range
 
 
 # ------------------------------------------------------------ counts of phrases
 
-def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of equal keys: a place of each, how many there are, and for every key
-    the number of its group."""
-    order = np.argsort(keys)
-    new = np.flatnonzero(np.concatenate([[True], np.diff(keys[order]) != 0])) if len(keys) else np.zeros(0, np.int64)
-    group = np.zeros(len(keys), np.int64)
-    group[new[1:]] = 1
-    back = np.empty(len(keys), np.int64)
-    back[order] = np.cumsum(group)
-    return order[new], np.diff(np.append(new, len(keys))), back
-
-
-def block_counts(texts: pa.Array, langs: pa.Array, max_words: int) -> Iterator[pa.RecordBatch]:
-    """Rows (lang, phrase, f) of one block of texts, a batch for each length;
-    the phrase of no words counts all words."""
+def prefix_order(of: np.ndarray, codes: np.ndarray, mark: int, size: int, max_words: int) -> list[np.ndarray]:
+    """For every word that begins a phrase, sorted: its language, and the
+    place + 1 of its first, second, ... word (0: the piece is over)."""
+    at = np.flatnonzero(codes != mark)
+    cols, alive = [of[at]], np.ones(len(at), bool)
+    for k in range(max_words):
+        here = codes[np.minimum(at + k, len(codes) - 1)] if len(codes) else at
+        alive = alive & (at + k < len(codes)) & (here != mark)
+        cols.append(np.where(alive, here + 1, 0))
+    bits = int(size).bit_length()
+    if int(of.max(initial=0)).bit_length() + bits * max_words > 63:     # too many words for one number
+        order = np.lexsort(cols[::-1])
+        return [c[order] for c in cols]
+    key = cols[0].astype(np.int64)
+    for c in cols[1:]:
+        key = (key << bits) | c
+    key.sort()
+    shifts = [bits * (max_words - k) for k in range(max_words + 1)]
+    return [key >> shifts[0], *((key >> s) & ((1 << bits) - 1) for s in shifts[1:])]
+
+
+def block_counts(texts: pa.Array, langs: pa.Array, max_words: int) -> Iterator[tuple[np.ndarray, pa.RecordBatch]]:
+    """For each length, from that of no words, which counts all words: a hash
+    of each row's lang and phrase and a function of an order that gives the rows
+    (lang, phrase, f) of one block of texts in it."""
     lang = langs.dictionary_encode()
     # a mark stands alone, so it is a word of its own that ends a piece, as does the end of a text
     marked = pc.binary_join_element_wise(pc.replace_substring(tb.mapped(texts, TABLE), ".", " . "), pa.scalar(" .", texts.type),
                                          pa.scalar("", texts.type))
     codes, number, words = tb.words(marked)
-    of = np.repeat(lang.indices.to_numpy().astype(np.int64), number)
+    of = np.repeat(lang.indices.to_numpy(), number)
     mark = pc.index(words, pa.scalar(".", words.type)).as_py()
     of, codes = of[codes >= 0], codes[codes >= 0]
-    real = codes != mark
-    at, size = np.flatnonzero(real), len(words)
-    total = np.bincount(of[at], minlength=len(lang.dictionary))
-    some = np.flatnonzero(total)
-    names = ["lang", "phrase", "f"]
-    yield pa.RecordBatch.from_arrays([lang.dictionary.take(pa.array(some)).cast(pa.string()),
-                                      pa.array([""] * len(some), pa.string()), pa.array(total[some], pa.int64())], names=names)
-    group = of                                       # of each place: the number of the phrase that starts there
-    for n in range(1, max_words + 1):
-        at = at[at + n <= len(codes)]
-        at = at[real[at + n - 1]]                    # of phrases that the next word does not end
-        place, f, back = _runs(group[at] * size + codes[at + n - 1])
-        first = at[place]
-        cols = [words.take(pa.array(codes[first + k])) for k in range(n)]
-        phrase = pc.binary_join_element_wise(*cols, pa.scalar(" ", words.type)) if n > 1 else cols[0]
-        yield pa.RecordBatch.from_arrays([lang.dictionary.take(pa.array(of[first])).cast(pa.string()),
-                                          phrase.cast(pa.string()), pa.array(f.astype(np.int64))], names=names)
-        if n < max_words:
-            group = np.zeros(len(codes), np.int64)
-            group[at] = back
-
-
-def count_phrases(docs: DataFrame, max_words: int, min_count: int, block_bytes: int = 16 << 20) -> DataFrame:
-    """lang, words array<string>, f of the phrases with ``min_count`` or more."""
+    word_hash = np.fromiter((xxhash.xxh64_intdigest(w) for w in words.to_pylist()), np.uint64, len(words))
+    key = np.fromiter((xxhash.xxh64_intdigest(w) for w in lang.dictionary.to_pylist()), np.uint64, len(lang.dictionary))
+    cols = prefix_order(of, codes, mark, len(words), max_words)
+    key, new = key[cols[0]], np.diff(cols[0], prepend=-1) != 0
+    for n in range(max_words + 1):
+        if n:
+            new = new | (np.diff(cols[n], prepend=-1) != 0)
+            key = key * SPREAD + word_hash[cols[n] - 1]      # where there is no word, no row is made of it
+        first = np.flatnonzero(new)
+        f = np.diff(np.append(first, len(new)))
+        if n:
+            f, first = f[cols[n][first] > 0], first[cols[n][first] > 0]
+
+        def rows(order: np.ndarray, n=n, first=first, f=f) -> pa.RecordBatch:
+            at = first[order]
+            taken = [words.take(pa.array(cols[k][at] - 1)) for k in range(1, n + 1)]
+            phrase = taken[0] if n == 1 else pc.binary_join_element_wise(*taken, pa.scalar(" ", words.type)) if n else \
+                pa.array([""] * len(at), words.type)
+            return pa.RecordBatch.from_arrays([lang.dictionary.take(pa.array(cols[0][at])).cast(pa.string()), phrase.cast(pa.string()),
+                                               pa.array(f[order].astype(np.int32))], names=["lang", "phrase", "f"])
+        yield key[first], rows
+
+
+def sorted_runs(batches: Iterator[pa.RecordBatch], parts: int, max_words: int, block_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Rows (part, run): the counts of a block of texts that belong to a part,
+    packed."""
+    def packed(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(held).combine_chunks()
+        for key, rows in block_counts(t.column("text").chunk(0), t.column("lang").chunk(0), max_words):
+            part = ((key ^ (key >> np.uint64(32))) % np.uint64(parts)).astype(np.int64)
+            out = rows(np.argsort(part, kind="stable"))
+            size = np.bincount(part, minlength=parts)
+            some, start = np.flatnonzero(size), np.cumsum(size) - size
+            runs = [_pack(out.slice(int(start[p]), int(size[p]))) for p in some]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(runs, pa.binary())], names=["part", "run"])
+        pa.default_memory_pool().release_unused()
+    held, size = [], 0
+    for b in cm.parts(batches, block_bytes):
+        held.append(b)
+        size += b.column("text").nbytes
+        if size >= block_bytes:
+            yield from packed(held)
+            held, size = [], 0
+    if held:
+        yield from packed(held)
+
+
+def _pack(rows: pa.RecordBatch) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        w.write_batch(rows)
+    return out.getvalue().to_pybytes()
+
+
+def added_up(batches: Iterator[pa.RecordBatch], min_count: int) -> Iterator[pa.RecordBatch]:
+    """The counts of each part, whose runs follow each other, of
+    ``min_count`` or more."""
+    def summed(runs: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        t = pa.concat_tables(runs).group_by(["lang", "phrase"], use_threads=False).aggregate([("f", "sum")])
+        t = t.filter(pc.or_(pc.greater_equal(t.column("f_sum"), min_count), pc.equal(t.column("phrase"), "")))
+        yield from pa.table({"lang": t.column("lang"), "phrase": t.column("phrase"),
+                             "f": t.column("f_sum").cast(pa.int64())}).combine_chunks().to_batches()
+        pa.default_memory_pool().release_unused()
+    part, held = None, []
+    for b in batches:
+        for p, run in zip(b.column("part").to_pylist(), b.column("run")):
+            if p != part and held:
+                yield from summed(held)
+                held = []
+            part = p
+            held.append(pa.ipc.open_stream(run.as_buffer()).read_all())
+    if held:
+        yield from summed(held)
+
+
+def count_phrases(docs: DataFrame, max_words: int, min_count: int, block_bytes: int = 16 << 20,
+                  part_bytes: int = 6 << 20) -> DataFrame:
+    """lang, words array<string>, f of the phrases with ``min_count`` or more.
+    A task adds up one part at a time, that of about ``part_bytes`` of text."""
     rows = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for b in cm.parts(batches, block_bytes):
-            held.append(b)
-            size += b.column("text").nbytes
-            if size >= block_bytes:
-                yield from _counted(held, max_words)
-                held, size = [], 0
-        if held:
-            yield from _counted(held, max_words)
-    counts = (rows.mapInArrow(run, COUNTS).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
-              .where((F.col("f") >= min_count) | (F.col("phrase") == "")))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = -(-size // part_bytes) or 1
+    runs = (rows.mapInArrow(lambda b: sorted_runs(b, parts, max_words, block_bytes), "part int, run binary")
+            .repartition("part").sortWithinPartitions("part"))
+    counts = runs.mapInArrow(lambda b: added_up(b, min_count), COUNTS)
     words = F.when(F.col("phrase") == "", F.array().cast("array<string>")).otherwise(F.split("phrase", " "))
     return cm.staged(counts.select("lang", words.alias("words"), "f"), "phrase-counts")
 
 
-def _counted(held: list[pa.RecordBatch], max_words: int) -> Iterator[pa.RecordBatch]:
-    t = pa.Table.from_batches(held).combine_chunks()
-    yield from block_counts(t.column("text").chunk(0), t.column("lang").chunk(0), max_words)
-    pa.default_memory_pool().release_unused()
-
-
 # ------------------------------------------------- streams and the lockstep pass
 
 def cut_points(counts: DataFrame, key: Column, range_rows: int) -> list[tuple]:
