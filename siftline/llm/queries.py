@@ -11,8 +11,10 @@ from .dac_tokens import encode_documents
 from .hnsw_search import nearest_of_every
 from .hyperminhash_dedup import near_duplicates
 from .katz_lm import score
+from .lexical_search import rank_documents
 from .lpt_shards import shard_by_size
 from .phrase_streams import mine_phrases
+from .product_search import top_products
 from .soft_mixing import mix_rates
 from .string_tiling import find_leaks
 from .token_attribution import count_tokens
@@ -66,8 +68,17 @@ def op11_phrase_streams(spark, sf_dir):
     return mine_phrases(table(spark, sf_dir, "documents"))
 
 
+def op12_norm_buckets(spark, sf_dir):
+    return top_products(table(spark, sf_dir, "embeddings"), divisor=50, k=5)
+
+
+def op13_impact_buckets(spark, sf_dir):
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {f.__name__: f for f in (op1_dac_tokens, op2_token_attribution, op3_lpt_shards, op4_katz_lm, op5_hnsw, op6_string_tiling,
-                                   op7_hyperminhash, op8_bigru_langid, op9_soft_mixing, op10_warc_salvage, op11_phrase_streams)}
+                                   op7_hyperminhash, op8_bigru_langid, op9_soft_mixing, op10_warc_salvage, op11_phrase_streams, op12_norm_buckets,
+                                   op13_impact_buckets)}
 
 ORACLE: dict[str, str] = {}
 
@@ -151,3 +162,36 @@ SELECT least.lang, row_number() OVER (PARTITION BY least.lang ORDER BY score DES
 FROM least JOIN n ON n.lang = least.lang LEFT JOIN wide ON wide.lang = least.lang AND part = phrase
 WHERE COALESCE(100 * wider < 50 * a, true)
 QUALIFY rank <= 2000"""
+
+ORACLE["op12_norm_buckets"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS double)) AS bigint)) AS x FROM embeddings
+  WHERE len(embedding) = len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+),
+e AS (SELECT vec_id, unnest(x) AS x, generate_subscripts(x, 1) AS i FROM v),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS bigint) AS score
+  FROM e q JOIN e c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY q.vec_id, c.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS integer) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5"""
+
+_TERMS = r"""regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+ORACLE["op13_impact_buckets"] = f"""
+WITH d AS (SELECT doc_id, {_TERMS.format(text="COALESCE(text, '')")} AS terms FROM documents),
+e AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf, any_value(n) AS n
+      FROM (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM d) GROUP BY doc_id, term),
+c AS (SELECT CAST(count(*) AS bigint) AS docs, CAST(sum(len(terms)) AS bigint) AS total FROM d WHERE len(terms) > 0),
+i AS MATERIALIZED (SELECT DISTINCT item_id, unnest({_TERMS.format(text="COALESCE(text, '')")}) AS term FROM benchmark),
+w AS MATERIALIZED (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS double) / CAST(2 * count(*) + 1 AS double))) AS bigint) AS w
+  FROM e, c WHERE term IN (SELECT term FROM i) GROUP BY term, docs
+),
+s AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * docs) // total))))) AS bigint) AS score
+  FROM i JOIN w USING (term) JOIN e USING (term), c GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS integer) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10"""
