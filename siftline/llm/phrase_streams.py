@@ -67,11 +67,11 @@ def prefix_order(of: np.ndarray, codes: np.ndarray, mark: int, size: int, max_wo
     """For every word that begins a phrase, sorted: its language, and the
     place + 1 of its first, second, ... word (0: the piece is over)."""
     at = np.flatnonzero(codes != mark)
-    cols, alive = [of[at]], np.ones(len(at), bool)
+    cols, alive = [of[at].astype(np.int32)], np.ones(len(at), bool)
     for k in range(max_words):
         here = codes[np.minimum(at + k, len(codes) - 1)] if len(codes) else at
         alive = alive & (at + k < len(codes)) & (here != mark)
-        cols.append(np.where(alive, here + 1, 0))
+        cols.append(np.where(alive, here + 1, 0).astype(np.int32))
     bits = int(size).bit_length()
     if int(of.max(initial=0)).bit_length() + bits * max_words > 63:     # too many words for one number
         order = np.lexsort(cols[::-1])
@@ -81,13 +81,13 @@ def prefix_order(of: np.ndarray, codes: np.ndarray, mark: int, size: int, max_wo
         key = (key << bits) | c
     key.sort()
     shifts = [bits * (max_words - k) for k in range(max_words + 1)]
-    return [key >> shifts[0], *((key >> s) & ((1 << bits) - 1) for s in shifts[1:])]
+    return [(key >> shifts[0]).astype(np.int32), *(((key >> s) & ((1 << bits) - 1)).astype(np.int32) for s in shifts[1:])]
 
 
-def block_counts(texts: pa.Array, langs: pa.Array, max_words: int) -> Iterator[tuple[np.ndarray, pa.RecordBatch]]:
-    """For each length, from that of no words, which counts all words: a hash
-    of each row's lang and phrase and a function of an order that gives the rows
-    (lang, phrase, f) of one block of texts in it."""
+def block_counts(texts: pa.Array, langs: pa.Array, max_words: int):
+    """For each length, from that of no words, which counts all words of one
+    block of texts: each row's lang (a place among the block's), a hash of its
+    lang and phrase, its count, and a function that gives the phrases in an order."""
     lang = langs.dictionary_encode()
     # a mark stands alone, so it is a word of its own that ends a piece, as does the end of a text
     marked = pc.binary_join_element_wise(pc.replace_substring(tb.mapped(texts, TABLE), ".", " . "), pa.scalar(" .", texts.type),
@@ -99,6 +99,7 @@ def block_counts(texts: pa.Array, langs: pa.Array, max_words: int) -> Iterator[t
     word_hash = np.fromiter((xxhash.xxh64_intdigest(w) for w in words.to_pylist()), np.uint64, len(words))
     key = np.fromiter((xxhash.xxh64_intdigest(w) for w in lang.dictionary.to_pylist()), np.uint64, len(lang.dictionary))
     cols = prefix_order(of, codes, mark, len(words), max_words)
+    del of, codes, marked
     key, new = key[cols[0]], np.diff(cols[0], prepend=-1) != 0
     for n in range(max_words + 1):
         if n:
@@ -109,29 +110,42 @@ def block_counts(texts: pa.Array, langs: pa.Array, max_words: int) -> Iterator[t
         if n:
             f, first = f[cols[n][first] > 0], first[cols[n][first] > 0]
 
-        def rows(order: np.ndarray, n=n, first=first, f=f) -> pa.RecordBatch:
+        def phrases(order: np.ndarray, n=n, first=first) -> pa.Array:
             at = first[order]
             taken = [words.take(pa.array(cols[k][at] - 1)) for k in range(1, n + 1)]
-            phrase = taken[0] if n == 1 else pc.binary_join_element_wise(*taken, pa.scalar(" ", words.type)) if n else \
+            return taken[0] if n == 1 else pc.binary_join_element_wise(*taken, pa.scalar(" ", words.type)) if n else \
                 pa.array([""] * len(at), words.type)
-            return pa.RecordBatch.from_arrays([lang.dictionary.take(pa.array(cols[0][at])).cast(pa.string()), phrase.cast(pa.string()),
-                                               pa.array(f[order].astype(np.int32))], names=["lang", "phrase", "f"])
-        yield key[first], rows
+        yield lang.dictionary, cols[0][first], key[first], f, phrases
+
+
+RUN = "part int, lang string, size int, phrases binary, counts binary"
 
 
 def sorted_runs(batches: Iterator[pa.RecordBatch], parts: int, max_words: int, block_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Rows (part, run): the counts of a block of texts that belong to a part,
-    packed."""
+    """Rows (part, lang, size, phrases, counts): the counts of a block of texts
+    that belong to a part, compressed; phrases are joined by line ends, which no
+    word holds."""
+    codec = pa.Codec("zstd", compression_level=5)
+
     def packed(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(held).combine_chunks()
-        for key, rows in block_counts(t.column("text").chunk(0), t.column("lang").chunk(0), max_words):
-            part = ((key ^ (key >> np.uint64(32))) % np.uint64(parts)).astype(np.int64)
-            out = rows(np.argsort(part, kind="stable"))
-            size = np.bincount(part, minlength=parts)
-            some, start = np.flatnonzero(size), np.cumsum(size) - size
-            runs = [_pack(out.slice(int(start[p]), int(size[p]))) for p in some]
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(runs, pa.binary())], names=["part", "run"])
-        pa.default_memory_pool().release_unused()
+        for langs, lang, key, f, phrases in block_counts(t.column("text").chunk(0), t.column("lang").chunk(0), max_words):
+            group = ((key ^ (key >> np.uint64(32))) % np.uint64(parts)).astype(np.int64) * len(langs) + lang
+            order = np.argsort(group, kind="stable")
+            if not len(order):
+                continue
+            start = np.flatnonzero(np.diff(group[order], prepend=-1))
+            ends = np.append(start, len(order))
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), phrases(order)), "\n").cast(pa.binary())
+            f, owner = f[order].astype("<i4"), group[order][start]
+            raw = [joined[k].as_buffer() for k in range(len(start))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(owner // len(langs), pa.int32()), langs.take(pa.array(owner % len(langs))).cast(pa.string()),
+                 pa.array([r.size for r in raw], pa.int32()), pa.array([codec.compress(r, asbytes=True) for r in raw], pa.binary()),
+                 pa.array([codec.compress(f[a:b].tobytes(), asbytes=True) for a, b in zip(ends[:-1], ends[1:])], pa.binary())],
+                names=["part", "lang", "size", "phrases", "counts"])
+            del joined, raw, order, group             # given back before the next length
+            pa.default_memory_pool().release_unused()
     held, size = [], 0
     for b in cm.parts(batches, block_bytes):
         held.append(b)
@@ -143,43 +157,42 @@ def sorted_runs(batches: Iterator[pa.RecordBatch], parts: int, max_words: int, b
         yield from packed(held)
 
 
-def _pack(rows: pa.RecordBatch) -> bytes:
-    out = pa.BufferOutputStream()
-    with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-        w.write_batch(rows)
-    return out.getvalue().to_pybytes()
-
-
 def added_up(batches: Iterator[pa.RecordBatch], min_count: int) -> Iterator[pa.RecordBatch]:
-    """The counts of each part, whose runs follow each other, of
-    ``min_count`` or more."""
-    def summed(runs: list[pa.Table]) -> Iterator[pa.RecordBatch]:
-        t = pa.concat_tables(runs).group_by(["lang", "phrase"], use_threads=False).aggregate([("f", "sum")])
+    """The counts of ``min_count`` or more of each part and lang, whose runs
+    follow each other."""
+    codec = pa.Codec("zstd")
+
+    def summed(lang: str, runs: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        t = pa.concat_tables(runs).group_by("phrase", use_threads=False).aggregate([("f", "sum")])
         t = t.filter(pc.or_(pc.greater_equal(t.column("f_sum"), min_count), pc.equal(t.column("phrase"), "")))
-        yield from pa.table({"lang": t.column("lang"), "phrase": t.column("phrase"),
+        yield from pa.table({"lang": pa.repeat(pa.scalar(lang, pa.string()), t.num_rows), "phrase": t.column("phrase"),
                              "f": t.column("f_sum").cast(pa.int64())}).combine_chunks().to_batches()
         pa.default_memory_pool().release_unused()
-    part, held = None, []
+    own, held = None, []
     for b in batches:
-        for p, run in zip(b.column("part").to_pylist(), b.column("run")):
-            if p != part and held:
-                yield from summed(held)
+        for part, lang, size, phrases, counts in zip(*(b.column(c) for c in ("part", "lang", "size", "phrases", "counts"))):
+            if (part.as_py(), lang.as_py()) != own and held:
+                yield from summed(own[1], held)
                 held = []
-            part = p
-            held.append(pa.ipc.open_stream(run.as_buffer()).read_all())
+            own, size = (part.as_py(), lang.as_py()), size.as_py()
+            raw = codec.decompress(phrases.as_buffer(), size)
+            text = pa.Array.from_buffers(pa.string(), 1, [None, pa.py_buffer(np.array([0, size], np.int32)), raw])
+            phrase = pc.split_pattern(text, "\n").flatten()
+            f = np.frombuffer(codec.decompress(counts.as_buffer(), 4 * len(phrase)), "<i4")
+            held.append(pa.table({"phrase": phrase, "f": pa.array(f)}))
     if held:
-        yield from summed(held)
+        yield from summed(own[1], held)
 
 
-def count_phrases(docs: DataFrame, max_words: int, min_count: int, block_bytes: int = 16 << 20,
-                  part_bytes: int = 6 << 20) -> DataFrame:
+def count_phrases(docs: DataFrame, max_words: int, min_count: int, block_bytes: int = 8 << 20,
+                  part_bytes: int = 8 << 20) -> DataFrame:
     """lang, words array<string>, f of the phrases with ``min_count`` or more.
-    A task adds up one part at a time, that of about ``part_bytes`` of text."""
+    A task adds up one part of a lang at a time: that of ``part_bytes`` of text."""
     rows = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = -(-size // part_bytes) or 1
-    runs = (rows.mapInArrow(lambda b: sorted_runs(b, parts, max_words, block_bytes), "part int, run binary")
-            .repartition("part").sortWithinPartitions("part"))
+    runs = (rows.mapInArrow(lambda b: sorted_runs(b, parts, max_words, block_bytes), RUN)
+            .repartition("part").sortWithinPartitions("part", "lang"))
     counts = runs.mapInArrow(lambda b: added_up(b, min_count), COUNTS)
     words = F.when(F.col("phrase") == "", F.array().cast("array<string>")).otherwise(F.split("phrase", " "))
     return cm.staged(counts.select("lang", words.alias("words"), "f"), "phrase-counts")
