@@ -184,15 +184,15 @@ def added_up(batches: Iterator[pa.RecordBatch], min_count: int) -> Iterator[pa.R
         yield from summed(own[1], held)
 
 
-def count_phrases(docs: DataFrame, max_words: int, min_count: int, block_bytes: int = 8 << 20,
-                  part_bytes: int = 8 << 20) -> DataFrame:
+def count_phrases(docs: DataFrame, max_words: int, min_count: int, block_bytes: int = 6 << 20,
+                  part_bytes: int = 4 << 20) -> DataFrame:
     """lang, words array<string>, f of the phrases with ``min_count`` or more.
     A task adds up one part of a lang at a time: that of ``part_bytes`` of text."""
     rows = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = -(-size // part_bytes) or 1
     runs = (rows.mapInArrow(lambda b: sorted_runs(b, parts, max_words, block_bytes), RUN)
-            .repartition("part").sortWithinPartitions("part", "lang"))
+            .repartition(min(parts, 20_000), "part").sortWithinPartitions("part", "lang"))
     counts = runs.mapInArrow(lambda b: added_up(b, min_count), COUNTS)
     words = F.when(F.col("phrase") == "", F.array().cast("array<string>")).otherwise(F.split("phrase", " "))
     return cm.staged(counts.select("lang", words.alias("words"), "f"), "phrase-counts")
@@ -366,6 +366,10 @@ def mine_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, conta
     best = rows.withColumn("cut", cut_scores(max_words)).select(
         "lang", F.array_join("words", " ").alias("phrase"), F.col("f").alias("a"), F.col("cut.l").alias("l"),
         F.col("cut.r").alias("r"), F.col("begins")[0].alias("n"), F.col("cut.score").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
+    # the best of each of a language's parts first, so that no task ranks all of its phrases
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    some = F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))
+    best = best.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(32))).withColumn("rank", some).where(F.col("rank") <= top)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
     return best.withColumn("rank", rank).where(F.col("rank") <= top).select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
