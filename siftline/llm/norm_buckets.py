@@ -85,8 +85,7 @@ class Best:
             self.theta[i] = max(self.theta[i], at if at <= last else np.nextafter(at, -np.inf))
 
     def found(self, query_ids) -> tuple[list[int], list[int], list[int]]:
-        """A score beyond 64 bits is given as the nearest 64-bit number."""
-        rows = [(int(q), v, min(max(-s, LONGS[0]), LONGS[1])) for q, own in zip(query_ids, self.rows) for s, v in own]
+        rows = [(int(q), v, -s) for q, own in zip(query_ids, self.rows) for s, v in own]
         return [r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows]
 
 

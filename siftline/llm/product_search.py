@@ -24,7 +24,7 @@ does a row without vec_id. A zero vector scores 0 with all. Vectors of different
 length are not compared. Rows that are repeated as a whole count once; rows of
 equal id and different vectors are each a candidate, and none for a query of
 their id. With fewer candidates than k, all are returned. A score beyond 64 bits
-is ranked exactly and given as the nearest 64-bit number. An empty table gives an
+counts as the nearest 64-bit number. An empty table gives an
 empty result; other columns are not read.
 """
 
@@ -62,7 +62,7 @@ def products(q: np.ndarray, p: np.ndarray, most: float) -> np.ndarray:
     a, b = ([[int(v) for v in row] for row in m] for m in (q, p))
     out = np.empty((len(a), len(b)), object)
     for i, x in enumerate(a):
-        out[i] = [sum(u * v for u, v in zip(x, y)) for y in b]
+        out[i] = [min(max(sum(u * v for u, v in zip(x, y)), nb.LONGS[0]), nb.LONGS[1]) for y in b]
     return out
 
 
