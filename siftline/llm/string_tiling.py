@@ -9,6 +9,11 @@ a match of ``min_match`` words remains. The share of an item's words that tiles
 cover is its coverage, whatever the order in which its parts occur, so passages
 that were cut up and put in another order are found too.
 
+Where words repeat, seeds are as many as the product of two lengths. An item that
+shares more than ``MOST_PAIRS`` with a document is tiled by length instead
+(``tiles_by_length``): the same tiles, found from the longest down by Karp-Rabin
+values of whole windows, in memory that grows with the sum of the lengths.
+
 Layout on Spark: the benchmark is read in blocks of at most ``block_bytes`` of
 text (or one item, if a single one is larger). Each block is broadcast and all
 documents run against it in one pass without a shuffle, so a benchmark of any
@@ -97,6 +102,79 @@ def tiles(doc: np.ndarray, item: np.ndarray, at_doc: np.ndarray, at_item: np.nda
     return out
 
 
+#: with more pairs of equal windows than this, an item is tiled by length
+MOST_PAIRS = 1_000_000
+
+
+class Windows:
+    """Karp-Rabin values of a sequence's windows of any width, from one running
+    sum: sum(x[j] * BASE**j) over a window, divided by BASE**start."""
+
+    def __init__(self, ids: np.ndarray):
+        n = len(ids)
+        with np.errstate(over="ignore"):
+            power = np.concatenate([[np.uint64(1)], np.multiply.accumulate(np.full(n, BASE, np.uint64))])
+            self.sums = np.concatenate([[np.uint64(0)], np.add.accumulate(_mixed(ids) * power[:n])])
+            inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
+            self.back = np.concatenate([[np.uint64(1)], np.multiply.accumulate(np.full(n, inverse, np.uint64))])
+
+    def free(self, width: int, free: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts of the windows without a marked word, and their values."""
+        taken = np.concatenate([[0], np.cumsum(~free)])
+        at = np.flatnonzero(taken[width:] == taken[:len(taken) - width])
+        with np.errstate(over="ignore"):
+            return at, (self.sums[at + width] - self.sums[at]) * self.back[at]
+
+
+def tiles_by_length(doc: np.ndarray, item: np.ndarray, min_match: int) -> list[tuple[int, int, int]]:
+    """The tiles of ``tiles`` without its seeds: in every round the greatest
+    width at which an unmarked window of the document equals one of the item is
+    found by halving, and all tiles of that width are marked, in the order of
+    their places. Memory grows with the two lengths, not with their product, so
+    words repeated any number of times are tiled as well."""
+    d, q = Windows(doc), Windows(item)
+    free_d, free_q, out = doc > 0, np.ones(len(item), bool), []
+
+    def shared(width: int) -> bool:
+        a, b = d.free(width, free_d)[1], q.free(width, free_q)[1]
+        return bool(len(a) and len(b) and np.isin(b, a).any())
+    most = min(len(doc), len(item))
+    while most >= min_match and shared(min_match):
+        low, high = min_match, most
+        while low < high:
+            mid = (low + high + 1) // 2
+            low, high = (mid, high) if shared(mid) else (low, mid - 1)
+        at, own = d.free(low, free_d)
+        places, values = q.free(low, free_q)
+        order = np.argsort(values, kind="stable")            # equal windows of the item stay in order
+        places, values = places[order], values[order]
+        left = np.searchsorted(values, own, "left")
+        fits = (left < len(values)) & (values[np.minimum(left, len(values) - 1)] == own)
+        at, left, end = at[fits], left[fits], np.searchsorted(values, own[fits], "right")
+        head: dict[int, int] = {}                            # of equal windows: the first that is still free
+        behind = 0
+        for a, lo, hi in zip(at.tolist(), left.tolist(), end.tolist()):
+            if a < behind:
+                continue
+            k = head.get(lo, lo)
+            # tiles of this round are as long as a window, so one that meets it covers one of its ends
+            while k < hi and not (free_q[places[k]] and free_q[places[k] + low - 1]):
+                k += 1
+            head[lo] = k
+            while k < hi and not (free_q[places[k]] and free_q[places[k] + low - 1]
+                                  and np.array_equal(doc[a:a + low], item[places[k]:places[k] + low])):
+                k += 1                                       # a value is not a proof
+            if k < hi:
+                b = int(places[k])
+                out.append((a, b, low))
+                free_d[a:a + low] = free_q[b:b + low] = False
+                behind = a + low
+                if not free_q.any():
+                    return out
+        most = low - 1
+    return out
+
+
 class Block:
     """A part of the benchmark, ready to search documents for."""
 
@@ -130,15 +208,36 @@ class Block:
             return
         h = rolling(ids, self.min_match)[at]
         lo, hi = np.searchsorted(self.hash, h, "left"), np.searchsorted(self.hash, h, "right")
-        n = hi - lo
-        if not n.sum():
+        at, lo, hi = at[hi > lo], lo[hi > lo], hi[hi > lo]
+        if not len(at):
             return
-        take = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        who, at_item, at_doc = self.owner[take], self.place[take], np.repeat(at, n)
-        order = np.argsort(who, kind="stable")
-        for part in np.split(order, np.flatnonzero(np.diff(who[order])) + 1):
-            item_id, item = self.items[who[part[0]]]
-            yield item_id, tiles(ids, item, at_doc[part], at_item[part], self.min_match), len(item)
+        # the block's windows that the document has, each once, and how often it has them
+        first, times = np.unique(lo, return_counts=True)
+        n = np.searchsorted(self.hash, self.hash[first], "right") - first
+        held = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        who = self.owner[held]
+        pairs = np.bincount(who, np.repeat(times, n), minlength=0)
+        many = np.flatnonzero(pairs > MOST_PAIRS)
+        for item in many:
+            item_id, own = self.items[item]
+            yield item_id, tiles_by_length(ids, own, self.min_match), len(own)
+        # the others, as many at a time as have so many pairs together
+        rest = np.flatnonzero((pairs > 0) & (pairs <= MOST_PAIRS))
+        by_window = np.argsort(lo, kind="stable")            # the document's places of each window
+        start = np.searchsorted(lo[by_window], first)
+        turn = (np.cumsum(pairs[rest]) // MOST_PAIRS).astype(np.int64)
+        of = np.full(len(pairs), -1)
+        of[rest] = turn
+        window = np.repeat(np.arange(len(first)), n)
+        for t in np.unique(turn):
+            mine = of[who] == t
+            w = window[mine]
+            take = np.repeat(start[w] - (np.cumsum(times[w]) - times[w]), times[w]) + np.arange(int(times[w].sum()))
+            at_doc, at_item, owner = at[by_window][take], np.repeat(self.place[held[mine]], times[w]), np.repeat(who[mine], times[w])
+            order = np.argsort(owner, kind="stable")
+            for part in np.split(order, np.flatnonzero(np.diff(owner[order])) + 1):
+                item_id, item = self.items[owner[part[0]]]
+                yield item_id, tiles(ids, item, at_doc[part], at_item[part], self.min_match), len(item)
 
 
 def _blocks(bench: DataFrame, min_match: int, block_bytes: int) -> Iterator[Block]:
