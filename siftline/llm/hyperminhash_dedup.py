@@ -46,7 +46,7 @@ from typing import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common as cm
@@ -218,15 +218,25 @@ def compare(nodes: np.ndarray, comps: np.ndarray, side: np.ndarray, sets: list[n
 
 
 def _across(members: DataFrame, comp: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links across components in the buckets that have several."""
+    """Links across components in the buckets that have several. Members of a
+    bucket's largest component only have to meet the others, so they are copied
+    once for each block of those, and these once for each block of all: a stray
+    member of a bucket with a third of all rows moves them once."""
     named = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    split = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-    left = cm.staged(named.join(split.select("bucket"), "bucket").join(sets, "node"), "unresolved")
-    sizes = left.groupBy("bucket").agg(F.greatest(
-        F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum(F.octet_length("set")) / BLOCK_BYTES)).cast("int").alias("blocks"))
-    dealt = (left.join(cm.staged(sizes, "blocks"), "bucket")
-             .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    split = (named.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket")
+             .agg(F.max(F.struct("n", "comp")).alias("x"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+             .select("bucket", F.col("x.comp").alias("main")))
+    left = cm.staged(named.join(split, "bucket").join(sets, "node").withColumn("stray", F.col("comp") != F.col("main"))
+                     .drop("main"), "unresolved")
+
+    def blocks(which) -> Column:
+        n = F.greatest(F.ceil(F.count_if(which) / BLOCK), F.ceil(F.sum(F.when(which, F.octet_length("set")).otherwise(0)) / BLOCK_BYTES))
+        return F.greatest(n, F.lit(1)).cast("int")
+    sizes = left.groupBy("bucket").agg(blocks(~F.col("stray")).alias("mains"), blocks(F.col("stray")).alias("strays"))
+    own = F.when(F.col("stray"), F.col("mains") + F.pmod(F.xxhash64("node"), F.col("strays"))).otherwise(
+        F.pmod(F.xxhash64("node"), F.col("mains")))
+    meets = F.sequence(F.when(F.col("stray"), F.lit(0)).otherwise(F.col("mains")), F.col("mains") + F.col("strays") - 1)
+    dealt = (left.join(cm.staged(sizes, "blocks"), "bucket").withColumn("own", own.cast("int")).withColumn("other", F.explode(meets))
              .select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
                      "own", "node", "comp", "set")
              .repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi"))
@@ -252,15 +262,17 @@ def _across(members: DataFrame, comp: DataFrame, sets: DataFrame, percent: int)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """Full sets of the classes in ``wanted`` (doc_id, key, node)."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("key", "node", "text")
+    """Full sets of the classes in ``wanted`` (text_id, text_h, key, node): the
+    id and hash of a text of the class, so that ids that are null or repeated
+    join no other texts."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("h"), "text").join(
+        wanted, F.col("doc_id").eqNullSafe(F.col("text_id")) & (F.col("h") == F.col("text_h"))).select("key", "node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in cm.parts(batches, 4_000_000):
             got = [(n, s.tobytes()) for n, k, (s, own) in zip(b.column("node").to_pylist(), b.column("key").to_pylist(),
                                                               shingles(cm.texts_of(b), words))
-                   if own == k]  # rows of one id may have different texts
+                   if own == k]  # a hash is no proof
             yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()),
                                               pa.array([g[1] for g in got], pa.binary())], names=["node", "set"])
     return rows.mapInArrow(run, "node long, set binary")
@@ -309,14 +321,15 @@ def _hashed(docs: DataFrame, percent: int, words: int) -> DataFrame:
     reps = cm.staged(own.groupBy("key").agg(F.min("doc_id").alias("rep_id"), F.min("row").alias("row")), "classes")
     # any row of the class has its sketch; the class is named by its first row
     classes = cm.staged(own.join(reps, ["key", "row"]).select(
-        F.col("row").alias("node"), "key", "rep_id", "n_shingles", "regs"), "class-sketches")
+        F.col("row").alias("node"), "key", "rep_id", F.col("doc_id").alias("text_id"), F.col("h").alias("text_h"),
+        "n_shingles", "regs"), "class-sketches")
     banded = cm.staged(_band_rows(classes, bands(percent / 100)), "bands")
     shared = cm.staged(banded.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("members"))
                        .where("members > 1"), "shared-bands")
     members = cm.staged(banded.join(shared, "bucket"), "band-members")
 
     touched = members.select("node").distinct()
-    wanted = classes.select("node", "key", "rep_id").join(touched, "node")
+    wanted = classes.select("node", "key", "text_id", "text_h").join(touched, "node")
     sets = cm.staged(_sets(docs, wanted, words).dropDuplicates(["node"]) if _repeats(rows)
                      else _sets(docs, wanted, words), "sets")
 
