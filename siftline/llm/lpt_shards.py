@@ -30,6 +30,7 @@ extra columns are not read.
 from __future__ import annotations
 
 import heapq
+from itertools import accumulate
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -53,16 +54,15 @@ def place(loads: list[float], size: float, groups: int) -> list[int]:
     brought up to date."""
     took = [0] * len(loads)
     if groups > 4 * len(loads):
-        # the bulk: fill up to a common level, but for the last few
-        lo, hi = min(loads), max(loads) + size * groups
-        for _ in range(100):
-            level = (lo + hi) / 2
-            if sum(max(0, int((level - x) // size)) for x in loads) > groups - 2 * len(loads):
-                hi = level
-            else:
-                lo = level
+        # the bulk: groups that start below the level to which all of them fill the least-loaded shards, less one group
+        level, total = 0.0, size * groups
+        for k, x in enumerate(sorted(loads), 1):
+            total += x
+            if k == len(loads) or total / k <= sorted(loads)[k]:
+                level = total / k - size
+                break
         for k, x in enumerate(loads):
-            took[k] = max(0, int((lo - x) // size))
+            took[k] = max(0, int((level - x) // size))
             loads[k] = x + took[k] * size
     heap = [(x, k) for k, x in enumerate(loads)]
     heapq.heapify(heap)
@@ -73,17 +73,10 @@ def place(loads: list[float], size: float, groups: int) -> list[int]:
     return took
 
 
-def schedule(classes: Sequence[tuple[int, int, float]], loads: list[float]) -> list[tuple[int, int, int, int]]:
-    """From (class, groups, mean size), largest class first: rows (class,
-    first rank, end rank, shard)."""
-    out = []
-    for cls, groups, mean in sorted(classes, reverse=True):
-        at = 0
-        for shard, n in enumerate(place(loads, mean, groups)):
-            if n:
-                out.append((cls, at, at + n, shard))
-                at += n
-    return out
+def schedule(classes: Sequence[tuple[int, int, float]], loads: list[float]) -> list[tuple[int, list[int]]]:
+    """From (class, groups, mean size), largest class first: a row a class with
+    the rank at which each shard's groups end."""
+    return [(cls, list(accumulate(place(loads, mean, groups)))) for cls, groups, mean in sorted(classes, reverse=True)]
 
 
 def shard_by_size(docs: DataFrame, n_shards: int = 24, salts: int = 256) -> DataFrame:
@@ -102,10 +95,10 @@ def shard_by_size(docs: DataFrame, n_shards: int = 24, salts: int = 256) -> Data
         F.count(F.lit(1)).alias("n"), F.avg("load").alias("mean")).collect()]  # at most about 84,000 rows
 
     def assigned(part: list, loads: list[float], large: bool) -> DataFrame:
-        plan = spark.createDataFrame(schedule(part, loads), "cls long, lo long, hi long, shard int")
-        at = (ranked.where((F.col("cls") >= EXACT) if large else (F.col("cls") < EXACT))
-              .join(F.broadcast(plan), "cls"))  # at most shards rows a class
-        return at.where((F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))).select("grp", "load", "shard")
+        plan = spark.createDataFrame(schedule(part, loads), "cls long, ends array<long>")
+        # a row a class, of which there are at most about 84,000: some 17 MB with 24 shards
+        at = ranked.where((F.col("cls") >= EXACT) if large else (F.col("cls") < EXACT)).join(F.broadcast(plan), "cls")
+        return at.select("grp", "load", F.size(F.filter("ends", lambda e: e <= F.col("rank"))).alias("shard"))
     loads = [0.0] * n_shards
     top = assigned([c for c in classes if c[0] >= EXACT], loads, True)
     loads = [0.0] * n_shards
