@@ -281,26 +281,36 @@ def _row(path: str, offset: int, headers: dict, block: bytes, keep_payload: bool
 
 def read_archives(files: DataFrame, keep_payload: bool = True) -> DataFrame:
     """Records of the files named in column ``path``. A payload digest is
-    counted from the payload where there is one."""
+    counted from the payload where there is one. Where ``files`` says in a column
+    ``n_records`` how many a file was written with, one that gives another number
+    is an error, which names the gaps: a damaged archive loses nothing unnoticed.
+    Files without that column are salvaged, and ``quarantined`` has their gaps."""
+    counted = "n_records" in files.columns
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("path", pa.string()), ("offset", pa.int64()), ("page_id", pa.int64()), ("url", pa.string()),
                             ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()),
                             ("payload_digest", pa.string()), ("payload", pa.binary())])
         for b in batches:
-            for path in b.column("path").to_pylist():
+            for path, n in zip(b.column("path").to_pylist(), b.column("n_records").to_pylist()):
                 store, name = cm.file_store(path)
                 with store.open_input_file(name) as f:
-                    rows, held = [], 0
+                    rows, held, read, gaps = [], 0, 0, []
                     for x in salvage(f, f.size()):
                         if x[0] == "record":
                             rows.append(_row(path, *x[1:], keep_payload))
-                            held += len(x[3]) if keep_payload else 500
+                            held, read = held + (len(x[3]) if keep_payload else 500), read + 1
+                        elif len(gaps) < 10:
+                            gaps.append(x[1:])
                         if held > 16 << 20:
                             yield pa.RecordBatch.from_pylist(rows, schema=schema)
                             rows, held = [], 0
                     if rows:
                         yield pa.RecordBatch.from_pylist(rows, schema=schema)
-    return _spread(files).mapInArrow(run, RECORD_SCHEMA)
+                if n is not None and read != n:
+                    raise ValueError(f"{path}: {read} records of {n} could be read; first gaps (start, end, reason): {gaps}")
+    named = files.select("path", F.col("n_records").cast("long") if counted else F.lit(None).cast("long").alias("n_records"))
+    return _spread(named).mapInArrow(run, RECORD_SCHEMA)
 
 
 def quarantined(files: DataFrame) -> DataFrame:
@@ -315,12 +325,12 @@ def quarantined(files: DataFrame) -> DataFrame:
                     [pa.array([path] * len(gaps), pa.string()), pa.array([g[0] for g in gaps], pa.int64()),
                      pa.array([g[1] for g in gaps], pa.int64()), pa.array([g[2] for g in gaps], pa.string())],
                     names=["path", "gap_start", "gap_end", "reason"])
-    return _spread(files).mapInArrow(run, GAP_SCHEMA)
+    return _spread(files.select("path")).mapInArrow(run, GAP_SCHEMA)
 
 
 def _spread(files: DataFrame) -> DataFrame:
     """A file or so a task."""
-    return files.select("path").repartition(max(1, min(files.count(), 20_000)))
+    return files.repartition(max(1, min(files.count(), 20_000)))
 
 
 def archive_pages(pages: DataFrame) -> DataFrame:

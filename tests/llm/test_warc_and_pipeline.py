@@ -9,6 +9,7 @@ from collections import Counter
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as se
 import corpus_pipeline as cp
@@ -123,6 +124,10 @@ def test_salvage_on_files(spark, tmpdir_path):
     gaps = ws.quarantined(files).collect()
     assert got[f"file://{tmpdir_path}/0.warc.gz"] == 30 and 27 <= got[f"file://{tmpdir_path}/1.warc.gz"] <= 29
     assert len(gaps) == 1 and gaps[0].gap_start <= 500 and gaps[0].gap_end >= 540
+    counted = files.withColumn("n_records", F.lit(30))
+    assert ws.read_archives(counted.where("path like '%/0.%'")).count() == 30
+    with pytest.raises(Exception, match="records of 30 could be read"):
+        ws.read_archives(counted).count()
     text = ws.read_archives(files).where("page_id = 7").first()
     assert bytes(text.payload).startswith(b"<p>page 7 WARC/1.1\r\n\r\n")
 
