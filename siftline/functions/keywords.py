@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from .text import col_
 
 
+#: case-insensitive, Unicode-aware, and only \n ends a line, as in Python
+FLAGS = "(?idU)"
+
+
 def _lowered(keywords: Iterable[str]) -> list[str]:
     out, seen = [], set()
     for k in keywords:
@@ -78,8 +82,8 @@ def java_pattern(pattern: str) -> str:
         elif in_class:
             piece = new = rest[0]
             in_class = rest[0] != "]"
-            if rest[0] == "[":
-                new = r"\["            # Java would open a nested class
+            if rest[0] in "[&":
+                new = "\\" + rest[0]     # Java would open a nested class, or cut two classes
         elif rest[0] == "[":
             m = re.match(r"\[\^?\]?", rest)      # a bracket in first place is an ordinary character
             piece, new, in_class = m[0], m[0].replace("]", r"\]"), True
@@ -111,7 +115,7 @@ def usable_patterns(patterns: Iterable[str], spark: SparkSession | None = None)
         java = java_pattern(p)
         if jpat is not None:
             try:
-                jpat.compile("(?iU)" + java)
+                jpat.compile(FLAGS + java)
             except Exception as e:
                 raise ValueError(f"noise pattern {p!r} has no counterpart in Java: {e}") from e
         out.append(java)
@@ -125,7 +129,7 @@ def noise_regexes(patterns: Iterable[str]) -> list[str]:
     plain, own = [], []
     for p in patterns:
         (own if re.search(r"(?<!\\)(?:\\\\)*\((?!\?[:=!#]|\?<[=!])", p) else plain).append(p)
-    return (["(?iU)" + "|".join(f"(?:{p})" for p in plain)] if plain else []) + [f"(?iU){p}" for p in own]
+    return ([FLAGS + "|".join(f"(?:{p})" for p in plain)] if plain else []) + [f"{FLAGS}{p}" for p in own]
 
 
 def noise_match(title, summary, patterns: Iterable[str]) -> Column:

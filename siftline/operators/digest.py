@@ -72,20 +72,17 @@ def feed_health_asof(deltas: DataFrame, sweeps: DataFrame, threshold: int = SICK
         (F.col("_cum") - F.coalesce(base, F.lit(0))).cast("bigint").alias("consecutive_failures"),
         F.last("_lf", True).over(run).alias("_lf"))
     # flat columns before the explode below (nested-field pruning through a
-    # generator trips the optimizer)
+    # generator trips the optimizer); a state holds until the feed's next fetch
+    # sweep, sick or not
+    last = sweeps.agg(F.max("sweep_id")).scalar()
+    until = F.coalesce(F.lead("sweep_id").over(Window.partitionBy("feed_id").orderBy("sweep_id")), last + F.lit(1))
     state = state.select("feed_id", "sweep_id", "consecutive_failures",
                          F.col("_lf.error").alias("last_error"),
-                         F.col("_lf.status_code").cast("bigint").alias("last_status_code"))
-    sick = state.where(F.col("consecutive_failures") >= threshold)
-    # a state holds until the feed's next fetch sweep, sick or not
-    bounds = state.select("feed_id", "sweep_id").withColumn(
-        "_next", F.lead("sweep_id").over(Window.partitionBy("feed_id").orderBy("sweep_id")))
-    sick = sick.join(bounds, ["feed_id", "sweep_id"])
-    last = sweeps.agg(F.max("sweep_id")).scalar()
-    spread = (sick.withColumn("_s", F.explode(F.sequence(
-        F.col("sweep_id"), F.coalesce(F.col("_next"), last + F.lit(1)) - F.lit(1))))
-        .drop("sweep_id", "_next").withColumnRenamed("_s", "sweep_id")
-        .join(sweeps.select("sweep_id"), "sweep_id", "left_semi"))
+                         F.col("_lf.status_code").cast("bigint").alias("last_status_code"), until.alias("_next"))
+    spread = (state.where(F.col("consecutive_failures") >= threshold)
+              .withColumn("_s", F.explode(F.sequence(F.col("sweep_id"), F.col("_next") - F.lit(1))))
+              .drop("sweep_id", "_next").withColumnRenamed("_s", "sweep_id")
+              .join(sweeps.select("sweep_id"), "sweep_id", "left_semi"))
     return spread.select("sweep_id", "feed_id", "consecutive_failures", "last_error", "last_status_code")
 
 

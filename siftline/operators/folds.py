@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import ts_text
@@ -26,93 +26,67 @@ def feed_health_delta(log: DataFrame, keys: Sequence[str] = ("feed_id",)) -> Dat
     ``consecutive_failures`` counts failures after the last success of the
     slice (all failures when it has none).
 
-    Counts and times are summed per (feed, hour) first, on fixed-width buffers
-    map-side, so a feed that holds a third of the log becomes one row an hour.
-    Log rows are only joined back where they decide something: those at a
-    feed's first, last-success and last-failure time (joined by feed *and*
-    time), and the failures in the hour of its last success.
+    One scan and one shuffle of the log, by (feed, hour): a feed that holds a
+    third of the log is spread over its hours. Inside an hour a window marks the
+    failures after the hour's last success; an hour becomes one row. A second
+    fold, over the rows of a feed's hours, adds up the failures of the hours after
+    that of its last success and that hour's own marked ones. Nothing is joined.
     """
-    ok, keys = F.col("ok"), list(keys)
-    hour = F.date_trunc("hour", F.col("ts"))
-    rows = log.withColumn("_hour", hour)
-    per = rows.groupBy(*keys, "_hour").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.when(ok, F.col("item_count")).otherwise(F.lit(0))).alias("items"),
-        F.count_if(~ok).alias("fails"), F.min("ts").alias("first"),
-        F.max(F.when(ok, F.col("ts"))).alias("ok_ts"), F.max(F.when(~ok, F.col("ts"))).alias("fail_ts"))
-    tot = per.groupBy(*keys).agg(
-        F.sum("n").cast("bigint").alias("total_fetches"), F.sum("items").cast("bigint").alias("total_items"),
-        F.sum("fails").cast("bigint").alias("failures"), F.min("first").alias("first"),
-        F.max("ok_ts").alias("last_success"), F.max("fail_ts").alias("last_failure"))
-    marks = tot.select(*keys, F.explode(F.array_distinct(F.array_compact(
-        F.array("first", "last_success", "last_failure")))).alias("ts"))
-    at = (rows.join(marks, [*keys, "ts"]).groupBy(*keys).agg(
-        F.min(F.struct("ts", "seq", "feed_url")).alias("first_key"),
-        F.max(F.when(ok, F.struct("ts", "seq"))).alias("_last_ok"),
-        F.max(F.when(~ok, F.struct("ts", "seq", "status_code", "error"))).alias("last_failure_key")))
-    later = (per.join(tot.select(*keys, "last_success"), keys)
-             .where(F.col("last_success").isNull() | (F.col("_hour") > F.date_trunc("hour", F.col("last_success"))))
-             .groupBy(*keys).agg(F.sum("fails").alias("later")))
-    same = (rows.where(~ok).join(at.where(F.col("_last_ok").isNotNull()).select(
-        *keys, "_last_ok", F.date_trunc("hour", F.col("_last_ok.ts")).alias("_hour")), [*keys, "_hour"])
-        .where(F.struct("ts", "seq") > F.col("_last_ok")).groupBy(*keys).agg(F.count(F.lit(1)).alias("same")))
-    return (tot.join(at, keys).join(later, keys, "left").join(same, keys, "left").select(
+    keys, ok = list(keys), F.col("ok")
+    hour = [*keys, "_hour"]
+    rows = log.select(*keys, F.date_trunc("hour", "ts").alias("_hour"), "ts", "seq", "ok", "feed_url",
+                      "status_code", "error", F.when(ok, F.col("item_count")).otherwise(F.lit(0)).alias("items"))
+    last_ok = F.max(F.when(ok, F.struct("ts", "seq"))).over(Window.partitionBy(*hour))
+    marked = rows.withColumn("_after", ~ok & F.coalesce(F.struct("ts", "seq") > last_ok, F.lit(True)))
+    per = marked.groupBy(*hour).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("items").alias("items"), F.count_if(~ok).alias("fails"),
+        F.count_if("_after").alias("after"), F.min(F.struct("ts", "seq", "feed_url")).alias("first_key"),
+        F.max(F.when(ok, F.col("ts"))).alias("ok_ts"),
+        F.max(F.when(~ok, F.struct("ts", "seq", "status_code", "error"))).alias("last_failure_key"))
+    trailing = _trailing("_hour", F.col("ok_ts").isNotNull(), keys, "fails", "after")
+    out = per.withColumn("_trail", trailing).groupBy(*keys).agg(
+        F.min("first_key").alias("first_key"), F.sum("n").cast("bigint").alias("total_fetches"),
+        F.sum("items").cast("bigint").alias("total_items"), F.max("ok_ts").alias("last_success"),
+        F.max("last_failure_key").alias("last_failure_key"), F.sum("fails").cast("bigint").alias("failures"),
+        F.sum("_trail").cast("bigint").alias("consecutive_failures"))
+    return _health(out.withColumn("has_success", F.col("last_success").isNotNull()), keys)
+
+
+def _trailing(place: str, success: Column, keys: Sequence[str], fails: str, after: str) -> Column:
+    """What a row adds to its key's failures after the last success: all of its
+    failures behind the last place that saw one, and those behind it there."""
+    last = F.max(F.when(success, F.col(place))).over(Window.partitionBy(*keys))
+    return (F.when(last.isNull() | (F.col(place) > last), F.col(fails)).when(F.col(place) == last, F.col(after))
+            .otherwise(F.lit(0)))
+
+
+def _health(state: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return state.select(
         *keys, F.col("first_key.feed_url").alias("feed_url"), "first_key", "total_fetches", "total_items",
-        "last_success", "last_failure", F.col("last_failure_key.status_code").cast("bigint").alias("last_status_code"),
-        F.col("last_failure_key.error").alias("last_error"), "last_failure_key",
-        F.col("_last_ok").isNotNull().alias("has_success"), "failures",
-        (F.coalesce("later", F.lit(0)) + F.coalesce("same", F.lit(0))).cast("bigint").alias("consecutive_failures")))
+        "last_success", F.col("last_failure_key.ts").alias("last_failure"),
+        F.col("last_failure_key.status_code").cast("bigint").alias("last_status_code"),
+        F.col("last_failure_key.error").alias("last_error"), "last_failure_key", "has_success", "failures",
+        "consecutive_failures")
 
 
 def fold_feed_deltas(deltas: DataFrame) -> DataFrame:
     """Per-feed state from deltas of (feed, sweep), in any order of arrival:
     failures after the last sweep that saw a success, and that sweep's own
     failures after it."""
-    agg = deltas.groupBy("feed_id").agg(
+    trailing = _trailing("sweep_id", F.col("has_success"), ["feed_id"], "failures", "consecutive_failures")
+    out = deltas.withColumn("_trail", trailing).groupBy("feed_id").agg(
         F.min("first_key").alias("first_key"), F.sum("total_fetches").cast("bigint").alias("total_fetches"),
         F.sum("total_items").cast("bigint").alias("total_items"), F.max("last_success").alias("last_success"),
         F.max("last_failure_key").alias("last_failure_key"), F.max("has_success").alias("has_success"),
-        F.sum("failures").cast("bigint").alias("failures"),
-        F.max(F.when(F.col("has_success"), F.struct("sweep_id", "consecutive_failures"))).alias("_ok"))
-    later = (deltas.join(agg.select("feed_id", "_ok"), "feed_id")
-             .where(F.col("_ok").isNull() | (F.col("sweep_id") > F.col("_ok.sweep_id")))
-             .groupBy("feed_id").agg(F.sum("failures").alias("later")))
-    return agg.join(later, "feed_id", "left").select(
-        "feed_id", F.col("first_key.feed_url").alias("feed_url"), "first_key", "total_fetches", "total_items",
-        "last_success", F.col("last_failure_key.ts").alias("last_failure"),
-        F.col("last_failure_key.status_code").cast("bigint").alias("last_status_code"),
-        F.col("last_failure_key.error").alias("last_error"), "last_failure_key", "has_success", "failures",
-        (F.coalesce("later", F.lit(0)) + F.coalesce("_ok.consecutive_failures", F.lit(0))).cast("bigint")
-        .alias("consecutive_failures"))
+        F.sum("failures").cast("bigint").alias("failures"), F.sum("_trail").cast("bigint").alias("consecutive_failures"))
+    return _health(out, ["feed_id"])
 
 
 def merge_feed_health(prior: DataFrame, delta: DataFrame) -> DataFrame:
-    """Merge an older per-feed state with a newer delta (J5, T3):
-    totals add; consecutive = delta's when the delta saw a success, else
-    prior + delta failures; last values from the newer side when present;
-    feed_url from the first fetch ever. Associative, so snapshots fold in
-    any grouping that keeps time order."""
-    both = (prior.withColumn("_gen", F.lit(0)).unionByName(delta.withColumn("_gen", F.lit(1))))
-    steps = F.array_sort(F.collect_list(F.struct(
-        F.col("_gen"), F.col("has_success"), F.col("consecutive_failures"), F.col("failures"))))
-    # at most one row per generation: the fold runs over a two-element array
-    consecutive = F.aggregate(steps, F.lit(0).cast("bigint"),
-                              lambda acc, x: F.when(x["has_success"], x["consecutive_failures"])
-                              .otherwise(acc + x["failures"]))
-    return both.groupBy("feed_id").agg(
-        F.min("first_key").alias("first_key"),
-        F.sum("total_fetches").cast("bigint").alias("total_fetches"),
-        F.sum("total_items").cast("bigint").alias("total_items"),
-        F.max("last_success").alias("last_success"),
-        F.max("last_failure_key").alias("last_failure_key"),
-        F.max("has_success").alias("has_success"),
-        F.sum("failures").cast("bigint").alias("failures"),
-        consecutive.alias("consecutive_failures"),
-    ).select("feed_id", F.col("first_key.feed_url").alias("feed_url"), "first_key",
-             "total_fetches", "total_items", "last_success",
-             F.col("last_failure_key.ts").alias("last_failure"),
-             F.col("last_failure_key.status_code").cast("bigint").alias("last_status_code"),
-             F.col("last_failure_key.error").alias("last_error"),
-             "last_failure_key", "has_success", "failures", "consecutive_failures")
+    """Merge an older per-feed state with a newer delta (J5, T3): the fold of
+    the two as places 0 and 1. Associative, so snapshots fold in any grouping
+    that keeps time order."""
+    return fold_feed_deltas(prior.withColumn("sweep_id", F.lit(0)).unionByName(delta.withColumn("sweep_id", F.lit(1))))
 
 
 def feed_health_view(state: DataFrame, threshold: int = 3) -> DataFrame:

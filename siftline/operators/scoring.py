@@ -29,7 +29,8 @@ MISSING = (2, "YELLOW", "unscored")
 DEFAULT_TIER = "YELLOW"
 
 SCORE_SCHEMA = "array<struct<idx:int,score:int,tier:string,why:string>>"
-RESPONSE_SCHEMA = "sweep_id bigint, batch bigint, response string, prompt_hash string"
+RESPONSE_SCHEMA = "sweep_id bigint, batch bigint, response string, prompt_hash string, error string"
+ATTEMPTS = 3        # of one run for one prompt, fixed by the original
 
 
 def number_batches(items: DataFrame, batch_size: int, group: Sequence[str] = ("sweep_id",),
@@ -126,26 +127,55 @@ def apply_scores(batched: DataFrame, responses: DataFrame | None,
 Scorer = Callable[[Iterator[pd.DataFrame]], Iterable[pd.DataFrame]]
 
 
+def usable_answer(response: Column, n_items: Column) -> Column:
+    """Whether an attempt succeeded (M3): there is a JSON array, every element
+    has an idx, and none that counts (the last of an idx that the batch has)
+    lacks its score."""
+    a = F.from_json(F.nullif(extract_json_array(F.coalesce(response, F.lit(""))), F.lit("")), SCORE_SCHEMA)
+    last = F.transform(a, lambda x, i: F.struct(x["idx"].alias("idx"), i.alias("at")))
+    scoreless = F.exists(F.transform(a, lambda x, i: x["score"].isNull() & (x["idx"] >= 0) & (x["idx"] < n_items)
+                                     & ~F.exists(last, lambda y: (y["idx"] == x["idx"]) & (y["at"] > i))), lambda bad: bad)
+    return a.isNotNull() & F.coalesce(F.forall(a, lambda x: x["idx"].isNotNull()), F.lit(True)) & ~F.coalesce(scoreless, F.lit(True))
+
+
 def run_scorer(prompts: DataFrame, scorer: Scorer, system_prompt: str = "", model: str = "") -> DataFrame:
-    """Call the injected scorer on prompt rows (M6, X3): the only
+    """Call the injected scorer once on prompt rows (M6, X3): the only
     JVM<->Python step, Arrow-batched by ``mapInPandas``. A scorer takes the
     batches, and optionally the system prompt and the model name from the
     config. Materialise the result (score log) before reuse: a model is not
-    deterministic."""
+    deterministic.
+
+    A failure stays its own: if the scorer raises on a frame, its rows are asked
+    one at a time, and a row that raises alone gives a null response with the
+    error. Answers for batches that were not asked are left out; a batch that is
+    answered twice has two rows, one that is not answered has none."""
     n = _arity(scorer)
     extra = (system_prompt, model)[:max(0, min(n, 3) - 1)]
 
+    def _ask(pdf: pd.DataFrame) -> pd.DataFrame:
+        hashes = dict(zip(zip(pdf["sweep_id"], pdf["batch"]), pdf["prompt_hash"]))
+        got = [r[["sweep_id", "batch", "response"]] for r in scorer(iter([pdf.drop(columns="prompt_hash")]), *extra)]
+        out = pd.concat(got) if got else pd.DataFrame(columns=["sweep_id", "batch", "response"])
+        out = out[[k in hashes for k in zip(out["sweep_id"], out["batch"])]].copy()
+        out["prompt_hash"] = [hashes[k] for k in zip(out["sweep_id"], out["batch"])]
+        out["error"] = None
+        return out
+
     def _call(batches):
-        asked: dict = {}        # the prompts of the frames a scorer has taken and not answered yet
-
-        def seen():
-            for pdf in batches:
-                asked.update(zip(zip(pdf["sweep_id"], pdf["batch"]), pdf["prompt_hash"]))
-                yield pdf.drop(columns="prompt_hash")
-        for pdf in scorer(seen(), *extra):
-            pdf = pdf[["sweep_id", "batch", "response"]].copy()
-            pdf["prompt_hash"] = [asked.pop(k) for k in zip(pdf["sweep_id"], pdf["batch"])]
-            yield pdf
+        for pdf in batches:
+            try:
+                out = _ask(pdf)
+            except Exception:
+                out = None
+            if out is not None:
+                yield out
+                continue
+            for k in range(len(pdf)):
+                one = pdf.iloc[k:k + 1]
+                try:
+                    yield _ask(one)
+                except Exception as e:
+                    yield one[["sweep_id", "batch", "prompt_hash"]].assign(response=None, error=f"{type(e).__name__}: {e}")
     return prompts.select("sweep_id", "batch", "n_items", "prompt", prompt_hash(system_prompt, model).alias("prompt_hash")) \
         .mapInPandas(_call, RESPONSE_SCHEMA)
 

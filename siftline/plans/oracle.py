@@ -426,6 +426,15 @@ WHERE (contains(lower(text), 'that it') OR contains(lower(text), 'license') OR c
   AND lang IN ('en', 'de')
 ORDER BY doc_id DESC LIMIT 50"""
 
+ORACLE["corpus_search_indexed"] = ORACLE["corpus_search"]
+
+ORACLE["keyword_match_many"] = """
+WITH w AS (SELECT string_split(lower(COALESCE(text, '')), ' ') AS ws FROM benchmark),
+k AS (SELECT DISTINCT unnest(list_transform(range(1, greatest(len(ws), 2)), lambda i: array_to_string(ws[i:i + 1], ' '))) AS keyword FROM w)
+SELECT doc_id AS seq, CAST(count(*) AS bigint) AS n_matched, string_agg(keyword, '|' ORDER BY keyword) AS matched
+FROM documents JOIN k ON contains(lower(text), keyword)
+GROUP BY doc_id"""
+
 ORACLE["sweep_type_of"] = """
 SELECT event_id, CASE WHEN hour(ts) < 10 THEN 'full' ELSE 'light' END AS sweep_type,
        CASE WHEN hour(ts) < 10 THEN 'Morning' ELSE 'Midday/Evening' END AS sweep_label
@@ -653,24 +662,24 @@ noise AS (
   SELECT * FROM dd
   WHERE NOT (contains(lower(url), 'spam-farm') OR contains(lower(url), 'cheap-pills'))
     AND NOT regexp_matches(lower(title || ' ' || summary), '(license)|(tion.*sch)', 'i')
-    AND sweep_id IN (1, 2, 6, 12)
 ),
 kept AS (
   SELECT * FROM (SELECT *, min(sweep_ts) OVER (PARTITION BY item_id) AS first_seen FROM noise)
-  WHERE (sweep_ts = first_seen OR first_seen <= sweep_ts - INTERVAL 48 HOURS) AND sweep_id <> 2
+  WHERE sweep_ts = first_seen OR first_seen <= sweep_ts - INTERVAL 48 HOURS
 ),
 marked AS (
-  SELECT *, '[ai_research] ' || title || ' | ' || substring(summary, 1, 200) AS line FROM kept
+  SELECT *, '[ai_research] ' || title || ' | ' || substring(summary, 1, 200) AS line,
+         ((row_number() OVER (PARTITION BY sweep_id ORDER BY seq) - 1) // 40) % 4 = 3 AS failed FROM kept
 ),
 scored AS (
-  SELECT sweep_id, seq, item_id, source,
-         CAST(CASE WHEN contains(lower(line), 'user 1') THEN 4
+  SELECT sweep_id, seq, item_id, source, failed,
+         CAST(CASE WHEN failed THEN 2 WHEN contains(lower(line), 'user 1') THEN 4
                    WHEN contains(lower(line), 'purchase') OR contains(lower(line), 'signup') THEN 3 ELSE 1 END AS bigint) AS score
   FROM marked
 )""", """
 SELECT sweep_id, seq, item_id, source, score,
-       CASE score WHEN 4 THEN 'ORANGE' WHEN 3 THEN 'YELLOW' ELSE 'GREY' END AS tier,
-       CASE WHEN score > 1 THEN 'keyword match' ELSE 'no match' END AS reason,
+       CASE score WHEN 4 THEN 'ORANGE' WHEN 3 THEN 'YELLOW' WHEN 2 THEN 'YELLOW' ELSE 'GREY' END AS tier,
+       CASE WHEN failed THEN 'scoring failed' WHEN score > 1 THEN 'keyword match' ELSE 'no match' END AS reason,
        CAST(count(*) OVER (PARTITION BY source) AS bigint) AS total_scored
 FROM scored""")
 

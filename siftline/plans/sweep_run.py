@@ -42,35 +42,52 @@ def curate_against_store(items: DataFrame, store: LogStore, spark: SparkSession,
     """Curation of new sweeps given the seen-store.
     The first sighting of an item is the earlier of the store's (rows
     recorded by *other* sweeps, so a rerun sees the same store) and the new
-    sweeps' own. First sightings never expire (a repeat after the window passes
-    and still is no first), so the store's (item, time) pairs are read whole:
-    two columns of it, reduced to the items at hand before anything else."""
-    prior = store.read(spark, "items_seen").where(~F.col("sweep_id").isin(sweep_ids))
+    sweeps' own; the store is asked for these items only (``sinks.seen``)."""
     return cur.curate(items, cfg.skip_domains, cfg.skip_patterns, cfg.dedup_window_hours,
-                      prior_first=prior.select("item_id", "first_seen"))
+                      prior_first=store.seen_before(spark, items, sweep_ids, since_window(items, sweep_ids, cfg.dedup_window_hours)))
+
+
+def since_window(items: DataFrame, sweep_ids: list[int], hours: int) -> F.Column | None:
+    """For a single sweep only sightings inside its window can suppress an item,
+    so older ones need not be read. With several sweeps they must be: an item
+    that was first seen long ago passes in all of them."""
+    start = items.agg(F.min("sweep_ts")).first()[0] if len(sweep_ids) == 1 else None
+    return None if start is None else F.lit(start).cast("timestamp") - F.expr(f"INTERVAL {int(hours)} HOURS")
 
 
 def record_seen(curated: DataFrame, store: LogStore, spark: SparkSession, sweep_ids: list[int]) -> None:
     """Insert-if-absent (K1): the first curated copy of items the store
     does not know yet, first_seen = sweep time."""
-    prior = store.read(spark, "items_seen").where(~F.col("sweep_id").isin(sweep_ids))
-    first = keep_first(curated, ["item_id"], "sweep_ts").join(prior.select("item_id"), "item_id", "left_anti")
-    rows = first.select("item_id", "url", "title", F.substring("summary", 1, 500).alias("summary"), "source",
-                        "domain", "published", F.col("sweep_ts").alias("first_seen"),
-                        F.to_date("sweep_ts").alias("first_seen_date"), "sweep_id")
-    store.replace(spark, rows, "items_seen", sweep_ids)
+    known = store.seen_before(spark, curated, sweep_ids)
+    first = keep_first(curated, ["item_id"], "sweep_ts").join(known.select("item_id"), "item_id", "left_anti")
+    store.record(spark, first.select(
+        "item_id", "url", "title", F.substring("summary", 1, 500).alias("summary"), "source", "domain", "published",
+        F.col("sweep_ts").alias("first_seen"), F.to_date("sweep_ts").alias("first_seen_date"), "sweep_id"), sweep_ids)
 
 
 def answered(prompts: DataFrame, store: LogStore, spark: SparkSession, sweep_ids: list[int], scorer: sc.Scorer,
              system_prompt: str, model: str) -> DataFrame:
-    """One answer for each prompt: those that the log has for the very same
-    prompt, and new ones of the scorer for all others."""
+    """One usable answer for each prompt that has one: those that the log has
+    for the very same prompt, and new ones of the scorer for all others, in up
+    to ``ATTEMPTS`` rounds, each over the prompts that are still without (M5).
+    Every attempt is logged with its outcome and counts at once, so a run that
+    breaks off asks nothing twice. What no attempt answered is asked again by the
+    next run."""
     key = ["sweep_id", "batch", "prompt_hash"]
     asked = prompts.withColumn("prompt_hash", sc.prompt_hash(system_prompt, model))
-    have = store.read(spark, "responses", sweep_ids)
-    store.append(sc.run_scorer(asked.join(have.select(*key), key, "left_anti"), scorer, system_prompt, model), "responses")
+
+    def have() -> DataFrame:
+        return store.read(spark, "responses", sweep_ids).where("usable")
+    for attempt in range(1, sc.ATTEMPTS + 1):
+        open_ = asked.join(have().select(*key), key, "left_anti")
+        if open_.isEmpty():
+            break
+        got = sc.run_scorer(open_, scorer, system_prompt, model).join(asked.select(*key, "n_items"), key)
+        store.append(spark, got.select(
+            *key, "response", "error", F.lit(attempt).alias("attempt"),
+            sc.usable_answer(F.col("response"), F.col("n_items")).alias("usable")), "responses", sweep_ids)
     # a task that ran twice may have answered twice: one of them counts
-    return (store.read(spark, "responses", sweep_ids).join(asked.select(*key), key, "left_semi")
+    return (have().join(asked.select(*key), key, "left_semi")
             .groupBy("sweep_id", "batch").agg(F.min("response").alias("response")))
 
 
@@ -97,6 +114,8 @@ def run_sweeps(spark: SparkSession, items: DataFrame, sweeps: DataFrame, cfg: Cu
     The sweeps (a row each) are held by the driver as literals, so every log
     is read by its partitions. A run replaces what earlier runs of the same
     sweeps left, also where there is nothing new; sweeps may come in any order.
+    All its logs count together, from its end on: a run that breaks off leaves
+    nothing but the answers it got.
 
     ``mode``: ``full``; ``dry_run`` (everything, but no digest file and the
     log's path is ``(dry-run)``); ``sources_only`` (items are recorded as
@@ -111,6 +130,7 @@ def run_sweeps(spark: SparkSession, items: DataFrame, sweeps: DataFrame, cfg: Cu
     if not ids:
         raise ValueError("no sweeps to process")
     system_prompt = sc.config_prompt(cfg) if system_prompt is None else system_prompt
+    store = store.begin()       # all logs of this run count from its commit on
     digest_dir = digest_dir or cfg.digest_dir or store.path("digest_files")
     # parsed once: report, curation and funnel read these rows. Scores come from the scorer only
     items = store.replace(spark, items, "items", ids)
@@ -125,6 +145,7 @@ def run_sweeps(spark: SparkSession, items: DataFrame, sweeps: DataFrame, cfg: Cu
     if mode == "sources_only":
         listing = curated.select("sweep_id", "seq", "domain", "source", "title")
         empty = spark.createDataFrame([], "sweep_id bigint")
+        store.commit(spark)
         return SweepResult(checked, curated, listing, empty, empty)
 
     batched = sc.number_batches(curated, cfg.batch_size)
@@ -139,13 +160,10 @@ def run_sweeps(spark: SparkSession, items: DataFrame, sweeps: DataFrame, cfg: Cu
     if fetches is not None:
         log = store.replace(spark, counted(fetches, items), "fetch_log", ids)
         store.replace(spark, fl.feed_health_delta(log, ("feed_id", "sweep_id")), "feed_delta", ids)
-    feeds = store.read(spark, "feed_delta")
     store.replace(spark, fl.source_quality_counts(scored_items, ("source", "sweep_id")), "quality_delta", ids)
-    state = store.read(spark, "quality_delta")
-    span = F.col("sweep_id").between(ids[0], ids[-1])
-    before = F.col("sweep_id") < ids[0]
-    sick = dg.feed_health_asof(feeds.where(span), sweeps, prior=fl.fold_feed_deltas(feeds.where(before)))
-    quality = dg.source_quality_asof(state.where(span), sweeps, prior=fl.sum_source_counts(state.where(before)))
+    feeds, state = (store.read_between(spark, name, ids[0], ids[-1]) for name in ("feed_delta", "quality_delta"))
+    sick = dg.feed_health_asof(feeds, sweeps, prior=fl.fold_feed_deltas(store.deltas(spark, "feed_delta", ids[0] - 1)))
+    quality = dg.source_quality_asof(state, sweeps, prior=fl.sum_source_counts(store.deltas(spark, "quality_delta", ids[0] - 1)))
     lines = dg.digest_lines(sweeps, sick, warnings, shown.select(
         "sweep_id", "tier", "rank", "title", "url", "source", "domain", "reason"), quality, cfg.orient_prompt)
     digests = store.replace(spark, dg.digest_text(lines), "digests", ids)
@@ -154,6 +172,9 @@ def run_sweeps(spark: SparkSession, items: DataFrame, sweeps: DataFrame, cfg: Cu
     fetched = report.select("sweep_id", F.col("valid").alias("items_fetched"))
     funnel = rp.sweep_funnel(sweeps, fetched, scored_items, cfg.budgets, cfg.min_score)
     dlog = store.replace(spark, rp.digest_log(funnel, digest_dir, dry_run=(mode == "dry_run")), "digest_log", ids)
+    store.checkpoint(spark, "feed_delta", fl.fold_feed_deltas)
+    store.checkpoint(spark, "quality_delta", fl.sum_source_counts)
+    store.commit(spark)
     return SweepResult(checked, curated, scored_items, digests, dlog)
 
 
@@ -196,20 +217,21 @@ def items_from_raw(raw: DataFrame, cfg: CurationConfig, spark: SparkSession,
     from ..sources import gating
     from ..sources import xml_feeds as xf
 
-    if cfg.source_keys:   # domains of feeds and search terms; one row a key, the first in the config
-        keys = list({(t, k): (t, k, d) for t, k, d in reversed(cfg.source_keys)}.values())
-        keys = spark.createDataFrame(keys, "source_type string, _key string, _key_domain string")
-        raw = (raw.withColumn("_key", F.coalesce("feed_name", "query")).join(keys, ["source_type", "_key"], "left")
-               .withColumn("domain", F.coalesce("domain", "_key_domain")).drop("_key", "_key_domain"))
-    table = gating.source_config_table(spark, cfg.sources)
-    gated = gating.gate(raw, table, cfg.default_domain)
+    if cfg.source_keys:   # domains of feeds and search terms
+        raw = raw.withColumn("domain", F.coalesce("domain", gating.key_domain(
+            cfg.source_keys, F.col("source_type"), F.coalesce("feed_name", "query"))))
+    gated = gating.gate(raw, cfg.sources, cfg.default_domain)
     live = gated.where((F.col("action") == "fetch") & F.col("error").isNull() & (F.col("fetch_seq") != CRASHED))
-    sweeps = raw.select("sweep_id", "sweep_ts", "sweep_type").distinct()
-    crashed = gated.where((F.col("action") == "fetch") & (F.col("fetch_seq") == CRASHED)).select("sweep_id", "source_type")
+    # a row a sweep, with the sources that crashed in it: held by the driver, as ``run_sweeps`` does
+    crash = F.when((F.col("action") == "fetch") & (F.col("fetch_seq") == CRASHED), F.col("source_type"))
+    known = gated.groupBy("sweep_id", F.unix_micros("sweep_ts").alias("at"), "sweep_type").agg(
+        F.collect_set(crash).alias("crashed")).collect()
     items = None
     for rank, (name, parse) in enumerate(gating.REGISTRY.items()):
-        called = gating.called_sweeps(sweeps, name, cfg.sources).join(
-            crashed.where(F.col("source_type") == name).select("sweep_id"), "sweep_id", "left_anti")
+        called = gating.called_sweeps(gating.local_rows(
+            spark, [(r.sweep_id, r["at"], r.sweep_type) for r in known if name not in r.crashed],
+            "sweep_id bigint, at bigint, sweep_type string").select(
+                "sweep_id", F.timestamp_micros("at").alias("sweep_ts"), "sweep_type"), name, cfg.sources)
         rows = parse(gating.Landed(live.where(F.col("source_type") == name), cfg, called, hn_top, hn_stories)) \
             .select(*gating.ITEM).join(called.select("sweep_id", "sweep_ts"), "sweep_id")
         part = rows.select(
@@ -231,10 +253,11 @@ def health_panels(spark: SparkSession, store: LogStore, as_of_sweep=None) -> dic
     """The original's health report and dashboard panels (R2, R3) from the
     log store: feed health (status bands, average items per fetch),
     source signal rates, the last ten digests and lifetime counts. State is
-    folded from the sweeps' deltas, whatever order they came in."""
-    upto = F.lit(True) if as_of_sweep is None else F.col("sweep_id") <= int(as_of_sweep)
-    feed_state = fl.fold_feed_deltas(store.read(spark, "feed_delta").where(upto))
-    quality = fl.sum_source_counts(store.read(spark, "quality_delta").where(upto))
+    folded from the last checkpoint and the sweeps' deltas after it, whatever
+    order they came in."""
+    upto = None if as_of_sweep is None else int(as_of_sweep)
+    feed_state = fl.fold_feed_deltas(store.deltas(spark, "feed_delta", upto))
+    quality = fl.sum_source_counts(store.deltas(spark, "quality_delta", upto))
     seen = store.read(spark, "items_seen")
     scores = store.read(spark, "score_log")
     current = fl.current_scores(scores, seen, "left")

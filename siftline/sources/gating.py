@@ -14,39 +14,60 @@ Gating rules, per source type and sweep type:
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Callable, Sequence
+from typing import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT_DOMAIN, SOURCE_ORDER, CurationConfig, SourceConfig
+from ..config import DEFAULT_DOMAIN, CurationConfig, SourceConfig
 
 SEARCH_SOURCE = "serp"
 
 
-def source_config_table(spark: SparkSession, sources: Sequence[SourceConfig]) -> DataFrame:
-    order = {n: i for i, n in enumerate(SOURCE_ORDER)}
-    rows = [(s.name, bool(s.enabled), s.sweep, s.domain, order.get(s.name, len(order) + i))
-            for i, s in enumerate(sources)]
-    return spark.createDataFrame(rows, "source_type string, enabled boolean, sweep string, "
-                                       "cfg_domain string, src_rank int")
+def by_name(values: Mapping[str, object], name: Column, kind: str) -> Column:
+    """The value of a row's ``name``, as a chain of literals: config is small,
+    so a row needs no join to read it. Null where the name has none."""
+    out = F.lit(None).cast(kind)
+    for k, v in values.items():
+        out = F.when(name == k, F.lit(v).cast(kind)).otherwise(out)
+    return out
 
 
-def gate(fetches: DataFrame, cfg: DataFrame, default_domain: str = DEFAULT_DOMAIN) -> DataFrame:
+def gate(fetches: DataFrame, sources: Sequence[SourceConfig], default_domain: str = DEFAULT_DOMAIN) -> DataFrame:
     """Add ``action`` (fetch / skipped / disabled / empty / unknown) and the
-    resolved ``domain`` to rows with ``source_type`` and ``sweep_type``."""
-    j = fetches.join(cfg, "source_type", "left")
-    light = F.col("sweep_type") == "light"
-    serp = F.col("source_type") == SEARCH_SOURCE
-    known = F.col("enabled").isNotNull() | F.col("source_type").isin(*REGISTRY)
-    action = (F.when(~known, F.lit("unknown"))
-              .when(~F.coalesce("enabled", F.lit(True)), F.lit("disabled"))
-              .when(light & (F.col("sweep") == "full") & serp, F.lit("skipped"))
-              .when(light & serp & F.col("sweep").isNull(), F.lit("empty"))
+    resolved ``domain`` to rows with ``source_type`` and ``sweep_type``. A
+    projection: payloads are neither joined nor moved."""
+    name, light = F.col("source_type"), F.col("sweep_type") == "light"
+    serp = name == SEARCH_SOURCE
+    sweep = by_name({s.name: s.sweep for s in sources}, name, "string")
+    action = (F.when(~name.isin(*{*REGISTRY, *(s.name for s in sources)}), F.lit("unknown"))
+              .when(~by_name({s.name: bool(s.enabled) for s in sources if not s.enabled}, name, "boolean").isNull(), F.lit("disabled"))
+              .when(light & (sweep == "full") & serp, F.lit("skipped"))
+              .when(light & serp & sweep.isNull(), F.lit("empty"))
               .otherwise(F.lit("fetch")))
-    dom = F.coalesce(F.col("domain"), F.col("cfg_domain"), F.lit(default_domain)) \
-        if "domain" in fetches.columns else F.coalesce(F.col("cfg_domain"), F.lit(default_domain))
-    return j.withColumn("action", action).withColumn("domain", dom).drop("enabled", "sweep", "cfg_domain")
+    own = [F.col("domain")] if "domain" in fetches.columns else []
+    domain = F.coalesce(*own, by_name({s.name: s.domain for s in sources}, name, "string"), F.lit(default_domain))
+    return fetches.withColumn("action", action).withColumn("domain", domain)
+
+
+def key_domain(keys: Sequence[tuple[str, str, str]], name: Column, key: Column) -> Column:
+    """The configured domain of a feed or search term (source type, key,
+    domain; the first of a key counts), looked up in one map literal."""
+    table = {f"{t}\x1f{k}": d for t, k, d in reversed(keys)}
+    if not table:
+        return F.lit(None).cast("string")
+    return F.try_element_at(F.create_map(*[F.lit(x).cast("string") for kv in table.items() for x in kv]), F.concat_ws("\x1f", name, key))
+
+
+def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A few rows of the driver as a relation whose size the planner knows, so
+    that it joins by broadcast only if they are few."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+    kinds = to_arrow_schema(StructType.fromDDL(schema))
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(kinds)],
+                                                      schema=kinds))
 
 
 def called_sweeps(sweeps: DataFrame, source: str, sources: Sequence[SourceConfig]) -> DataFrame:

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_DOMAIN, DEFAULT_MIN_POINTS, HN_HITS_PER_QUERY, TOP_STORY_CAP
-from ..functions.keywords import any_keyword, contains_any_raw, matched_keywords
+from ..functions.keywords import contains_any_raw
+from ..operators.keyword_match import containing
 from ..functions.text import blank_to_empty, points_text, truncate, url_or_discussion
 from ..operators.ordering import keep_first
 
@@ -101,14 +102,12 @@ def hn_top_items(cands: DataFrame, keywords: Iterable[str], min_points: int = DE
     c = cands
     if seen_urls is not None:
         c = c.join(seen_urls.select("sweep_id", "url").distinct(), ["sweep_id", "url"], "left_anti")
-    kept = c.where((F.col("type") == "story") & (F.col("points") >= min_points)
-                   & any_keyword(F.col("title"), kws))
+    kept = containing(c.where((F.col("type") == "story") & (F.col("points") >= min_points)), "title", kws, "matched_keywords")
     kept = keep_first(kept, ["sweep_id", "url"], "rank")
     return kept.select("sweep_id", "rank", "id", "title", "url",
                        points_text(F.col("points")).alias("summary"),
                        F.lit(DEFAULT_DOMAIN).alias("domain"), F.lit("").alias("published"),
-                       F.lit("hackernews").alias("source"),
-                       matched_keywords(F.col("title"), kws).alias("matched_keywords"))
+                       F.lit("hackernews").alias("source"), "matched_keywords")
 
 
 def hn_items(hits: DataFrame, cands: DataFrame, keywords: Iterable[str],
@@ -122,7 +121,7 @@ def hn_items(hits: DataFrame, cands: DataFrame, keywords: Iterable[str],
     cols = ["sweep_id", "kind", "query_seq", "pos", "domain", "item_key", "url", "points", "title", "summary", "published"]
     search = hits.select("sweep_id", F.lit("search").alias("kind"), "query_seq", "pos", "domain",
                          F.col("object_id").alias("item_key"), "url", "points", "title", "summary", "published")
-    top = cands.where((F.col("type") == "story") & (F.col("points") >= min_points) & any_keyword(F.col("title"), kws)).select(
+    top = containing(cands.where((F.col("type") == "story") & (F.col("points") >= min_points)), "title", kws).select(
         "sweep_id", F.lit("top").alias("kind"), F.lit(1 << 41).alias("query_seq"), (F.col("rank") - 1).alias("pos"),
         F.lit(DEFAULT_DOMAIN).alias("domain"), F.col("id").cast("string").alias("item_key"), "url", "points", "title",
         points_text(F.col("points")).alias("summary"), F.lit("").alias("published"))

@@ -5,9 +5,10 @@ columns). One ``from_xml`` with an explicit schema parses each body inside
 the scan stage; ``posexplode`` yields the entries with their position, so
 arrival order is kept without any shuffle.
 
-Limits of the built-in parser, stated once: ``item`` elements deeper than
-``channel/item`` are not found; nested markup inside a text element comes
-back as inner XML (the original keeps only the text before the first child).
+Limits of the built-in parser, stated once: nested markup inside a text
+element comes back as inner XML (the original keeps only the text before the
+first child), and of an ``item`` that holds another one only the fields before
+that one are found.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ ATOM_ENTRY = (f"struct<title:{_TXT},link:array<struct<_href:string>>,summary:{_T
 FEED_SCHEMA = (f"_xmlns string, channel struct<item:array<{RSS_ITEM}>>, item array<{RSS_ITEM}>, "
                f"entry array<{ATOM_ENTRY}>")
 
+ITEM_TAG = r"<item[\s/>]"
+
 # a prefixed Atom root: <P:feed ...> with P bound to the Atom namespace
 _PREFIXED_ROOT = r"<([A-Za-z_][\w.\-]*):feed[\s>/]"
 
@@ -48,6 +51,11 @@ def parse_feed_xml(raw: DataFrame, body: str = "body") -> DataFrame:
     namespace, by default namespace or as ``<P:feed>`` with P bound to it
     (then P's tags are rewritten to plain ones).
     A malformed body parses to null: zero items, the fetch still succeeds.
+
+    The schema finds items in the root and in its channel. Where a body has more
+    ``item`` tags than that (deeper ones, or several channels), its items are cut
+    out, put into one channel and parsed again as ``_deep``; bodies whose tags may
+    be in a namespace of an inner element, or stand in character data, are not cut.
     """
     b = F.col(body)
     root_prefix = F.regexp_extract(b, _PREFIXED_ROOT, 1)
@@ -55,10 +63,19 @@ def parse_feed_xml(raw: DataFrame, body: str = "body") -> DataFrame:
     prefix = F.when((root_prefix != "") & declared, root_prefix).otherwise(F.lit(""))
     norm = F.when(prefix != "", F.regexp_replace(b, F.concat(F.lit("<(/?)"), prefix, F.lit(":")),
                                                  F.lit("<$1"))).otherwise(b)
-    return (raw.withColumn("_prefix", prefix)
-            .withColumn("_doc", F.from_xml(norm, FEED_SCHEMA))
-            .withColumn("_rss_ok", F.col("_doc._xmlns").isNull() & (F.col("_prefix") == ""))
-            .withColumn("_atom_ok", (F.col("_doc._xmlns") == ATOM_NS) | (F.col("_prefix") != "")))
+    out = (raw.withColumn("_prefix", prefix)
+           .withColumn("_doc", F.from_xml(norm, FEED_SCHEMA))
+           .withColumn("_rss_ok", F.col("_doc._xmlns").isNull() & (F.col("_prefix") == ""))
+           .withColumn("_atom_ok", (F.col("_doc._xmlns") == ATOM_NS) | (F.col("_prefix") != "")))
+    found = sum((F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)) for c in ("_doc.item", "_doc.channel.item")), F.lit(0))
+    plain = F.regexp_replace(b, r"(?s)<!--.*?-->", "")
+    deeper = (F.col("_doc").isNotNull() & F.col("_rss_ok") & (F.regexp_count(plain, F.lit(ITEM_TAG)) > found)
+              & ~b.rlike(r"\sxmlns\s*=") & ~b.rlike(r"(?s)<!\[CDATA\[(?:(?!\]\]>).)*</?item[\s/>]"))
+    pieces = F.slice(F.split(F.concat(F.lit(" "), plain), f"(?={ITEM_TAG})"), 2, 1 << 30)      # each from one item tag to the next
+    whole = F.transform(pieces, lambda x: F.when(x.rlike(r"</item\s*>"), F.regexp_extract(x, r"(?s)^.*?</item\s*>", 0))
+                        .when(x.rlike(r"^<item[^>]*/>"), F.lit("")).otherwise(F.concat(x, F.lit("</item>"))))
+    one = F.concat(F.lit("<rss><channel>"), F.array_join(whole, ""), F.lit("</channel></rss>"))
+    return out.withColumn("_deep", F.from_xml(F.when(deeper, one), FEED_SCHEMA))
 
 
 def _first_nonblank(*cols) -> Column:
@@ -87,8 +104,8 @@ def feed_items(raw: DataFrame, keep=("sweep_id", "fetch_seq", "feed_name", "doma
     p = parse_feed_xml(raw)
     parts = []
     if "rss" in kinds:
-        rss = F.concat(F.coalesce("_doc.channel.item", F.array().cast(f"array<{RSS_ITEM}>")),
-                       F.coalesce("_doc.item", F.array().cast(f"array<{RSS_ITEM}>")))
+        rss = F.coalesce("_deep.channel.item", F.concat(F.coalesce("_doc.channel.item", F.array().cast(f"array<{RSS_ITEM}>")),
+                                                       F.coalesce("_doc.item", F.array().cast(f"array<{RSS_ITEM}>"))))
         parts.append(F.when(F.col("_rss_ok"), F.transform(rss, lambda x: F.struct(
             F.lit(0).alias("part"), _first(x["title"]).alias("title"), _first(x["link"]).alias("url"),
             _first(x["description"]).alias("summary"), _first(x["pubDate"]).alias("pub")))))

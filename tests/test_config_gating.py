@@ -26,10 +26,9 @@ def test_config_requires_sections_and_reads_defaults():
 
 
 def test_gating_rules(spark):
-    cfg = gating.source_config_table(spark, [
-        SourceConfig("arxiv", domain="papers"), SourceConfig("serp", sweep="full"),
-        SourceConfig("hackernews", enabled=False), SourceConfig("rss")])
-    cfg_unset = gating.source_config_table(spark, [SourceConfig("serp")])
+    cfg = [SourceConfig("arxiv", domain="papers"), SourceConfig("serp", sweep="full"),
+           SourceConfig("hackernews", enabled=False), SourceConfig("rss")]
+    cfg_unset = [SourceConfig("serp")]
     f = spark.createDataFrame([("arxiv", "light"), ("serp", "light"), ("serp", "full"), ("hackernews", "full"),
                                ("rss", "light"), ("podcast", "full")], "source_type string, sweep_type string")
     got = {(r.source_type, r.sweep_type): (r.action, r.domain) for r in gating.gate(f, cfg).collect()}

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 
 from siftline.operators import scoring as sc
 from siftline.sources import json_feeds as jf
@@ -114,3 +115,25 @@ def test_rss_declaring_atom_prefix_still_parses(spark):
             '<atom:link href="http://wrong"/></item></channel></rss>')
     rows = xf.feed_items(_raw(spark, [body])).collect()
     assert [(r.title, r.url) for r in rows] == [("T", "http://real")]
+
+
+def _deep(spark, body):
+    raw = spark.createDataFrame([(1, 0, "f", "d", body)], "sweep_id long, fetch_seq long, feed_name string, domain string, body string")
+    return [(r.title, r.url, r.summary) for r in xf.rss_items(raw).orderBy("pos").collect()]
+
+
+@pytest.mark.parametrize("body,want", [
+    ('<rss><channel><group><item><title>A</title><link>http://a</link></item></group><item><title>B</title></item></channel></rss>',
+     [("A", "http://a", ""), ("B", "", "")]),                                                   # below another element
+    ('<rss><channel><item><title>A</title></item></channel><channel><item><title>B</title></item></channel></rss>',
+     [("A", "", ""), ("B", "", "")]),                                                           # two channels
+    ('<x xmlns:m="u"><y><z><item id="1"><m:c>no</m:c><title>A &amp; B</title><description>d &lt;b&gt;e</description></item></z></y></x>',
+     [("A & B", "", "d e")]),
+    ('<rss><channel><item><title>A</title><item><title>B</title></item></item></channel></rss>', [("A", "", ""), ("B", "", "")]),
+    ('<rss><a><!-- <item><title>no</title></item> --><item><title>A</title></item><item/></a></rss>', [("A", "", "")]),
+    ('<rss><a><item><title>A</title></item></a><b></rss>', []),                                  # malformed
+    ('<rss><a xmlns="urn:x"><item><title>A</title></item></a></rss>', []),                       # in a namespace
+    ('<rss><channel><item><title>A</title><description><![CDATA[<item>x</item>]]></description></item></channel></rss>', [("A", "", "x")]),
+])
+def test_items_at_any_depth(spark, body, want):
+    assert _deep(spark, body) == want
