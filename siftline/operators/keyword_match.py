@@ -79,8 +79,9 @@ def containing(rows: DataFrame, text: str, keywords: Sequence[str], matched: str
     keywords joined by ``|`` in that column."""
     kws = list(keywords)
     if len(kws) <= LITERALS:
-        out = rows.where(any_keyword(F.col(text), kws))
-        return out if matched is None else out.withColumn(matched, matched_keywords(F.col(text), kws))
+        t = F.coalesce(F.col(text), F.lit(""))
+        out = rows.where(any_keyword(t, kws))
+        return out if matched is None else out.withColumn(matched, matched_keywords(t, kws))
     out = with_matches(rows, text, keyword_table(rows.sparkSession, kws), "_matches").where(F.size("_matches") > 0)
     if matched is not None:
         out = out.withColumn(matched, F.array_join(F.transform("_matches", lambda x: x["keyword"]), "|"))
@@ -91,6 +92,6 @@ def without(rows: DataFrame, text: str, needles: Sequence[str]) -> DataFrame:
     """The rows whose ``text`` contains none of the needles (F2)."""
     needles = list(needles)
     if len(needles) <= LITERALS:
-        return rows.where(~any_keyword(F.col(text), needles)) if needles else rows
+        return rows.where(~any_keyword(F.coalesce(F.col(text), F.lit("")), needles)) if needles else rows
     return (with_matches(rows, text, keyword_table(rows.sparkSession, needles), "_matches")
             .where(F.size("_matches") == 0).drop("_matches"))

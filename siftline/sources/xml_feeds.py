@@ -29,7 +29,7 @@ ATOM_ENTRY = (f"struct<title:{_TXT},link:array<struct<_href:string>>,summary:{_T
 # Repeated tags are arrays: the original takes the first occurrence, a
 # scalar field would keep the last. The root tag name is not part of it.
 FEED_SCHEMA = (f"_xmlns string, channel struct<item:array<{RSS_ITEM}>>, item array<{RSS_ITEM}>, "
-               f"entry array<{ATOM_ENTRY}>")
+               f"entry array<{ATOM_ENTRY}>, _corrupt_record string")
 
 ITEM_TAG = r"<item[\s/>]"
 
@@ -69,7 +69,7 @@ def parse_feed_xml(raw: DataFrame, body: str = "body") -> DataFrame:
            .withColumn("_atom_ok", (F.col("_doc._xmlns") == ATOM_NS) | (F.col("_prefix") != "")))
     found = sum((F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)) for c in ("_doc.item", "_doc.channel.item")), F.lit(0))
     plain = F.regexp_replace(b, r"(?s)<!--.*?-->", "")
-    deeper = (F.col("_doc").isNotNull() & F.col("_rss_ok") & (F.regexp_count(plain, F.lit(ITEM_TAG)) > found)
+    deeper = (F.col("_doc").isNotNull() & F.col("_doc._corrupt_record").isNull() & F.col("_rss_ok") & (F.regexp_count(plain, F.lit(ITEM_TAG)) > found)
               & ~b.rlike(r"\sxmlns\s*=") & ~b.rlike(r"(?s)<!\[CDATA\[(?:(?!\]\]>).)*</?item[\s/>]"))
     pieces = F.slice(F.split(F.concat(F.lit(" "), plain), f"(?={ITEM_TAG})"), 2, 1 << 30)      # each from one item tag to the next
     whole = F.transform(pieces, lambda x: F.when(x.rlike(r"</item\s*>"), F.regexp_extract(x, r"(?s)^.*?</item\s*>", 0))
