@@ -208,9 +208,15 @@ class Block:
             return
         h = rolling(ids, self.min_match)[at]
         lo, hi = np.searchsorted(self.hash, h, "left"), np.searchsorted(self.hash, h, "right")
-        at, lo, hi = at[hi > lo], lo[hi > lo], hi[hi > lo]
-        if not len(at):
+        n = hi - lo
+        total = int(n.sum())
+        if not total:
+            return
+        if total <= MOST_PAIRS:
+            take = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(total)
+            yield from self._tiled(ids, self.owner[take], np.repeat(at, n), self.place[take])
             return
+        at, lo, hi = at[n > 0], lo[n > 0], hi[n > 0]
         # the block's windows that the document has, each once, and how often it has them
         first, times = np.unique(lo, return_counts=True)
         n = np.searchsorted(self.hash, self.hash[first], "right") - first
@@ -233,11 +239,14 @@ class Block:
             mine = of[who] == t
             w = window[mine]
             take = np.repeat(start[w] - (np.cumsum(times[w]) - times[w]), times[w]) + np.arange(int(times[w].sum()))
-            at_doc, at_item, owner = at[by_window][take], np.repeat(self.place[held[mine]], times[w]), np.repeat(who[mine], times[w])
-            order = np.argsort(owner, kind="stable")
-            for part in np.split(order, np.flatnonzero(np.diff(owner[order])) + 1):
-                item_id, item = self.items[owner[part[0]]]
-                yield item_id, tiles(ids, item, at_doc[part], at_item[part], self.min_match), len(item)
+            yield from self._tiled(ids, np.repeat(who[mine], times[w]), at[by_window][take], np.repeat(self.place[held[mine]], times[w]))
+
+    def _tiled(self, ids: np.ndarray, who: np.ndarray, at_doc: np.ndarray, at_item: np.ndarray):
+        """Tiles of each item from its seeds."""
+        order = np.argsort(who, kind="stable")
+        for part in np.split(order, np.flatnonzero(np.diff(who[order])) + 1):
+            item_id, item = self.items[who[part[0]]]
+            yield item_id, tiles(ids, item, at_doc[part], at_item[part], self.min_match), len(item)
 
 
 def _blocks(bench: DataFrame, min_match: int, block_bytes: int) -> Iterator[Block]:
