@@ -148,3 +148,39 @@ def test_language_edge_cases(spark, edge_docs, no_docs, documents):
     assert kept.columns == edge_docs.columns
     assert sorted((r.doc_id or -1) for r in kept.collect()) == sorted(
         (r.doc_id or -1) for r, l in zip(edge_docs.collect(), letters) if l)
+
+
+def plain_language(model, text, window=128):
+    """The label probabilities of a text, byte by byte."""
+    h, total, raw = model.hidden, np.zeros(len(model.labels)), text.encode()
+    for lo in range(0, len(raw), window):
+        part, ways = raw[lo:lo + window], []
+        for d, order in ((0, range(len(part))), (1, range(len(part) - 1, -1, -1))):
+            state, at = np.zeros(h), {}
+            for t in order:
+                x, a = model.table[d][part[t]].astype(float), state @ model.rec[d].astype(float)
+                z, r = (1 / (1 + np.exp(-(x[k:k + h] + a[k:k + h]))) for k in (0, h))
+                c = np.tanh(r * (a[2 * h:] + model.cand[d][0]) + x[2 * h:])
+                state = z * state + (1 - z) * c
+                at[t] = state
+            ways.append(at)
+        for t in range(len(part)):
+            y = np.exp(np.concatenate([ways[0][t], ways[1][t]]) @ model.out + model.bias)
+            total += y / y.sum()
+    return total / max(1, len(raw))
+
+
+def test_query_equals_plain_loops(spark, documents):
+    rows = documents.withColumn("held", lid.held_out(documents["doc_id"])).collect()
+    model = lid.fit(documents.where(~lid.held_out(documents["doc_id"])))
+    got = {r.doc_id: r for r in lid.identify(documents).collect()}
+    assert len(got) == len(rows)
+    for r in sorted(rows, key=lambda r: len(r.text or ""))[::4][:30]:
+        have = got[r.doc_id]
+        assert have.held_out == r.held == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        if not r.text or not lid.LETTER.search(r.text):
+            assert (have.lang_pred, have.score) == ("und", 0.0)
+            continue
+        p = plain_language(model, r.text)
+        assert abs(have.score - p.max()) < 1e-4
+        assert have.lang_pred == model.labels[int(p.argmax())] or np.sort(p)[-1] - np.sort(p)[-2] < 1e-4

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from siftline.llm import hnsw_search as hn
 from siftline.llm import hyperminhash_dedup as hm
@@ -231,3 +232,35 @@ def test_rows_are_dropped_by_id_and_text(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {tuple(r) for r in hm.drop_near_duplicates(df).collect()}
     assert got == {(3, two), (5, one), (None, "alone in its group it is"), (7, None)}
+
+
+# ------------------------------------------------- repeated words, hot buckets
+
+@pytest.mark.parametrize("most", [0, 7, 60])
+def test_tiles_by_length_equal_tiles_by_seeds(most, monkeypatch):
+    rng = np.random.default_rng(8)
+    for trial in range(150):
+        letters = [chr(97 + k) for k in range(rng.choice([1, 2, 3, 6]))]
+        doc = " ".join(rng.choice(letters, rng.integers(3, 60)))
+        block = st.Block([(k, " ".join(rng.choice(letters, rng.integers(3, 30)))) for k in range(3)], 3)
+        monkeypatch.setattr(st, "MOST_PAIRS", 10 ** 9)
+        seeds = {i: t for i, t, _ in block.search(doc)}
+        monkeypatch.setattr(st, "MOST_PAIRS", most)
+        assert {i: t for i, t, _ in block.search(doc)} == seeds
+
+
+def test_a_million_repeated_words():
+    block = st.Block([(1, "a " * 10_000), (2, "a b " * 3000)], 5)
+    got = {i: (t, n) for i, t, n in block.search("a " * 1_000_000)}
+    assert got == {1: ([(0, 0, 10_000)], 10_000)}
+
+
+def test_texts_of_null_ids_are_joined_once(spark):
+    """Each class reads its own text, however many rows have no id."""
+    rows = [(None, " ".join(f"w{k}x{j}" for j in range(12))) for k in range(60)] + [(7, f"p{k} q r s t u v") for k in range(40)]
+    docs = spark.createDataFrame(rows + rows, "doc_id long, text string")
+    sketches = hm._signatures(docs, 5).where("key is not null")
+    wanted = sketches.groupBy("key").agg(F.min("row").alias("row")).join(sketches, ["key", "row"]).select(
+        F.col("row").alias("node"), "key", F.col("doc_id").alias("text_id"), F.col("h").alias("text_h"))
+    wanted = hm.cm.staged(wanted, "test-wanted")
+    assert hm._sets(docs, wanted, 5).count() == 200          # two equal rows a class
