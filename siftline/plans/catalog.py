@@ -518,6 +518,33 @@ def q_digest_lines(spark, sf_dir):
     return dg.digest_text(lines)
 
 
+@query("digest_files")
+def q_digest_files(spark, sf_dir):
+    """The digests of all sweeps as files (K5), read back by their names."""
+    from ..sinks.logs import digest_files
+    folder = scratch_path(spark, "digest-files")
+    digest_files(q_digest_lines(spark, sf_dir).join(_sweep_table(spark, sf_dir), "sweep_id"), folder).count()
+    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(\d{4}-\d\d-\d\d_\d{4})\.md$", 1)
+    files = spark.read.text(f"{folder}/*.md", wholetext=True)
+    return files.select(F.substring(name, 9, 2).cast("bigint").alias("sweep_id"), F.substring(name, 12, 4).alias("hour"),
+                        F.col("value").alias("digest"))
+
+
+@query("sources_only_items")
+def q_sources_only_items(spark, sf_dir):
+    """The listing of sources-only runs (R4): two runs, each of half the sweeps,
+    against one store, and what they recorded as seen."""
+    from ..sinks.logs import LogStore
+    from .sweep_run import run_sweeps
+    store = LogStore(f"{scratch_path(spark, 'sources-only')}/logs")
+    items, sweeps = fx.feed_item_rows(spark, sf_dir), _sweep_table(spark, sf_dir)
+    parts = [run_sweeps(spark, items.where(c), sweeps.where(c), CFG, store, mode="sources_only").scored
+             for c in (F.col("sweep_id") <= 15, F.col("sweep_id") > 15)]
+    seen = store.read(spark, "items_seen").groupBy("sweep_id").agg(F.count(F.lit(1)).alias("n_new"))
+    return parts[0].unionByName(parts[1]).join(seen, "sweep_id", "left").select(
+        "sweep_id", "seq", "domain", "source", "title", F.coalesce("n_new", F.lit(0)).alias("n_new"))
+
+
 # ----------------------------------------------------------------- whole sweeps
 
 RUN_KEYWORDS, RUN_STRONG = ("purchase", "signup"), ("user 1",)

@@ -647,6 +647,14 @@ ORACLE["digest_lines"] = _with(DIGEST, """
 SELECT sweep_id, CAST(count(*) AS bigint) AS n_lines, string_agg(line, chr(10) ORDER BY k1, k2, k3, k4) AS digest
 FROM lines GROUP BY sweep_id""")
 
+ORACLE["digest_files"] = f"""
+SELECT sweep_id, CASE WHEN sweep_id % 3 = 2 THEN '1300' ELSE '0700' END AS hour, digest FROM ({ORACLE["digest_lines"]})"""
+
+ORACLE["sources_only_items"] = _with(CURATED, """
+SELECT sweep_id, seq, domain, source, title,
+       CAST(sum(CASE WHEN first THEN 1 ELSE 0 END) OVER (PARTITION BY sweep_id) AS bigint) AS n_new
+FROM (SELECT *, sweep_ts = min(sweep_ts) OVER (PARTITION BY item_id) AS first FROM cur)""")
+
 # --- streaming: the stream must equal the batch query -------------------------
 
 ORACLE["stream_equals_batch"] = ORACLE["curated_items"]

@@ -44,3 +44,9 @@ def test_validation_report_shuffles_no_rows(spark):
     p = _plan(se.queries()["validate_report"](spark, SMOKE))
     # only aggregations feed its exchanges; the one join is of two aggregates
     assert p.count("Join") == 1
+
+
+def test_feed_health_reads_the_log_once(spark):
+    p = _plan(se.queries()["feed_health"](spark, SMOKE))
+    assert p.count("FileScan parquet") == 1 and "Join" not in p
+    assert p.count("Exchange hashpartitioning") == 2          # by feed and hour, then by feed
