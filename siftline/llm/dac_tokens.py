@@ -21,7 +21,10 @@ Layout on Spark: documents are range-partitioned by id (one shuffle of the
 texts), each task writes one file of segments of about ``segment_tokens`` tokens,
 and a manifest table names each segment's file and place in it. A file's name is
 new in each task attempt, and only the manifest rows of committed tasks name
-files, so an attempt that was lost leaves at most a file nobody reads.
+files, so an attempt that was lost leaves at most a file nobody reads. The rows
+of ``MANIFEST_TASKS`` neighbouring tasks go into one manifest file, and the
+segments are read back by tasks of about ``task_tokens`` tokens, so many small
+partitions do not become as many small files.
 
 Defined cases: a null text is empty, and an empty document is its end id
 alone. Rows with a null id come first; rows of equal id are ordered by a hash
@@ -208,6 +211,7 @@ class DacFile:
 # ------------------------------------------------------------------- on Spark
 
 MANIFEST = "part int, seq int, path string, place long, n_docs long, n_tokens long, n_bytes long"
+MANIFEST_TASKS = 64
 
 
 def write_tokens(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int = 0,
@@ -250,11 +254,13 @@ def write_tokens(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int
             yield flush()
         if out is not None:
             out.close()
-    rows.mapInArrow(write, MANIFEST).write.parquet(f"{out_dir}/manifest")
+    # a task's rows go together, whatever file name its last attempt has
+    (rows.mapInArrow(write, MANIFEST).withColumn("tasks", F.floor(F.col("part") / MANIFEST_TASKS))
+     .repartition("tasks").drop("tasks").write.parquet(f"{out_dir}/manifest"))
     return spark.read.schema(MANIFEST).parquet(f"{out_dir}/manifest")
 
 
-def read_tokens(manifest: DataFrame, slice_tokens: int = 1_000_000) -> DataFrame:
+def read_tokens(manifest: DataFrame, slice_tokens: int = 1_000_000, task_tokens: int = 2_000_000) -> DataFrame:
     """Per document of the files: doc_id, start, n_tokens, ids_crc32.
 
     The ids before a segment are those of lower tasks, a running sum with a row
@@ -265,7 +271,8 @@ def read_tokens(manifest: DataFrame, slice_tokens: int = 1_000_000) -> DataFrame
         "part", F.coalesce(F.sum("n").over(lower), F.lit(0)).alias("before"))
     segments = (manifest.withColumn("own", F.coalesce(F.sum("n_tokens").over(earlier), F.lit(0))).join(tasks, "part")
                 .select("path", "place", (F.col("before") + F.col("own")).alias("base")))
-    n = max(1, manifest.count())
+    size = manifest.agg(F.count(F.lit(1)).alias("segments"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("tokens")).first()
+    n = max(1, min(size.segments, -(-size.tokens // task_tokens), 20_000))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -288,7 +295,7 @@ def read_tokens(manifest: DataFrame, slice_tokens: int = 1_000_000) -> DataFrame
                     [pa.array(doc_ids, pa.int64()), pa.array(starts[:-1] + base, pa.int64()),
                      pa.array(np.diff(starts), pa.int64()), pa.array(crcs, pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"])
-    return segments.repartition(min(n, 20_000)).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return segments.repartition(n).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 0) -> DataFrame:

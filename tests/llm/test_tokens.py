@@ -123,6 +123,24 @@ def test_token_files_edge_cases(spark, edge_docs, no_docs, tok):
     assert dac.encode_documents(no_docs, PATH).count() == 0
 
 
+def test_small_partitions_do_not_become_small_files(spark, documents, tmpdir_path):
+    want = sorted(tuple(r) for r in dac.encode_documents(documents, PATH).collect())
+    conf = {"spark.sql.shuffle.partitions": "96", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        manifest = dac.write_tokens(documents, f"{tmpdir_path}/tokens", PATH)
+        tasks, files = manifest.select("part").distinct().count(), len(manifest.inputFiles())
+        assert tasks > 64 and files <= 3        # two, and the empty one of a first partition without rows
+        got = dac.read_tokens(manifest).withColumn("p", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len({r.p for r in got}) <= -(-sum(r[2] for r in want) // 2_000_000)
+    assert sorted(tuple(r)[:4] for r in got) == want
+
+
 def test_lines_get_all_tokens_once(spark, documents, tok):
     sums = {r.doc_id: r.n for r in ta.count_tokens(documents, PATH).groupBy("doc_id").agg(F.sum("n_tokens").alias("n")).collect()}
     for r in documents.collect():
