@@ -4,31 +4,78 @@
 once, into postings that a search opens by need:
 
 * a text, lower-cased, is cut at each space; its words (with whatever
-  punctuation they have) and their positions are the postings (word, document,
-  positions, category, recency), dealt into buckets by a hash of the word, a
-  folder each. A word that most texts hold is written by many tasks: the
-  document is part of how rows are dealt;
+  punctuation they have) and their positions are the postings. They are gathered
+  where the texts are read, a block of texts at a time: a row has a word, a
+  category, the block's documents that hold the word, and their positions one
+  document after another. So the shuffle moves a row for each distinct word of a
+  block, not for each word of a text, and a word's positions as plain integers;
+* rows are dealt into buckets by a hash of the word, a folder each. A word that
+  most texts hold is written by many tasks: the task that read the texts is part
+  of how rows are dealt;
 * the dictionary has each distinct word with its bucket.
 
 A phrase is in a text iff its parts, cut at spaces too, lie at consecutive
 positions: the first part ends a word, the last one begins a word, those between
 are words, and a single part lies anywhere in a word. So the result is that of
 containment in the text, character by character. A search looks its parts up in
-the dictionary, reads the buckets of the words found and no others, and checks
-phrases by position in one aggregation.
+the dictionary, reads the buckets of the words found and no others, keeps those
+words' rows as they are read, and checks phrases by position in one aggregation.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Sequence
+from typing import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ARXIV_MAX_KEYWORDS, ARXIV_MAX_RESULTS
 
-POSTING = "word string, doc bigint, category string, recency bigint, at array<int>"
+#: the positions of document k of a row are those of ``at`` from ``upto[k - 1]`` to ``upto[k]``
+POSTING = "word string, category string, doc array<bigint>, recency array<bigint>, upto array<int>, at array<int>"
+BLOCK_BYTES = 16 << 20
+
+
+def _postings(block_bytes: int = BLOCK_BYTES) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What makes postings of texts (doc, recency, category, text), in blocks of
+    about ``block_bytes`` of text, a longer text in one with those before it."""
+    def lists_of(starts: np.ndarray, values: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([starts, [len(values)]]), pa.int32()), values)
+
+    def block(b: pa.RecordBatch) -> pa.RecordBatch:
+        lists = pc.split_pattern(b.column("text").cast(pa.large_string()), " ")
+        number = np.diff(lists.offsets.to_numpy())
+        words, kinds = lists.flatten().dictionary_encode(), b.column("category").dictionary_encode("encode")
+        row = np.repeat(np.arange(b.num_rows), number)
+        at = np.arange(len(row)) - np.repeat(np.cumsum(number) - number, number)
+        key = kinds.indices.to_numpy()[row].astype(np.int64) * len(words.dictionary) + words.indices.to_numpy()
+        order = np.argsort(key, kind="stable")            # a word's texts and positions stay in order
+        key, row, at = key[order], row[order], at[order]
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        runs = np.flatnonzero(new | np.concatenate([[True], row[1:] != row[:-1]]))     # a text of a posting each
+        first, rows = np.flatnonzero(new), np.flatnonzero(new[runs])
+        ends = np.concatenate([runs[1:], [len(key)]])
+        upto = ends - np.repeat(first, np.diff(np.concatenate([rows, [len(runs)]])))
+        texts = pa.array(row[runs])
+        return pa.RecordBatch.from_arrays(
+            [words.dictionary.take(pa.array(key[first] % len(words.dictionary))).cast(pa.string()),
+             kinds.dictionary.take(pa.array(key[first] // len(words.dictionary))),
+             lists_of(rows, b.column("doc").take(texts)), lists_of(rows, b.column("recency").take(texts)),
+             lists_of(rows, pa.array(upto, pa.int32())), lists_of(first, pa.array(at, pa.int32()))],
+            names=["word", "category", "doc", "recency", "upto", "at"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ends, lo = np.cumsum(pc.binary_length(b.column("text")).to_numpy(), dtype=np.int64), 0
+            while lo < b.num_rows:
+                hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + block_bytes)) + 1
+                yield block(b.slice(lo, hi - lo))
+                lo = hi
+    return run
 
 
 @dataclass(frozen=True)
@@ -44,13 +91,11 @@ class CorpusIndex:
               salts: int = 8) -> "CorpusIndex":
         """Index a corpus; ``doc`` and ``recency`` are integers, ``doc`` is unique."""
         text = F.lower(F.concat_ws("\n", *[F.coalesce(F.col(c), F.lit("")) for c in text_cols]))
-        rows = corpus.select(F.col(doc).cast("bigint").alias("doc"), F.col(category).alias("category"),
-                             F.col(recency).cast("bigint").alias("recency"), F.posexplode(F.split(text, " ", -1)).alias("p", "word"))
-        rows = rows.withColumn("bucket", self._bucket()).withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(salts)))
-        # the aggregation and the folders use the same shuffle
-        (rows.repartition("bucket", "salt").groupBy("bucket", "salt", "word", "doc", "category", "recency")
-         .agg(F.sort_array(F.collect_list("p")).alias("at")).drop("salt")
-         .sortWithinPartitions("bucket", "word", "doc").write.partitionBy("bucket").parquet(f"{self.root}/postings"))
+        rows = corpus.select(F.col(doc).cast("bigint").alias("doc"), F.col(recency).cast("bigint").alias("recency"),
+                             F.col(category).cast("string").alias("category"), text.alias("text")).mapInArrow(_postings(), POSTING)
+        rows = rows.withColumn("bucket", self._bucket()).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        (rows.repartition("bucket", "salt").drop("salt").sortWithinPartitions("bucket", "word")
+         .write.option("compression", "zstd").partitionBy("bucket").parquet(f"{self.root}/postings"))
         (self._postings(corpus.sparkSession).select("word", "bucket").distinct()
          .sortWithinPartitions("word").write.parquet(f"{self.root}/words"))
         return self
@@ -75,14 +120,19 @@ class CorpusIndex:
             found = [hit] if found is None else [*found, hit]
         if not parts:
             return spark.createDataFrame([], "doc bigint, category string, recency bigint, matched string")
-        hits = words.withColumn("hit", F.explode(F.array_compact(F.array(*found)))).select("word", "bucket", "hit.*")
-        buckets = sorted(r.bucket for r in hits.select("bucket").distinct().collect())       # at most all buckets
+        hit = F.explode(F.array_compact(F.array(*found))).alias("hit")
+        buckets = sorted(r.bucket for r in words.select("bucket", hit).select("bucket").distinct().collect())     # at most all buckets
         if not buckets:
             return spark.createDataFrame([], "doc bigint, category string, recency bigint, matched string")
-        posted = self._postings(spark, buckets).where(F.col("category").isin(*categories)).join(hits.drop("bucket"), "word")
+        posted = self._postings(spark, buckets).where(F.col("category").isin(*categories)).select("*", hit).select("*", "hit.*")
         keys = ["doc", "category", "recency", "kw"]
-        single = posted.where(F.col("of") == 1).select(*keys).distinct()
-        longer = (posted.where(F.col("of") > 1).select(*keys, "part", "of", F.explode("at").alias("p"))
+        single = (posted.where(F.col("of") == 1).select("category", "kw", F.explode(F.arrays_zip("doc", "recency")).alias("text"))
+                  .select("category", "kw", "text.*").select(*keys).distinct())
+        texts = F.transform(F.arrays_zip("doc", "recency", "upto"), lambda x, k: F.struct(
+            x["doc"].alias("doc"), x["recency"].alias("recency"),
+            F.slice("at", F.coalesce(F.get("upto", k - 1), F.lit(0)) + 1, x["upto"] - F.coalesce(F.get("upto", k - 1), F.lit(0))).alias("at")))
+        longer = (posted.where(F.col("of") > 1).select("category", "kw", "part", "of", F.explode(texts).alias("text"))
+                  .select("category", "kw", "part", "of", "text.doc", "text.recency", F.explode("text.at").alias("p"))
                   .groupBy(*keys, "of", (F.col("p") - F.col("part")).alias("start"))
                   .agg(F.bit_or(F.expr("shiftleft(1L, part)")).alias("parts"))
                   .where(F.col("parts") == F.expr("shiftleft(1L, of) - 1")).select(*keys).distinct())

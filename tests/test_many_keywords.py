@@ -72,6 +72,28 @@ def test_a_search_reads_its_buckets_only(spark, tmpdir_path):
     assert index.search(spark, ["common word17"], ["en"]).count() == 11
 
 
+def test_the_index_moves_a_row_a_word_and_block(spark, tmpdir_path):
+    corpus = spark.range(300, numPartitions=1).select("id", F.array_join(F.transform(F.sequence(F.lit(1), F.lit(200)), lambda k: F.concat(
+        F.lit("w"), (k * 7 + F.col("id")) % 100)), " ").alias("text"), F.lit("en").alias("lang"))
+    index = CorpusIndex(f"{tmpdir_path}/index", buckets=4).build(corpus, "id", ["text"], "lang", "id")
+    rows = spark.read.parquet(f"{tmpdir_path}/index/postings")
+    assert rows.count() == 100                       # of 60,000 words, 30,000 of them different ones of a text
+    assert rows.agg(F.sum(F.size("doc")), F.sum(F.size("at"))).first() == (30_000, 60_000)
+    for kws in (["w5"], ["w12 w19 w26"], ["w99 w6", "w3 w4"]):
+        got = {(r.doc, r.matched) for r in index.matches(spark, kws, ["en"]).collect()}
+        assert got == {(r.id, r.matched) for r in corpus_search(corpus, kws, ["en"], ["text"], "lang", "id", max_results=1000).collect()}
+
+
+def test_rows_without_an_id_category_or_text_stay(spark, tmpdir_path):
+    corpus = spark.createDataFrame([(None, "a b", "en", 1), (1, None, "en", None), (2, "a b a", None, 2), (3, "", "de", 3), (4, "b a b", "en", 4)],
+                                   "doc long, text string, lang string, day long")
+    index = CorpusIndex(f"{tmpdir_path}/index", buckets=4).build(corpus, "doc", ["text"], "lang", "day")
+    at = spark.read.parquet(f"{tmpdir_path}/index/postings")
+    assert at.agg(F.sum(F.size("at"))).first()[0] == 2 + 1 + 3 + 1 + 3
+    got = index.matches(spark, ["a b", ""], ["en", "de"]).collect()
+    assert sorted((r.doc or 0, r.recency or 0, r.matched) for r in got) == [(0, 1, "a b|"), (1, 0, ""), (3, 3, ""), (4, 4, "a b|")]
+
+
 def test_payloads_are_not_moved_for_config(spark):
     raw = spark.createDataFrame([], RAW_FETCH)
     cfg = CurationConfig(sources=(SourceConfig("arxiv"), SourceConfig("rss", domain="d")),
